@@ -247,8 +247,9 @@ def train(docs: DataFrame, eligible: Column, sample_docs: int = 1500, id_col: st
                 gap = np.sort(e, 1)
                 yield pa.RecordBatch.from_pydict({"best": gap[ok, 0], "gap": (gap[:, 1] - gap[:, 0] if gap.shape[1] > 1 else np.ones(len(gap)))[ok], "good": right[ok]})
 
-    told = part.where("not fit").select("lang", "text").mapInArrow(measure, "best double, gap double, good boolean").agg(F.max("best").alias("worst"), F.avg(F.when(~F.col("good"), F.col("gap"))).alias("miss")).first()
-    model.limit = 1.15 * told.worst if told.worst is not None else np.inf  # texts worse than any labelled one by 15 %
+    told = part.where("not fit").select("lang", "text").mapInArrow(measure, "best double, gap double, good boolean").agg(F.max("best").alias("worst"), F.avg("best").alias("usual"), F.avg(F.when(~F.col("good"), F.col("gap"))).alias("miss")).first()
+    if told.worst is not None:  # worse than any labelled text by 15 %, and twice as bad as the usual one
+        model.limit = max(1.15 * told.worst, 2 * told.usual)
     model.heat = float(np.clip(1 / told.miss, 8, 60)) if told.miss else 20.0
     return model
 

@@ -5,7 +5,6 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
-import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -295,20 +294,32 @@ def test_prefix_extension():
     assert p.common_extension(x, 0, y, 5) == len("hello brave ") and p.equal(x, 16, y, 21, 5) and not p.equal(x, 0, y, 0, 3)
 
 
-def test_pipeline(spark, cases, tiny):
+def test_pipeline(spark, cases):
+    """Each stage on its own input: what it keeps, and that all but the last keep the columns."""
     folder, rows = cases
-    out = corpus_pipeline.run(spark, folder).collect()
-    assert out and {"doc_id", "text", "lang", "source", "n_chars", "extra", "shard", "slot"} == set(out[0].asDict())
-    kept = {r.doc_id for r in out}
-    plain = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
-    near = {c for _, _, c in groups(plain, 5, 80)}
-    leaks = {r["doc_id"] for r in run(spark, "op7_", folder)}
-    assert kept <= near - leaks
-    assert len(kept) >= 0.9 * len(near - leaks)  # the mix may take a document no time
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    first = corpus_pipeline.near(spark, docs, folder)
-    assert sorted(r.doc_id for r in first.select("doc_id").distinct().collect()) == sorted({c for _, _, c in groups(rows, 5, 80)})
-    assert pd.Series([r.shard for r in out]).value_counts().pipe(lambda c: c.max() - c.min()) <= 1
+    stages = dict(corpus_pipeline.STAGES)
+
+    def ids(df):
+        return Counter(r.doc_id for r in df.select("doc_id").collect())
+
+    accepted = stages["language"](spark, docs, folder)
+    letters = Counter(r[0] for r in rows if any(c.isalpha() for c in r[1] or ""))
+    assert accepted.columns == docs.columns and not ids(accepted) - letters
+    assert not {d for d in letters - ids(accepted) if d < 1000}  # clean texts stay
+    near = stages["near"](spark, docs, folder)
+    assert near.columns == docs.columns and set(ids(near)) == {c for _, _, c in groups(rows, 5, 80)}
+    clean = stages["benchmark"](spark, docs, folder)
+    leaks = {r["doc_id"] for r in run(spark, "op7_", folder)}
+    assert clean.columns == docs.columns and ids(clean) == Counter({d: n for d, n in ids(docs).items() if d not in leaks}) and leaks
+    mixed = stages["mix"](spark, near, folder)
+    assert mixed.columns == docs.columns and set(ids(mixed)) <= set(ids(near)) and max(ids(mixed).values()) <= 2
+    total = sum(len(words(r.text)) for r in near.collect())
+    assert abs(sum(len(words(r.text)) for r in mixed.collect()) - 1.5 * total) < 0.05 * total
+    out = corpus_pipeline.run(spark, folder).collect()
+    assert out and set(docs.columns) | {"shard", "slot"} == set(out[0].asDict())
+    per = Counter(r.shard for r in out)
+    assert max(per.values()) - min(per.values()) <= 1 and len({(r.shard, r.slot) for r in out}) == len(out)
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES])
