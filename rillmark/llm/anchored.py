@@ -127,7 +127,7 @@ Solver = Callable[[list[np.ndarray], np.ndarray, np.ndarray], list[np.ndarray]]
 
 
 def solved(bodies: DataFrame, solve: Solver, cut: Cut, block_units: int) -> DataFrame:
-    """(owner, piece, spans): for each piece its covered spans (start, end, start, end, ...), found shard by shard.
+    """(owner, piece, spans, first_doc): for each piece its covered spans (start, end, start, end, ...), found shard by shard.
 
     A task reads its pieces in order of owner and closes a shard at the first change of owner after block_units units.
     solve takes the sequences of a shard, their first documents and their numbers of occurrences.
@@ -142,7 +142,7 @@ def solved(bodies: DataFrame, solve: Solver, cut: Cut, block_units: int) -> Data
             t = pa.Table.from_batches(held)
             seqs = [np.frombuffer(x, dtype) for x in t.column("body").to_pylist()]
             spans = solve(seqs, t.column("first_doc").to_numpy(), t.column("n").to_numpy())
-            yield pa.RecordBatch.from_arrays([t.column("owner").combine_chunks(), t.column("piece").combine_chunks(), pa.array([s.astype(np.int32) for s in spans], pa.list_(pa.int32()))], names=["owner", "piece", "spans"])
+            yield pa.RecordBatch.from_arrays([t.column("owner").combine_chunks(), t.column("piece").combine_chunks(), pa.array([s.astype(np.int32) for s in spans], pa.list_(pa.int32())), t.column("first_doc").combine_chunks()], names=["owner", "piece", "spans", "first_doc"])
 
         last = None
         for batch in batches:
@@ -166,7 +166,7 @@ def solved(bodies: DataFrame, solve: Solver, cut: Cut, block_units: int) -> Data
             yield from close()
 
     shards = bodies.repartition("owner").sortWithinPartitions("owner", "first_doc", "piece")
-    return shards.mapInArrow(run, "owner long, piece long, spans array<int>")
+    return shards.mapInArrow(run, "owner long, piece long, spans array<int>, first_doc long")
 
 
 def covered(docs: DataFrame, cut: Cut, solve: Solver, later_only: bool, block_units: int) -> DataFrame:
@@ -183,7 +183,6 @@ def covered(docs: DataFrame, cut: Cut, solve: Solver, later_only: bool, block_un
     repeated = owners.where("low < high" if later_only else "total > 1").select("owner")
     wanted = distinct.join(repeated, "owner", "left_semi").select("doc", "twin", "at", "size", "owner", "piece", "n")
     answers = saved(solved(contents(docs, wanted, cut), solve, cut, block_units), "answers")
-    answers = answers.join(distinct.select("owner", "piece", F.col("doc").alias("first_doc")), ["owner", "piece"])
     hits = found.join(answers, ["owner", "piece"])
     whole = F.array(F.lit(0), F.col("size"))
     spans = F.when(F.col("doc") > F.col("first_doc"), whole).otherwise(F.col("spans")) if later_only else F.col("spans")
