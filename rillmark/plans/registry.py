@@ -1,5 +1,9 @@
 """All registered queries of the library's own operators, with their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from . import city, geometry, streets, terrain
+
+QUERIES = {**geometry.QUERIES, **terrain.QUERIES, **streets.QUERIES, **city.QUERIES}
+ORACLES = {**geometry.ORACLES, **terrain.ORACLES, **streets.ORACLES, **city.ORACLES}
 FLAGSHIP = "s3_street_index"
