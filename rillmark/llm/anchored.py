@@ -188,7 +188,7 @@ def covered(docs: DataFrame, cut: Cut, solve: Solver, later_only: bool, block_un
     spans = F.when(F.col("doc") > F.col("first_doc"), whole).otherwise(F.col("spans")) if later_only else F.col("spans")
     shifted = F.transform(spans, lambda x: x + F.col("at"))
     out = saved(hits.select("doc", "twin", shifted.alias("spans")).where(F.size("spans") > 0).groupBy("doc", "twin").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
-    forget(found, distinct)
+    forget(found, distinct, answers)
     return out
 
 

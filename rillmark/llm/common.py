@@ -26,10 +26,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared scratch folder and read it back: lineage is cut, and a lost executor costs no work done before."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    """Write df as a table in the shared scratch folder and read it back: lineage is cut, and a lost executor costs no work done before.
+
+    The shuffle files of the write go as soon as it ends, as nothing reads them again.
+    """
+    conf, path = df.sparkSession.conf, f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._scratch_path = path
     return back
