@@ -2,12 +2,17 @@
 
 Documents become sets of word shingles; equal sets are one set. Shingles are ordered from rare to common, by counts in
 a fixed number of cells that cover the corpus, and each set is indexed under its prefix: two sets that link share a
-shingle of both prefixes. Index lists are read in blocks of members whose sizes can link; the rest is skipped.
+shingle of both prefixes.
 
-Members of a list are not compared pairwise. In each round a list's members are compared with one leader, lists whose
-members are all connected are skipped, and answers are derived from those of a similar set: if a leader L is at the
-known Jaccard distances d(L, A) and d(L, B), A and B cannot link when these differ by more than the distance allowed.
-Only pairs that neither relation settles are verified, by exact intersection. No link between components is lost.
+Index level: an index list is read in blocks of members that have one set size and one position of the shingle. At the
+first shingle that two sets share, they cannot share more than the shorter of their two remainders, so pairs of blocks
+whose remainders are too short are skipped as a whole, and members of blocks without a partner leave the index.
+
+Answer level: the members of a list are first compared with one leader, the member with the earliest position, which
+has the fewest shingles of its own and so links with the most. What it links with shares its component, and pairs
+inside a component are skipped. For the rest, if a leader L is at the known Jaccard distances d(L, A) and d(L, B), A
+and B cannot link when these differ by more than the distance allowed. Only pairs that no relation settles are
+verified, by exact intersection. No link between components is lost.
 
 Defined results: null and empty texts have an empty set and stand alone; a text with fewer words than a shingle has one
 shingle, its whole sequence; rows of one doc_id with different texts are linked only if their sets are.
@@ -19,14 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, forget, saved
 from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashes, words
 
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
-ROUNDS = 3
+#: Keys of sets that a task remembers, so as not to index an equal set again; beyond that it starts anew.
+REMEMBERED = 1 << 20
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -81,30 +87,64 @@ def set_keys(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, key, n): the rarest shingles of each set, enough that linked sets share one."""
+    """(token, key, n, at): the rarest shingles of each set, enough that linked sets share one, with their positions."""
     ranks = docs.sparkSession.sparkContext.broadcast(np.argsort(np.argsort(counts, kind="stable")).astype(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = ranks.value
+        rank, seen = ranks.value, set()
         for batch in batches:
             for _, hashes, offsets in _sets(batch, k):
-                n = np.diff(offsets)
+                n, keys = np.diff(offsets), _keys(hashes, offsets).view(np.int64)
+                fresh = np.zeros(len(n), bool)
+                for i, key in enumerate(keys.tolist()):
+                    if key not in seen:
+                        seen.add(key)
+                        fresh[i] = True
+                if len(seen) > REMEMBERED:
+                    seen.clear()
                 row = np.repeat(np.arange(len(n)), n)
                 # A token in the order of all: the rank of its cell, which stands for its last 18 bits, then the others.
                 token = (rank[(hashes & np.uint64(CELLS - 1)).astype(np.int64)] << np.uint64(SET_BITS - 18)) | (hashes >> np.uint64(18))
                 packed = np.sort((row.astype(np.uint64) << np.uint64(SET_BITS)) | token)
-                take = n - (percent * n + 99) // 100 + 1
-                take = np.where(n > 0, take, 0)
+                take = np.where(fresh & (n > 0), n - (percent * n + 99) // 100 + 1, 0)
                 place = np.arange(len(row)) - offsets[:-1][row]
                 keep = place < take[row]
                 mine = row[keep]
-                yield pa.RecordBatch.from_arrays([pa.array((packed[keep] & np.uint64((1 << SET_BITS) - 1)).view(np.int64)), pa.array(_keys(hashes, offsets).view(np.int64)[mine]), pa.array(n[mine].astype(np.int32))], names=["token", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array((packed[keep] & np.uint64((1 << SET_BITS) - 1)).view(np.int64)), pa.array(keys[mine]), pa.array(n[mine].astype(np.int32)), pa.array(place[keep].astype(np.int32))], names=["token", "key", "n", "at"])
+
+    return docs.select("text").mapInArrow(run, "token long, key long, n int, at int")
+
+
+def _can_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles can link whose first common one stands at these positions."""
+    most = F.least(n - at, m - to).cast("long")
+    return most * 100 >= (n + m - most) * percent
+
 
-    return docs.select("text").mapInArrow(run, "token long, key long, n int")
+def block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """(token, n, at, n2, at2): pairs of an index list's blocks that can hold a link; blocks has (token, n, at, low, high), low and high the least and greatest label of the members."""
+    x, y = blocks.alias("x"), blocks.alias("y")
+    once = F.struct("x.n", "x.at") <= F.struct("y.n", "y.at")
+    open_ = F.least("x.low", "y.low") < F.greatest("x.high", "y.high")
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & once & open_ & _can_link(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"), percent))
+    return pairs.select("x.token", "x.n", "x.at", F.col("y.n").alias("n2"), F.col("y.at").alias("at2"))
 
 
-def _can_link(a: Column, b: Column, percent: int) -> Column:
-    return F.greatest(a, b).cast("long") * percent <= F.least(a, b).cast("long") * 100
+def _blocks(members: DataFrame, label: str) -> DataFrame:
+    return members.groupBy("token", "n", "at").agg(F.min(label).alias("low"), F.max(label).alias("high"))
+
+
+def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """(token, key, n, at): the index without the members that no other one of their list can link with."""
+    index = saved(prefixes(docs, k, percent, counts), "index")
+    shared = index.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("token")
+    lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
+    forget(index)
+    ways = block_pairs(_blocks(lists, "key"), percent)
+    able = ways.select("token", "n", "at").union(ways.select("token", "n2", "at2")).distinct()
+    left = saved(lists.join(able, ["token", "n", "at"], "left_semi").select("token", "key", "n", "at"), "able")
+    forget(lists)
+    return left
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
@@ -134,8 +174,7 @@ def _pair(a: Column, b: Column) -> list[Column]:
 def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
     members, counts = set_keys(docs, k)
-    tokens = prefixes(docs, k, percent, counts).groupBy("token", "key").agg(F.min("n").alias("n"))
-    lists = saved(tokens.withColumn("members", F.count("*").over(Window.partitionBy("token"))).where("members > 1").drop("members"), "lists")
+    lists = index_lists(docs, k, percent, counts)
     comp = saved(lists.select("key").distinct().withColumn("top", F.col("key")), "components")
     wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(comp, "key", "left_semi")
 
@@ -149,47 +188,45 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
     texts = docs.join(wanted.select("doc").distinct(), "doc").select("text").mapInArrow(fetch, "key long, body binary")
     bodies = saved(texts.join(comp.select("key"), "key", "left_semi").dropDuplicates(["key"]), "bodies")
 
-    known: DataFrame | None = None
-    first_leaders: DataFrame | None = None
-    for r in range(ROUNDS + 1):
-        now = lists.join(comp, "key")
-        draw = F.xxhash64("key", F.pmod("token", F.lit(4)), F.lit(r))
-        heads = now.withColumn("draw", draw).groupBy("token").agg(F.min("top").alias("low"), F.max("top").alias("high"), F.min_by("key", "draw").alias("leader"), F.min_by("n", "draw").alias("leader_n"), F.min_by("top", "draw").alias("leader_top"))
-        heads = heads.where("low < high")
-        if r < ROUNDS:
-            if first_leaders is None:
-                heads = saved(heads, "leaders")
-                first_leaders = heads.select("token", "leader")
-            pairs = now.join(heads, "token").where((F.col("top") != F.col("leader_top")) & _can_link(F.col("n"), F.col("leader_n"), percent))
-            pairs = pairs.select(*_pair(F.col("key"), F.col("leader"))).distinct()
-        else:
-            near = known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "distance").union(known.select(F.col("b"), F.col("a"), "distance"))
-            open_ = now.join(heads.select("token"), "token", "left_semi").join(first_leaders, "token", "left").join(near, ["key", "leader"], "left")
-            open_ = saved(open_.select("token", "key", "n", "top", F.when(F.col("key") == F.col("leader"), F.lit(0.0)).otherwise(F.col("distance")).alias("d")), "open")
-            x, y = open_.alias("x"), open_.alias("y")
-            skipped = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) > 1 - percent / 100 + 1e-9, F.lit(False))
-            pairs = x.join(y, F.col("x.token") == F.col("y.token")).where(
-                (F.col("x.key") < F.col("y.key")) & (F.col("x.top") != F.col("y.top")) & _can_link(F.col("x.n"), F.col("y.n"), percent) & ~skipped
-            )
-            pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-        if known is not None:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        told = saved(verified(pairs, bodies, percent), "verified")
-        known = told if known is None else known.unionByName(told)
-        links = told.where("linked").select("a", "b")
-        if links.limit(1).count() == 0:
-            continue
-        tops = comp.select(F.col("key"), F.col("top"))
-        edges = links.join(tops.select(F.col("key").alias("a"), F.col("top").alias("u")), "a").join(tops.select(F.col("key").alias("b"), F.col("top").alias("v")), "b")
-        merged = components(edges.select("u", "v"))
-        fresh = comp.join(merged.select(F.col("id").alias("top"), "component"), "top", "left").select("key", F.coalesce("component", "top").alias("top"))
-        fresh = saved(fresh, "components")
-        forget(comp, merged)
-        comp = fresh
-    forget(bodies, lists)
+    # Each list against its leader.
+    heads = lists.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("key").alias("draw"), "key", "n")).alias("head"))
+    heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
+    pairs = lists.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), percent))
+    known = saved(verified(pairs.select(*_pair(F.col("key"), F.col("leader"))).distinct(), bodies, percent), "verified")
+    comp = _joined(comp, known)
+
+    # What the leaders left open: blocks of members of more than one component.
+    near = known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "distance").union(known.select(F.col("b"), F.col("a"), "distance"))
+    labelled = lists.join(comp, "key").join(heads.select("token", "leader"), "token").join(near, ["key", "leader"], "left")
+    labelled = saved(labelled.select("token", "key", "n", "at", "top", F.when(F.col("key") == F.col("leader"), F.lit(0.0)).otherwise(F.col("distance")).alias("d")), "labelled")
+    ways = saved(block_pairs(_blocks(labelled, "top"), percent), "ways")
+    left = labelled.select("token", "n", "at", F.col("key").alias("p"), F.col("top").alias("p_top"), F.col("d").alias("p_d"))
+    right = labelled.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("key").alias("q"), F.col("top").alias("q_top"), F.col("d").alias("q_d"))
+    apart = F.coalesce(F.abs(F.col("p_d") - F.col("q_d")) > 1 - percent / 100 + 1e-9, F.lit(False))
+    one_block = (ways.n == ways.n2) & (ways.at == ways.at2)
+    members_p = ways.join(left, ["token", "n", "at"])
+    same = (members_p.token == right.token) & (members_p.n2 == right.n2) & (members_p.at2 == right.at2)
+    rest = members_p.join(right, same & (F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
+    rest = rest.select(*_pair(F.col("p"), F.col("q"))).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
+    comp = _joined(comp, saved(verified(rest, bodies, percent), "verified"))
+    forget(bodies, lists, labelled, ways)
     return members, comp
 
 
+def _joined(comp: DataFrame, told: DataFrame) -> DataFrame:
+    """comp, with the components joined that a link of told connects."""
+    links = told.where("linked").select("a", "b")
+    if links.limit(1).count() == 0:
+        return comp
+    tops = comp.select("key", "top")
+    edges = links.join(tops.select(F.col("key").alias("a"), F.col("top").alias("u")), "a").join(tops.select(F.col("key").alias("b"), F.col("top").alias("v")), "b")
+    merged = components(edges.select("u", "v"))
+    after = comp.join(merged.select(F.col("id").alias("top"), "component"), "top", "left").select("key", F.coalesce("component", "top").alias("top"))
+    after = saved(after, "components")
+    forget(comp, merged)
+    return after
+
+
 def linked_documents(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id): the size of each document's set and the smallest id reachable by links."""
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
