@@ -33,6 +33,8 @@ from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashe
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
 #: Keys of sets that a task remembers, so as not to index an equal set again; beyond that it starts anew.
 REMEMBERED = 1 << 20
+#: Bits of the filter of documents whose sets are fetched: 1 MB.
+BITS = 1 << 23
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -137,7 +139,7 @@ def _blocks(members: DataFrame, label: str) -> DataFrame:
 def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
     """(token, key, n, at): the index without the members that no other one of their list can link with."""
     index = saved(prefixes(docs, k, percent, counts), "index")
-    shared = index.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("token")
+    shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
     forget(index)
     ways = block_pairs(_blocks(lists, "key"), percent)
@@ -171,6 +173,19 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """docs without most of the rows that are not wanted, so that their texts are not shuffled.
+
+    The filter is a bitmap of BITS bits, whatever the input; where it fills up, it only lets more rows through.
+    """
+    cell = F.pmod(F.xxhash64("doc"), F.lit(BITS))
+    bits = wanted.select(cell.alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    held = docs.withColumn("_cell", cell).withColumn("bucket", F.bitmap_bucket_number("_cell")).join(F.broadcast(bits), "bucket")
+    place = F.bitmap_bit_position("_cell")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.where(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1).select(*docs.columns)
+
+
 def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
     members, counts = set_keys(docs, k)
@@ -185,7 +200,7 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), raw], names=["key", "body"])
 
     # The keys of rows that share a doc_id are told apart by their sets; a set is kept once.
-    texts = docs.join(wanted.select("doc").distinct(), "doc").select("text").mapInArrow(fetch, "key long, body binary")
+    texts = _likely(docs, wanted).join(wanted.select("doc").distinct(), "doc").select("text").mapInArrow(fetch, "key long, body binary")
     bodies = saved(texts.join(comp.select("key"), "key", "left_semi").dropDuplicates(["key"]), "bodies")
 
     # Each list against its leader.
