@@ -11,8 +11,10 @@ whose remainders are too short are skipped as a whole, and members of blocks wit
 Answer level: the members of a list are first compared with one leader, the member with the earliest position, which
 has the fewest shingles of its own and so links with the most. What it links with shares its component, and pairs
 inside a component are skipped. For the rest, if a leader L is at the known Jaccard distances d(L, A) and d(L, B), A
-and B cannot link when these differ by more than the distance allowed. Only pairs that no relation settles are
-verified, by exact intersection. No link between components is lost.
+and B cannot link when these differ by more than the distance allowed. Of the pairs that no relation settles, those
+go whose signatures rule a link out: a signature counts a set's shingles in 256 cells, and two sets differ by at least
+as many shingles as their counts do. The rest are verified by exact intersection, and only their sets are fetched. No
+link between components is lost.
 
 Defined results: null and empty texts have an empty set and stand alone; a text with fewer words than a shingle has one
 shingle, its whole sequence; rows of one doc_id with different texts are linked only if their sets are.
@@ -33,6 +35,8 @@ from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashe
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
 #: Keys of sets that a task remembers, so as not to index an equal set again; beyond that it starts anew.
 REMEMBERED = 1 << 20
+#: Cells of a set's signature, each one byte that stays at 255.
+SIGNATURE = 256
 #: Bits of the filter of documents whose sets are fetched: 1 MB.
 BITS = 1 << 23
 
@@ -55,23 +59,32 @@ def _keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _signatures(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """How many shingles of each set fall in each of the SIGNATURE cells."""
+    rows = len(offsets) - 1
+    cell = ((hashes >> np.uint64(18)) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+    counts = np.bincount(np.repeat(np.arange(rows), np.diff(offsets)) * SIGNATURE + cell, minlength=rows * SIGNATURE)
+    bounds = np.arange(rows + 1, dtype=np.int32) * SIGNATURE
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(bounds), pa.py_buffer(np.minimum(counts, 255).astype(np.uint8))])
+
+
 def set_keys(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc, n, key) of each document, and how many shingles of the corpus fall in each of the CELLS."""
+    """(doc, n, key, signature) of each document, and how many shingles of the corpus fall in each of the CELLS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
-        names = ["doc", "n", "key", "block", "cells"]
+        names = ["doc", "n", "key", "signature", "block", "cells"]
         for batch in batches:
             ids = batch.column("doc")
             for a, hashes, offsets in _sets(batch, k):
                 cells += np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
                 rows = len(offsets) - 1
-                yield pa.RecordBatch.from_arrays([ids.slice(a, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(_keys(hashes, offsets).view(np.int64)), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(_keys(hashes, offsets).view(np.int64)), _signatures(hashes, offsets), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if cells.any():
             n = CELLS // CELL_BLOCK
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].astype(np.uint32).tobytes() for i in range(n)], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].astype(np.uint32).tobytes() for i in range(n)], pa.binary())], names=names)
 
-    table = saved(docs.select("doc", "text").mapInArrow(run, "doc long, n int, key long, block int, cells binary"), "sets")
+    table = saved(docs.select("doc", "text").mapInArrow(run, "doc long, n int, key long, signature binary, block int, cells binary"), "sets")
 
     def add(pdf):
         import pandas as pd
@@ -83,7 +96,7 @@ def set_keys(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     counts = np.zeros(CELLS, np.int64)
     for r in summed.collect():  # CELLS numbers, whatever the input
         counts[r.block * CELL_BLOCK : (r.block + 1) * CELL_BLOCK] = np.frombuffer(r.cells, np.int64)
-    members = table.where("block is null").select("doc", "n", "key")
+    members = table.where("block is null").select("doc", "n", "key", "signature")
     members._scratch_path = table._scratch_path
     return members, counts
 
@@ -149,6 +162,22 @@ def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Da
     return left
 
 
+def bounded(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """(a, b, least, can): the distance that the pairs' signatures (key, n, signature) prove, and whether it allows a link."""
+    left = signatures.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("of_a"))
+    right = signatures.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("of_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16) for c in ("of_a", "of_b"))
+            both = batch.column("n_a").to_numpy().astype(np.int64) + batch.column("n_b").to_numpy()
+            most = (both - np.abs(p - q).sum(axis=1, dtype=np.int64)) // 2
+            least, can = 1 - most / (both - most), 100 * most >= percent * (both - most)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(least, pa.float64()), pa.array(can, pa.bool_())], names=["a", "b", "least", "can"])
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(run, "a long, b long, least double, can boolean")
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     """(a, b, distance, linked) of the pairs, by exact intersection of their sets."""
     left = bodies.select(F.col("key").alias("a"), F.col("body").alias("body_a"))
@@ -186,12 +215,8 @@ def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return held.where(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1).select(*docs.columns)
 
 
-def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
-    members, counts = set_keys(docs, k)
-    lists = index_lists(docs, k, percent, counts)
-    comp = saved(lists.select("key").distinct().withColumn("top", F.col("key")), "components")
-    wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(comp, "key", "left_semi")
+def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """(key, body): the sets of the keys, each once, from one text of each."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,32 +224,55 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
                 raw = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(hashes))])
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), raw], names=["key", "body"])
 
+    wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi")
     # The keys of rows that share a doc_id are told apart by their sets; a set is kept once.
     texts = _likely(docs, wanted).join(wanted.select("doc").distinct(), "doc").select("text").mapInArrow(fetch, "key long, body binary")
-    bodies = saved(texts.join(comp.select("key"), "key", "left_semi").dropDuplicates(["key"]), "bodies")
+    return saved(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "bodies")
+
+
+def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b, least, most, linked): bounds of the pairs' distances, and whether they link; the bounds are equal where the sets were compared."""
+    bounds = saved(bounded(pairs, signatures, percent), "bounds")
+    left = bounds.where("can").select("a", "b")
+    bodies = set_bodies(docs, members, saved(left.select(F.col("a").alias("key")).union(left.select("b")).distinct(), "wanted"), k)
+    exact = verified(left, bodies, percent).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked")
+    out = saved(bounds.where("not can").select("a", "b", "least", F.lit(1.0).alias("most"), F.lit(False).alias("linked")).union(exact), "settled")
+    forget(bounds, bodies)
+    return out
+
+
+def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
+    members, counts = set_keys(docs, k)
+    lists = index_lists(docs, k, percent, counts)
+    comp = saved(lists.select("key").distinct().withColumn("top", F.col("key")), "components")
+    signatures = saved(members.join(comp, "key", "left_semi").select("key", "n", "signature").dropDuplicates(["key"]), "signatures")
+    members = members.drop("signature")
 
     # Each list against its leader.
     heads = lists.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("key").alias("draw"), "key", "n")).alias("head"))
     heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
     pairs = lists.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), percent))
-    known = saved(verified(pairs.select(*_pair(F.col("key"), F.col("leader"))).distinct(), bodies, percent), "verified")
+    known = settled(pairs.select(*_pair(F.col("key"), F.col("leader"))).distinct(), docs, members, signatures, k, percent)
     comp = _joined(comp, known)
 
     # What the leaders left open: blocks of members of more than one component.
-    near = known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "distance").union(known.select(F.col("b"), F.col("a"), "distance"))
+    near = known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "least", "most").union(known.select(F.col("b"), F.col("a"), "least", "most"))
     labelled = lists.join(comp, "key").join(heads.select("token", "leader"), "token").join(near, ["key", "leader"], "left")
-    labelled = saved(labelled.select("token", "key", "n", "at", "top", F.when(F.col("key") == F.col("leader"), F.lit(0.0)).otherwise(F.col("distance")).alias("d")), "labelled")
+    itself = F.col("key") == F.col("leader")
+    least, most = F.when(itself, 0.0).otherwise(F.coalesce("least", F.lit(0.0))), F.when(itself, 0.0).otherwise(F.coalesce("most", F.lit(1.0)))
+    labelled = saved(labelled.select("token", "key", "n", "at", "top", least.alias("least"), most.alias("most")), "labelled")
     ways = saved(block_pairs(_blocks(labelled, "top"), percent), "ways")
-    left = labelled.select("token", "n", "at", F.col("key").alias("p"), F.col("top").alias("p_top"), F.col("d").alias("p_d"))
-    right = labelled.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("key").alias("q"), F.col("top").alias("q_top"), F.col("d").alias("q_d"))
-    apart = F.coalesce(F.abs(F.col("p_d") - F.col("q_d")) > 1 - percent / 100 + 1e-9, F.lit(False))
+    left = labelled.select("token", "n", "at", F.col("key").alias("p"), F.col("top").alias("p_top"), F.col("least").alias("p_least"), F.col("most").alias("p_most"))
+    right = labelled.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("key").alias("q"), F.col("top").alias("q_top"), F.col("least").alias("q_least"), F.col("most").alias("q_most"))
+    apart = F.greatest(F.col("p_least") - F.col("q_most"), F.col("q_least") - F.col("p_most")) > 1 - percent / 100 + 1e-9
     one_block = (ways.n == ways.n2) & (ways.at == ways.at2)
     members_p = ways.join(left, ["token", "n", "at"])
     same = (members_p.token == right.token) & (members_p.n2 == right.n2) & (members_p.at2 == right.at2)
     rest = members_p.join(right, same & (F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
     rest = rest.select(*_pair(F.col("p"), F.col("q"))).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    comp = _joined(comp, saved(verified(rest, bodies, percent), "verified"))
-    forget(bodies, lists, labelled, ways)
+    comp = _joined(comp, settled(rest, docs, members, signatures, k, percent))
+    forget(lists, labelled, ways, signatures)
     return members, comp
 
 
