@@ -156,7 +156,8 @@ def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Da
     lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
     forget(index)
     ways = block_pairs(_blocks(lists, "key"), percent)
-    able = ways.select("token", "n", "at").union(ways.select("token", "n2", "at2")).distinct()
+    # Both ends come from one join; a union of two would run it twice.
+    able = ways.select("token", F.explode(F.array(F.struct("n", "at"), F.struct(F.col("n2").alias("n"), F.col("at2").alias("at")))).alias("end")).select("token", "end.n", "end.at").distinct()
     left = saved(lists.join(able, ["token", "n", "at"], "left_semi").select("token", "key", "n", "at"), "able")
     forget(lists)
     return left
