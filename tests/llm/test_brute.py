@@ -5,9 +5,11 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from rillmark.llm import jaccard_skip
 from rillmark.llm.queries import QUERIES
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
@@ -154,6 +156,24 @@ def test_op6_chain(spark, tmp_path):
     same(run(spark, "op6_", str(tmp_path)), groups(rows, 4, 85), "doc_id", "n_shingles", "component_id")
 
 
+def test_op6_signatures_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(6)
+    whole = np.unique(rng.integers(0, 1 << 52, 100_000, dtype=np.uint64))  # beyond 255 a cell
+    sets = [whole, whole[:-9_000], whole[:70_000], whole[:300], whole[:250], whole[200:500], whole[:1], whole[1:2]]
+    offsets = np.cumsum([0, *map(len, sets)])
+    signatures = jaccard_skip._signatures(np.concatenate(sets), offsets).to_pylist()
+    rows = spark.createDataFrame([(i, len(x), bytearray(s)) for i, (x, s) in enumerate(zip(sets, signatures, strict=True))], "key long, n int, signature binary")
+    pairs = spark.createDataFrame([(i, j) for i in range(8) for j in range(i + 1, 8)], "a long, b long")
+    got = jaccard_skip.bounded(pairs, rows, 80).collect()
+    assert len(got) == 28
+    for r in got:
+        both = len(np.intersect1d(sets[r.a], sets[r.b]))
+        union = len(sets[r.a]) + len(sets[r.b]) - both
+        assert r.least <= 1 - both / union + 1e-12
+        assert r.can or 100 * both < 80 * union
+    assert not all(r.can for r in got)
+
+
 def test_op7(spark, cases, tiny):
     folder, rows = cases
     grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
