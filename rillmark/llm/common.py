@@ -79,28 +79,31 @@ def with_rank(df: DataFrame, *order: str, name: str = "rank") -> tuple[DataFrame
     return ranked, total
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) for each end of the undirected edges (u, v): the smallest id that it reaches.
 
-    Label passing with pointer jumping: each round takes the least label of the neighbours, then the label's own
-    label, so a path of length n settles in about log n rounds. Every step is an aggregate with map-side combine or an
-    equi-join whose other side has one row a key, which adaptive execution can split where a key is hot.
+    Each round looks up the label of each label, and takes the least of those among a vertex's neighbours. That lowers
+    the label of the vertex and also the label of its old label, so whole trees are hooked at their roots, and a chain
+    settles in about log n rounds, whatever the order of its ids. Labels only fall, and no label is above its vertex or
+    outside its component, so the loop ends; it ends only when no label moves, and then each component has one label,
+    its least id. Every step is an aggregate with map-side combine or an equi-join whose other side has one row a key,
+    which adaptive execution can split where a key is hot.
     """
     both = saved(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
     labels = saved(both.groupBy(F.col("u").alias("id")).agg(F.least(F.first("u"), F.min("v")).alias("component")), "labels")
-    for _ in range(max_rounds):
-        near = both.join(labels, both.v == labels.id).groupBy("u").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels.id == near.u, "left").select("id", "component", F.least("component", "near").alias("next"))
-        step = saved(step, "step")
-        top = step.select(F.col("id").alias("next"), F.col("next").alias("top"))
-        jumped = step.join(top, "next", "left").select("id", F.least("next", "top").alias("component"), (F.least("next", "top") < F.col("component")).alias("moved"))
-        after = saved(jumped, "labels")
-        forget(labels, step)
+    while True:
+        own = labels.select("id", "component")
+        top = own.select(F.col("id").alias("component"), F.col("component").alias("top"))
+        grand = saved(own.join(top, "component").select("id", "component", "top"), "grand")
+        near = both.join(grand, both.v == grand.id).groupBy("u").agg(F.min("top").alias("near"))
+        step = saved(grand.join(near, grand.id == near.u).select("id", "component", F.least("top", "near").alias("next")), "step")
+        roots = step.groupBy(F.col("component").alias("id")).agg(F.min("next").alias("hook"))
+        lowered = step.join(roots, "id", "left").withColumn("next", F.least("next", "hook"))
+        after = saved(lowered.select("id", F.col("next").alias("component"), (F.col("next") < F.col("component")).alias("moved")), "labels")
+        forget(labels, grand, step)
         labels = after
         if after.where("moved").limit(1).count() == 0:
             break
-        labels = after.drop("moved")
-        labels._scratch_path = after._scratch_path
     forget(both)
     out = labels.select("id", "component")
     out._scratch_path = labels._scratch_path
