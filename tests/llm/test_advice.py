@@ -18,3 +18,24 @@ def test_op6_long_chain_of_revisions(spark):
     text = [f"w{i}" for i in range(1600)]
     docs = spark.createDataFrame([(i, " ".join(text[3 * i : 3 * i + 50])) for i in range(500)], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in jaccard_skip.linked_documents(docs).collect()} == {(i, 0) for i in range(500)}
+
+
+def test_op7_short_items_in_long_documents(spark):
+    from rillmark.llm.minhash_contain import contained
+
+    rng = random.Random(7)
+    texts = [[f"w{rng.randrange(3000)}" for _ in range(3000)] for _ in range(12)]
+    items = []
+    for n in (2, 3, 4, 5, 6, 7, 8, 20, 37):
+        for j in range(60):
+            at = rng.randrange(4) if j % 2 else rng.randrange(2900)
+            items.append(texts[j % 12][at : at + n])
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    have = {k: [grams(t, k) for t in texts] for k in range(2, 6)}
+    want = set()
+    for i, w in enumerate(items):
+        mine = grams(w, min(5, len(w)))
+        want |= {(d, i, len(mine & have[min(5, len(w))][d])) for d in range(12) if len(mine & have[min(5, len(w))][d]) >= 0.8 * len(mine)}
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.n_shared) for r in contained(docs, table).collect()} == want
