@@ -1,12 +1,13 @@
 """A corpus pipeline of five stages; each function takes (spark, docs, sf_dir) and works on all that the one before kept.
 
 language   documents that the language models reject, or that have no letters, go
-near       of each group of documents that are linked at 0.8 by five-word shingles, the one with the smallest id stays
+near       of each group of rows that are linked at 0.8 by five-word shingles, one with the smallest id stays
 benchmark  documents that hold at least 0.8 of a benchmark item's five-word shingles go
-mix        each document is repeated as often as the mix of sources takes it
+mix        each row is repeated as often as the mix of sources takes it
 shards     the rows get their shard and slot along the Hilbert curve
 
-Stages keep the columns of documents, whatever they are; the last adds shard and slot. Each stage is written as Parquet
+Stages decide on rows: rows that share an id are told apart, and rows without one count like others (their id comes
+after all others). They keep the columns of documents, whatever they are; the last adds shard and slot. Each stage is written as Parquet
 and read again before the next.
 """
 
@@ -24,10 +25,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kn_langid.keep_accepted(docs, model)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs, written with a number of each row, _row, so that every later read sees the same ones."""
+    return saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_skip.linked_documents(docs, k=5, percent=80)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    rows = _numbered(docs)
+    groups = jaccard_skip.linked_documents(rows, k=5, percent=80, id_col="_row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), "_row")
+    named = groups.join(rows.select("_row", order.alias("first")), "_row")
+    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select("first._row")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +45,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = cube_mix.mix_sources(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    taken = docs.join(copies, "doc_id")
+    rows = _numbered(docs)
+    units = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "source", "text", "_row")
+    copies = cube_mix.mix_sources(units, carried=("_row",)).where("copies > 0").select("_row", F.col("copies").alias("_copies"))
+    taken = rows.join(copies, "_row")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 

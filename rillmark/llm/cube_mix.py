@@ -101,10 +101,10 @@ def _fly(land: bool):
     return run
 
 
-def mix_sources(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies): how often the mix takes each document."""
+def mix_sources(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0, carried: tuple = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) and the carried columns: how often the mix takes each row."""
     size = F.size(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
-    units = saved(docs.select("doc_id", "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("twin")), "units")
+    units = saved(docs.select("doc_id", "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("twin"), *carried), "units")
     spark = docs.sparkSession
     totals = {r.source: (r.words, r.docs) for r in units.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()}  # one row per source
     goal = targets({s: t[0] for s, t in totals.items()}, weights, share, cap)
@@ -131,4 +131,4 @@ def mix_sources(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5,
     for d in done[1:]:
         out = out.unionByName(d)
     forget(units)
-    return out.select("doc_id", "source", "size", "source_size", "target", "twin", (F.col("whole") + F.round("p")).cast("long").alias("copies"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "twin", (F.col("whole") + F.round("p")).cast("long").alias("copies"), *carried)

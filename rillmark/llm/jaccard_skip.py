@@ -17,7 +17,8 @@ as many shingles as their counts do. The rest are verified by exact intersection
 link between components is lost.
 
 Defined results: null and empty texts have an empty set and stand alone; a text with fewer words than a shingle has one
-shingle, its whole sequence; rows of one doc_id with different texts are linked only if their sets are.
+shingle, its whole sequence; rows of one doc_id with different texts are linked only if their sets are; rows without an
+id link like others, and the component of none but such rows has a null id.
 """
 
 from __future__ import annotations
@@ -226,8 +227,10 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), raw], names=["key", "body"])
 
     wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi")
-    # The keys of rows that share a doc_id are told apart by their sets; a set is kept once.
-    texts = _likely(docs, wanted).join(wanted.select("doc").distinct(), "doc").select("text").mapInArrow(fetch, "key long, body binary")
+    # The keys of rows that share a doc_id are told apart by their sets; a set is kept once. Sets that only rows without
+    # an id hold are among those of all such rows.
+    named = _likely(docs, wanted).join(wanted.select("doc").distinct(), "doc").select("text")
+    texts = named.union(docs.where("doc is null").select("text")).mapInArrow(fetch, "key long, body binary")
     return saved(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "bodies")
 
 

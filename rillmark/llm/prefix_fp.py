@@ -125,15 +125,20 @@ def likeness(a: tuple[str, np.ndarray], b: tuple[str, np.ndarray]) -> float:
 
 
 def with_range(docs: DataFrame, per_part: int = 4000) -> DataFrame:
-    """(doc_id, text, part): the number of the range of doc_id that each document falls in, with about per_part rows each."""
+    """(doc_id, text, tie, part): the number of the range of doc_id that each document falls in, with about per_part rows each.
+
+    Rows without a doc_id have ranges of their own, below all others, by tie, the hash of the text: -1 for the least.
+    """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    n = ids.count()
+    n, named = ids.agg(F.count("*"), F.count("doc_id")).first()
+    bare, n = max(1, -(-(n - named) // per_part)), named
     parts = max(1, -(-n // per_part))
     cuts = sorted({int(x) for x in (ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 20 * parts)).first()[0] or [])}) if parts > 1 else []
     bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
     part = F.array_size(F.filter(bounds, lambda c: c < F.col("doc_id"))) if len(cuts) < 64 else _bisect(cuts)
-    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("part", F.coalesce(part, F.lit(-1)).cast("int"))
-    return placed
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    below = -1 - F.floor((F.col("tie") / 2.0**64 + 0.5) * bare)
+    return placed.withColumn("part", F.when(F.col("doc_id").isNull(), F.greatest(below, F.lit(-bare))).otherwise(part).cast("int"))
 
 
 def _bisect(cuts: list[int]):
@@ -143,7 +148,7 @@ def _bisect(cuts: list[int]):
 
         return pd.Series(np.searchsorted(np.array(cuts), ids.to_numpy(), "left").astype(np.int32))
 
-    return part("doc_id")
+    return part(F.coalesce("doc_id", F.lit(0)))
 
 
 def fingerprints_with_edits(docs: DataFrame, per_part: int = 4000) -> DataFrame:
@@ -151,18 +156,20 @@ def fingerprints_with_edits(docs: DataFrame, per_part: int = 4000) -> DataFrame:
 
     The edited text has its last half replaced by as much of the beginning of the next document in descending doc_id.
     Texts are shuffled once, by range of doc_id; the first document of each range is also sent to the range above,
-    whose last document it follows. Bounds and first documents have one value a range. Rows without a doc_id are left out.
+    whose last document it follows. Bounds and first documents have one value a range. Rows without a doc_id come after all others, by the hash of their
+    text.
     """
-    placed = with_range(docs.where("doc_id is not null"), per_part)
-    firsts = {r.part: (r.top, r.low) for r in placed.groupBy("part").agg(F.max("doc_id").alias("top"), F.min("doc_id").alias("low")).collect()}  # one row a range
+    placed = with_range(docs, per_part)
+    firsts = {r.part: (r.top, r.tie) for r in placed.groupBy("part").agg(F.max("doc_id").alias("top"), F.min("tie").alias("tie")).collect()}  # one row a range
     if not firsts:
         return docs.sparkSession.createDataFrame([], _SCHEMA)
     order = sorted(firsts, reverse=True)
     # The last document of a range is followed by the first of the range below; after the lowest comes the highest.
     reader = {p: order[i - 1] for i, p in enumerate(order)}
-    tops = docs.sparkSession.createDataFrame([(p, firsts[p][0], reader[p]) for p in order], "p int, top long, reader int")
-    led = placed.join(F.broadcast(tops), (F.col("part") == F.col("p")) & (F.col("doc_id") == F.col("top")), "left")
-    led = led.withColumn("to", F.when(F.col("top").isNull(), F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("after")))).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("after")), F.struct(F.col("reader").alias("part"), F.lit(1).alias("after")))))
+    tops = docs.sparkSession.createDataFrame([(p, *firsts[p], reader[p]) for p in order], "p int, top long, head long, reader int")
+    is_head = F.when(F.col("p") < 0, F.col("tie") == F.col("head")).otherwise(F.col("doc_id") == F.col("top"))
+    led = placed.join(F.broadcast(tops), (F.col("part") == F.col("p")) & is_head, "left")
+    led = led.withColumn("to", F.when(F.col("p").isNull(), F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("after")))).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("after")), F.struct(F.col("reader").alias("part"), F.lit(1).alias("after")))))
     sent = led.select(F.explode("to").alias("to"), "doc_id", "text").select("to.part", "to.after", "doc_id", "text")
     ordered = sent.repartition(len(order), "part").sortWithinPartitions("part", "after", F.desc("doc_id"), F.xxhash64("text"))
     return ordered.mapInArrow(_run, _SCHEMA)

@@ -39,3 +39,43 @@ def test_op7_short_items_in_long_documents(spark):
     docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
     table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     assert {(r.doc_id, r.item_id, r.n_shared) for r in contained(docs, table).collect()} == want
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_near_and_mix_decide_on_rows(spark):
+    import corpus_pipeline
+
+    text = lambda x: " ".join(f"{x}{j}" for j in range(60))
+    rows = [(1, text("a"), "s")] * 3 + [(2, text("a"), "s"), (2, text("b"), "s"), (3, text("b") + " end", "s"), (None, text("a"), "s"), (None, text("c"), "s"), (None, text("c"), "s")]
+    near = corpus_pipeline.near(spark, _rows(spark, rows), "")
+    assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == [(0, text("c")), (1, text("a")), (2, text("b"))]
+    many = [(i % 4 or None, f"{i} " + "w " * (20 + i % 7), "s") for i in range(200)]
+    mixed = [r.text for r in corpus_pipeline.mix(spark, _rows(spark, many), "").collect()]
+    assert set(mixed) == {t for _, t, _ in many}  # each row is taken once or twice
+    total = sum(len(t.split()) for _, t, _ in many)
+    assert abs(sum(len(t.split()) for t in mixed) - 1.5 * total) < 60
+
+
+def test_op6_links_through_a_row_without_id(spark):
+    w = [f"w{i}" for i in range(60)]
+    docs = _rows(spark, [(5, " ".join(w[:50]), "s"), (None, " ".join(w[3:53]), "s"), (9, " ".join(w[6:56]), "s")])
+    assert {(r.doc_id, r.component_id) for r in jaccard_skip.linked_documents(docs).collect()} == {(5, 5), (None, 5), (9, 5)}
+
+
+def test_op10_rows_without_id(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+    from rillmark.llm.prefix_fp import fingerprints_with_edits
+
+    docs = _rows(spark, [(i if i % 3 else None, f"text {i} " * (3 + i), "s") for i in range(30)])
+    order = [r.text for r in docs.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text")).collect()]
+    want = []
+    for t, nxt in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want.append(hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest())
+    for per in (4000, 3):
+        assert sorted(r.edited_sha256 for r in fingerprints_with_edits(docs, per_part=per).collect()) == sorted(want)
