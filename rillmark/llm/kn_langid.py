@@ -3,10 +3,13 @@
 Training counts character n-grams of labelled texts in Spark. Each language's model is then a set of sorted arrays of
 n-gram hashes with discounted probabilities and back-off weights; the arrays of all languages are aligned on the union
 of their n-grams, so one binary search scores a character for every language. The lowest cross-entropy per character
-wins; the score is calibrated on labelled texts outside the training sample, and so is the rejection of texts that fit no
-language.
+wins; the score is calibrated on labelled texts that the model used has not seen, and so is the rejection of texts that
+fit no language: a text goes if its cross-entropy is more than MARGIN times the USUAL quantile of the texts that are
+correctly identified as its language, so a few odd texts among the labelled ones do not move the limit.
 
-The training sample is bounded: about `sample_docs` documents a language, chosen by a hash of the id; whole texts.
+The training sample is bounded: about `sample_docs` documents a language, chosen by a hash of id and text; whole texts.
+A language with fewer than twice as many has no others to calibrate on: its sample (all of it, up to the bound) is fitted
+as a whole, and each half of it is calibrated with a model fitted on the other half.
 Languages are few (their number bounds what is collected, with the number of distinct n-grams of the sample).
 
 Defined results: a null text or one without letters is `und` with score 0; case, digits and punctuation do not count;
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from .vectors import mix
 
 ORDER = 4
+USUAL, MARGIN = 0.9, 2.0
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -109,7 +113,7 @@ class Model:
         self.logp: dict[int, np.ndarray] = {}
         self.back: dict[int, np.ndarray] = {}
         self.floor = np.log(1 / 200_000)
-        self.limit, self.heat = np.inf, 8.0
+        self.limits, self.heat = np.full(len(langs), np.inf), 8.0
 
     def score(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log probability under each language of the symbol at each of the positions."""
@@ -219,41 +223,71 @@ def _posterior(e: np.ndarray, heat: float) -> np.ndarray:
 
 def train(docs: DataFrame, eligible: Column, sample_docs: int = 1500, id_col: str = "doc_id") -> Model | None:
     """Fit on about sample_docs labelled documents a language among the eligible, calibrate on about as many others."""
-    labelled = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.pmod(F.xxhash64(id_col), F.lit(1 << 30)).alias("draw"))
+    draw, half = F.pmod(F.xxhash64(id_col, "text"), F.lit(1 << 30)), F.pmod(F.xxhash64(id_col, "text", F.lit(2)), F.lit(2))
+    labelled = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", draw.alias("draw"), half.alias("half"))
     sizes = labelled.groupBy("lang").count().collect()  # one row a language
     if not sizes:
         return None
-    share = F.coalesce(*(F.when(F.col("lang") == r.lang, F.lit(min(1 << 29, int((1 << 30) * sample_docs / r["count"])))) for r in sizes))
-    part = labelled.where(F.col("draw") < 2 * share).withColumn("fit", F.col("draw") < share)
+    share = F.coalesce(*(F.when(F.col("lang") == r.lang, F.lit(min(1 << 30, int((1 << 30) * sample_docs / r["count"])))) for r in sizes))
+    few = F.col("lang").isin([r.lang for r in sizes if r["count"] < 2 * sample_docs])
+    # fold: the half of a language with few documents, 2 for the sample of another one, 3 for what calibrates it.
+    part = labelled.where(F.col("draw") < F.when(few, share).otherwise(2 * share))
+    part = part.withColumn("fold", F.when(few, F.col("half")).when(F.col("draw") < share, 2).otherwise(3))
     grams = (
-        part.where("fit").select("lang", "text")
+        part.where("fold < 3").select(F.concat(F.col("fold").cast("string"), "lang").alias("lang"), "text")
         .mapInArrow(_count, "lang string, key long, gram array<int>, n long")
         .groupBy("lang", "key").agg(F.first("gram").alias("gram"), F.sum("n").alias("n"))
         .orderBy("lang", "key").toArrow()
     )  # the n-grams of the bounded sample
-    langs = np.array(grams.column("lang").to_pylist(), object)
-    flat = grams.column("gram").combine_chunks().values.to_numpy().reshape(-1, ORDER) if len(grams) else np.zeros((0, ORDER), int)
-    n = grams.column("n").to_numpy()
     if not len(grams):
         return None
-    model = build({x: (flat[langs == x], n[langs == x]) for x in sorted(set(langs))})
+    named = np.array(grams.column("lang").to_pylist(), object)
+    flat = grams.column("gram").combine_chunks().values.to_numpy().reshape(-1, ORDER)
+    n = grams.column("n").to_numpy()
+    found = {x: (flat[named == x], n[named == x]) for x in sorted(set(named))}
+
+    def fitted(folds: str) -> Model | None:
+        langs = sorted({name[1:] for name in found if name[0] in folds})
+        return build({x: _summed([v for name, v in found.items() if name[1:] == x and name[0] in folds]) for x in langs}) if langs else None
+
+    model = fitted("012")
+    # Texts of half 0 are measured by the model without it, and so on; without halves all models are the same.
+    others = {0: fitted("12"), 1: fitted("02")} if any(x[0] in "01" for x in found) else {}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, texts in zip(*_chunks(batch), strict=True):
-                e, letters = entropies(model, texts)
-                right = np.array([model.langs.index(x) == k if x in model.langs else False for x, k in zip(lang, e.argmin(1), strict=True)])
-                ok = letters >= 20
-                gap = np.sort(e, 1)
-                yield pa.RecordBatch.from_pydict({"best": gap[ok, 0], "gap": (gap[:, 1] - gap[:, 0] if gap.shape[1] > 1 else np.ones(len(gap)))[ok], "good": right[ok]})
-
-    told = part.where("not fit").select("lang", "text").mapInArrow(measure, "best double, gap double, good boolean").agg(F.max("best").alias("worst"), F.avg("best").alias("usual"), F.avg(F.when(~F.col("good"), F.col("gap"))).alias("miss")).first()
-    if told.worst is not None:  # worse than any labelled text by 15 %, and twice as bad as the usual one
-        model.limit = max(1.15 * told.worst, 2 * told.usual)
-    model.heat = float(np.clip(1 / told.miss, 8, 60)) if told.miss else 20.0
+            for marks, texts in zip(*_chunks(batch), strict=True):
+                for fold in sorted({x[0] for x in marks}):
+                    used = others.get(int(fold), model)
+                    mine = [i for i, x in enumerate(marks) if x[0] == fold]
+                    if not used:  # the other half has no text
+                        continue
+                    e, letters = entropies(used, [texts[i] for i in mine])
+                    told = np.array([used.langs[k] for k in e.argmin(1)], object)
+                    right = told == np.array([marks[i][1:] for i in mine], object)
+                    ok = letters >= 20
+                    gap = np.sort(e, 1)
+                    yield pa.RecordBatch.from_pydict({"told": pa.array(told[ok], pa.string()), "best": gap[ok, 0], "gap": (gap[:, 1] - gap[:, 0] if gap.shape[1] > 1 else np.ones(len(gap)))[ok], "good": right[ok]})
+
+    seen = part.where("fold <> 2").select(F.concat(F.col("fold").cast("string"), "lang").alias("mark"), "text").mapInArrow(measure, "told string, best double, gap double, good boolean")
+    usual = F.percentile(F.when(F.col("good"), F.col("best")), USUAL)
+    told = seen.groupBy("told").agg(usual.alias("usual"), F.sum(F.when(~F.col("good"), F.col("gap"))).alias("gap"), F.count_if(~F.col("good")).alias("missed")).collect()  # one row a language
+    known = {r.told: MARGIN * r.usual for r in told if r.usual is not None}
+    if known:  # a language that calibrated nothing takes the loosest limit of the others
+        model.limits = np.array([known.get(x, max(known.values())) for x in model.langs])
+    missed = sum(r.missed for r in told)
+    model.heat = float(np.clip(missed / gap, 8, 60)) if missed and (gap := sum(r.gap or 0 for r in told)) else 20.0
     return model
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One table of distinct n-grams and their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), axis=0, return_inverse=True)
+    return grams, np.bincount(inverse.ravel(), np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def _chunks(batch: pa.RecordBatch) -> tuple[list, list]:
     firsts, texts = batch.column(0).to_pylist(), batch.column("text").to_pylist()
     a, size, cut = 0, 0, []
@@ -276,7 +310,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                 none = letters == 0
                 best = e.argmin(1)
                 score = np.where(none, 0.0, _posterior(e, model.heat if model else 1.0))
-                reject = none | (e.min(1) > (model.limit if model else 0))
+                reject = none | (e.min(1) > (model.limits[best] if model else 0))
                 pred = [("und" if x else model.langs[k]) for x, k in zip(none, best, strict=True)]
                 yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "lang_pred": pred, "score": score, "rejected": reject})
 
@@ -292,7 +326,7 @@ def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text")
             texts = batch.column(text_col)
             for _, part in zip(*_chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"])), strict=True):
                 e, letters = entropies(model, part) if model else (np.zeros((len(part), 1)), np.zeros(len(part), int))
-                keep.append((letters > 0) & (e.min(1) <= (model.limit if model else -1)))
+                keep.append((letters > 0) & (e.min(1) <= (model.limits[e.argmin(1)] if model else -1)))
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
 
     return docs.mapInArrow(run, docs.schema)

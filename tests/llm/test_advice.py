@@ -79,3 +79,31 @@ def test_op10_rows_without_id(spark):
         want.append(hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest())
     for per in (4000, 3):
         assert sorted(r.edited_sha256 for r in fingerprints_with_edits(docs, per_part=per).collect()) == sorted(want)
+
+
+def test_op8_rejects_gibberish_and_learns_rare_languages(spark, tiny):
+    from pyspark.sql import functions as F
+    from rillmark.llm import kn_langid
+
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    clean = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang")
+    greek = "η γλώσσα αυτή μιλιέται από λίγους ανθρώπους και γράφεται με δικά της γράμματα"
+    odd = [(5000 + i, noise(300), "en") for i in range(4)] + [(6000, "привет мир как дела сегодня " * 5, "en")] + [(7000 + i, greek, x) for i, x in enumerate(("el", "g2", "g3", "g4", "g5", "g6"))]
+    docs = clean.union(spark.createDataFrame(odd, clean.schema))
+    model = kn_langid.train(docs, F.lit(True))
+    assert {"el", "g2", "g3", "g4", "g5", "g6"} <= set(model.langs)
+    tests = [(1, noise(300), None), (2, "ここに日本語の文章があります", None), (3, greek, None)]
+    got = {r.doc_id: r.rejected for r in kn_langid.identify(spark.createDataFrame(tests, clean.schema), model).collect()}
+    assert got == {1: True, 2: True, 3: False}
+    letters = {r.doc_id for r in clean.collect() if any(c.isalpha() for c in r.text or "")}
+    assert letters == {r.doc_id for r in kn_langid.keep_accepted(clean, model).collect()}
+
+
+def test_op8_one_labelled_document(spark):
+    from pyspark.sql import functions as F
+    from rillmark.llm import kn_langid
+
+    docs = spark.createDataFrame([(1, "a single text with a label and some letters", "en"), (2, "another text", None)], "doc_id long, text string, lang string")
+    model = kn_langid.train(docs, F.lit(True))
+    assert model.langs == ["en"] and {r.lang_pred for r in kn_langid.identify(docs, model).collect()} == {"en"}
