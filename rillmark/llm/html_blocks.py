@@ -4,6 +4,11 @@ A page is cut into flat blocks at block-level tags. Each block has its word coun
 before and after it, and whether it stands inside boilerplate markup or the article. A decision tree, trained on the
 blocks of a few small labelled pages, keeps or drops each block.
 
+Words in class, id or role mark an element as boilerplate, but never the page's frame: not html, body, main or article;
+not an element that encloses the article or main with the most words, nor, on a page without these, one that holds two
+thirds of the words; and "header" does not count within an article, whose headline it holds. Lists of comments are
+boilerplate even where each comment is an article and however long they are.
+
 Defined results: null and empty pages give an empty text; a page cut off anywhere is read as far as it goes; unknown
 references stay as written; repeated rows give repeated results.
 """
@@ -26,7 +31,9 @@ ASIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe".split())
 #: Words in class, id or role that mark boilerplate.
-ASIDE_WORDS = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|adverts?|banner|breadcrumbs?|comments?|reply|replies|disqus|cookie\w*|consent|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|popup|modal|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
+ASIDE_WORDS = re.compile(r"(?:ad|ads|advert\w*|adverts?|banner|breadcrumbs?|comments?|reply|replies|disqus|cookie\w*|consent|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|popup|modal|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget|contentinfo|complementary|search)", re.I)
+COMMENT_WORDS = re.compile(r"comments?|reply|replies|disqus", re.I)
+FRAME_TAGS = frozenset("html body main article".split())
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "aside", "article")
@@ -37,8 +44,12 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     out: list[tuple] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is boilerplate
-    asides = hidden = links = articles = 0
+    stack: list[tuple[str, bool, bool]] = []  # open elements, whether each is boilerplate, and whether it is so by its words
+    asides = hidden = links = 0
+    marks: list[int] = []  # open elements that words mark, by number
+    articles: list[int] = []
+    comments: list[bool] = []  # of each mark, whether it is about comments
+    around: list[tuple] = []  # of each article or main, the marks around it
     at = 0
 
     def flush() -> None:
@@ -46,7 +57,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             t = " ".join(_html.unescape("".join(text)).split())
             if t:
                 inside = len(_html.unescape("".join(linked)).split())
-                out.append((t, t.count(" ") + 1, inside, asides > 0, articles > 0))
+                out.append((t, t.count(" ") + 1, inside, asides > 0, tuple(marks), tuple(articles)))
         text.clear()
         linked.clear()
 
@@ -76,20 +87,31 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
                 continue
-            words = " ".join(x for a in _ATTR.findall(m[2] or "") for x in a if x)
-            aside = tag in ASIDE_TAGS or bool(words and ASIDE_WORDS.search(words)) or (tag == "header" and not articles)
-            stack.append((tag, aside))
+            words = [w for a in _ATTR.findall(m[2] or "") for x in a for w in re.split(r"[\s_-]+", x) if ASIDE_WORDS.fullmatch(w)]
+            if articles:
+                words = [w for w in words if w.lower() != "header"]
+            aside = tag in ASIDE_TAGS or (tag == "header" and not articles)
+            marked = bool(words) and not aside and tag not in FRAME_TAGS
+            stack.append((tag, aside, marked))
             asides += aside
+            if marked:
+                marks.append(len(comments))
+                comments.append(any(map(COMMENT_WORDS.fullmatch, words)))
             hidden += tag in HIDDEN_TAGS
             links += tag == "a"
-            articles += tag in ("article", "main")
-        elif any(t == tag for t, _ in (stack[-1:] if stack and stack[-1][0] == tag else stack)):
+            if tag in ("article", "main"):
+                articles.append(len(around))
+                around.append(tuple(marks))
+        elif any(t == tag for t, *_ in (stack[-1:] if stack and stack[-1][0] == tag else stack)):
             while stack:
-                t, aside = stack.pop()
+                t, aside, marked = stack.pop()
                 asides -= aside
+                if marked:
+                    marks.pop()
                 hidden -= t in HIDDEN_TAGS
                 links -= t == "a"
-                articles -= t in ("article", "main")
+                if t in ("article", "main"):
+                    articles.pop()
                 if t == tag:
                     break
     if at < len(page):
@@ -97,7 +119,22 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         cut = rest.rfind("<")
         take(rest[:cut] if cut >= 0 and re.match(r"</?[a-zA-Z!]", rest[cut:]) else rest)
     flush()
-    return out
+    frame = _frame(out, comments, around)
+    return [(t, n, inside, aside or any(k not in frame for k in of), bool(within)) for t, n, inside, aside, of, within in out]
+
+
+def _frame(found: list[tuple], comments: list[bool], around: list[tuple]) -> set[int]:
+    """The marks that are the page's frame, and so mark nothing."""
+    held, read = [0] * len(comments), [0] * len(around)
+    for _, n, _, _, of, within in found:
+        for k in of:
+            held[k] += n
+        for k in within:
+            read[k] += n
+    texts = [k for k, of in enumerate(around) if read[k] and not any(comments[x] for x in of)]
+    if texts:
+        return set(around[max(texts, key=read.__getitem__)])
+    return {k for k, n in enumerate(held) if not comments[k] and 3 * n >= 2 * sum(b[1] for b in found)}
 
 
 def features(found: list[tuple]) -> np.ndarray:
@@ -115,6 +152,7 @@ LABELLED_PAGES = (
     "<body><div id='menu'><a>-Start</a> <a>-Shop</a></div><div><p>+All cats of the city are fed by a small group of people who walk its streets at night, in rain and in snow, and ask for nothing.</p><p>+They have done so for more than thirty years, and want to go on for as long as they can walk.</p></div><div class='comments'><p>-I like cats very much and have fed three of them for years, so thanks to all of you.</p><p>-Me too.</p></div><div><a>-About us</a> <a>-Contact us</a> <a>-Imprint</a></div></body>",
     "<body><div class='cookie'>-We use files on your device to know you again. Please agree to that now.</div><div><a>-News</a></div><div><a>-Weather and roads</a></div><h2>+How rivers freeze</h2><p>+Water is heaviest at four degrees, so a river cools as a whole before any ice forms upon its face, and then the ice grows downward from there.</p><p>+In <a>cold years</a> it bears a cart by the end of January in most of the towns that lie along its upper course.</p><div><a>-Read more about ice</a></div><div><a>-Read more about rivers</a></div></body>",
     "<body><article><h1>+Results</h1><p>+None.</p><p>+See below for what the others have found, and for the list of all that was seen.</p><div class='share'>-Share this</div><p>+Two.</p></article><section class='related'><h2>-You may also like</h2><p>-Ten things that nobody had told you about the sea and its many ships</p></section></body>",
+    "<body class='has-sidebar home'><div id='page' class='with-header'><div id='header'>-The Evening News</div><article class='post widget'><div class='entry-header'><h1>+Old bridge reopens</h1></div><p>+The bridge over the mill stream carries carts again after two years of work that cost far more than anyone had thought.</p><p>+It rained.</p></article><div class='sidebar'><p>-Most read this week by all those who live near the mill stream</p></div></div></body>",
 )
 
 

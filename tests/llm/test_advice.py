@@ -107,3 +107,22 @@ def test_op8_one_labelled_document(spark):
     docs = spark.createDataFrame([(1, "a single text with a label and some letters", "en"), (2, "another text", None)], "doc_id long, text string, lang string")
     model = kn_langid.train(docs, F.lit(True))
     assert model.langs == ["en"] and {r.lang_pred for r in kn_langid.identify(docs, model).collect()} == {"en"}
+
+
+def test_op4_class_words_on_the_frame_of_a_page():
+    from rillmark.llm.html_blocks import main_text, train
+
+    tree = train()
+    story = "<p>The storm came in the night and took the old pier with it, and nobody in the whole town saw it go.</p>"
+    text = "The storm came in the night and took the old pier with it, and nobody in the whole town saw it go."
+    side = "<div class='sidebar'><p>Ten more stories of the sea that our readers have liked a lot this week</p></div>"
+    assert main_text(f"<body class='right-sidebar'>{story}{side}</body>", tree) == text
+    assert main_text(f"<body class='has-sidebar home'><article>{story}</article>{side}</body>", tree) == text
+    assert main_text(f"<body><div id='page' class='with-header'><article>{story}</article>{side}</div></body>", tree) == text
+    assert main_text(f"<body><div id='page' class='with-header'>{story * 3}</div>{side}</body>", tree) == "\n\n".join([text] * 3)
+    assert main_text(f"<body><article class='post widget'>{story}</article>{side}</body>", tree) == text
+    for head in ("div class='article-header'", "header class='entry-header'"):
+        assert main_text(f"<body><article><{head}><h1>The old pier is gone</h1></{head.split()[0]}>{story}</article>{side}</body>", tree) == f"The old pier is gone\n\n{text}"
+    remarks = "<div id='comments'>" + "<article class='comment-body'><p>I liked that pier very much and have walked on it for years, so thanks to all.</p></article>" * 5 + "</div>"
+    teasers = "<div class='sidebar'><article><p>Ten more stories of the sea that our readers have liked.</p></article></div>"
+    assert main_text(f"<body><article>{story}</article>{teasers}{remarks}</body>", tree) == text
