@@ -82,8 +82,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_sums(BYTE[data]), starts, ends)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: int = 1 << 22) -> np.ndarray:
+    """Hash of each word; bytes of a long text are read in runs of about `long`, so the sums stay small."""
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + long, "right")))
+        from_ = starts[a]
+        out[a:b] = span_hash(prefix_sums(BYTE[data[from_ : ends[b - 1]]]), starts[a:b] - from_, ends[a:b] - from_)
+        a = b
+    return out
 
 
 def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
@@ -105,6 +113,53 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:n], x[w - size : w - size + n])
 
 
+class Least:
+    """Least value of any range of an array, by minima over powers of two."""
+
+    def __init__(self, x: np.ndarray, longest: int):
+        self.rows, width = [x], 1
+        while width * 2 <= longest:
+            self.rows.append(np.minimum(self.rows[-1][:-width], self.rows[-1][width:]))
+            width *= 2
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        level = np.frexp((end - start).astype(float))[1] - 1
+        out = np.empty(len(start), self.rows[0].dtype)
+        for k in np.unique(level):
+            m = level == k
+            out[m] = np.minimum(self.rows[k][start[m]], self.rows[k][end[m] - (1 << k)])
+        return out
+
+
+def doubled(symbols: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffix array, common prefix with the suffix before, at most cap) by doubling, in memory; the last symbol is its only one.
+
+    Suffixes that agree in cap symbols may come in any order.
+    """
+    n = len(symbols)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    order, width, ranks = np.argsort(rank, kind="stable"), 1, [rank]
+    while width < cap and rank[order[-1]] < n - 1:
+        tail = np.zeros(n, np.int64)
+        tail[: max(0, n - width)] = rank[width:] + 1
+        key = rank * (n + 1) + tail
+        order = np.argsort(key, kind="stable")
+        in_order = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], in_order[1:] != in_order[:-1]]))
+        ranks.append(rank)
+        width *= 2
+    a, b = order[:-1].copy(), order[1:].copy()
+    common = np.zeros(n, np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        step = (ranks[k][np.minimum(a, n - 1)] == ranks[k][np.minimum(b, n - 1)]) & (np.maximum(a, b) < n)
+        step = step.astype(np.int64) << k
+        a += step
+        b += step
+        common[1:] += step
+    return order, np.minimum(common, cap)
+
+
 def shingle_sets(values: np.ndarray, word_offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): for each row the sorted distinct 52-bit hashes of its runs of k words; with fewer words, of the whole.
 
