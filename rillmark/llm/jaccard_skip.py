@@ -9,16 +9,24 @@ first shingle that two sets share, they cannot share more than the shorter of th
 whose remainders are too short are skipped as a whole, and members of blocks without a partner leave the index.
 
 Answer level: the members of a list are first compared with one leader, the member with the earliest position, which
-has the fewest shingles of its own and so links with the most. What it links with shares its component, and pairs
-inside a component are skipped. For the rest, if a leader L is at the known Jaccard distances d(L, A) and d(L, B), A
-and B cannot link when these differ by more than the distance allowed. Of the pairs that no relation settles, those
-go whose signatures rule a link out: a signature counts a set's shingles in 256 cells, and two sets differ by at least
-as many shingles as their counts do. The rest are verified by exact intersection, and only their sets are fetched. No
-link between components is lost.
+has the fewest shingles of its own and so links with the most. Those within twice the distance of a link are its ball.
+Their answers among each other derive from their differences from the leader: two members have as many shingles in
+common as their sizes, the numbers of their differences and the number of common differences tell, and two that link
+share a difference unless both link with the leader. So only members that share a difference are compared, by their
+differences alone, in lists ordered from rare to common and skipped in blocks of size and position like the index; in
+each list one of them is compared with all first, and what that joins needs no more comparing. A member that links with
+the leader can link with none outside the ball and leaves the list. Large lists that still hold more than one component
+choose further leaders among the rest. Of the pairs that are left, those in one component or one ball are skipped; if a
+leader L is at the known Jaccard distances d(L, A) and d(L, B), A and B cannot link when these differ by more than the
+distance allowed; and signatures rule others out: a signature counts a set's shingles in 256 cells, and two sets differ
+by at least as many shingles as their counts do. The rest are verified by exact intersection, and only their sets are
+fetched. No link between components is lost.
 
 Defined results: null and empty texts have an empty set and stand alone; a text with fewer words than a shingle has one
-shingle, its whole sequence; rows of one doc_id with different texts are linked only if their sets are; rows without an
-id link like others, and the component of none but such rows has a null id.
+shingle, its whole sequence; equal sets are one, however many rows have them; rows of one doc_id with different texts
+are linked only if their sets are; rows without an id link like others, and the component of none but such rows has a
+null id; of ties between leaders a hash decides, which changes no result; whole texts count, however long; an empty
+table gives an empty result; only the id and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -27,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, forget, saved
@@ -38,6 +46,8 @@ CELLS, CELL_BLOCK = 1 << 18, 1 << 14
 REMEMBERED = 1 << 20
 #: Cells of a set's signature, each one byte that stays at 255.
 SIGNATURE = 256
+#: Most leaders of a list, and the members that a list has more than to choose another one.
+ROUNDS, LARGE = 4, 64
 #: Bits of the filter of documents whose sets are fetched: 1 MB.
 BITS = 1 << 23
 
@@ -138,16 +148,16 @@ def _can_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Col
 
 
 def block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """(token, n, at, n2, at2): pairs of an index list's blocks that can hold a link; blocks has (token, n, at, low, high), low and high the least and greatest label of the members."""
+    """(token, n, at, balls, n2, at2, balls2): pairs of an index list's blocks that can hold a link outside the balls; blocks has (token, n, at, balls, low, high), low and high the least and greatest label of the members, balls a bit for each leader whose ball they are in."""
     x, y = blocks.alias("x"), blocks.alias("y")
-    once = F.struct("x.n", "x.at") <= F.struct("y.n", "y.at")
-    open_ = F.least("x.low", "y.low") < F.greatest("x.high", "y.high")
+    once = F.struct("x.n", "x.at", "x.balls") <= F.struct("y.n", "y.at", "y.balls")
+    open_ = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & (F.col("x.balls").bitwiseAND(F.col("y.balls")) == 0)
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & once & open_ & _can_link(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"), percent))
-    return pairs.select("x.token", "x.n", "x.at", F.col("y.n").alias("n2"), F.col("y.at").alias("at2"))
+    return pairs.select("x.token", "x.n", "x.at", "x.balls", F.col("y.n").alias("n2"), F.col("y.at").alias("at2"), F.col("y.balls").alias("balls2"))
 
 
 def _blocks(members: DataFrame, label: str) -> DataFrame:
-    return members.groupBy("token", "n", "at").agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    return members.groupBy("token", "n", "at", "balls").agg(F.min(label).alias("low"), F.max(label).alias("high"))
 
 
 def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -156,7 +166,7 @@ def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Da
     shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
     forget(index)
-    ways = block_pairs(_blocks(lists, "key"), percent)
+    ways = block_pairs(_blocks(lists.withColumn("balls", F.lit(0)), "key"), percent)
     # Both ends come from one join; a union of two would run it twice.
     able = ways.select("token", F.explode(F.array(F.struct("n", "at"), F.struct(F.col("n2").alias("n"), F.col("at2").alias("at")))).alias("end")).select("token", "end.n", "end.at").distinct()
     left = saved(lists.join(able, ["token", "n", "at"], "left_semi").select("token", "key", "n", "at"), "able")
@@ -180,24 +190,36 @@ def bounded(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(run, "a long, b long, least double, can boolean")
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """(a, b, distance, linked) of the pairs, by exact intersection of their sets."""
+def verified(pairs: DataFrame, bodies: DataFrame, percent: int, near: int) -> DataFrame:
+    """(a, b, distance, linked, n, apart) of the pairs, by exact intersection of their sets; n: the size of b's.
+
+    apart: where the similarity is near % at least, the shingles that one of them has alone, times 2, and 1 more if that is b.
+    """
     left = bodies.select(F.col("key").alias("a"), F.col("body").alias("body_a"))
     right = bodies.select(F.col("key").alias("b"), F.col("body").alias("body_b"))
+    names = ["a", "b", "distance", "linked", "n", "apart"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            distance, linked = [], []
+            distance, linked, size, apart = [], [], [], []
             for x, y in zip(batch.column("body_a"), batch.column("body_b"), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([p, q]))
-                shared = int((both[1:] == both[:-1]).sum())
-                union = len(p) + len(q) - shared
+                both = np.sort(np.concatenate([p << np.uint64(1), (q << np.uint64(1)) | np.uint64(1)]))
+                same = np.flatnonzero(both[1:] ^ np.uint64(1) == both[:-1])
+                same = same[both[same] & np.uint64(1) == 0]
+                shared, union = len(same), len(both) - len(same)
                 distance.append(1 - shared / union)
                 linked.append(100 * shared >= percent * union)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "distance", "linked"])
+                size.append(len(q))
+                if near and 100 * shared >= near * union:
+                    alone = np.ones(len(both), bool)
+                    alone[same] = alone[same + 1] = False
+                    apart.append(both[alone].view(np.int64))
+                else:
+                    apart.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_()), pa.array(size, pa.int32()), pa.array(apart, pa.list_(pa.int64()))], names=names)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long, distance double, linked boolean")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long, distance double, linked boolean, n int, apart array<long>")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
@@ -234,49 +256,122 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
     return saved(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "bodies")
 
 
-def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b, least, most, linked): bounds of the pairs' distances, and whether they link; the bounds are equal where the sets were compared."""
-    bounds = saved(bounded(pairs, signatures, percent), "bounds")
+def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int, near: int = 0) -> DataFrame:
+    """(a, b, least, most, linked, n, apart): bounds of the pairs' distances, and whether they link; the bounds are equal where the sets were compared, and then n and apart are as verified() tells them. near: the similarity from which pairs are compared; percent if 0."""
+    bounds = saved(bounded(pairs, signatures, near or percent), "bounds")
     left = bounds.where("can").select("a", "b")
     bodies = set_bodies(docs, members, saved(left.select(F.col("a").alias("key")).union(left.select("b")).distinct(), "wanted"), k)
-    exact = verified(left, bodies, percent).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked")
-    out = saved(bounds.where("not can").select("a", "b", "least", F.lit(1.0).alias("most"), F.lit(False).alias("linked")).union(exact), "settled")
+    exact = verified(left, bodies, percent, near).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked", "n", "apart")
+    none = (F.lit(1.0).alias("most"), F.lit(False).alias("linked"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<long>").alias("apart"))
+    out = saved(bounds.where("not can").select("a", "b", "least", *none).union(exact), "settled")
     forget(bounds, bodies)
     return out
 
 
+def _alike(pairs: DataFrame, ball: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of pairs (leader, a, b) of one ball, from their differences from the leader."""
+    left = ball.select("leader", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("apart").alias("apart_a"))
+    right = ball.select("leader", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("apart").alias("apart_b"))
+    both = pairs.join(left, ["leader", "a"]).join(right, ["leader", "b"])
+    differ = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
+    total = F.col("n_a") + F.col("n_b")
+    return both.select("a", "b", ((total - differ).cast("long") * 100 >= (total + differ) * percent).alias("linked"))
+
+
+def _open(ball: DataFrame, comp: DataFrame) -> DataFrame:
+    """The members, with their tops, of balls that hold more than one component."""
+    topped = ball.join(comp, "key")
+    several = topped.groupBy("leader").agg(F.min("top").alias("low"), F.max("top").alias("high")).where("low < high").select("leader")
+    return saved(topped.join(several, "leader", "left_semi"), "open")
+
+
+def _within(comp: DataFrame, ball: DataFrame, percent: int) -> DataFrame:
+    """comp with the links within balls; ball has (leader, key, n, apart)."""
+    held = _open(ball, comp)
+    if held.limit(1).count() == 0:
+        forget(held)
+        return comp
+    each = held.select("leader", "key", "n", F.size("apart").alias("size"), "top", F.explode("apart").alias("token"))
+    often = each.groupBy("leader", "token").agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("leader", "key").orderBy("rows", "token")
+    cells = each.join(often, ["leader", "token"]).withColumn("at", F.row_number().over(order) - 1).where("rows > 1").drop("rows")
+    cells = saved(cells, "cells")
+    # In each list one member against all.
+    heads = cells.groupBy("leader", "token").agg(F.min_by("key", F.xxhash64("key")).alias("head"))
+    stars = cells.join(heads, ["leader", "token"]).where("key <> head").select("leader", F.col("head").alias("a"), F.col("key").alias("b")).distinct()
+    comp = _joined(comp, _alike(stars, held, percent))
+    left = _open(ball, comp)
+    if left.limit(1).count():
+        # The rest by pairs of blocks that can hold a link and more than one component.
+        now = cells.drop("top").join(left.select("leader", "key", "top"), ["leader", "key"])
+        place = ["n", "size", "at"]
+        blocks = now.groupBy("leader", "token", *place).agg(F.min("top").alias("low"), F.max("top").alias("high"))
+        x, y = blocks.alias("x"), blocks.alias("y")
+        common = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+        differ, total = F.col("x.size") + F.col("y.size") - 2 * common, (F.col("x.n") + F.col("y.n")).cast("long")
+        can = (total - differ) * 100 >= (total + differ) * percent
+        several = F.least("x.low", "y.low") < F.greatest("x.high", "y.high")
+        once = F.struct(*(f"x.{c}" for c in place)) <= F.struct(*(f"y.{c}" for c in place))
+        ways = x.join(y, (F.col("x.leader") == F.col("y.leader")) & (F.col("x.token") == F.col("y.token")) & once & several & can)
+        ways = ways.select("x.leader", "x.token", *(f"x.{c}" for c in place), *(F.col(f"y.{c}").alias(f"{c}2") for c in place))
+        p = now.select("leader", "token", *place, F.col("key").alias("p"), F.col("top").alias("p_top"))
+        q = now.select("leader", "token", *(F.col(c).alias(f"{c}2") for c in place), F.col("key").alias("q"), F.col("top").alias("q_top"))
+        pairs = ways.join(p, ["leader", "token", *place]).join(q, ["leader", "token", *(f"{c}2" for c in place)])
+        pairs = pairs.where("p_top <> q_top").select("leader", *_pair(F.col("p"), F.col("q"))).distinct()
+        comp = _joined(comp, _alike(pairs, left, percent))
+    forget(held, cells, left)
+    return comp
+
+
 def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50 and at most 100")
     members, counts = set_keys(docs, k)
     lists = index_lists(docs, k, percent, counts)
     comp = saved(lists.select("key").distinct().withColumn("top", F.col("key")), "components")
     signatures = saved(members.join(comp, "key", "left_semi").select("key", "n", "signature").dropDuplicates(["key"]), "signatures")
     members = members.drop("signature")
-
-    # Each list against its leader.
-    heads = lists.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("key").alias("draw"), "key", "n")).alias("head"))
-    heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
-    pairs = lists.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), percent))
-    known = settled(pairs.select(*_pair(F.col("key"), F.col("leader"))).distinct(), docs, members, signatures, k, percent)
-    comp = _joined(comp, known)
-
-    # What the leaders left open: blocks of members of more than one component.
-    near = known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "least", "most").union(known.select(F.col("b"), F.col("a"), "least", "most"))
-    labelled = lists.join(comp, "key").join(heads.select("token", "leader"), "token").join(near, ["key", "leader"], "left")
-    itself = F.col("key") == F.col("leader")
-    least, most = F.when(itself, 0.0).otherwise(F.coalesce("least", F.lit(0.0))), F.when(itself, 0.0).otherwise(F.coalesce("most", F.lit(1.0)))
-    labelled = saved(labelled.select("token", "key", "n", "at", "top", least.alias("least"), most.alias("most")), "labelled")
+    near = max(1, 2 * percent - 100)  # twice the distance of a link
+
+    rest = lists.withColumns({"balls": F.lit(0), "least": F.lit(0.0), "most": F.lit(1.0)})
+    held = lists
+    for r in range(ROUNDS):
+        if r:
+            several = rest.join(comp, "key").groupBy("token").agg(F.count("*").alias("rows"), F.min("top").alias("low"), F.max("top").alias("high"))
+            large = saved(several.where((F.col("rows") > LARGE) & (F.col("low") < F.col("high"))).select("token"), "large")
+            if large.limit(1).count() == 0:
+                forget(large)
+                break
+            chosen, others = rest.join(large, "token", "left_semi"), rest.join(large, "token", "left_anti")
+        else:
+            large, chosen, others = None, rest, None
+        heads = chosen.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("key").alias("draw"), "key", "n")).alias("head"))
+        heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
+        pairs = chosen.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), near))
+        known = settled(pairs.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), docs, members, signatures, k, percent, near)
+        comp = _joined(comp, known)
+        ball = known.where("apart is not null").select(F.col("a").alias("leader"), F.col("b").alias("key"), "n", "apart")
+        comp = _within(comp, ball, percent)
+        told = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), F.col("least").alias("least_"), F.col("most").alias("most_"), "linked", F.col("apart").isNotNull().alias("in"))
+        after = chosen.join(heads.select("token", "leader"), "token").where("key <> leader").join(told, ["key", "leader"], "left").where("not coalesce(linked, false)")
+        balls = F.when(F.col("in"), F.col("balls").bitwiseOR(F.lit(1 << r))).otherwise(F.col("balls"))
+        after = after.select("token", "key", "n", "at", balls.alias("balls"), F.coalesce("least_", F.lit(0.0)).alias("least"), F.coalesce("most_", F.lit(1.0)).alias("most"))
+        after = saved(after if others is None else after.unionByName(others), "rest")
+        forget(held, heads, known, *([large] if large is not None else []))
+        held = rest = after
+
+    # What the leaders left open: blocks of members of more than one component, in no ball together.
+    labelled = saved(rest.join(comp, "key"), "labelled")
     ways = saved(block_pairs(_blocks(labelled, "top"), percent), "ways")
-    left = labelled.select("token", "n", "at", F.col("key").alias("p"), F.col("top").alias("p_top"), F.col("least").alias("p_least"), F.col("most").alias("p_most"))
-    right = labelled.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("key").alias("q"), F.col("top").alias("q_top"), F.col("least").alias("q_least"), F.col("most").alias("q_most"))
+    left = labelled.select("token", "n", "at", "balls", F.col("key").alias("p"), F.col("top").alias("p_top"), F.col("least").alias("p_least"), F.col("most").alias("p_most"))
+    right = labelled.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("balls").alias("balls2"), F.col("key").alias("q"), F.col("top").alias("q_top"), F.col("least").alias("q_least"), F.col("most").alias("q_most"))
     apart = F.greatest(F.col("p_least") - F.col("q_most"), F.col("q_least") - F.col("p_most")) > 1 - percent / 100 + 1e-9
-    one_block = (ways.n == ways.n2) & (ways.at == ways.at2)
-    members_p = ways.join(left, ["token", "n", "at"])
-    same = (members_p.token == right.token) & (members_p.n2 == right.n2) & (members_p.at2 == right.at2)
-    rest = members_p.join(right, same & (F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
-    rest = rest.select(*_pair(F.col("p"), F.col("q"))).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    comp = _joined(comp, settled(rest, docs, members, signatures, k, percent))
-    forget(lists, labelled, ways, signatures)
+    one_block = (F.col("n") == F.col("n2")) & (F.col("at") == F.col("at2")) & (F.col("balls") == F.col("balls2"))
+    pairs = ways.join(left, ["token", "n", "at", "balls"]).join(right, ["token", "n2", "at2", "balls2"])
+    pairs = pairs.where((F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
+    comp = _joined(comp, settled(pairs.select(*_pair(F.col("p"), F.col("q"))).distinct(), docs, members, signatures, k, percent))
+    forget(held, labelled, ways, signatures)
     return members, comp
 
 
