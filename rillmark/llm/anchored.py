@@ -8,7 +8,7 @@ with the first document and the number of their occurrences, so a group of copie
 owner are equal, nothing is left to search. A shard takes only pieces that share, around the owner's gram, a span with
 another piece which every window on that side of the gram contains.
 
-An owner with more distinct content than a shard holds (a template with a different number in each document) is not
+An owner with more distinct content than a shard or OWNER holds (a template with a different number in each document) is not
 sent to one task: its windows are told apart one by one, each being its own owner, so equal ones meet by their hash.
 A long text is cut in runs of LONG units that overlap by a window less one unit.
 """
@@ -31,6 +31,8 @@ from .vectors import BYTE, POS_MASK, mix, prefix_sums, sliding_min, span_hash, t
 LONG = 1 << 20
 #: Units of whole owners that a task reads before it looks for shared spans.
 STEP = 1 << 19
+#: Most units of one owner's distinct pieces that go to one task.
+OWNER = 4 << 20
 #: Parts of a window's places around its owner's gram; a span is looked up for each.
 SIDES = 4
 
@@ -322,7 +324,7 @@ def covered(docs: DataFrame, cut: Cut, shard: Callable[[], Shard], later_only: b
     found = saved(occurrences(docs, cut), "pieces")
     distinct = saved(_distinct(found), "distinct")
     owners = distinct.groupBy("owner").agg(F.count("*").alias("kinds"), F.sum("size").alias("units")).where("kinds > 1")
-    owners = saved(owners.select("owner", (F.col("units") > block_units).alias("hot")), "owners")
+    owners = saved(owners.select("owner", (F.col("units") > min(block_units, OWNER)).alias("hot")), "owners")
     wanted = distinct.join(owners.where("not hot"), "owner", "left_semi").select("doc", "twin", "at", "size", "owner", "piece", "n")
     answers = saved(solved(contents(docs, wanted, cut), shard, cut, block_units), "answers")
     seen = ("owner", "piece", F.col("doc").alias("first_doc"), F.lit(None).cast("array<int>").alias("spans"))  # without spans: the whole piece

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from .anchored import Cut, Owned, Shard, coverage, covered, runs_of, units
 from .vectors import Least, doubled, text_slices
 
-#: Bytes of a shard, and bytes of its text, queue and arrays that may be in memory each; the rest is on disk.
-BLOCK_BYTES = 64 << 20
-MEMORY = 16 << 20
+#: Bytes of a shard, and the most bytes of its text, its queue or another of its arrays that are in memory; what is larger is on disk.
+BLOCK_BYTES = 128 << 20
+MEMORY = 64 << 20
 END, BETWEEN, FIRST = 0, 1, 2
 #: Most bins of a queue, and entries that are read at a time.
 BINS, READ = 64, 8192
@@ -107,7 +107,7 @@ class Sorter:
 
     def __init__(self, text: np.ndarray, cap: int, memory: int):
         self.text, self.cap, self.memory, self.n = text, cap, memory, len(text)
-        self.chunk = max(256, memory // 16)
+        self.chunk = min(1 << 20, max(256, memory // 16))
         self.symbols = 1 + max(int(text[a : a + self.chunk].max()) for a in range(0, self.n, self.chunk))
         self.counts = sum(np.bincount(text[a : a + self.chunk], minlength=self.symbols) for a in range(0, self.n, self.chunk))
         self.kind = np.uint8 if cap < 256 else np.uint16
@@ -167,7 +167,7 @@ class Sorter:
         cap = self.cap // 2 + 1  # each name but the last moves on by two symbols at least
         if kinds == len(lms):
             order, equal = np.argsort(names), np.zeros(len(lms), np.int64)
-        elif len(lms) * 32 <= self.memory or len(lms) < 64:
+        elif len(lms) * 20 <= self.memory or len(lms) < 64:
             order, equal = doubled(np.asarray(names), cap)
         else:
             deeper = Sorter(names, cap, self.memory)

@@ -137,16 +137,15 @@ def doubled(symbols: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     Suffixes that agree in cap symbols may come in any order.
     """
     n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int32)
     order, width, ranks = np.argsort(rank, kind="stable"), 1, [rank]
     while width < cap and rank[order[-1]] < n - 1:
-        tail = np.zeros(n, np.int64)
-        tail[: max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 1) + tail
+        key = rank * np.int64(n + 1)
+        key[: max(0, n - width)] += rank[width:] + 1
         order = np.argsort(key, kind="stable")
-        in_order = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], in_order[1:] != in_order[:-1]]))
+        key = key[order]
+        rank = np.empty(n, np.int32)
+        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         ranks.append(rank)
         width *= 2
     a, b = order[:-1].copy(), order[1:].copy()
