@@ -282,6 +282,8 @@ LABELLED_PAGES = (
     "<body><p><a>-Contents</a></p><p>+Chapter one</p><p>+There was a house at the end of the road, and in the house there lived a man who had been a pilot.</p><p>+He said little.</p><p>+On Mondays he walked to the town and bought bread, cheese, a newspaper and three pears, whatever the season.</p><p><a>-Chapter two</a></p></body>",
     "<body><div><a>-Sea and coast: all that we have written about them so far</a></div><div><a>-Towns of the river, in the order in which it meets them</a></div><div>+The ferry runs from May until the leaves fall, and takes carts and cattle as well as those on foot.</div><div><a>-The ferry man of the lower town, and what he has seen</a></div><div><a>-Tolls and fares of the last two hundred years</a></div></body>",
     "<body><article><p>+The first to climb it was a shepherd who looked for a lamb, and he told nobody for a year.</p><p><a>+His letter to the club</a></p><p>+The second was a colonel.</p><p><a>+The answer of the club</a></p><p>+No.</p><p>+So it was.</p></article></body>",
+    "<body><article><h2>+Notes</h2><p>+No.</p><p><a>+The first letter of the shepherd</a></p><p>+It was found in the wall of the club house when the stove was moved, and hangs there in a frame now.</p></article></body>",
+    "<body><article><p><a>+What he wrote</a></p><p>+True.</p></article></body>",
     "<body><header>-News of the harbour and of all who live by it</header><p>+Three boats came in last night with more cod than the cold house can hold, so it is sold from the deck today.</p><p>+Bring a bag.</p><p>+The fourth boat is still out, but has been heard by wireless and is well.</p><aside>-Those who sell from the deck must show their paper to the master of the harbour at any time.</aside><form>-Tell us what you have seen on the water and we shall print it here in the next week.</form><footer>-The harbour news is made by the people of the harbour. Nothing in it may be copied.</footer></body>",
     # What stands around an article on most pages, by the words that makers of pages use.
     "<body><div class='cookie-consent notice'>-This site keeps small files on your device so that it can tell you from others. You can refuse that at any time.</div><div class='top-banner advert'>-Your bank for all of life and for all that comes after it, since the days of your grandfather.</div><div class='breadcrumbs'><a>-Home</a> <a>-Science</a></div><div id='masthead'>-The journal of the river and its people</div><div class='content main-text'><p>+Eels cross the whole ocean to spawn, and nobody has ever seen them do it or found an egg.</p><p>+They come back as glass.</p></div><div class='newsletter subscribe'>-Get the best of the week in one letter, each Friday, at no cost, and leave it whenever you like.</div><div class='promo sponsored sponsor'>-A ring for life, from the house that has made rings for a hundred years and more.</div><div class='social sharing toolbar'>-Pass it on</div><div class='related-posts recommended'><p>-Why the salmon leaps, and what the old fishers of the upper valley knew of it</p></div><div id='disqus' class='replies reply'><p>-I have seen eels in our well, and my father says that they came through the rock from the sea.</p></div><div class='footer copyright legal'>-All of this belongs to the journal. Nothing may be taken.</div></body>",
