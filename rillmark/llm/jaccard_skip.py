@@ -8,8 +8,8 @@ Index level: an index list is read in blocks of members that have one set size a
 first shingle that two sets share, they cannot share more than the shorter of their two remainders, so pairs of blocks
 whose remainders are too short are skipped as a whole, and members of blocks without a partner leave the index.
 
-Answer level: the members of a list are first compared with one leader, the member with the earliest position, which
-has the fewest shingles of its own and so links with the most. Those within twice the distance of a link are its ball.
+Answer level: the members of a list are first compared with one leader, the member that has the fewest shingles of its
+own and so links with the most. Those within twice the distance of a link are its ball.
 Their answers among each other derive from their differences from the leader: two members have as many shingles in
 common as their sizes, the numbers of their differences and the number of common differences tell, and two that link
 share a difference unless both link with the leader. So only members that share a difference are compared, by their
@@ -47,7 +47,7 @@ REMEMBERED = 1 << 20
 #: Cells of a set's signature, each one byte that stays at 255.
 SIGNATURE = 256
 #: Most leaders of a list, and the members that a list has more than to choose another one.
-ROUNDS, LARGE = 4, 64
+ROUNDS, LARGE = 4, 1000
 #: Bits of the filter of documents whose sets are fetched: 1 MB.
 BITS = 1 << 23
 
@@ -278,48 +278,62 @@ def _alike(pairs: DataFrame, ball: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", ((total - differ).cast("long") * 100 >= (total + differ) * percent).alias("linked"))
 
 
-def _open(ball: DataFrame, comp: DataFrame) -> DataFrame:
-    """The members, with their tops, of balls that hold more than one component."""
-    topped = ball.join(comp, "key")
-    several = topped.groupBy("leader").agg(F.min("top").alias("low"), F.max("top").alias("high")).where("low < high").select("leader")
-    return saved(topped.join(several, "leader", "left_semi"), "open")
+def _rings(known: DataFrame) -> DataFrame:
+    """(leader, key, n, apart, linked): the members of the balls that hold one that does not link with the leader."""
+    ball = known.where("apart is not null").select(F.col("a").alias("leader"), F.col("b").alias("key"), "n", "apart", "linked")
+    return saved(ball.join(ball.where("not linked").select("leader").distinct(), "leader", "left_semi"), "rings")
 
 
-def _within(comp: DataFrame, ball: DataFrame, percent: int) -> DataFrame:
-    """comp with the links within balls; ball has (leader, key, n, apart)."""
-    held = _open(ball, comp)
-    if held.limit(1).count() == 0:
-        forget(held)
-        return comp
-    each = held.select("leader", "key", "n", F.size("apart").alias("size"), "top", F.explode("apart").alias("token"))
-    often = each.groupBy("leader", "token").agg(F.count("*").alias("rows"))
+def _differences(ring: DataFrame) -> DataFrame:
+    """(leader, token, key, n, size, at, linked): the differences that members of a ball, one not linked among them, share, from rare to common."""
+    each = ring.select("leader", "key", "n", F.size("apart").alias("size"), "linked", F.explode("apart").alias("token"))
+    often = each.groupBy("leader", "token").agg(F.count("*").alias("rows"), F.bool_and("linked").alias("done"))
     order = Window.partitionBy("leader", "key").orderBy("rows", "token")
-    cells = each.join(often, ["leader", "token"]).withColumn("at", F.row_number().over(order) - 1).where("rows > 1").drop("rows")
-    cells = saved(cells, "cells")
-    # In each list one member against all.
-    heads = cells.groupBy("leader", "token").agg(F.min_by("key", F.xxhash64("key")).alias("head"))
-    stars = cells.join(heads, ["leader", "token"]).where("key <> head").select("leader", F.col("head").alias("a"), F.col("key").alias("b")).distinct()
-    comp = _joined(comp, _alike(stars, held, percent))
-    left = _open(ball, comp)
-    if left.limit(1).count():
-        # The rest by pairs of blocks that can hold a link and more than one component.
-        now = cells.drop("top").join(left.select("leader", "key", "top"), ["leader", "key"])
-        place = ["n", "size", "at"]
-        blocks = now.groupBy("leader", "token", *place).agg(F.min("top").alias("low"), F.max("top").alias("high"))
-        x, y = blocks.alias("x"), blocks.alias("y")
-        common = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
-        differ, total = F.col("x.size") + F.col("y.size") - 2 * common, (F.col("x.n") + F.col("y.n")).cast("long")
-        can = (total - differ) * 100 >= (total + differ) * percent
-        several = F.least("x.low", "y.low") < F.greatest("x.high", "y.high")
-        once = F.struct(*(f"x.{c}" for c in place)) <= F.struct(*(f"y.{c}" for c in place))
-        ways = x.join(y, (F.col("x.leader") == F.col("y.leader")) & (F.col("x.token") == F.col("y.token")) & once & several & can)
-        ways = ways.select("x.leader", "x.token", *(f"x.{c}" for c in place), *(F.col(f"y.{c}").alias(f"{c}2") for c in place))
-        p = now.select("leader", "token", *place, F.col("key").alias("p"), F.col("top").alias("p_top"))
-        q = now.select("leader", "token", *(F.col(c).alias(f"{c}2") for c in place), F.col("key").alias("q"), F.col("top").alias("q_top"))
-        pairs = ways.join(p, ["leader", "token", *place]).join(q, ["leader", "token", *(f"{c}2" for c in place)])
-        pairs = pairs.where("p_top <> q_top").select("leader", *_pair(F.col("p"), F.col("q"))).distinct()
-        comp = _joined(comp, _alike(pairs, left, percent))
-    forget(held, cells, left)
+    cells = each.join(often, ["leader", "token"]).withColumn("at", F.row_number().over(order) - 1)
+    return saved(cells.where("rows > 1 and not done").drop("rows", "done"), "cells")
+
+
+def _stars(cells: DataFrame) -> DataFrame:
+    """(leader, a, b): in each list of a difference, one member against all; those that link with the leader need no other."""
+    heads = cells.groupBy("leader", "token").agg(F.min_by(F.struct("key", "linked"), F.xxhash64("key")).alias("head"))
+    pairs = cells.join(heads, ["leader", "token"]).where("key <> head.key and not (linked and head.linked)")
+    return pairs.select("leader", F.col("head.key").alias("a"), F.col("key").alias("b")).distinct()
+
+
+def _across(cells: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """(leader, a, b): pairs of a ball's members of different components, where their places in a list of differences allow a link."""
+    place = ["n", "size", "at"]
+    now = saved(cells.join(comp, "key"), "now")
+    blocks = now.groupBy("leader", "token", *place).agg(F.min("top").alias("low"), F.max("top").alias("high"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    common = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    differ, total = F.col("x.size") + F.col("y.size") - 2 * common, (F.col("x.n") + F.col("y.n")).cast("long")
+    can = (total - differ) * 100 >= (total + differ) * percent
+    several = F.least("x.low", "y.low") < F.greatest("x.high", "y.high")
+    once = F.struct(*(f"x.{c}" for c in place)) <= F.struct(*(f"y.{c}" for c in place))
+    ways = x.join(y, (F.col("x.leader") == F.col("y.leader")) & (F.col("x.token") == F.col("y.token")) & once & several & can)
+    ways = ways.select("x.leader", "x.token", *(f"x.{c}" for c in place), *(F.col(f"y.{c}").alias(f"{c}2") for c in place))
+    p = now.select("leader", "token", *place, F.col("key").alias("p"), F.col("top").alias("p_top"))
+    q = now.select("leader", "token", *(F.col(c).alias(f"{c}2") for c in place), F.col("key").alias("q"), F.col("top").alias("q_top"))
+    pairs = ways.join(p, ["leader", "token", *place]).join(q, ["leader", "token", *(f"{c}2" for c in place)])
+    out = saved(pairs.where("p_top <> q_top").select("leader", *_pair(F.col("p"), F.col("q"))).distinct(), "across")
+    forget(now)
+    return out
+
+
+def _answered(comp: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """comp with the links of the leaders and those within their balls."""
+    links = known.where("linked").select("a", "b", "linked")
+    ring = _rings(known)
+    if ring.limit(1).count() == 0:
+        forget(ring)
+        return _joined(comp, links)
+    cells = _differences(ring)
+    stars = saved(_alike(_stars(cells), ring, percent), "stars")
+    comp = _joined(comp, links.union(stars))
+    pairs = _across(cells, comp, percent)
+    comp = _joined(comp, _alike(pairs, ring, percent))
+    forget(ring, cells, stars, pairs)
     return comp
 
 
@@ -329,30 +343,32 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
         raise ValueError("percent must be above 50 and at most 100")
     members, counts = set_keys(docs, k)
     lists = index_lists(docs, k, percent, counts)
-    comp = saved(lists.select("key").distinct().withColumn("top", F.col("key")), "components")
+    # A set with few shingles of its own is a good leader, and one for all of its lists.
+    own = saved(lists.groupBy("key").agg(F.min("at").alias("own")), "own")
+    comp = own.select("key", F.col("key").alias("top"))
     signatures = saved(members.join(comp, "key", "left_semi").select("key", "n", "signature").dropDuplicates(["key"]), "signatures")
     members = members.drop("signature")
     near = max(1, 2 * percent - 100)  # twice the distance of a link
 
     rest = lists.withColumns({"balls": F.lit(0), "least": F.lit(0.0), "most": F.lit(1.0)})
-    held = lists
+    held, before = lists, None
     for r in range(ROUNDS):
         if r:
             several = rest.join(comp, "key").groupBy("token").agg(F.count("*").alias("rows"), F.min("top").alias("low"), F.max("top").alias("high"))
-            large = saved(several.where((F.col("rows") > LARGE) & (F.col("low") < F.col("high"))).select("token"), "large")
-            if large.limit(1).count() == 0:
+            large = saved(several.where((F.col("rows") > LARGE) & (F.col("low") < F.col("high"))).select("token", "rows"), "large")
+            pairs_left = large.agg(F.sum(F.col("rows").cast("double") * F.col("rows"))).first()[0]
+            if not pairs_left or before and pairs_left > before / 2:  # none, or the last leader had few near it: pairs of blocks are cheaper
                 forget(large)
                 break
+            before = pairs_left
             chosen, others = rest.join(large, "token", "left_semi"), rest.join(large, "token", "left_anti")
         else:
             large, chosen, others = None, rest, None
-        heads = chosen.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("key").alias("draw"), "key", "n")).alias("head"))
+        heads = chosen.join(own, "key").groupBy("token").agg(F.min(F.struct("own", F.xxhash64("key").alias("draw"), "key", "n", "at")).alias("head"))
         heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
         pairs = chosen.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), near))
         known = settled(pairs.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), docs, members, signatures, k, percent, near)
-        comp = _joined(comp, known)
-        ball = known.where("apart is not null").select(F.col("a").alias("leader"), F.col("b").alias("key"), "n", "apart")
-        comp = _within(comp, ball, percent)
+        comp = _answered(comp, known, percent)
         told = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), F.col("least").alias("least_"), F.col("most").alias("most_"), "linked", F.col("apart").isNotNull().alias("in"))
         after = chosen.join(heads.select("token", "leader"), "token").where("key <> leader").join(told, ["key", "leader"], "left").where("not coalesce(linked, false)")
         balls = F.when(F.col("in"), F.col("balls").bitwiseOR(F.lit(1 << r))).otherwise(F.col("balls"))
@@ -371,7 +387,7 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
     pairs = ways.join(left, ["token", "n", "at", "balls"]).join(right, ["token", "n2", "at2", "balls2"])
     pairs = pairs.where((F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
     comp = _joined(comp, settled(pairs.select(*_pair(F.col("p"), F.col("q"))).distinct(), docs, members, signatures, k, percent))
-    forget(held, labelled, ways, signatures)
+    forget(held, labelled, ways, signatures, own)
     return members, comp
 
 

@@ -3,17 +3,23 @@
 Training counts character n-grams of labelled texts in Spark. Each language's model is then a set of sorted arrays of
 n-gram hashes with discounted probabilities and back-off weights; the arrays of all languages are aligned on the union
 of their n-grams, so one binary search scores a character for every language. The lowest cross-entropy per character
-wins; the score is calibrated on labelled texts that the model used has not seen, and so is the rejection of texts that
-fit no language: a text goes if its cross-entropy is more than MARGIN times the USUAL quantile of the texts that are
-correctly identified as its language, so a few odd texts among the labelled ones do not move the limit.
+wins. Both the score and the rejection are calibrated on labelled texts that the model used has not seen: the score is the
+probability that the language is right, by a logistic curve over the gap to the second language and the number of
+letters; a text is rejected if its cross-entropy is above the limit of its language and length. A limit lies a number of
+spreads above the median, a spread being the way from the median to the USUAL quantile; the number is the least that
+FALSE of the correctly identified texts exceed, but within MARGINS, so that odd texts among the labelled ones, even a
+tenth, do not lift the limits to themselves.
 
 The training sample is bounded: about `sample_docs` documents a language, chosen by a hash of id and text; whole texts.
 A language with fewer than twice as many has no others to calibrate on: its sample (all of it, up to the bound) is fitted
-as a whole, and each half of it is calibrated with a model fitted on the other half.
-Languages are few (their number bounds what is collected, with the number of distinct n-grams of the sample).
-
-Defined results: a null text or one without letters is `und` with score 0; case, digits and punctuation do not count;
-rows with a null language or text train nothing; an empty table, or one without labels, gives `und` for every row.
+as a whole, and each half of it is calibrated with a model fitted on the other half. What is collected is bounded by
+that sample and the number of languages: its n-grams, and four numbers a calibration text.
+
+Defined results: a null text or one without letters is `und` with score 0 and is rejected; case, digits and punctuation
+do not count; rows with a null language or text train nothing; an empty table, or one without labels, gives `und` for
+every row, and nothing with letters is rejected; texts count as a whole, however long; repeated rows get equal results;
+of languages that are equally likely the first in order wins; only the columns named are read or kept as they are, so
+others may have any name.
 """
 
 from __future__ import annotations
@@ -28,7 +34,10 @@ from pyspark.sql import functions as F
 from .vectors import mix
 
 ORDER = 4
-USUAL, MARGIN = 0.9, 2.0
+#: The share of correctly identified texts that may be rejected; the quantile that tells the spread, and the least and most spreads of a limit.
+FALSE, USUAL, MARGINS = 0.002, 0.9, (4.0, 12.0)
+#: Classes of length by powers of four letters; one with fewer calibration texts takes those of its neighbours, too.
+CLASSES, ENOUGH = 9, 200
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -113,7 +122,9 @@ class Model:
         self.logp: dict[int, np.ndarray] = {}
         self.back: dict[int, np.ndarray] = {}
         self.floor = np.log(1 / 200_000)
-        self.limits, self.heat = np.full(len(langs), np.inf), 8.0
+        self.limits = np.full((len(langs), CLASSES), np.inf)
+        self.curve = np.array([0.0, 8.0, 0.5])  # of the score
+        self.others: dict[int, Model] = {}  # for each half of the texts, a model that has seen none of it
 
     def score(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log probability under each language of the symbol at each of the positions."""
@@ -217,19 +228,88 @@ def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.nda
     return out, letters[offsets[1:]] - letters[offsets[:-1]]
 
 
-def _posterior(e: np.ndarray, heat: float) -> np.ndarray:
-    return 1 / np.exp(-heat * (e - e.min(1, keepdims=True))).sum(1)
+def letter_counts(texts: list[str | None]) -> np.ndarray:
+    codes, offsets = symbols(texts)
+    letters = np.concatenate([[0], np.cumsum(codes > 0)])
+    return letters[offsets[1:]] - letters[offsets[:-1]]
+
+
+def _class(letters: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(letters, 1)) / 2, CLASSES - 1).astype(np.int64)
+
+
+def _gap(e: np.ndarray) -> np.ndarray:
+    """How far the second language is behind the first."""
+    return np.diff(np.partition(e, 1, axis=1)[:, :2], axis=1)[:, 0] if e.shape[1] > 1 else np.ones(len(e))
+
+
+def _traits(gap: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    size = np.log1p(letters)
+    return np.stack([np.ones(len(gap)), gap, gap * size], 1)
+
+
+def fit_curve(gap: np.ndarray, letters: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Weights of the logistic curve, by Newton's method with smoothed targets: without errors it is not certain either."""
+    x = _traits(gap, letters)
+    yes, no = good.sum(), (~good).sum()
+    y = np.where(good, (yes + 1) / (yes + 2), 1 / (no + 2))
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w)), x.T @ (y - p) - 1e-2 * w)
+        w = w + step / max(1.0, np.abs(step).max() / 4)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def confidence(model: Model, e: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(_traits(_gap(e), letters) @ model.curve, -30, 30)))
+
+
+def limits(told: np.ndarray, best: np.ndarray, letters: np.ndarray, langs: int) -> np.ndarray:
+    """The limit of each language and class of length, from correctly identified texts; the loosest one where there are none."""
+    middle, spread = np.full((langs, CLASSES), np.nan), np.full((langs, CLASSES), np.nan)
+    size = _class(letters)
+    for k in range(langs):
+        for c in range(CLASSES):
+            reach = 0
+            while True:
+                x = best[(told == k) & (abs(size - c) <= reach)]
+                if len(x) >= ENOUGH or reach == CLASSES:
+                    break
+                reach += 1
+            if len(x):
+                middle[k, c], far = np.quantile(x, [0.5, USUAL])
+                spread[k, c] = max(far - middle[k, c], 0.02 * middle[k, c])
+    if not len(best):
+        return np.full((langs, CLASSES), np.inf)
+    margin = np.clip(np.quantile((best - middle[told, size]) / spread[told, size], 1 - FALSE), *MARGINS)
+    out = middle + margin * spread
+    return np.where(np.isnan(out), np.nanmax(out), out)
+
+
+def rejected(model: Model | None, e: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    none = letters == 0
+    return none if model is None else none | (e.min(1) > model.limits[e.argmin(1), _class(letters)])
+
+
+def _half(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col, "text", F.lit(2)), F.lit(2)).cast("int")
+
 
+def train(docs: DataFrame, eligible: Column, sample_docs: int = 1500, id_col: str = "doc_id", crossed: bool = False) -> Model | None:
+    """Fit on about sample_docs labelled documents a language among the eligible, calibrate on about as many others.
 
-def train(docs: DataFrame, eligible: Column, sample_docs: int = 1500, id_col: str = "doc_id") -> Model | None:
-    """Fit on about sample_docs labelled documents a language among the eligible, calibrate on about as many others."""
-    draw, half = F.pmod(F.xxhash64(id_col, "text"), F.lit(1 << 30)), F.pmod(F.xxhash64(id_col, "text", F.lit(2)), F.lit(2))
+    crossed: all languages are calibrated by halves, and the model keeps that of each half for keep_accepted().
+    """
+    draw, half = F.pmod(F.xxhash64(id_col, "text"), F.lit(1 << 30)), _half(id_col)
     labelled = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", draw.alias("draw"), half.alias("half"))
     sizes = labelled.groupBy("lang").count().collect()  # one row a language
     if not sizes:
         return None
     share = F.coalesce(*(F.when(F.col("lang") == r.lang, F.lit(min(1 << 30, int((1 << 30) * sample_docs / r["count"])))) for r in sizes))
-    few = F.col("lang").isin([r.lang for r in sizes if r["count"] < 2 * sample_docs])
+    few = F.lit(True) if crossed else F.col("lang").isin([r.lang for r in sizes if r["count"] < 2 * sample_docs])
     # fold: the half of a language with few documents, 2 for the sample of another one, 3 for what calibrates it.
     part = labelled.where(F.col("draw") < F.when(few, share).otherwise(2 * share))
     part = part.withColumn("fold", F.when(few, F.col("half")).when(F.col("draw") < share, 2).otherwise(3))
@@ -265,18 +345,21 @@ def train(docs: DataFrame, eligible: Column, sample_docs: int = 1500, id_col: st
                     e, letters = entropies(used, [texts[i] for i in mine])
                     told = np.array([used.langs[k] for k in e.argmin(1)], object)
                     right = told == np.array([marks[i][1:] for i in mine], object)
-                    ok = letters >= 20
-                    gap = np.sort(e, 1)
-                    yield pa.RecordBatch.from_pydict({"told": pa.array(told[ok], pa.string()), "best": gap[ok, 0], "gap": (gap[:, 1] - gap[:, 0] if gap.shape[1] > 1 else np.ones(len(gap)))[ok], "good": right[ok]})
-
-    seen = part.where("fold <> 2").select(F.concat(F.col("fold").cast("string"), "lang").alias("mark"), "text").mapInArrow(measure, "told string, best double, gap double, good boolean")
-    usual = F.percentile(F.when(F.col("good"), F.col("best")), USUAL)
-    told = seen.groupBy("told").agg(usual.alias("usual"), F.sum(F.when(~F.col("good"), F.col("gap"))).alias("gap"), F.count_if(~F.col("good")).alias("missed")).collect()  # one row a language
-    known = {r.told: MARGIN * r.usual for r in told if r.usual is not None}
-    if known:  # a language that calibrated nothing takes the loosest limit of the others
-        model.limits = np.array([known.get(x, max(known.values())) for x in model.langs])
-    missed = sum(r.missed for r in told)
-    model.heat = float(np.clip(missed / gap, 8, 60)) if missed and (gap := sum(r.gap or 0 for r in told)) else 20.0
+                    ok = letters > 0
+                    yield pa.RecordBatch.from_pydict({"told": pa.array(told[ok], pa.string()), "best": e.min(1)[ok], "gap": _gap(e)[ok], "letters": letters[ok].astype(np.int64), "good": right[ok]})
+
+    seen = part.where("fold <> 2").select(F.concat(F.col("fold").cast("string"), "lang").alias("mark"), "text")
+    seen = seen.mapInArrow(measure, "told string, best double, gap double, letters long, good boolean").toArrow()  # the bounded sample
+    if len(seen):
+        told = np.array([model.langs.index(x) for x in seen.column("told").to_pylist()])
+        best, gap, letters, good = (seen.column(c).to_numpy() for c in ("best", "gap", "letters", "good"))
+        model.limits = limits(told[good], best[good], letters[good], len(model.langs))
+        model.curve = fit_curve(gap, letters, good)
+    if crossed:
+        for of, other in others.items():
+            if other is not None:  # the limits of the languages that it knows
+                other.limits = model.limits[[model.langs.index(x) for x in other.langs]]
+                model.others[of] = other
     return model
 
 
@@ -306,27 +389,36 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in zip(*_chunks(batch), strict=True):
-                e, letters = entropies(model, texts) if model else (np.zeros((len(texts), 1)), np.zeros(len(texts), int))
+                e, letters = entropies(model, texts) if model else (np.zeros((len(texts), 1)), letter_counts(texts))
                 none = letters == 0
                 best = e.argmin(1)
-                score = np.where(none, 0.0, _posterior(e, model.heat if model else 1.0))
-                reject = none | (e.min(1) > (model.limits[best] if model else 0))
-                pred = [("und" if x else model.langs[k]) for x, k in zip(none, best, strict=True)]
+                score = np.where(none, 0.0, confidence(model, e, letters)) if model else np.zeros(len(texts))
+                reject = rejected(model, e, letters)
+                pred = [("und" if x else model.langs[k]) for x, k in zip(none | (model is None), best, strict=True)]
                 yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "lang_pred": pred, "score": score, "rejected": reject})
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose text a language model accepts; one pass, no shuffle."""
+def keep_accepted(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text is accepted by a language model that was not fitted on it; one pass, no shuffle."""
+    rows = docs.select(_half(id_col).alias("half"), F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            texts = batch.column(text_col)
-            for _, part in zip(*_chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"])), strict=True):
-                e, letters = entropies(model, part) if model else (np.zeros((len(part), 1)), np.zeros(len(part), int))
-                keep.append((letters > 0) & (e.min(1) <= (model.limits[e.argmin(1)] if model else -1)))
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
-
-    return docs.mapInArrow(run, docs.schema)
+            keep = np.zeros(batch.num_rows, bool)
+            at, half = 0, batch.column("half").to_numpy()
+            texts = batch.column("row").field(text_col)
+            for (part,) in zip(_chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"]))[1], strict=True):
+                for h in (0, 1):
+                    mine = np.flatnonzero(half[at : at + len(part)] == h)
+                    if len(mine):
+                        some = [part[i] for i in mine]
+                        used = model.others.get(h, model) if model else None
+                        e, letters = entropies(used, some) if used else (None, letter_counts(some))
+                        keep[at + mine] = ~rejected(used, e, letters)
+                at += len(part)
+            yield batch.select(["row"]).filter(pa.array(keep))
+
+    kept = rows.mapInArrow(run, rows.select("row").schema)
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
