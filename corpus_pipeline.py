@@ -6,9 +6,13 @@ benchmark  documents that hold at least 0.8 of a benchmark item's five-word shin
 mix        each row is repeated as often as the mix of sources takes it
 shards     the rows get their shard and slot along the Hilbert curve
 
-Stages decide on rows: rows that share an id are told apart, and rows without one count like others (their id comes
-after all others). They keep the columns of documents, whatever they are; the last adds shard and slot. Each stage is written as Parquet
-and read again before the next.
+Stages decide on rows: rows that share an id are told apart, repeated rows are near duplicates of each other, and rows
+without an id count like others (their id comes after all others). Null and empty texts have no letters and leave with
+the first stage; run alone, the others keep them, each a group of its own. Ties go to the smaller hash of the text, then
+to either row, as these are alike. Texts count as a whole, however long; an empty table gives an empty one. Stages keep
+the columns of documents, whatever they are and however they are named; the last adds shard and slot, in the place of
+columns of these names. A table without labels loses only rows without letters in the first stage. Each stage is written
+as Parquet and read again before the next, and deleted when that one is written.
 """
 
 from __future__ import annotations
@@ -17,26 +21,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm import cube_mix, hilbert, jaccard_skip, kn_langid, minhash_contain
-from rillmark.llm.common import saved
+from rillmark.llm.common import forget, saved
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = kn_langid.train(docs, F.lit(True))
+    model = kn_langid.train(docs, F.lit(True), crossed=True)
     return kn_langid.keep_accepted(docs, model)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs, written with a number of each row, _row, so that every later read sees the same ones."""
-    return saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    """(row, number) of docs, each row as one value with a number, written so that every later read sees the same ones."""
+    return saved(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
+
+
+def _whole(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in names))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs)
-    groups = jaccard_skip.linked_documents(rows, k=5, percent=80, id_col="_row")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), "_row")
-    named = groups.join(rows.select("_row", order.alias("first")), "_row")
-    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select("first._row")
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+    groups = jaccard_skip.linked_documents(rows.select("number", F.col("row.text").alias("text")), k=5, percent=80, id_col="number")
+    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("tie"), "number")
+    named = groups.join(rows.select("number", order.alias("first")), "number")
+    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select("first.number")
+    return _whole(rows.join(first, "number", "left_semi"), docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +54,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs)
-    units = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "source", "text", "_row")
-    copies = cube_mix.mix_sources(units, carried=("_row",)).where("copies > 0").select("_row", F.col("copies").alias("_copies"))
-    taken = rows.join(copies, "_row")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    units = rows.select(F.coalesce("row.doc_id", F.lit(-1)).alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text"), "number")
+    copies = cube_mix.mix_sources(units, carried=("number",)).where("copies > 0").select("number", F.col("copies").cast("int").alias("copies"))
+    taken = rows.join(copies, "number").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return _whole(taken, docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        forget(before)
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in local tests."""
+    """The folder in spark.checkpoint.dir; a temporary one only where that is unset and all of Spark is on this machine, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.rillmark.scratch", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-scratch-', dir='/tmp')}"
         spark.conf.set("spark.rillmark.scratch", path)
     return path

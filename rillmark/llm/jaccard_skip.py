@@ -387,7 +387,9 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
     pairs = ways.join(left, ["token", "n", "at", "balls"]).join(right, ["token", "n2", "at2", "balls2"])
     pairs = pairs.where((F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
     comp = _joined(comp, settled(pairs.select(*_pair(F.col("p"), F.col("q"))).distinct(), docs, members, signatures, k, percent))
-    forget(held, labelled, ways, signatures, own)
+    forget(held, labelled, ways, signatures)
+    if hasattr(comp, "_scratch_path"):  # else no set links, and comp is still read from own
+        forget(own)
     return members, comp
 
 

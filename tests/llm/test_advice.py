@@ -77,8 +77,8 @@ def test_op10_rows_without_id(spark):
     for t, nxt in zip(order, order[1:] + order[:1]):
         half = len(t) // 2
         want.append(hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest())
-    for per in (4000, 3):
-        assert sorted(r.edited_sha256 for r in fingerprints_with_edits(docs, per_part=per).collect()) == sorted(want)
+    for per in (4000, 300):
+        assert sorted(r.edited_sha256 for r in fingerprints_with_edits(docs, range_bytes=per).collect()) == sorted(want)
 
 
 def test_op8_rejects_gibberish_and_learns_rare_languages(spark, tiny):

@@ -301,8 +301,8 @@ def test_op10_many_ranges(spark, tiny):
 
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     a = {r.doc_id: r.edited_sha256 for r in fingerprints_with_edits(docs).collect()}
-    for per in (7, 2):
-        b = fingerprints_with_edits(docs, per_part=per).collect()
+    for per in (9, 2):
+        b = fingerprints_with_edits(docs, range_bytes=per * 1000).collect()
         assert {r.doc_id: r.edited_sha256 for r in b} == a and len(b) == len(a)
 
 
