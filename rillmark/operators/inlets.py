@@ -46,9 +46,14 @@ def number(pairs: DataFrame) -> DataFrame:
 
 
 def candidates(sags: DataFrame, pairs: DataFrame, window: float = 60.0, tolerance: float = 0.2) -> DataFrame:
-    """(street, sag_num, pick): the nearest numbered inlet of each sag within the window and the height tolerance."""
-    s = sags.select("street", "sag_num", F.col("d").alias("sag_d"), F.col("smooth").alias("sag_z"))
-    ok = s.join(pairs, "street").withColumn("gap", F.abs(F.col("chainage") - F.col("sag_d"))).where((F.col("gap") <= window) & (F.abs(F.col("smooth_m") - F.col("sag_z")) <= tolerance))
+    """(street, sag_num, pick): the nearest numbered inlet of each sag within the window and the height tolerance.
+
+    Both meet in stretches of the window's length, the sag also in those beside its own.
+    """
+    slot = lambda c: F.floor(c / window)
+    s = sags.select("street", "sag_num", F.col("d").alias("sag_d"), F.col("smooth").alias("sag_z"), F.explode(F.sequence(slot(F.col("d")) - 1, slot(F.col("d")) + 1)).alias("slot"))
+    ok = s.join(pairs.withColumn("slot", slot(F.col("chainage"))), ["street", "slot"]).withColumn("gap", F.abs(F.col("chainage") - F.col("sag_d")))
+    ok = ok.where((F.col("gap") <= window) & (F.abs(F.col("smooth_m") - F.col("sag_z")) <= tolerance))
     return ok.groupBy("street", "sag_num").agg(F.min(F.struct("gap", "num")).alias("b")).select("street", "sag_num", F.col("b.num").alias("pick"))
 
 
@@ -61,8 +66,15 @@ def served(picks: DataFrame) -> DataFrame:
 def unserved(sags: DataFrame, served_sags: DataFrame, pairs: DataFrame) -> DataFrame:
     """The other sags with the nearest inlet along the street, however far, and their place in lon and lat."""
     rest = sags.join(served_sags.select("street", "sag_num"), ["street", "sag_num"], "left_anti")
-    joined = rest.join(pairs.select("street", "num", "inlet_id", "chainage", "smooth_m"), "street", "left").withColumn("gap", F.abs(F.col("chainage") - F.col("d")))
-    near = joined.groupBy("street", "sag_num", "d", "smooth", "easting", "northing").agg(F.min(F.when(F.col("num").isNotNull(), F.struct("gap", "num", "inlet_id", "smooth_m"))).alias("b"))
+    # The inlets before and after each sag, from one order of both along the street.
+    least = pairs.groupBy("street", "chainage").agg(F.min(F.struct("num", "inlet_id", "smooth_m")).alias("i"))
+    both = rest.select("street", F.col("d").alias("at"), F.lit(1).alias("kind"), F.struct("sag_num", "d", "smooth", "easting", "northing").alias("sag")).unionByName(
+        least.select("street", F.col("chainage").alias("at"), F.lit(0).alias("kind"), F.struct(F.col("chainage").alias("at"), "i.*").alias("inlet")), allowMissingColumns=True
+    )
+    w = Window.partitionBy("street").orderBy("at", "kind")
+    both = both.withColumn("l", F.last("inlet", True).over(w)).withColumn("r", F.first("inlet", True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("kind = 1").select("street", "sag.*", "l", "r")
+    reach = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.at") - F.col("d")).alias("gap"), f"{c}.num", f"{c}.inlet_id", f"{c}.smooth_m"))
+    near = both.withColumn("b", F.array_min(F.array_compact(F.array(reach("l"), reach("r")))))
     lon, lat = geo.from_utm(F.col("easting"), F.col("northing"))
     return near.select("street", "sag_num", "d", "smooth", lon.alias("lon"), lat.alias("lat"), F.col("b.num").alias("near_num"), F.col("b.gap").alias("gap_m"), (F.col("b.smooth_m") - F.col("smooth")).alias("lift_m"), F.col("b.inlet_id").alias("near_inlet"))
 

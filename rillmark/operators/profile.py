@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 
-CHAIN = "street string, oid long, seq int, flip boolean, gap_m double, origin string"
-
-
 def segment_ends(points: DataFrame, street: str = "street", oid: str = "oid", at: str = "dist_along_m", e: str = "easting", n: str = "northing") -> DataFrame:
     """(street, oid, e0, n0, e1, n1, span of the segment): first and last point of each segment of a named street."""
     return points.where(F.col(street).isNotNull()).groupBy(street, oid).agg(
@@ -20,34 +15,30 @@ def segment_ends(points: DataFrame, street: str = "street", oid: str = "oid", at
     )
 
 
-def _nodes(ends: np.ndarray, tol: float) -> tuple[np.ndarray, np.ndarray]:
-    """Node of each endpoint and the nodes' mean positions; an endpoint joins the first seed within tol, never a chain of them."""
-    label, seeds = np.full(len(ends), -1), []
-    for i in range(len(ends)):
-        if label[i] < 0:
-            d = ends - ends[i]
-            label[(label < 0) & (np.sqrt((d * d).sum(1)) < tol)] = len(seeds)
-            seeds.append(i)
-    total = np.zeros((len(seeds), 2))
-    np.add.at(total, label, ends)
-    return label, total / np.bincount(label)[:, None]
-
-
-def _ends(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
-    pdf = pdf.sort_values("oid", kind="stable").reset_index(drop=True)
-    return pdf, pdf[["e0", "n0", "e1", "n1"]].to_numpy(float).reshape(-1, 2)
+def _in_order(ends: DataFrame) -> DataFrame:
+    """(street, ends): the two ends of each segment in order of oid, start before end; a few dozen a street."""
+    segment = F.array_sort(F.collect_list(F.struct("oid", "e0", "n0", "e1", "n1")))
+    end = lambda s, k: F.struct(s["oid"].alias("oid"), F.lit(k).alias("end"), s[f"e{k}"].alias("x"), s[f"n{k}"].alias("y"), s[f"e{1 - k}"].alias("far_x"), s[f"n{1 - k}"].alias("far_y"))
+    return ends.groupBy("street").agg(F.flatten(F.transform(segment, lambda s: F.array(end(s, 0), end(s, 1)))).alias("ends"))
 
 
 def junctions(ends: DataFrame, tol: float = 2.0) -> DataFrame:
-    """(street, node, x, y, degree): segment ends that meet, one row a node; the ends of one street stay in one task."""
+    """(street, node, x, y, degree): segment ends that meet, one row a node.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        street = pdf["street"].iloc[0]
-        _, at = _ends(pdf)
-        label, where = _nodes(at, tol)
-        return pd.DataFrame({"street": street, "node": np.arange(len(where)), "x": where[:, 0], "y": where[:, 1], "degree": np.bincount(label)})
+    An ordered fold over the ends of a street: each end joins the earliest node whose first end is within tol, so nodes
+    never grow along a chain of ends; a node lies at the mean of its ends.
+    """
+    node = lambda x, y, sx, sy, k: F.struct(x.alias("x"), y.alias("y"), sx.alias("sx"), sy.alias("sy"), k.alias("degree"))
 
-    return ends.groupBy("street").applyInPandas(run, "street string, node int, x double, y double, degree long")
+    def meet(nodes: Column, e: Column) -> Column:
+        near = F.filter(F.sequence(F.lit(0), F.size(nodes) - 1), lambda i: geo.planar(F.get(nodes, i)["x"] - e["x"], F.get(nodes, i)["y"] - e["y"]) < tol)
+        first = F.when(F.size(nodes) > 0, F.get(near, F.lit(0)))
+        joined = F.transform(nodes, lambda m, i: F.when(i == first, node(m["x"], m["y"], m["sx"] + e["x"], m["sy"] + e["y"], m["degree"] + 1)).otherwise(m))
+        return F.when(first.isNull(), F.concat(nodes, F.array(node(e["x"], e["y"], e["x"], e["y"], F.lit(1).cast("long"))))).otherwise(joined)
+
+    none = F.transform(F.filter("ends", lambda e: F.lit(False)), lambda e: node(e["x"], e["y"], e["x"], e["y"], F.lit(1).cast("long")))
+    out = _in_order(ends).select("street", F.posexplode(F.aggregate("ends", none, meet)).alias("node", "m"))
+    return out.select("street", "node", (F.col("m.sx") / F.col("m.degree")).alias("x"), (F.col("m.sy") / F.col("m.degree")).alias("y"), "m.degree")
 
 
 def origins(nodes: DataFrame, ends: DataFrame) -> DataFrame:
@@ -60,31 +51,26 @@ def origins(nodes: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def chain(ends: DataFrame, tol: float = 2.0) -> DataFrame:
-    """Order of the segments along each street: nearest free end next, from the origin on.
+    """(street, oid, seq, flip, gap_m, origin): the segments along each street, nearest free end next, from the origin on.
 
-    Runs over segments only, a few dozen rows a street; points take the result by join.
+    A fold over the segments of a street, which are few; points take the result by join. Of ends equally near the one of
+    the smaller oid wins, and of one segment's the start.
     """
+    start = origins(junctions(ends, tol), ends)
+    held = _in_order(ends).join(start, "street")
+    state = lambda free, x, y, out: F.struct(free.alias("free"), x.alias("x"), y.alias("y"), out.alias("out"))
+    link = lambda oid, end, gap: F.struct(oid.alias("oid"), (end == 1).alias("flip"), gap.alias("gap_m"))
+
+    def step(s: Column, seq: Column) -> Column:
+        reach = F.transform(s["free"], lambda e: F.struct(geo.planar(e["x"] - s["x"], e["y"] - s["y"]).alias("gap"), e["oid"].alias("oid"), e["end"].alias("end"), e["far_x"].alias("x"), e["far_y"].alias("y")))
+        best = F.array_min(reach)
+        gap = F.when(seq == 0, F.lit(0.0)).otherwise(best["gap"])
+        return state(F.filter(s["free"], lambda e: e["oid"] != best["oid"]), best["x"], best["y"], F.concat(s["out"], F.array(link(best["oid"], best["end"], gap))))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        street = pdf["street"].iloc[0]
-        pdf, at = _ends(pdf)
-        label, where = _nodes(at, tol)
-        degree = np.bincount(label)
-        pick = np.flatnonzero(degree == 1) if (degree == 1).any() else np.arange(len(where))
-        wide = pdf["x"].max() - pdf["w"].min() >= pdf["t"].max() - pdf["s"].min()
-        here = where[pick[np.argmin(where[pick, 0])] if wide else pick[np.argmax(where[pick, 1])]]
-        free = np.ones(len(at), bool)
-        rows = []
-        for seq in range(len(pdf)):
-            d = np.where(free, np.sqrt(((at - here) ** 2).sum(1)), np.inf)
-            end = int(np.argmin(d))  # ends are in order of segment, start before end: the first least one wins
-            i = end // 2
-            rows.append((street, int(pdf["oid"].iloc[i]), seq, end % 2 == 1, float(d[end]) if seq else 0.0, "W" if wide else "N"))
-            free[2 * i : 2 * i + 2] = False
-            here = at[end ^ 1]
-        return pd.DataFrame(rows, columns=["street", "oid", "seq", "flip", "gap_m", "origin"])
-
-    return ends.groupBy("street").applyInPandas(run, CHAIN)
+    none = F.transform(F.filter("ends", lambda e: F.lit(False)), lambda e: link(e["oid"], e["end"], e["x"]))
+    turns = F.sequence(F.lit(0), (F.size("ends") / 2).cast("int") - 1)
+    done = F.aggregate(turns, state(F.col("ends"), F.col("x"), F.col("y"), none), step, lambda s: s["out"])
+    return held.select("street", F.posexplode(done).alias("seq", "s"), "label").select("street", "s.oid", "seq", "s.flip", "s.gap_m", F.col("label").alias("origin"))
 
 
 def with_runs(chained: DataFrame, gap_break: float = 40.0) -> DataFrame:
@@ -94,15 +80,27 @@ def with_runs(chained: DataFrame, gap_break: float = 40.0) -> DataFrame:
 
 
 def path(points: DataFrame, chained: DataFrame, drop_null_z: bool = False) -> DataFrame:
-    """points in path order with path_idx, run, origin and chainage d, which runs on over gaps."""
+    """points in path order with path_idx, run, origin and chainage d, which runs on over gaps.
+
+    Points are numbered and measured within their segment; a segment starts where the counts and lengths of those before
+    it end. So no window is longer than a segment, and those over a street see its segments only.
+    """
     p = points.where(F.col("street").isNotNull())
     p = p.where(F.col("elev_m").isNotNull()) if drop_null_z else p
     p = p.join(chained.select("street", "oid", "seq", "flip", "run", "origin"), ["street", "oid"])
-    w = Window.partitionBy("street").orderBy("seq", F.when(F.col("flip"), -F.col("dist_along_m")).otherwise(F.col("dist_along_m")))
-    p = p.withColumn("path_idx", (F.row_number().over(w) - 1).cast("int"))
-    o = Window.partitionBy("street").orderBy("path_idx")
-    step = geo.planar(F.col("easting") - F.lag("easting").over(o), F.col("northing") - F.lag("northing").over(o))
-    return p.withColumn("step", F.coalesce(step, F.lit(0.0))).withColumn("d", F.sum("step").over(o)).drop("step")
+    along = F.when(F.col("flip"), -F.col("dist_along_m")).otherwise(F.col("dist_along_m"))
+    w = Window.partitionBy("street", "oid").orderBy("_along")
+    step = geo.planar(F.col("easting") - F.lag("easting").over(w), F.col("northing") - F.lag("northing").over(w))
+    p = p.withColumn("_along", along).withColumn("_i", F.row_number().over(w) - 1).withColumn("_step", F.coalesce(step, F.lit(0.0))).withColumn("_d", F.sum("_step").over(w))
+    at = F.struct("easting", "northing")
+    segments = p.groupBy("street", "oid").agg(F.first("seq").alias("seq"), F.count("*").alias("n"), F.max("_d").alias("length"), F.min_by(at, "_along").alias("a"), F.max_by(at, "_along").alias("b"))
+    o = Window.partitionBy("street").orderBy("seq")
+    before = o.rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.coalesce(geo.planar(F.col("a.easting") - F.lag("b.easting").over(o), F.col("a.northing") - F.lag("b.northing").over(o)), F.lit(0.0))
+    zero = lambda c, z: F.coalesce(c, F.lit(z))
+    segments = segments.withColumn("gap", gap).select("street", "oid", zero(F.sum("n").over(before), 0).alias("_i0"), (zero(F.sum("length").over(before), 0.0) + F.sum("gap").over(o)).alias("_d0"))
+    p = p.join(segments, ["street", "oid"]).withColumn("path_idx", (F.col("_i0") + F.col("_i")).cast("int")).withColumn("d", F.col("_d0") + F.col("_d"))
+    return p.drop("_along", "_i", "_step", "_d", "_i0", "_d0")
 
 
 def smooth(p: DataFrame, window: float, group: tuple[str, ...] = ("street", "run"), order: tuple[str, ...] = ("path_idx",), z: str = "elev_m", out: str = "smooth") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,32 +21,52 @@ def minima(p: DataFrame, group: tuple[str, ...] = ("street", "run"), order: tupl
     return ok.drop(*helpers), low.drop(*helpers)
 
 
-def prominence(rows: DataFrame, low: DataFrame, group: tuple[str, ...] = ("street", "run"), z: str = "smooth", least: float = 0.2) -> DataFrame:
-    """low with prom, the smaller climb to either side before lower ground, where that is at least `least`."""
-    key = list(group)
-    c = low.select(*key, F.col("pos").alias("c_pos"), F.col(z).alias("c_z"))
-    r = rows.select(*key, "pos", F.col(z).alias("_z"))
-    lower = c.join(r, key).groupBy(*key, "c_pos", "c_z").agg(
-        F.coalesce(F.max(F.when((F.col("_z") < F.col("c_z")) & (F.col("pos") < F.col("c_pos")), F.col("pos"))), F.lit(0)).alias("l"),
-        F.coalesce(F.min(F.when((F.col("_z") < F.col("c_z")) & (F.col("pos") > F.col("c_pos")), F.col("pos"))), F.lit(2**31 - 1)).alias("r"),
+def prominence(rows: DataFrame, low: DataFrame, group: tuple[str, ...] = ("street", "run"), z: str = "smooth", least: float = 0.2, block: int = 256) -> DataFrame:
+    """low with prom, the smaller climb to either side before lower ground, where that is at least `least`.
+
+    Rows are held in blocks of `block` with their least and greatest value. A minimum meets the blocks of its group, which
+    tell the first lower block on either side and the greatest value between, and only the rows of its own block and of
+    these two: of a group of n rows with k minima, k n / block blocks and 3 k blocks of rows are read, not k n rows.
+    """
+    key, one = list(group), F.struct("pos", F.col(z).alias("z"))
+    blocks = rows.withColumn("blk", F.floor(F.col("pos") / block)).groupBy(*key, "blk").agg(F.array_sort(F.collect_list(one)).alias("of"), F.min(z).alias("lo"), F.max(z).alias("hi"))
+    c = low.select(*key, F.col("pos").alias("c_pos"), F.col(z).alias("c_z"), F.floor(F.col("pos") / block).alias("own"))
+    me = [*key, "c_pos", "c_z", "own"]
+    met = c.join(blocks.select(*key, "blk", "lo", "hi"), key)
+    lower = met.groupBy(*me).agg(F.max(F.when((F.col("blk") < F.col("own")) & (F.col("lo") < F.col("c_z")), F.col("blk"))).alias("l"), F.min(F.when((F.col("blk") > F.col("own")) & (F.col("lo") < F.col("c_z")), F.col("blk"))).alias("r"))
+    between = lower.join(blocks.select(*key, "blk", "hi"), key).groupBy(*me, "l", "r").agg(
+        F.max(F.when((F.col("blk") < F.col("own")) & (F.col("blk") > F.coalesce("l", F.lit(-1))), F.col("hi"))).alias("mid_a"),
+        F.max(F.when((F.col("blk") > F.col("own")) & (F.col("blk") < F.coalesce("r", F.lit(2**62))), F.col("hi"))).alias("mid_b"),
     )
-    climbs = lower.join(r, key).where((F.col("pos") > F.col("l")) & (F.col("pos") < F.col("r"))).groupBy(*key, "c_pos", "c_z").agg(
-        F.max(F.when(F.col("pos") < F.col("c_pos"), F.col("_z"))).alias("a"), F.max(F.when(F.col("pos") > F.col("c_pos"), F.col("_z"))).alias("b")
-    )
-    climbs = climbs.where("a is not null and b is not null").select(*key, F.col("c_pos").alias("pos"), (F.least("a", "b") - F.col("c_z")).alias("prom"))
+    held = lambda name, at: blocks.select(*key, F.col("blk").alias(at), F.col("of").alias(name))
+    x = between.join(held("here", "own"), [*key, "own"]).join(held("left", "l"), [*key, "l"], "left").join(held("right", "r"), [*key, "r"], "left")
+
+    def climb(near: Column, far: Column, mid: Column, last: bool) -> Column:
+        """Greatest value between the minimum and the lower ground; near and far are the rows on one side of it, in order."""
+        stop = lambda a: F.try_element_at(F.filter(a, lambda v: v["z"] < F.col("c_z")), F.lit(-1 if last else 1))["pos"]
+        inside = lambda a, s: F.array_max(F.transform(F.filter(a, lambda v: F.when(s.isNull(), True).otherwise(v["pos"] > s if last else v["pos"] < s)), lambda v: v["z"]))
+        return F.when(stop(near).isNotNull(), inside(near, stop(near))).otherwise(F.greatest(inside(near, F.lit(None).cast("int")), mid, inside(far, stop(far))))
+
+    a = climb(F.filter("here", lambda v: v["pos"] < F.col("c_pos")), F.col("left"), F.col("mid_a"), True)
+    b = climb(F.filter("here", lambda v: v["pos"] > F.col("c_pos")), F.col("right"), F.col("mid_b"), False)
+    climbs = x.withColumn("a", a).withColumn("b", b).where("a is not null and b is not null").select(*key, F.col("c_pos").alias("pos"), (F.least("a", "b") - F.col("c_z")).alias("prom"))
     return low.join(climbs.where(F.col("prom") >= least), [*key, "pos"])
 
 
 def suppress(cands: DataFrame, group: str = "street", d: str = "d", order: str = "path_idx", separation: float = 10.0, keep: tuple[str, ...] = ("smooth",)) -> DataFrame:
     """The candidates kept from the most prominent down, each at least `separation` from all kept before it, numbered along d.
 
-    An ordered fold over the few candidates of a street.
+    An ordered fold over stretches of candidates; where two that follow each other are `separation` apart, those before
+    and after cannot suppress each other and a new stretch begins, so a fold never sees a whole group.
     """
+    along = Window.partitionBy(group).orderBy(d, order)
+    apart = F.coalesce((F.col(d) - F.lag(d).over(along) >= separation).cast("int"), F.lit(0))
     item = F.struct((-F.col("prom")).alias("key"), F.col(order).alias("o"), F.col(d).alias("d"), *(F.col(k).alias(k) for k in keep))
-    folded = cands.groupBy(group).agg(F.array_sort(F.collect_list(item)).alias("c"))
+    stretches = cands.withColumn("_apart", apart).withColumn("_stretch", F.sum("_apart").over(along))
+    folded = stretches.groupBy(group, "_stretch").agg(F.array_sort(F.collect_list(item)).alias("c"))
     kept = F.aggregate("c", F.filter("c", lambda x: F.lit(False)), lambda acc, x: F.when(F.exists(acc, lambda k: F.abs(k["d"] - x["d"]) < separation), acc).otherwise(F.concat(acc, F.array(x))))
     rows = folded.select(group, F.explode(kept).alias("x")).select(group, F.col("x.d").alias(d), F.col("x.o").alias(order), (-F.col("x.key")).alias("prom"), *(F.col(f"x.{k}") for k in keep))
-    return rows.withColumn("sag_num", F.row_number().over(Window.partitionBy(group).orderBy(d, order)).cast("int"))
+    return rows.withColumn("sag_num", F.row_number().over(along).cast("int"))
 
 
 def find_sags(p: DataFrame, least: float = 0.2, separation: float = 10.0, edge: float = 10.0) -> DataFrame:
