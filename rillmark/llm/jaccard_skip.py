@@ -70,6 +70,20 @@ def _keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed(values: np.ndarray) -> bytes:
+    """A sorted set as its steps, in as few bytes each as the largest needs: the number of bytes, then the low bytes of all, and so on."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked(body: np.ndarray) -> np.ndarray:
+    width = int(body[0])
+    out = np.zeros(((len(body) - 1) // width, 8), np.uint8)
+    out[:, :width] = body[1:].reshape(width, -1).T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _signatures(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """How many shingles of each set fall in each of the SIGNATURE cells."""
     rows = len(offsets) - 1
@@ -203,7 +217,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int, near: int) -> Da
         for batch in batches:
             distance, linked, size, apart = [], [], [], []
             for x, y in zip(batch.column("body_a"), batch.column("body_b"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                p, q = unpacked(np.frombuffer(x.as_buffer(), np.uint8)), unpacked(np.frombuffer(y.as_buffer(), np.uint8))
                 both = np.sort(np.concatenate([p << np.uint64(1), (q << np.uint64(1)) | np.uint64(1)]))
                 same = np.flatnonzero(both[1:] ^ np.uint64(1) == both[:-1])
                 same = same[both[same] & np.uint64(1) == 0]
@@ -245,7 +259,7 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, hashes, offsets in _sets(batch, k):
-                raw = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(hashes))])
+                raw = pa.array([packed(hashes[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), raw], names=["key", "body"])
 
     wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi")

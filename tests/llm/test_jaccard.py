@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from rillmark.llm import jaccard_skip
@@ -100,3 +101,11 @@ def test_random_edits_of_several_families(spark, seed, monkeypatch):
 def test_low_limits_are_refused(spark):
     with pytest.raises(ValueError):
         components(spark, [(1, "a")], percent=50)
+
+
+def test_packed_sets():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 300, 5000):
+        x = np.unique(rng.integers(0, 1 << 52, n).astype(np.uint64))
+        b = jaccard_skip.packed(x)
+        assert (jaccard_skip.unpacked(np.frombuffer(b, np.uint8)) == x).all() and (n < 300 or len(b) <= 6 * len(x) + 1)
