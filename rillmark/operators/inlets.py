@@ -6,10 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .order import quantiles
 
 #: Metres in a foot, the vertical datum shift, and the feet taken as sane.
 FOOT, DATUM_SHIFT = 0.3048, 0.794
 GRATE_FT, INVERT_FT = (300.0, 900.0), (250.0, 900.0)
+#: Marker and colour of each inlet type, and of all others.
+STYLES = (
+    ("Curb Inlet", "o", "#2e86c1"), ("Grated Inlet", "s", "#e08e45"), ("Slotted Drain", "D", "#7b3294"),
+    ("Trench Drain", "P", "#1a9850"), ("Standard", "^", "#c9a227"), ("Unknown", "X", "#888888"),
+)
+OTHER_STYLE = ("v", "#555555")
+VIEW_URL = "https://www.google.com/maps/@?api=1&map_action=pano&viewpoint=%.6f,%.6f&heading=%.0f"
 
 
 def to_metres(feet: Column, shift: float = DATUM_SHIFT) -> Column:
@@ -22,6 +30,28 @@ def clean(inlets: DataFrame, shift: float = DATUM_SHIFT) -> DataFrame:
     return inlets.withColumn("grate_m", sane("top_of_grate_ft", GRATE_FT)).withColumn("invert_m", sane("invert_ft", INVERT_FT)).withColumn("type", F.coalesce("type_description", F.lit("Unknown")))
 
 
+def styled(inlets: DataFrame) -> DataFrame:
+    """inlets, cleaned, with marker and colour by type."""
+    dimension = inlets.sparkSession.createDataFrame(list(STYLES), "type string, marker string, colour string")
+    known = inlets.join(F.broadcast(dimension), "type", "left")  # the rows of STYLES
+    return known.withColumn("marker", F.coalesce("marker", F.lit(OTHER_STYLE[0]))).withColumn("colour", F.coalesce("colour", F.lit(OTHER_STYLE[1])))
+
+
+def datum_offset(pairs: DataFrame) -> DataFrame:
+    """(median_offset, std_offset, n): how far surveyed grates lie above the terrain, over typed pairs; one row."""
+    x = F.col("grate_m") - F.col("dem_m")
+    spread = pairs.agg(F.bround(F.stddev_samp(x), 6).alias("std_offset"), F.count(x).alias("n"))
+    return spread.join(quantiles(pairs.select(x.alias("x")), "x", (0.5,)), how="left").select(F.bround("q0", 6).alias("median_offset"), "std_offset", "n")  # one row each
+
+
+def view_links(pairs: DataFrame, p: DataFrame, inlets: DataFrame) -> DataFrame:
+    """(street, inlet_id, heading, url): the look from the road point that each inlet snapped to, towards the inlet."""
+    at = pairs.select("street", "inlet_id", "path_idx").join(p.select("street", "path_idx", "easting", "northing"), ["street", "path_idx"]).join(inlets.select("inlet_id", "x", "y"), "inlet_id")
+    (lon, lat), (to_lon, to_lat) = geo.from_utm(F.col("easting"), F.col("northing")), geo.from_utm(F.col("x"), F.col("y"))
+    out = at.select("street", "inlet_id", lon.alias("lon"), lat.alias("lat"), geo.great_circle_bearing(lat, lon, to_lat, to_lon).alias("heading"))
+    return out.select("street", "inlet_id", "heading", F.format_string(VIEW_URL, "lat", "lon", "heading").alias("url"))
+
+
 def snap(inlets: DataFrame, p: DataFrame, reach: float = 30.0) -> DataFrame:
     """(street, inlet_id, path_idx, chainage, offset_m, dem_m, smooth_m): the nearest path point of each street within reach.
 

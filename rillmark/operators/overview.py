@@ -72,15 +72,6 @@ def search(index: DataFrame, pattern: str, street: str = "street") -> DataFrame:
     return index.where(F.lower(street).contains(pattern.lower()) & F.lit(len(pattern) >= 2))
 
 
-def every_nth(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """Rows 0, n, 2n, ... of the order: one range sort, and counts per partition instead of one task for all rows."""
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a partition
-    at = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return placed.join(F.broadcast(starts), "_part").withColumn("_at", at + F.col("_start")).where(F.pmod("_at", F.lit(n)) == 0).drop("_part", "_n", "_start", "_at")
-
-
 def islands(flagged: DataFrame, gap: float = 5.0) -> DataFrame:
     """(street, oid, island, n, x, y): flagged points of a segment with no gap above `gap` between them."""
     w = Window.partitionBy("street", "oid").orderBy("dist_along_m")

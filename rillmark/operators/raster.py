@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .order import quantiles
 
 
 def cell_ids(points: DataFrame, e: str = "easting", n: str = "northing") -> DataFrame:
@@ -27,26 +28,31 @@ def window(cells: DataFrame, west: float, south: float, east: float, north: floa
     return cells.where((F.col("cell_e") >= west) & (F.col("cell_e") < east) & (F.col("cell_n") >= south) & (F.col("cell_n") < north))
 
 
-def in_tiles(points: DataFrame, tiles: DataFrame, inset: float = 1.0) -> DataFrame:
-    """points with each tile that they lie inside of by inset; tiles are a few dozen rows of bounds."""
+def in_tiles(points: DataFrame, tiles: DataFrame, inset: float = 1.0, grid: float = 10_000.0) -> DataFrame:
+    """points with each tile that they lie inside of by inset; both meet in squares of a coarse grid, so the join is on equal keys."""
+    square = lambda c: F.floor(c / grid)
+    t = tiles.withColumn("_ge", F.explode(F.sequence(square(F.col("left_e")), square(F.col("right_e"))))).withColumn("_gn", F.explode(F.sequence(square(F.col("bottom_n")), square(F.col("top_n")))))
     inside = (F.col("easting") >= F.col("left_e") + inset) & (F.col("easting") < F.col("right_e") - inset) & (F.col("northing") >= F.col("bottom_n") + inset) & (F.col("northing") < F.col("top_n") - inset)
-    return points.join(F.broadcast(tiles), inside).drop("left_e", "right_e", "bottom_n", "top_n")
+    met = points.withColumn("_ge", square(F.col("easting"))).withColumn("_gn", square(F.col("northing"))).join(t, ["_ge", "_gn"])
+    return met.where(inside).drop("_ge", "_gn", "left_e", "right_e", "bottom_n", "top_n")
 
 
 def bilinear(placed: DataFrame, cells: DataFrame, *key: str) -> DataFrame:
     """placed with elev_m from the four cells around; null if one of them is missing or null.
 
-    Each point becomes four rows that meet the cells on (tile, cell_e, cell_n); cells that no point needs drop out early.
+    Each point becomes four rows that meet the cells on (tile, cell_e, cell_n); the first of them carries the point's
+    columns, so nothing is joined back.
     """
     fx, fy = F.col("easting") - 0.5, F.col("northing") - 0.5
-    p = placed.withColumn("c0", F.floor(fx).cast("int")).withColumn("r0", F.floor(fy).cast("int")).withColumn("u", fx - F.col("c0")).withColumn("v", fy - F.col("r0"))
-    u, v = F.col("u"), F.col("v")
-    corner = lambda i, j, w: F.struct((F.col("c0") + i).alias("cell_e"), (F.col("r0") + j).alias("cell_n"), w.alias("wt"))
+    p = placed.select(*key, "dem_tile", F.struct(*placed.columns).alias("row"), F.floor(fx).cast("int").alias("c0"), F.floor(fy).cast("int").alias("r0"), fx.alias("fx"), fy.alias("fy"))
+    u, v = F.col("fx") - F.col("c0"), F.col("fy") - F.col("r0")
+    none = F.when(F.lit(False), F.col("row"))
+    corner = lambda i, j, w: F.struct((F.col("c0") + i).alias("cell_e"), (F.col("r0") + j).alias("cell_n"), w.alias("wt"), (F.col("row") if i + j == 0 else none).alias("row"))
     four = F.explode(F.array(corner(0, 0, (1 - u) * (1 - v)), corner(1, 0, u * (1 - v)), corner(0, 1, (1 - u) * v), corner(1, 1, u * v)))
     want = p.select(*key, "dem_tile", four.alias("q")).select(*key, "dem_tile", "q.*")
     got = want.join(cells.select("dem_tile", "cell_e", "cell_n", "elev"), ["dem_tile", "cell_e", "cell_n"], "left")
-    z = got.groupBy(*key, "dem_tile").agg(F.when(F.count("elev") == 4, F.sum(F.col("wt") * F.col("elev"))).alias("elev_m"))
-    return placed.join(z, [*key, "dem_tile"])
+    z = got.groupBy(*key, "dem_tile").agg(F.first("row", ignorenulls=True).alias("row"), F.when(F.count("elev") == 4, F.sum(F.col("wt") * F.col("elev"))).alias("elev_m"))
+    return z.select("row.*", "elev_m")
 
 
 def nearest(placed: DataFrame, cells: DataFrame) -> DataFrame:
@@ -65,9 +71,16 @@ def discontinuity(elev: Column, cell: Column) -> Column:
     return F.bround(F.abs(elev - cell) * 100, 2)
 
 
-def mosaic(cells: DataFrame, tiles: DataFrame) -> DataFrame:
-    """(cell_e, cell_n, elev): the first tile with a value wins."""
-    ranked = cells.where("elev is not null").join(F.broadcast(tiles.select("dem_tile", "tile_rank")), "dem_tile")
+def overlapping(tiles: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
+    """The tiles whose bounds share more than an edge with a box."""
+    return tiles.where((F.col("left_e") < east) & (F.col("right_e") > west) & (F.col("bottom_n") < north) & (F.col("top_n") > south))
+
+
+def mosaic(cells: DataFrame, tiles: DataFrame, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """(cell_e, cell_n, elev): the first tile with a value wins. box (west, south, east, north): only its cells, from the tiles that overlap it."""
+    if box:
+        cells, tiles = window(cells, *box), overlapping(tiles, *box)
+    ranked = cells.where("elev is not null").join(tiles.select("dem_tile", "tile_rank"), "dem_tile")
     return ranked.groupBy("cell_e", "cell_n").agg(F.min_by("elev", "tile_rank").alias("elev"))
 
 
@@ -78,13 +91,17 @@ def coarsen(cells: DataFrame, tiles: DataFrame, res: int = 10) -> DataFrame:
     return mosaic(kept, tiles).withColumn("col", F.floor(F.col("cell_e") / res)).withColumn("row", F.floor(F.col("cell_n") / res)).select("col", "row", "elev")
 
 
-def hillshade(grid: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 3.0, dx: float = 1.0) -> DataFrame:
-    """(cell_e, cell_n, shade): light from azimuth and altitude on the slope; gaps take the median, edges one-sided steps."""
-    mid = grid.agg(F.median("elev").alias("_mid"))
-    g = grid.crossJoin(F.broadcast(mid)).withColumn("z", F.coalesce("elev", "_mid") * exaggeration)  # one row
+def hillshade(grid: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 3.0, dx: float = 1.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., cell_e, cell_n, shade): light from azimuth and altitude on the slope; gaps take the median, edges one-sided steps.
+
+    by: columns of grids that are shaded apart, each with its own median, such as the tile.
+    """
+    mid = quantiles(grid, "elev", (0.5,), by).withColumnRenamed("q0", "_mid")
+    g = grid.join(mid, list(by), "left") if by else grid.crossJoin(mid)  # without by, mid is one row
+    g = g.withColumn("z", F.coalesce("elev", "_mid") * exaggeration)
 
     def slope(line: str, along: str) -> Column:
-        w = Window.partitionBy(line).orderBy(along)
+        w = Window.partitionBy(*by, line).orderBy(along)
         prev = F.when(F.lag(along).over(w) == F.col(along) - 1, F.lag("z").over(w))
         nxt = F.when(F.lead(along).over(w) == F.col(along) + 1, F.lead("z").over(w))
         return F.when(prev.isNotNull() & nxt.isNotNull(), (nxt - prev) / 2).when(nxt.isNotNull(), nxt - F.col("z")).when(prev.isNotNull(), F.col("z") - prev).otherwise(0.0) / dx
@@ -94,9 +111,22 @@ def hillshade(grid: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, e
     light = (math.cos(az) * math.cos(alt), math.sin(az) * math.cos(alt), math.sin(alt))
     s = g.withColumn("gx", gx).withColumn("gy", gy)
     dot = (-F.col("gx") * light[0] - F.col("gy") * light[1] + light[2]) / F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy") + 1)
-    return s.select("cell_e", "cell_n", F.bround(dot, 6).alias("shade"))
+    return s.select(*by, "cell_e", "cell_n", F.bround(dot, 6).alias("shade"))
 
 
 def percentiles(cells: DataFrame, *shares: float) -> DataFrame:
-    got = cells.agg(F.percentile("elev", F.array(*map(F.lit, shares))).alias("p"))
-    return got.select(*(F.bround(F.col("p")[i], 6).alias(f"p{round(s * 100)}") for i, s in enumerate(shares)))
+    return quantiles(cells, "elev", shares).select(*(F.bround(f"q{i}", 6).alias(f"p{round(s * 100)}") for i, s in enumerate(shares)))
+
+
+def join_attributes(points: DataFrame, attributes: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """points with columns of the line that they lie on, null where it has none."""
+    return points.join(attributes.select(key, *columns), key, "left")
+
+
+def window_stats(points: DataFrame, west: float, south: float, east: float, north: float, by: str, disc: str = "elev_disc_cm", threshold: float = 20.0) -> DataFrame:
+    """(by, lo, hi, relief, n_points, n_flagged, n_cells) of the points in a half-open box."""
+    inside = points.where((F.col("easting") >= west) & (F.col("easting") < east) & (F.col("northing") >= south) & (F.col("northing") < north))
+    return cell_ids(inside).groupBy(by).agg(
+        F.min("elev_m").alias("lo"), F.max("elev_m").alias("hi"), (F.max("elev_m") - F.min("elev_m")).alias("relief"), F.count("*").alias("n_points"),
+        F.count_if(F.col(disc) > threshold).alias("n_flagged"), F.count_distinct("cell_e", "cell_n").alias("n_cells"),
+    )

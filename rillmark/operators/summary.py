@@ -98,5 +98,21 @@ def frequency(df: DataFrame, *cols: str) -> DataFrame:
     return df.groupBy(*cols).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *cols)
 
 
-def populated(df: DataFrame, *cols: str) -> DataFrame:
-    return df.agg(F.count("*").alias("n_rows"), *(F.count(c).alias(f"n_{c}") for c in cols))
+def populated(df: DataFrame, cols: tuple[str, ...], x: str, y: str) -> DataFrame:
+    """How many rows have each column, and how many lack a place; one row."""
+    return df.agg(F.count("*").alias("n_rows"), *(F.count(c).alias(f"n_{c}") for c in cols), F.count_if(F.col(x).isNull() | F.col(y).isNull()).alias("n_missing_geometry"))
+
+
+def extent(vertices: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(w, s, e, n, n_vertices); one row."""
+    return vertices.agg(F.min(lon).alias("w"), F.min(lat).alias("s"), F.max(lon).alias("e"), F.max(lat).alias("n"), F.count("*").alias("n_vertices"))
+
+
+#: Metres in a degree of latitude, and of longitude at the equator.
+METRES_LAT, METRES_LON = 110574.0, 111320.0
+
+
+def buffered(box: DataFrame, metres: float = 500.0) -> DataFrame:
+    """An extent grown by metres on each side."""
+    dy, dx = F.lit(metres / METRES_LAT), F.lit(metres) / (F.cos(F.radians((F.col("s") + F.col("n")) / 2)) * METRES_LON)
+    return box.select((F.col("w") - dx).alias("w"), (F.col("s") - dy).alias("s"), (F.col("e") + dx).alias("e"), (F.col("n") + dy).alias("n"))

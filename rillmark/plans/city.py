@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import overview as O
 from ..operators import summary as S
+from ..operators.order import every_nth
 from ..sources.fixtures import ctes, view
 from ._register import Register
 from .geometry import V, lonlat, mercator
@@ -133,7 +134,7 @@ def o9_class_points(spark, sf):
 
 @query(f"with {ctes('fx_points')} select oid, point_index from (select *, row_number() over (order by oid, point_index)-1 as n from fx_points) where n%25=0")
 def o10_every_nth(spark, sf):
-    return O.every_nth(view(spark, sf, "fx_points").select("oid", "point_index"), 25, "oid", "point_index")
+    return every_nth(view(spark, sf, "fx_points").select("oid", "point_index"), 25, "oid", "point_index")
 
 
 ASPECT = repr(O.MAP_ASPECT)

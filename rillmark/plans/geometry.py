@@ -193,6 +193,20 @@ def a1_geojson_lines(spark, sf):
     return f.select("oid", F.col("properties")["FunctionalClass"].alias("cls"), F.size("coords").alias("n_vertices"), F.array_min(F.transform("coords", lambda c: c["lon"])).alias("min_lon"))
 
 
+@query(f"{V}, k as (select oid, {KIND} as kind, count(*) as n, min(lon) as w from fx_vertices group by oid) select oid, concat('class ', oid%5) as cls, cast(n as int) as n_vertices, w as min_lon from k where kind='LineString'")
+def a1_feature_collections(spark, sf):
+    many = _geojson(spark, sf).groupBy((F.col("oid") % 40).alias("doc")).agg(F.collect_list(F.regexp_replace("json", "^\ufeff", "")).alias("f"))
+    documents = many.select(F.concat(F.lit('\ufeff{"type":"FeatureCollection","features":['), F.array_join("f", ","), F.lit("]}")).alias("json"))
+    f = A.geojson_lines(documents)
+    return f.select("oid", F.col("properties")["FunctionalClass"].alias("cls"), F.size("coords").alias("n_vertices"), F.array_min(F.transform("coords", lambda c: c["lon"])).alias("min_lon"))
+
+
+@query(f"""{V}, k as (select oid, {KIND} as kind from fx_vertices group by oid) select cast(oid as varchar) as "OBJECTID", null::varchar as "FullStreetName", null::varchar as "StreetName", null::varchar as "StreetType", null::varchar as "PrefixDir", null::varchar as "SuffixDir",
+ concat('class ', oid%5) as "FunctionalClass", null::varchar as "RoadType", null::varchar as "GlobalID" from k where kind='LineString'""")
+def g7_full_attributes(spark, sf):
+    return A.with_attributes(A.geojson_lines(_geojson(spark, sf)), A.FULL_ATTRIBUTES).select(*A.FULL_ATTRIBUTES)
+
+
 def _esri(spark, sf):
     i = view(spark, sf, "fx_inlets")
     geometry = F.when(F.col("inlet_id") % 9 != 4, F.struct("x", "y"))
@@ -224,6 +238,14 @@ def a3_page_audit(spark, sf):
     return A.audit_pages(_pages(spark, sf))
 
 
+_ITEMS = "with i as (select p_partkey as pos, concat(p_name,' ',p_type) as title, case when p_partkey%23=0 then '' else concat('http://x/',p_name,'/',p_partkey%400) end as url, case when p_partkey%5=0 then null else cast(p_retailprice*100 as bigint) end as bytes from part)"
+
+
+@query(f"{_ITEMS} select count(*) as tiles, cast(sum(coalesce(bytes,0)) as bigint) as bytes from (select *, row_number() over (partition by url order by pos) as n from i where url<>'' and contains(title,'ring')) where n=1")
+def a7_total(spark, sf):
+    return A.catalogue_total(a7_tile_catalogue(spark, sf))
+
+
 @query("""with i as (select p_partkey as pos, concat(p_name,' ',p_type) as title, case when p_partkey%23=0 then '' else concat('http://x/',p_name,'/',p_partkey%400) end as url, case when p_partkey%5=0 then null else cast(p_retailprice*100 as bigint) end as bytes from part)
 select pos, title, url, coalesce(bytes,0) as bytes from (select *, row_number() over (partition by url order by pos) as n from i where url<>'' and contains(title,'ring')) where n=1""")
 def a7_tile_catalogue(spark, sf):
@@ -239,18 +261,15 @@ def k3_geojson_features(spark, sf):
     return A.geojson_features(i, "lon", "lat", "inlet_id")
 
 
-@query(f"with {ctes('fx_rpoints', 'fx_tiles')} select count(*) as n_points, 'EPSG:26910' as crs, (select string_agg(dem_tile, ',' order by dem_tile) from fx_tiles) as tiles, count(distinct street) as n_streets from fx_rpoints")
+@query(f"with {ctes('fx_cells')} select count(*) as rows, 'EPSG:26910' as crs, (select string_agg(distinct dem_tile, ',' order by dem_tile) from fx_cells) as tiles, 'one row a cell' as notes, 'metres' as elev from fx_cells")
 def k4_run_meta(spark, sf):
-    tiles = view(spark, sf, "fx_tiles").agg(F.array_join(F.sort_array(F.collect_set("dem_tile")), ",").alias("tiles"))
-    p = view(spark, sf, "fx_rpoints").agg(F.count("*").alias("n_points"), F.count_distinct("street").alias("n_streets"))
-    return p.crossJoin(F.broadcast(tiles)).select("n_points", F.lit("EPSG:26910").alias("crs"), "tiles", "n_streets")  # one row each
+    m = A.run_metadata(view(spark, sf, "fx_cells"), "EPSG:26910", notes=("one row a cell",), columns={"elev": "metres"})
+    return m.select("rows", "crs", F.array_join("tiles", ",").alias("tiles"), F.array_join("notes", ";").alias("notes"), F.col("columns")["elev"].alias("elev"))
 
 
 @query(f"{V}, k as (select distinct oid, {KIND} as kind from fx_vertices) select kind, count(*) as n, count(*) filter (kind is distinct from 'LineString') as n_stray from k group by kind")
 def q1_geom_types(spark, sf):
-    f = _geojson(spark, sf).select(F.from_json(F.regexp_replace("json", "^﻿", ""), A.LINE_FEATURE).alias("f"))
-    f = f.select(F.col("f.geometry.type").alias("kind"))
-    return f.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(~F.col("kind").eqNullSafe("LineString")).alias("n_stray"))
+    return A.geometry_types(_geojson(spark, sf))
 
 
 @query(f"with {ctes('fx_inlets')} select type_description, count(*) as n from fx_inlets group by all")
@@ -265,17 +284,15 @@ def q3_pair_freq(spark, sf):
 
 @query(f"with {ctes('fx_inlets')} select count(*) as n_rows, count(top_of_grate_ft) as n_top_of_grate_ft, count(invert_ft) as n_invert_ft, count(type_description) as n_type_description, count(*) filter (x is null or y is null) as n_missing_geometry from fx_inlets")
 def q4_populated(spark, sf):
-    i = view(spark, sf, "fx_inlets")
-    return i.agg(F.count("*").alias("n_rows"), *(F.count(c).alias(f"n_{c}") for c in ("top_of_grate_ft", "invert_ft", "type_description")), F.count_if(F.col("x").isNull() | F.col("y").isNull()).alias("n_missing_geometry"))
+    return S.populated(view(spark, sf, "fx_inlets"), ("top_of_grate_ft", "invert_ft", "type_description"), "x", "y")
 
 
 @query(f"{V} select min(lon) as w, min(lat) as s, max(lon) as e, max(lat) as n, count(*) as n_vertices from fx_vertices")
 def q5_extent(spark, sf):
-    return view(spark, sf, "fx_vertices").agg(F.min("lon").alias("w"), F.min("lat").alias("s"), F.max("lon").alias("e"), F.max("lat").alias("n"), F.count("*").alias("n_vertices"))
+    return S.extent(view(spark, sf, "fx_vertices"))
 
 
 @query(f"{V}, b as (select min(lon) as w, min(lat) as s, max(lon) as e, max(lat) as n from fx_vertices), d as (select *, 500/110574e0 as dy, 500/(111320e0*cos(radians((s+n)/2))) as dx from b) select round_even(w-dx,7) as w, round_even(s-dy,7) as s, round_even(e+dx,7) as e, round_even(n+dy,7) as n from d")
 def q6_buffered_extent(spark, sf):
-    b = q5_extent(spark, sf)
-    dy, dx = F.lit(500 / 110574.0), F.lit(500.0) / (F.cos(F.radians((F.col("s") + F.col("n")) / 2)) * 111320.0)
-    return b.select(*_r(("w", F.col("w") - dx), ("s", F.col("s") - dy), ("e", F.col("e") + dx), ("n", F.col("n") + dy), k=7))
+    b = S.buffered(S.extent(view(spark, sf, "fx_vertices")), 500.0)
+    return b.select(*_r(*((c, F.col(c)) for c in "wsen"), k=7))

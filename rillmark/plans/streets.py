@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..operators import sags as D
 from ..operators import summary as S
 from ..sources.fixtures import ctes, table, view
 from ._register import Register
+from .geometry import lonlat
 
 query = Register()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -79,8 +82,34 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "fx_points")
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
+def _keep(spark: SparkSession, name: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several parts of a query read, persisted once a session, whichever queries ask for it; release() lets all go.
+
+    A lost part is computed again from the tables.
+    """
+    key = (id(spark._jsparkSession), *name)
+    if key not in _kept or not _kept[key].is_cached:
+        _kept[key] = make().persist()
+    return _kept[key]
+
+
+def release() -> None:
+    for df in _kept.values():
+        df.unpersist()
+    _kept.clear()
+
+
+def _path(spark: SparkSession, sf: str) -> DataFrame:
+    """Points in path order; segments are chained once, whatever windows smooth them."""
+    p = _points(spark, sf)
+    return _keep(spark, (sf, "path"), lambda: C.path(p, C.with_runs(C.chain(C.segment_ends(p)))))
+
+
 def _profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return C.profiles(_points(spark, sf), window)
+    return C.smooth(_path(spark, sf), window)
 
 
 def _pairs(spark: SparkSession, sf: str, p: DataFrame) -> DataFrame:
@@ -92,12 +121,10 @@ def _typed_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _analysis(spark: SparkSession, sf: str, window: float = 25.0) -> tuple[DataFrame, ...]:
-    """(profile, numbered pairs, sags, served sags).
-
-    All four read the profile, so it is kept; a lost part is computed again from the tables.
-    """
-    p = _profile(spark, sf, window).persist()
-    pairs, sags = _pairs(spark, sf, p).persist(), D.find_sags(p).persist()
+    """(profile, numbered pairs, sags, served sags); all four read the profile, so it is kept, and so are pairs and sags."""
+    p = _keep(spark, (sf, "profile", window), lambda: _profile(spark, sf, window))
+    pairs = _keep(spark, (sf, "pairs", window), lambda: _pairs(spark, sf, p))
+    sags = _keep(spark, (sf, "sags", window), lambda: D.find_sags(p))
     return p, pairs, sags, I.served(I.candidates(sags, pairs))
 
 
@@ -208,15 +235,10 @@ def i1_clean(spark, sf):
     return I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", F.bround("grate_m", 6).alias("grate_m"), F.bround("invert_m", 6).alias("invert_m"), "type")
 
 
-#: Marker and colour of the known inlet types.
-STYLES = (("Curb Inlet", "triangle", "#d62728"), ("Grated Inlet", "square", "#1f77b4"), ("Unknown", "circle", "#7f7f7f"))
-
-
-@query(f"with {ctes('fx_inlets')}, {CLEAN} select inlet_id, type, case type when 'Curb Inlet' then 'triangle' when 'Grated Inlet' then 'square' when 'Unknown' then 'circle' else 'diamond' end as marker, case type when 'Curb Inlet' then '#d62728' when 'Grated Inlet' then '#1f77b4' when 'Unknown' then '#7f7f7f' else '#9467bd' end as colour from clean")
+@query(f"""with {ctes('fx_inlets')}, {CLEAN}, style(type, marker, colour) as (values ('Curb Inlet','o','#2e86c1'), ('Grated Inlet','s','#e08e45'), ('Slotted Drain','D','#7b3294'), ('Trench Drain','P','#1a9850'), ('Standard','^','#c9a227'), ('Unknown','X','#888888'))
+select inlet_id, clean.type, coalesce(marker,'v') as marker, coalesce(colour,'#555555') as colour from clean left join style on style.type=clean.type""")
 def i3_type_style(spark, sf):
-    style = spark.createDataFrame(list(STYLES), "type string, marker string, colour string")
-    out = I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", "type").join(F.broadcast(style), "type", "left")
-    return out.select("inlet_id", "type", F.coalesce("marker", F.lit("diamond")).alias("marker"), F.coalesce("colour", F.lit("#9467bd")).alias("colour"))
+    return I.styled(I.clean(view(spark, sf, "fx_inlets"))).select("inlet_id", "type", "marker", "colour")
 
 
 @query(f"{PAIRS} select street, inlet_id, path_idx, round_even(chainage,6) as chainage, round_even(offset_m,6) as offset_m from pairs")
@@ -237,20 +259,20 @@ def i7_type_breakdown(spark, sf):
 
 @query(f"{PAIRS}, {CLEAN} select round_even(median(grate_m-dem_m),6) as median_offset, round_even(stddev_samp(grate_m-dem_m),6) as std_offset, count(grate_m-dem_m) as n from pairs join clean on pairs.inlet_id=clean.inlet_id")
 def i8_datum_offset(spark, sf):
-    x = F.col("grate_m") - F.col("dem_m")
-    return _typed_pairs(spark, sf).agg(F.bround(F.median(x), 6).alias("median_offset"), F.bround(F.stddev_samp(x), 6).alias("std_offset"), F.count(x).alias("n"))
+    return I.datum_offset(_typed_pairs(spark, sf))
 
 
-@query()
+_LO, _LA = lonlat("s.easting", "s.northing")
+_ILO, _ILA = lonlat("i.x", "i.y")
+_BEARING = "atan2(sin(radians(b.lon2-b.lon))*cos(radians(b.lat2)), cos(radians(b.lat))*sin(radians(b.lat2))-sin(radians(b.lat))*cos(radians(b.lat2))*cos(radians(b.lon2-b.lon)))"
+
+
+@query(f"""{PAIRS}, b as (select p.street, p.inlet_id, {_LO} as lon, {_LA} as lat, {_ILO} as lon2, {_ILA} as lat2 from pairs p join sm s on s.street=p.street and s.path_idx=p.path_idx join fx_inlets i on i.inlet_id=p.inlet_id),
+h as (select *, case when degrees({_BEARING})<0 then degrees({_BEARING})+360e0 else degrees({_BEARING}) end as h from b)
+select street, inlet_id, round_even(h,3) as heading, printf('https://www.google.com/maps/@?api=1&map_action=pano&viewpoint=%.6f,%.6f&heading=%.0f', lat, lon, h) as url from h""")
 def i9_view_link(spark, sf):
-    from ..functions import geo
-
-    p = _profile(spark, sf).select("street", "path_idx", "easting", "northing")
-    at = _pairs(spark, sf, _profile(spark, sf)).select("street", "inlet_id", "path_idx").join(p, ["street", "path_idx"]).join(view(spark, sf, "fx_inlets").select("inlet_id", "x", "y"), "inlet_id")
-    (lo, la), (ilo, ila) = geo.from_utm(F.col("easting"), F.col("northing")), geo.from_utm(F.col("x"), F.col("y"))
-    out = at.select("street", "inlet_id", lo.alias("lon"), la.alias("lat"), geo.great_circle_bearing(la, lo, ila, ilo).alias("h"))
-    url = F.format_string("https://www.google.com/maps/@?api=1&map_action=pano&viewpoint=%.6f,%.6f&heading=%.0f", "lat", "lon", "h")
-    return out.select("street", "inlet_id", F.bround("h", 3).alias("heading"), url.alias("url"))
+    p = _keep(spark, (sf, "profile", 25.0), lambda: _profile(spark, sf))
+    return I.view_links(_pairs(spark, sf, p), p, view(spark, sf, "fx_inlets")).select("street", "inlet_id", F.bround("heading", 3).alias("heading"), "url")
 
 
 @query(f"{SERVE} select street, sag_num, pick from picks")

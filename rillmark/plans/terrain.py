@@ -61,7 +61,15 @@ def r5_nearest(spark, sf):
     return R.nearest(R.in_tiles(p, t), c).select("oid", "point_index", "dem_tile", "elev_cell_m")
 
 
-@query(f"{BASE}, {BIL}, near as (select p.oid, p.point_index, p.dem_tile, elev as elev_cell_m from placed p left join fx_cells c on c.dem_tile=p.dem_tile and c.cell_e=round_even(easting-0.5,0) and c.cell_n=round_even(northing-0.5,0)), d as (select b.oid, b.point_index, b.dem_tile, round_even(abs(elev_m-elev_cell_m)*100,2) as elev_disc_cm from bil b join near n on b.oid=n.oid and b.point_index=n.point_index and b.dem_tile=n.dem_tile) select *, coalesce(elev_disc_cm>20,false) as flagged from d")
+@query(f"""{BASE}, {PLACED}, cell as materialized (select dem_tile, cast(cell_e as bigint)*10000000+cell_n as id, elev from fx_cells),
+sh as (select oid, point_index, dem_tile, cast(floor(easting-5e-1) as bigint) as c0, cast(floor(northing-5e-1) as bigint) as r0, easting-5e-1-floor(easting-5e-1) as u, northing-5e-1-floor(northing-5e-1) as v,
+ cast(round_even(easting-5e-1,0) as bigint)*10000000+cast(round_even(northing-5e-1,0) as bigint) as at from placed),
+four as materialized (select oid, point_index, dem_tile, c0*10000000+r0 as id, (1-u)*(1-v) as wt from sh union all select oid, point_index, dem_tile, (c0+1)*10000000+r0, u*(1-v) from sh
+ union all select oid, point_index, dem_tile, c0*10000000+r0+1, (1-u)*v from sh union all select oid, point_index, dem_tile, (c0+1)*10000000+r0+1, u*v from sh),
+bil as (select oid, point_index, f.dem_tile, case when count(elev)=4 then sum(wt*elev) end as elev_m from four f left join cell c on c.dem_tile=f.dem_tile and c.id=f.id group by all),
+near as (select oid, point_index, s.dem_tile, elev as elev_cell_m from sh s left join cell c on c.dem_tile=s.dem_tile and c.id=s.at),
+d as (select b.oid, b.point_index, b.dem_tile, round_even(abs(elev_m-elev_cell_m)*100,2) as elev_disc_cm from bil b join near n on b.oid=n.oid and b.point_index=n.point_index and b.dem_tile=n.dem_tile)
+select *, coalesce(elev_disc_cm>20,false) as flagged from d""")
 def r6_discontinuity(spark, sf):
     p, t, c = _views(spark, sf)
     s = R.nearest(R.bilinear(R.in_tiles(p, t), c, "oid", "point_index"), c).withColumn("elev_disc_cm", R.discontinuity(F.col("elev_m"), F.col("elev_cell_m")))
@@ -70,8 +78,8 @@ def r6_discontinuity(spark, sf):
 
 @query(f"with {ctes('fx_rpoints')} select r.oid, r.point_index, s.cls from fx_rpoints r left join (select oid, cls from fx_segments where oid%10<>0) s on r.oid=s.oid")
 def r7_attr_join(spark, sf):
-    attrs = view(spark, sf, "fx_segments").where("oid % 10 <> 0").select("oid", "cls")
-    return view(spark, sf, "fx_rpoints").join(attrs, "oid", "left").select("oid", "point_index", "cls")
+    attrs = view(spark, sf, "fx_segments").where("oid % 10 <> 0")
+    return R.join_attributes(view(spark, sf, "fx_rpoints"), attrs, "oid", ("cls",)).select("oid", "point_index", "cls")
 
 
 @query(f"{BASE}, {MOSAIC} select * from mos")
@@ -80,19 +88,25 @@ def r8_mosaic(spark, sf):
     return R.mosaic(c, t)
 
 
+@query(f"""{BASE}, {MOSAIC.replace("fx_tiles t on", "(select * from fx_tiles where left_e<610300 and right_e>609900 and bottom_n<4175000 and top_n>4169000) t on").replace("where elev", "where cell_e>=609900 and cell_e<610300 and cell_n>=4169000 and cell_n<4175000 and elev")} select * from mos""")
+def j9_window_mosaic(spark, sf):
+    _, t, c = _views(spark, sf)
+    return R.mosaic(c, t, (609900, 4169000, 610300, 4175000))
+
+
 @query(f"{BASE}, {MOSAIC} select cast(floor(cell_e/10e0) as bigint) as col, cast(floor(cell_n/10e0) as bigint) as row, elev from mos where cell_e%10=5 and cell_n%10=5")
 def r9_coarsen(spark, sf):
     _, t, c = _views(spark, sf)
     return R.coarsen(c, t)
 
 
-@query(f"""{BASE}, g0 as (select cell_e, cell_n, elev from fx_cells where dem_tile='tile_a'), g as (select cell_e, cell_n, 3*coalesce(elev,(select median(elev) from g0)) as z from g0),
+@query(f"""{BASE}, mid as (select dem_tile, median(elev) as m from fx_cells group by dem_tile), g as (select c.dem_tile, cell_e, cell_n, 3*coalesce(elev,m) as z from fx_cells c join mid on c.dem_tile=mid.dem_tile),
 n as (select *, case when lag(cell_e) over x=cell_e-1 then lag(z) over x end as zw, case when lead(cell_e) over x=cell_e+1 then lead(z) over x end as ze, case when lag(cell_n) over y=cell_n-1 then lag(z) over y end as zs, case when lead(cell_n) over y=cell_n+1 then lead(z) over y end as zn
- from g window x as (partition by cell_n order by cell_e), y as (partition by cell_e order by cell_n)),
-s as (select cell_e, cell_n, coalesce((ze-zw)/2, ze-z, z-zw, 0) as gx, coalesce((zn-zs)/2, zn-z, z-zs, 0) as gy from n)
-select cell_e, cell_n, round_even((-gx*cos(radians(-225))*cos(radians(45))-gy*sin(radians(-225))*cos(radians(45))+sin(radians(45)))/sqrt(gx*gx+gy*gy+1),6) as shade from s""")
+ from g window x as (partition by dem_tile, cell_n order by cell_e), y as (partition by dem_tile, cell_e order by cell_n)),
+s as (select dem_tile, cell_e, cell_n, coalesce((ze-zw)/2, ze-z, z-zw, 0) as gx, coalesce((zn-zs)/2, zn-z, z-zs, 0) as gy from n)
+select dem_tile, cell_e, cell_n, round_even((-gx*cos(radians(-225))*cos(radians(45))-gy*sin(radians(-225))*cos(radians(45))+sin(radians(45)))/sqrt(gx*gx+gy*gy+1),6) as shade from s""")
 def r10_hillshade(spark, sf):
-    return R.hillshade(view(spark, sf, "fx_cells").where("dem_tile = 'tile_a'"))
+    return R.hillshade(view(spark, sf, "fx_cells"), by=("dem_tile",))
 
 
 @query(f"{BASE} select round_even(quantile_cont(elev,0.02),6) as p2, round_even(quantile_cont(elev,0.5),6) as p50, round_even(quantile_cont(elev,0.98),6) as p98 from fx_cells")
@@ -103,8 +117,4 @@ def r11_percentiles(spark, sf):
 @query(f"""with {ctes("fx_points")} select street, min(elev_m) as lo, max(elev_m) as hi, max(elev_m)-min(elev_m) as relief, count(*) as n_points, count(*) filter (elev_disc_cm>20) as n_flagged, count(distinct (floor(easting), floor(northing))) as n_cells
 from fx_points where easting>=600000 and easting<605000 and northing>=4170000 and northing<4174000 group by street""")
 def r12_window_stats(spark, sf):
-    p = R.cell_ids(view(spark, sf, "fx_points").where("easting >= 600000 and easting < 605000 and northing >= 4170000 and northing < 4174000"))
-    return p.groupBy("street").agg(
-        F.min("elev_m").alias("lo"), F.max("elev_m").alias("hi"), (F.max("elev_m") - F.min("elev_m")).alias("relief"), F.count("*").alias("n_points"),
-        F.count_if(F.col("elev_disc_cm") > 20).alias("n_flagged"), F.count_distinct("cell_e", "cell_n").alias("n_cells"),
-    )
+    return R.window_stats(view(spark, sf, "fx_points"), 600000, 4170000, 605000, 4174000, "street")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LINE_FEATURE = "type string, properties map<string,string>, geometry struct<type:string,coordinates:array<array<double>>>"
@@ -11,12 +11,30 @@ PAGE = "features array<string>, exceededTransferLimit boolean, properties struct
 
 
 def _clean(json: Column) -> Column:
-    return F.ltrim(F.lit("﻿"), json) if False else F.regexp_replace(json, "^﻿", "")
+    return F.regexp_replace(json, "^﻿", "")
+
+
+def geometry_types(rows: DataFrame, json: str = "json", wanted: str = "LineString") -> DataFrame:
+    """(kind, n, n_stray): features by type of geometry, null where they have none, and how many are not of the wanted type."""
+    kinds = features_of(rows, json).select(F.from_json("json", LINE_FEATURE)["geometry"]["type"].alias("kind"))
+    return kinds.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(~F.col("kind").eqNullSafe(wanted)).alias("n_stray"))
+
+
+def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(json): the text of each file of a folder, one document a file."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("json"))
+
+
+def features_of(documents: DataFrame, json: str = "json") -> DataFrame:
+    """(json): one row a feature; a FeatureCollection gives all of its features, any other document itself."""
+    d = documents.select(_clean(F.col(json)).alias("json"))
+    many = F.from_json("json", "type string, features array<string>")
+    return d.select("json", many.alias("m")).select(F.explode(F.when(F.col("m.type") == "FeatureCollection", F.coalesce("m.features", F.array().cast("array<string>"))).otherwise(F.array("json"))).alias("json"))
 
 
 def geojson_lines(rows: DataFrame, json: str = "json") -> DataFrame:
-    """(oid, properties, coords) of the LineString features of JSON text rows; a byte-order mark is tolerated."""
-    f = rows.select(F.from_json(_clean(F.col(json)), LINE_FEATURE).alias("f"))
+    """(oid, properties, coords) of the LineString features of JSON text rows, each a feature or a FeatureCollection; a byte-order mark is tolerated."""
+    f = features_of(rows, json).select(F.from_json("json", LINE_FEATURE).alias("f"))
     return f.where("f.geometry.type = 'LineString'").select(
         F.col("f.properties")["OBJECTID"].cast("long").alias("oid"),
         F.col("f.properties").alias("properties"),
@@ -24,6 +42,29 @@ def geojson_lines(rows: DataFrame, json: str = "json") -> DataFrame:
     )
 
 
+#: The attributes of a centerline, all of them and those that points carry.
+FULL_ATTRIBUTES = ("OBJECTID", "FullStreetName", "StreetName", "StreetType", "PrefixDir", "SuffixDir", "FunctionalClass", "RoadType", "GlobalID")
+SLIM_ATTRIBUTES = ("OBJECTID", "FullStreetName")
+
+
+def with_attributes(lines: DataFrame, names: tuple[str, ...] = SLIM_ATTRIBUTES) -> DataFrame:
+    """lines with the named attributes as columns instead of the map of all."""
+    return lines.select("*", *(F.col("properties")[n].alias(n) for n in names)).drop("properties")
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """A CSV file with a header and the schema given, nothing inferred; only the columns, if any are named."""
+    df = spark.read.option("header", True).schema(schema).csv(path)
+    return df.select(*columns) if columns else df
+
+
+def read_parquet(spark: SparkSession, path: str, columns: tuple[str, ...] = (), schema: str | None = None) -> DataFrame:
+    """A Parquet table, with the schema if it is given; only the columns, if any are named, reach the scan."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
+    return df.select(*columns) if columns else df
+
+
 def esri_points(rows: DataFrame, fields: dict[str, str], json: str = "json") -> DataFrame:
     """The named attributes with lon and lat of Esri point features; a missing geometry gives nulls."""
     f = rows.select(F.from_json(_clean(F.col(json)), POINT_FEATURE).alias("f"))
@@ -58,6 +99,24 @@ def catalogue_tiles(items: DataFrame, project: str = "") -> DataFrame:
     return chosen.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n").withColumn("bytes", F.coalesce("bytes", F.lit(0)))
 
 
+def catalogue_total(tiles: DataFrame) -> DataFrame:
+    """(tiles, bytes) of chosen tiles; one row."""
+    return tiles.agg(F.count("*").alias("tiles"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+
+
+def run_metadata(points: DataFrame, crs: str, tile: str = "dem_tile", notes: tuple[str, ...] = (), columns: dict[str, str] | None = None, stamp: bool = False) -> DataFrame:
+    """One row that describes a table of points: rows, CRS, tiles used, notes, what its columns hold, and when, in UTC."""
+    documented = F.create_map(*(F.lit(x) for pair in (columns or {}).items() for x in pair)) if columns else F.create_map().cast("map<string,string>")
+    row = points.agg(F.count("*").alias("rows"), F.sort_array(F.collect_set(tile)).alias("tiles"))  # tiles are few
+    row = row.withColumn("crs", F.lit(crs)).withColumn("notes", F.array(*map(F.lit, notes)).cast("array<string>")).withColumn("columns", documented)
+    return row.withColumn("written_utc", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")) if stamp else row
+
+
+def write_metadata(metadata: DataFrame, path: str) -> None:
+    """One JSON document, beside the table that it describes."""
+    metadata.coalesce(1).write.json(path)  # one row
+
+
 def geojson_features(points: DataFrame, lon: str, lat: str, *properties: str) -> DataFrame:
     """One GeoJSON Feature a row as text; rows without coordinates are left out."""
     feature = F.struct(
