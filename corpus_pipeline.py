@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm import cube_mix, hilbert, jaccard_skip, kn_langid, minhash_contain
-from rillmark.llm.common import forget, saved
+from rillmark.llm.common import forget, free_name, saved
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,22 +29,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kn_langid.keep_accepted(docs, model)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, number) of docs, each row as one value with a number, written so that every later read sees the same ones."""
-    return saved(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
-
-
-def _whole(rows: DataFrame, names: list[str]) -> DataFrame:
-    return rows.select(*(F.col("row").getField(c).alias(c) for c in names))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs, written with a number of each row, so that every later read sees the same ones, and the name of its column."""
+    number = free_name(docs, "number")
+    return saved(docs.withColumn(number, F.monotonically_increasing_id()), "rows"), number
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    groups = jaccard_skip.linked_documents(rows.select("number", F.col("row.text").alias("text")), k=5, percent=80, id_col="number")
-    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("tie"), "number")
-    named = groups.join(rows.select("number", order.alias("first")), "number")
-    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select("first.number")
-    return _whole(rows.join(first, "number", "left_semi"), docs.columns)
+    rows, n = _numbered(docs)
+    number = F.col(n).alias("number")
+    groups = jaccard_skip.linked_documents(rows.select(number, "text"), k=5, percent=80, id_col="number")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), number)
+    named = groups.join(rows.select(number, order.alias("first")), "number")
+    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select(F.col("first.number").alias(n))
+    return rows.join(first, n, "left_semi").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,11 +51,11 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    units = rows.select(F.coalesce("row.doc_id", F.lit(-1)).alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text"), "number")
-    copies = cube_mix.mix_sources(units, carried=("number",)).where("copies > 0").select("number", F.col("copies").cast("int").alias("copies"))
-    taken = rows.join(copies, "number").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return _whole(taken, docs.columns)
+    rows, n = _numbered(docs)
+    units = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "source", "text", F.col(n).alias("number"))
+    times = free_name(docs, "copies")
+    copies = cube_mix.mix_sources(units, carried=("number",)).where("copies > 0").select(F.col("number").alias(n), F.col("copies").cast("int").alias(times))
+    return rows.join(copies, n).withColumn(free_name(docs, "copy"), F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or the first of name_, name__, ... that is no column of df in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset and all of Spark is on this machine, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.rillmark.scratch", None)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
 from .vectors import mix
 
 ORDER = 4
@@ -402,14 +403,15 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 def keep_accepted(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, whose text is accepted by a language model that was not fitted on it; one pass, no shuffle."""
-    rows = docs.select(_half(id_col).alias("half"), F.struct("*").alias("row"))
+    half_col = free_name(docs, "half")
+    rows = docs.withColumn(half_col, _half(id_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            at, half = 0, batch.column("half").to_numpy()
-            texts = batch.column("row").field(text_col)
-            for (part,) in zip(_chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"]))[1], strict=True):
+            at, half = 0, batch.column(half_col).to_numpy()
+            texts = batch.column(text_col)
+            for part in _chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"]))[1]:
                 for h in (0, 1):
                     mine = np.flatnonzero(half[at : at + len(part)] == h)
                     if len(mine):
@@ -418,7 +420,6 @@ def keep_accepted(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
                         e, letters = entropies(used, some) if used else (None, letter_counts(some))
                         keep[at + mine] = ~rejected(used, e, letters)
                 at += len(part)
-            yield batch.select(["row"]).filter(pa.array(keep))
+            yield batch.drop_columns([half_col]).filter(pa.array(keep))
 
-    kept = rows.mapInArrow(run, rows.select("row").schema)
-    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    return rows.mapInArrow(run, docs.schema)

@@ -82,7 +82,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: int = 1 << 22) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: int = 1 << 20) -> np.ndarray:
     """Hash of each word; bytes of a long text are read in runs of about `long`, so the sums stay small."""
     out = np.empty(len(starts), np.uint64)
     a = 0
