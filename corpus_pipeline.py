@@ -41,8 +41,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_skip.linked_documents(rows.select(number, "text"), k=5, percent=80, id_col="number")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), number)
     named = groups.join(rows.select(number, order.alias("first")), "number")
-    first = named.groupBy("component_id").agg(F.min("first").alias("first")).select(F.col("first.number").alias(n))
-    return rows.join(first, n, "left_semi").select(*docs.columns)
+    first = named.groupBy("component_id").agg(F.min("first").alias("least")).select("component_id", F.col("least.number").alias("stays"))
+    gone = saved(named.join(first, "component_id").where("number <> stays").select(F.col("number").alias(n)), "gone")
+    # Rows that are surely not among those that go need no shuffle.
+    mark = free_name(rows, "likely")
+    looked = jaccard_skip.marked(rows, gone, n, mark)
+    return looked.where(~F.col(mark)).select(*docs.columns).unionAll(looked.where(mark).join(gone, n, "left_anti").select(*docs.columns))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

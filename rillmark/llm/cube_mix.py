@@ -9,7 +9,9 @@ Blocks hold a bounded number of documents, so a source with a third of all rows
 choices come from a seed, the source and the block: reruns agree.
 
 Defined results: a null or wordless text has size 0 and a null source is a source of its own, the last; a source
-without words has target 0; repeated rows are separate documents; an empty table gives an empty result.
+without words has target 0; repeated rows are separate documents, also without an id; of rows that are alike it does not
+matter which are taken; whole texts count, however long; an empty table gives an empty result; only doc_id, source, text
+and the carried columns are read, so others may have any name.
 """
 
 from __future__ import annotations

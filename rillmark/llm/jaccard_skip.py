@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, forget, saved
+from .common import components, forget, free_name, saved
 from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashes, words
 
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
@@ -48,8 +48,8 @@ REMEMBERED = 1 << 20
 SIGNATURE = 256
 #: Most leaders of a list, and the members that a list has more than to choose another one.
 ROUNDS, LARGE = 4, 1000
-#: Bits of the filter of documents whose sets are fetched: 1 MB.
-BITS = 1 << 23
+#: Bits of the filter of rows that are looked for: 4 MB.
+BITS = 1 << 25
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -240,34 +240,53 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """docs without most of the rows that are not wanted, so that their texts are not shuffled.
+def marked(rows: DataFrame, wanted: DataFrame, id_col: str, mark: str) -> DataFrame:
+    """rows with whether their id may be among those of wanted: false for almost all that are not, so these need no join.
 
     The filter is a bitmap of BITS bits, whatever the input; where it fills up, it only lets more rows through.
     """
-    cell = F.pmod(F.xxhash64("doc"), F.lit(BITS))
+    cell = F.pmod(F.xxhash64(id_col), F.lit(BITS))
     bits = wanted.select(cell.alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
-    held = docs.withColumn("_cell", cell).withColumn("bucket", F.bitmap_bucket_number("_cell")).join(F.broadcast(bits), "bucket")
-    place = F.bitmap_bit_position("_cell")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return held.where(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1).select(*docs.columns)
+    at, bucket, held = (free_name(rows, n) for n in ("cell", "bucket", "bits"))
+    bits = bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(held))
+    placed = rows.withColumn(at, cell).withColumn(bucket, F.bitmap_bucket_number(at)).join(F.broadcast(bits), bucket, "left")
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(held, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return placed.withColumn(mark, F.coalesce(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1, F.lit(False))).drop(at, bucket, held)
 
 
 def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) -> DataFrame:
-    """(key, body): the sets of the keys, each once, from one text of each."""
+    """(key, body): the sets of the keys, from one text of each; from rows that are alike a set may come more than once."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of the last REMEMBERED keys, for rows that are alike
         for batch in batches:
+            want = batch.column("key").to_numpy(zero_copy_only=False)
+            at = 0
             for _, hashes, offsets in _sets(batch, k):
-                raw = pa.array([packed(hashes[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), raw], names=["key", "body"])
+                own = _keys(hashes, offsets).view(np.int64)
+                mine = [i for i, (x, y) in enumerate(zip(own.tolist(), want[at : at + len(own)].tolist(), strict=True)) if x == y and x not in seen and not seen.add(x)]
+                at += len(own)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                if mine:
+                    yield pa.RecordBatch.from_arrays([pa.array(own[mine]), pa.array([packed(hashes[offsets[i] : offsets[i + 1]]) for i in mine], pa.binary())], names=["key", "body"])
 
-    wanted = members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi")
-    # The keys of rows that share a doc_id are told apart by their sets; a set is kept once. Sets that only rows without
-    # an id hold are among those of all such rows.
-    named = _likely(docs, wanted).join(wanted.select("doc").distinct(), "doc").select("text")
-    texts = named.union(docs.where("doc is null").select("text")).mapInArrow(fetch, "key long, body binary")
-    return saved(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "bodies")
+    def fetch_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, hashes, offsets in _sets(batch, k):
+                bodies = pa.array([packed(hashes[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), bodies], names=["key", "body"])
+
+    wanted = saved(members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi"), "fetched")
+    # A row is told from others of its doc_id by the key of its set.
+    parts = [marked(docs, wanted, "doc", "likely").where("likely").join(wanted, "doc").select("text", "key").mapInArrow(fetch, "key long, body binary")]
+    if wanted.where("doc is null").limit(1).count():  # sets that only rows without an id hold are among those of all such rows
+        bare = docs.where("doc is null").select("text").mapInArrow(fetch_all, "key long, body binary")
+        parts.append(bare.join(wanted.where("doc is null").select("key"), "key", "left_semi").dropDuplicates(["key"]))
+    out = saved(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "bodies")
+    forget(wanted)
+    return out
 
 
 def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int, near: int = 0) -> DataFrame:
@@ -275,7 +294,7 @@ def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: D
     bounds = saved(bounded(pairs, signatures, near or percent), "bounds")
     left = bounds.where("can").select("a", "b")
     bodies = set_bodies(docs, members, saved(left.select(F.col("a").alias("key")).union(left.select("b")).distinct(), "wanted"), k)
-    exact = verified(left, bodies, percent, near).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked", "n", "apart")
+    exact = verified(left, bodies, percent, near).dropDuplicates(["a", "b"]).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked", "n", "apart")
     none = (F.lit(1.0).alias("most"), F.lit(False).alias("linked"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<long>").alias("apart"))
     out = saved(bounds.where("not can").select("a", "b", "least", *none).union(exact), "settled")
     forget(bounds, bodies)

@@ -6,8 +6,9 @@ counting, and adds what is left as a run of level 0. When a level holds `fanout`
 the next level, and hashes that reach the threshold move to the settled run.
 
 Defined results: a null text counts as one empty line; empty lines (keys shorter than `min_chars`) always stay; a line
-repeated within one document counts that document once; repeated rows of one doc_id are separate documents; an empty
-table gives an empty result; columns other than id and text are ignored.
+repeated within one document counts that document once; repeated rows of one doc_id are separate documents, also where
+they are alike or have no id; texts are split as a whole, however long; an empty table gives an empty result; only the
+id and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ Items are the query set; they are read in blocks of bounded size, each broadcast
 never shuffled.
 
 Defined results: an item shorter than k words counts as the one shingle of all its words; null and empty items match
-nothing, nor do null and empty texts; repeated items and documents give repeated pairs only as often as the rows repeat.
+nothing, nor do null and empty texts; repeated items and documents give repeated pairs only as often as the rows repeat,
+with or without an id; an item that just reaches the threshold counts; texts are read as a whole, however long; an empty
+table of either kind gives an empty result; only the id and text columns are read, so others may have any name, and
+without_items() keeps them.
 """
 
 from __future__ import annotations
