@@ -25,6 +25,13 @@ def class_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c, i, w) for i, (c, w) in enumerate(CLASSES)], "cls string, draw_rank int, width double")
 
 
+def class_points(points: DataFrame, name: str) -> DataFrame:
+    """(cls, draw_rank, n): points of each class in draw order; null is unclassified, but a class that is not known is not drawn."""
+    p = points.select(F.coalesce(name, F.lit(UNCLASSIFIED)).alias("cls"))
+    known = F.broadcast(class_dimension(points.sparkSession).select("cls", "draw_rank"))  # nine rows
+    return p.join(known, "cls").groupBy("cls", "draw_rank").agg(F.count("*").alias("n")).orderBy("draw_rank")
+
+
 def sag_bin(n: Column) -> Column:
     """struct(bin, label, colour, floor) of a sag count."""
     out = None

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..operators import charts as V_
 from ..operators import overview as O
 from ..operators import summary as S
 from ..operators.order import every_nth
 from ..sources.fixtures import ctes, view
 from ._register import Register
 from .geometry import V, lonlat, mercator
-from .streets import CAND, INDEX, PAIRS, SM, TWO, _index, _pairs, _profile, variants
+from .streets import CAND, INDEX, PAIRS, SM, TWO, _index, _profile, _typed_pairs, variants
 
 query = Register()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -127,9 +128,7 @@ def o8_search(spark, sf):
 
 @query(f"with {ctes('fx_points')}, c as (select coalesce({CLS}, '(unclassified)') as cls from fx_points) select cls, cast(case cls " + " ".join(f"when '{c}' then {i}" for i, (c, _) in enumerate(O.CLASSES)) + " end as int) as draw_rank, count(*) as n from c where cls <> 'Alley' group by 1, 2")
 def o9_class_points(spark, sf):
-    p = _named(view(spark, sf, "fx_points")).select(F.coalesce("class_name", F.lit(O.UNCLASSIFIED)).alias("cls"))
-    dim = O.class_dimension(spark).select("cls", "draw_rank")
-    return p.join(F.broadcast(dim), "cls").groupBy("cls", "draw_rank").agg(F.count("*").alias("n")).orderBy("draw_rank")  # nine rows
+    return O.class_points(_named(view(spark, sf, "fx_points")), "class_name")
 
 
 @query(f"with {ctes('fx_points')} select oid, point_index from (select *, row_number() over (order by oid, point_index)-1 as n from fx_points) where n%25=0")
@@ -148,14 +147,6 @@ def o11_viewport(spark, sf):
 
 # ---- chart scales ----
 
-#: Metres per pixel to choose from, sizes in pixels, padding.
-H_LADDER = (0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0, 200.0)
-MAP_LADDER = (0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0)
-PROFILE_W, PROFILE_H, MAP_W, MAP_H = (420.0, 1400.0), (200.0, 900.0), (420.0, 1200.0), (320.0, 1000.0)
-V_MPP, PAD_SHARE, PAD = 0.02, 0.6, (60.0, 250.0)
-EQUATOR = 40075016.686
-
-
 def ladder_sql(ladder: tuple[float, ...], test: str) -> str:
     return f"coalesce(list_filter([{', '.join(f'{x}e0' for x in ladder)}], lambda t: {test})[1], {ladder[-1]}e0)"
 
@@ -165,29 +156,14 @@ RANGE = """rng as (select sm.street, max(d) as length, least(min(elev_m), min(c.
 CLEANED = """clean as (select inlet_id, case when top_of_grate_ft between 300 and 900 then top_of_grate_ft*0.3048e0+0.794e0 end as grate_m, case when invert_ft between 250 and 900 then invert_ft*0.3048e0+0.794e0 end as invert_m from fx_inlets)"""
 
 
-def _range(spark, sf):
-    """(street, length, lo, hi): chainage and elevations of a street, its inlets' included."""
-    from ..operators import inlets as I
-
-    p = _profile(spark, sf)
-    near = _pairs(spark, sf, p).join(I.clean(view(spark, sf, "fx_inlets")), "inlet_id").groupBy("street").agg(F.min(F.least("grate_m", "invert_m")).alias("a"), F.max(F.greatest("grate_m", "invert_m")).alias("b"))
-    own = p.groupBy("street").agg(F.max("d").alias("length"), F.min("elev_m").alias("z0"), F.max("elev_m").alias("z1"))
-    return own.join(near, "street", "left").select("street", "length", F.least("z0", "a").alias("lo"), F.greatest("z1", "b").alias("hi"))
-
-
-@query(f"""{PAIRS}, {CLEANED}, {RANGE}, a as (select street, length, lo, hi, {ladder_sql(H_LADDER, "length/t<=1400")} as h, greatest(hi-lo,0.05e0)*1.06e0 as need from rng),
+@query(f"""{PAIRS}, {CLEANED}, {RANGE}, a as (select street, length, lo, hi, {ladder_sql(V_.H_LADDER, "length/t<=1400")} as h, greatest(hi-lo,0.05e0)*1.06e0 as need from rng),
 b as (select *, least(greatest(need/0.02e0,200),900) as px from a), c as (select *, case when need/0.02e0<=900 then 0.02e0 else need/px end as v from b)
 select street, h as h_mpp, round_even(least(greatest(length/h,420),1400),3) as width_px, round_even(v,6) as v_mpp, round_even(px,3) as height_px, round_even((lo+hi)/2-px*v/2,6) as y_low, round_even((lo+hi)/2+px*v/2,6) as y_high,
  round_even(lo-greatest(0.06e0*(hi-lo),0.15e0),6) as page_low, round_even(hi+greatest(0.06e0*(hi-lo),0.15e0),6) as page_high from c""")
 def v1_profile_scale(spark, sf):
-    r = _range(spark, sf).withColumn("h_mpp", geo.first_step(H_LADDER, lambda t: F.col("length") / t <= PROFILE_W[1]))
-    r = r.withColumn("need", F.greatest(F.col("hi") - F.col("lo"), F.lit(0.05)) * 1.06).withColumn("px", geo.clip(F.col("need") / V_MPP, *PROFILE_H))
-    r = r.withColumn("v", F.when(F.col("need") / V_MPP <= PROFILE_H[1], F.lit(V_MPP)).otherwise(F.col("need") / F.col("px")))
-    mid, half, pad = (F.col("lo") + F.col("hi")) / 2, F.col("px") * F.col("v") / 2, F.greatest((F.col("hi") - F.col("lo")) * 0.06, F.lit(0.15))
-    return r.select(
-        "street", "h_mpp", F.bround(geo.clip(F.col("length") / F.col("h_mpp"), *PROFILE_W), 3).alias("width_px"), F.bround("v", 6).alias("v_mpp"), F.bround("px", 3).alias("height_px"),
-        F.bround(mid - half, 6).alias("y_low"), F.bround(mid + half, 6).alias("y_high"), F.bround(F.col("lo") - pad, 6).alias("page_low"), F.bround(F.col("hi") + pad, 6).alias("page_high"),
-    )
+    r = V_.profile_scale(V_.value_range(_profile(spark, sf), _typed_pairs(spark, sf)))
+    places = {"width_px": 3, "v_mpp": 6, "height_px": 3, "y_low": 6, "y_high": 6, "page_low": 6, "page_high": 6}
+    return r.select("street", "h_mpp", *(F.bround(c, k).alias(c) for c, k in places.items()))
 
 
 G4 = lonlat("easting", "northing")
@@ -196,27 +172,25 @@ M4 = mercator("lon", "lat")
 
 @query(f"""{SM}, g as (select street, {G4[0]} as lon, {G4[1]} as lat from sm), m as (select street, lat, {M4[0]} as mx, {M4[1]} as my from g),
 e as (select street, greatest((max(mx)-min(mx))*cos(radians(avg(lat))),1) as gx, greatest((max(my)-min(my))*cos(radians(avg(lat))),1) as gy from m group by street),
-p as (select *, least(greatest(0.6e0*greatest(gx,gy),60),250) as pad from e), x as (select street, pad, gx+2*pad as ex, gy+2*pad as ey from p), y as (select *, {ladder_sql(MAP_LADDER, "ex/t<=1200 and ey/t<=1000")} as mpp from x)
+p as (select *, least(greatest(0.6e0*greatest(gx,gy),60),250) as pad from e), x as (select street, pad, gx+2*pad as ex, gy+2*pad as ey from p), y as (select *, {ladder_sql(V_.MAP_LADDER, "ex/t<=1200 and ey/t<=1000")} as mpp from x)
 select street, round_even(pad,2) as pad_m, mpp as m_mpp, round_even(least(greatest(ex/mpp,420),1200),1) as width_px, round_even(least(greatest(ey/mpp,320),1000),1) as height_px, cast(least(greatest(round_even(log2(3*40075016.686e0/greatest(ex,ey)),0),12),18) as int) as zoom from y""")
 def v3_map_scale(spark, sf):
-    lon, lat = geo.from_utm(F.col("easting"), F.col("northing"))
-    g = _profile(spark, sf).select("street", lon.alias("lon"), lat.alias("lat"))
-    mx, my = geo.to_mercator(F.col("lon"), F.col("lat"))
-    e = g.select("street", "lat", mx.alias("mx"), my.alias("my")).groupBy("street").agg(F.cos(F.radians(F.avg("lat"))).alias("c"), (F.max("mx") - F.min("mx")).alias("w"), (F.max("my") - F.min("my")).alias("h"))
-    e = e.withColumn("gx", F.greatest(F.col("w") * F.col("c"), F.lit(1.0))).withColumn("gy", F.greatest(F.col("h") * F.col("c"), F.lit(1.0)))
-    e = e.withColumn("pad", geo.clip(F.greatest("gx", "gy") * PAD_SHARE, *PAD)).withColumn("ex", F.col("gx") + F.col("pad") * 2).withColumn("ey", F.col("gy") + F.col("pad") * 2)
-    e = e.withColumn("m_mpp", geo.first_step(MAP_LADDER, lambda t: (F.col("ex") / t <= MAP_W[1]) & (F.col("ey") / t <= MAP_H[1])))
-    zoom = geo.clip(F.rint(F.log2(F.lit(3 * EQUATOR) / F.greatest("ex", "ey"))), 12.0, 18.0).cast("int")
-    return e.select("street", F.bround("pad", 2).alias("pad_m"), "m_mpp", F.bround(geo.clip(F.col("ex") / F.col("m_mpp"), *MAP_W), 1).alias("width_px"), F.bround(geo.clip(F.col("ey") / F.col("m_mpp"), *MAP_H), 1).alias("height_px"), zoom.alias("zoom"))
+    m = V_.map_scale(V_.mercator_box(_profile(spark, sf)))
+    return m.select("street", F.bround("pad_m", 2).alias("pad_m"), "m_mpp", F.bround("width_px", 1).alias("width_px"), F.bround("height_px", 1).alias("height_px"), "zoom")
+
+
+@query(f"""{SM}, g as (select street, {G4[0]} as lon, {G4[1]} as lat from sm), m as (select street, {M4[0]} as mx, {M4[1]} as my from g),
+e as (select street, min(mx) as x0, max(mx) as x1, min(my) as y0, max(my) as y1 from m group by street), p as (select *, least(greatest(0.6e0*greatest(x1-x0,y1-y0),60),250) as pad from e)
+select street, round_even(x0-pad,3) as x_low, round_even(x1+pad,3) as x_high, round_even(y0-pad,3) as y_low, round_even(y1+pad,3) as y_high from p""")
+def v6_page_box(spark, sf):
+    b = V_.page_box(V_.mercator_box(_profile(spark, sf)))
+    return b.select("street", *(F.bround(c, 3).alias(c) for c in ("x_low", "x_high", "y_low", "y_high")))
 
 
 @query(f"{V}, b as (select oid%20 as grp, min(lon) as a, max(lon) as b, min(lat) as c, max(lat) as d from fx_vertices group by 1) select grp, round_even(least(log2(1400e0*360/(256*greatest(b-a,1e-9))), log2(800e0*360/(256*greatest(d-c,1e-9)/cos(radians((c+d)/2)))))-0.6e0,6) as zoom from b")
 def v5_fit_zoom(spark, sf):
     b = view(spark, sf, "fx_vertices").groupBy((F.col("oid") % 20).alias("grp")).agg(F.min("lon").alias("a"), F.max("lon").alias("b"), F.min("lat").alias("c"), F.max("lat").alias("d"))
-    sx = F.greatest(F.col("b") - F.col("a"), F.lit(1e-9))
-    sy = F.greatest(F.col("d") - F.col("c"), F.lit(1e-9)) / F.cos(F.radians((F.col("c") + F.col("d")) / 2))
-    fit = lambda view_px, span: F.log2(F.lit(view_px * 360) / (span * 256))
-    return b.select("grp", F.bround(F.least(fit(1400.0, sx), fit(800.0, sy)) - 0.6, 6).alias("zoom"))
+    return b.select("grp", F.bround(V_.fit_zoom(F.col("a"), F.col("b"), F.col("c"), F.col("d")), 6).alias("zoom"))
 
 
 # ---- flagged-cell clusters ----
@@ -248,6 +222,4 @@ def l3_merge(spark, sf):
 
 @query(f"with {ctes('fx_points')} select street, floor(min(easting)-60) as w, floor(min(northing)-60) as s, ceil(max(easting)+60) as e, ceil(max(northing)+60) as n, max(northing)-min(northing)+120>1.6e0*(max(easting)-min(easting)+120) as tall from fx_points group by street")
 def l4_street_window(spark, sf):
-    b = view(spark, sf, "fx_points").groupBy("street").agg(F.min("easting").alias("a"), F.min("northing").alias("b"), F.max("easting").alias("c"), F.max("northing").alias("d"))
-    down, up = (lambda c: F.floor(F.col(c) - 60).cast("double")), (lambda c: F.ceil(F.col(c) + 60).cast("double"))
-    return b.select("street", down("a").alias("w"), down("b").alias("s"), up("c").alias("e"), up("d").alias("n"), (F.col("d") - F.col("b") + 120 > (F.col("c") - F.col("a") + 120) * 1.6).alias("tall"))
+    return V_.street_window(view(spark, sf, "fx_points"))

@@ -85,7 +85,7 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 _kept: dict[tuple, DataFrame] = {}
 
 
-def _keep(spark: SparkSession, name: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+def keep(spark: SparkSession, name: tuple, make: Callable[[], DataFrame]) -> DataFrame:
     """A table that several parts of a query read, persisted once a session, whichever queries ask for it; release() lets all go.
 
     A lost part is computed again from the tables.
@@ -105,11 +105,12 @@ def release() -> None:
 def _path(spark: SparkSession, sf: str) -> DataFrame:
     """Points in path order; segments are chained once, whatever windows smooth them."""
     p = _points(spark, sf)
-    return _keep(spark, (sf, "path"), lambda: C.path(p, C.with_runs(C.chain(C.segment_ends(p)))))
+    return keep(spark, (sf, "path"), lambda: C.path(p, C.with_runs(C.chain(C.segment_ends(p)))))
 
 
-def _profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return C.smooth(_path(spark, sf), window)
+def _profile(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    """The smoothed path; shared: other windows are read, too, so the path is kept."""
+    return C.smooth(_path(spark, sf), window) if shared else C.profiles(_points(spark, sf), window)
 
 
 def _pairs(spark: SparkSession, sf: str, p: DataFrame) -> DataFrame:
@@ -120,21 +121,21 @@ def _typed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf, _profile(spark, sf)).join(I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", "grate_m", "invert_m", "type"), "inlet_id")
 
 
-def _analysis(spark: SparkSession, sf: str, window: float = 25.0) -> tuple[DataFrame, ...]:
+def _analysis(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> tuple[DataFrame, ...]:
     """(profile, numbered pairs, sags, served sags); all four read the profile, so it is kept, and so are pairs and sags."""
-    p = _keep(spark, (sf, "profile", window), lambda: _profile(spark, sf, window))
-    pairs = _keep(spark, (sf, "pairs", window), lambda: _pairs(spark, sf, p))
-    sags = _keep(spark, (sf, "sags", window), lambda: D.find_sags(p))
+    p = keep(spark, (sf, "profile", window), lambda: _profile(spark, sf, window, shared))
+    pairs = keep(spark, (sf, "pairs", window), lambda: _pairs(spark, sf, p))
+    sags = keep(spark, (sf, "sags", window), lambda: D.find_sags(p))
     return p, pairs, sags, I.served(I.candidates(sags, pairs))
 
 
-def _index(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return S.street_index(*_analysis(spark, sf, window))
+def _index(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    return S.street_index(*_analysis(spark, sf, window, shared))
 
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     """The street index with 25 and 10 m of smoothing, in long form."""
-    return _index(spark, sf, 25.0).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0).withColumn("variant", F.lit("m10")))
+    return _index(spark, sf, 25.0, True).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0, True).withColumn("variant", F.lit("m10")))
 
 
 @query(f"with {PATH} select street, oid, min_by(easting, point_index) as e0, min_by(northing, point_index) as n0, max_by(easting, point_index) as e1, max_by(northing, point_index) as n1 from fx_points group by street, oid")
@@ -271,7 +272,7 @@ _BEARING = "atan2(sin(radians(b.lon2-b.lon))*cos(radians(b.lat2)), cos(radians(b
 h as (select *, case when degrees({_BEARING})<0 then degrees({_BEARING})+360e0 else degrees({_BEARING}) end as h from b)
 select street, inlet_id, round_even(h,3) as heading, printf('https://www.google.com/maps/@?api=1&map_action=pano&viewpoint=%.6f,%.6f&heading=%.0f', lat, lon, h) as url from h""")
 def i9_view_link(spark, sf):
-    p = _keep(spark, (sf, "profile", 25.0), lambda: _profile(spark, sf))
+    p = keep(spark, (sf, "profile", 25.0), lambda: _profile(spark, sf))
     return I.view_links(_pairs(spark, sf, p), p, view(spark, sf, "fx_inlets")).select("street", "inlet_id", F.bround("heading", 3).alias("heading"), "url")
 
 
@@ -365,4 +366,4 @@ TWO = f"""with {PATH},\n{smoothed(12, 12, 8, "sm")},\n{smoothed(5, 4, 3, "smb")}
 @query(f"""{TWO} select cast(sum(a.n_sags) as bigint) as sags_a, cast(sum(b.n_sags) as bigint) as sags_b, cast(sum(a.n_unserved) as bigint) as unserved_a, cast(sum(b.n_unserved) as bigint) as unserved_b,
  count(*) filter (a.n_sags is distinct from b.n_sags or a.n_unserved is distinct from b.n_unserved) as streets_differ from idx a full join idxb b on a.street=b.street""")
 def s8_variant_diff(spark, sf):
-    return S.variant_diff(_index(spark, sf, 25.0), _index(spark, sf, 10.0))
+    return S.variant_diff(_index(spark, sf, 25.0, True), _index(spark, sf, 10.0, True))

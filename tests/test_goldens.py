@@ -201,3 +201,85 @@ def analysis(spark, tiny, points):
     p = C.profiles(points)
     pairs, sags = I.number(I.snap(view(spark, tiny, "fx_inlets"), p)), D.find_sags(p)
     return p, pairs, sags, I.served(I.candidates(sags, pairs))
+
+
+def test_exact_quantiles_by_groups(spark):
+    import numpy as np
+
+    from rillmark.operators.order import quantiles
+
+    rng = np.random.default_rng(3)
+    rows = [("a", float(x)) for x in rng.normal(size=301)] + [("b", float(x)) for x in rng.integers(0, 4, 500)] + [("c", 7.0), ("d", None), ("e", 1e9), ("e", -1e9)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    shares = (0.0, 0.02, 0.5, 0.77, 1.0)
+    for bins in (1, 7, 1024):
+        got = {r[0]: list(r)[1:] for r in quantiles(df, "v", shares, ("g",), bins=bins).collect()}
+        for g in "abce":
+            want = np.quantile([v for k, v in rows if k == g], shares)
+            assert np.allclose(got[g], want)
+        assert "d" not in got
+        whole = list(quantiles(df, "v", shares, bins=bins).first())
+        assert np.allclose(whole, np.quantile([v for _, v in rows if v is not None], shares))
+
+
+def test_every_nth_is_the_nth_of_the_order(spark):
+    from rillmark.operators.order import every_nth
+
+    rows = [(i % 37, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    for bins in (1, 4, 256):
+        got = sorted((r.a, r.b) for r in every_nth(df, 9, "a", "b", bins=bins).collect())
+        assert got == sorted(rows)[::9]
+
+
+def test_chain_and_junctions_against_plain_loops(spark):
+    """Random segments, with ties and near ends, against the rules written as loops."""
+    import math
+    import random
+
+    from rillmark.operators import profile as C
+
+    rng = random.Random(6)
+    streets, rows = {}, []
+    for s in range(12):
+        segments = []
+        for oid in rng.sample(range(1000), rng.randrange(1, 12)):
+            x, y = (round(rng.uniform(0, 60)) + rng.choice((0.0, 0.0, 0.5, 1.5)) for _ in range(2))
+            u, v = x + rng.choice((-20, 0, 20)), y + rng.choice((-20, 0, 20, 1))
+            segments.append((oid, x, y, u, v))
+            rows += [(f"s{s}", oid, 0.0, x, y), (f"s{s}", oid, 30.0, u, v)]
+        streets[f"s{s}"] = sorted(segments)
+    points = spark.createDataFrame(rows, "street string, oid long, dist_along_m double, easting double, northing double")
+    ends = C.segment_ends(points)
+    nodes, chained = {}, {}
+    for r in C.junctions(ends).orderBy("street", "node").collect():
+        nodes.setdefault(r.street, []).append((r.x, r.y, r.degree))
+    for r in C.chain(ends).orderBy("street", "seq").collect():
+        chained.setdefault(r.street, []).append((r.oid, r.flip, r.gap_m))
+    for name, segments in streets.items():
+        seeds = []
+        for oid, x, y, u, v in segments:
+            for p in ((x, y), (u, v)):
+                home = next((g for g in seeds if math.sqrt((g[0][0] - p[0]) ** 2 + (g[0][1] - p[1]) ** 2) < 2.0), None)
+                if home is None:
+                    seeds.append([p])
+                else:
+                    home.append(p)
+        want = [(sum(p[0] for p in g) / len(g), sum(p[1] for p in g) / len(g), len(g)) for g in seeds]
+        assert nodes[name] == want
+        xs, ys = [c for _, x, _, u, _ in segments for c in (x, u)], [c for _, _, y, _, v in segments for c in (y, v)]
+        open_ = [w for w in want if w[2] == 1] or want
+        here = (min(open_, key=lambda w: w[0]) if max(xs) - min(xs) >= max(ys) - min(ys) else max(open_, key=lambda w: w[1]))[:2]
+        left, out = list(segments), []
+        while left:
+            best = None
+            for s in left:
+                for end, p in ((0, s[1:3]), (1, s[3:5])):
+                    d = math.sqrt((p[0] - here[0]) ** 2 + (p[1] - here[1]) ** 2)
+                    if best is None or d < best[0]:
+                        best = (d, s, end)
+            d, s, end = best
+            out.append((s[0], end == 1, d if out else 0.0))
+            here = s[1:3] if end else s[3:5]
+            left.remove(s)
+        assert chained[name] == out

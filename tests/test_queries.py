@@ -41,6 +41,24 @@ def test_totals(spark, tiny):
     assert all(re.search(r"viewpoint=37\.\d{6},-121\.\d{6}&heading=\d+$", r.url) for r in QUERIES["i9_view_link"](spark, tiny).collect())
 
 
+def test_lineage_fits_together(spark, tiny):
+    from rillmark.plans import lineage
+
+    got = {r.street: r for r in QUERIES["lineage_street_index"](spark, tiny).collect()}
+    p = lineage.points(spark, tiny)
+    n = {r.street: r["count"] for r in p.groupBy("street").count().collect()}
+    ends = {r.street: r.total for r in p.groupBy("street", "oid").agg({"dist_along_m": "max"}).groupBy("street").agg({"max(dist_along_m)": "sum"}).toDF("street", "total").collect()}
+    assert {s: r.n_points for s, r in got.items()} == n
+    assert all(r.length_m >= 0.98 * ends[s] and r.n_served + r.n_unserved == r.n_sags for s, r in got.items())
+    assert sum(r.n_sags for r in got.values()) > 10 and sum(r.n_served for r in got.values()) > 0
+
+
+def test_sample_is_drawn_from_the_candidates(spark, tiny):
+    sample = [r.street for r in QUERIES["s6_sample"](spark, tiny).collect()]
+    among = {r.street for r in QUERIES["s6_candidates"](spark, tiny).collect()}
+    assert len(sample) == len(set(sample)) == min(8, len(among)) and set(sample) <= among
+
+
 def test_no_cross_product_or_python_on_the_point_path(spark, tiny):
     plan = QUERIES[FLAGSHIP](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in re.sub(r"FlatMapGroupsInPandas", "", plan)
