@@ -31,7 +31,7 @@ table gives an empty result; only the id and text columns are read, so others ma
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,8 @@ from .common import components, forget, free_name, saved
 from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashes, words
 
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
+#: Groups that the tasks' counts of a block of cells are summed in first.
+SUM_PARTS = 1024
 #: Keys of sets that a task remembers, so as not to index an equal set again; beyond that it starts anew.
 REMEMBERED = 1 << 20
 #: Cells of a set's signature, each one byte that stays at 255.
@@ -52,14 +54,14 @@ ROUNDS, LARGE = 4, 1000
 BITS = 1 << 25
 
 
-def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def set_hashes(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for a, _, data, offsets in text_slices(batch, "text"):
         low = LOWER[data]
         starts, ends, at = words(low, offsets)
         yield a, *shingle_sets(word_hashes(low, starts, ends), at, k)
 
 
-def _keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def set_keys_of(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each set; 0 for an empty one."""
     n = np.diff(offsets)
     out = np.zeros(len(n), np.uint64)
@@ -101,23 +103,26 @@ def set_keys(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
         names = ["doc", "n", "key", "signature", "block", "cells"]
         for batch in batches:
             ids = batch.column("doc")
-            for a, hashes, offsets in _sets(batch, k):
+            for a, hashes, offsets in set_hashes(batch, k):
                 cells += np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
                 rows = len(offsets) - 1
-                yield pa.RecordBatch.from_arrays([ids.slice(a, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(_keys(hashes, offsets).view(np.int64)), _signatures(hashes, offsets), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(set_keys_of(hashes, offsets).view(np.int64)), _signatures(hashes, offsets), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if cells.any():
             n = CELLS // CELL_BLOCK
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].astype(np.uint32).tobytes() for i in range(n)], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].tobytes() for i in range(n)], pa.binary())], names=names)
 
     table = saved(docs.select("doc", "text").mapInArrow(run, "doc long, n int, key long, signature binary, block int, cells binary"), "sets")
 
     def add(pdf):
         import pandas as pd
 
-        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in pdf["cells"])
+        total = sum(np.frombuffer(x, np.int64) for x in pdf["cells"])
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "cells": [total.tobytes()]})
 
-    summed = table.where("block is not null").select("block", "cells").groupBy("block").applyInPandas(add, "block int, cells binary")
+    # In two steps, so that no group has a row of every task.
+    rows = table.where("block is not null").select("block", "cells")
+    part = rows.groupBy("block", F.spark_partition_id() % SUM_PARTS).applyInPandas(add, "block int, cells binary")
+    summed = part.groupBy("block").applyInPandas(add, "block int, cells binary")
     counts = np.zeros(CELLS, np.int64)
     for r in summed.collect():  # CELLS numbers, whatever the input
         counts[r.block * CELL_BLOCK : (r.block + 1) * CELL_BLOCK] = np.frombuffer(r.cells, np.int64)
@@ -133,8 +138,8 @@ def prefixes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = ranks.value, set()
         for batch in batches:
-            for _, hashes, offsets in _sets(batch, k):
-                n, keys = np.diff(offsets), _keys(hashes, offsets).view(np.int64)
+            for _, hashes, offsets in set_hashes(batch, k):
+                n, keys = np.diff(offsets), set_keys_of(hashes, offsets).view(np.int64)
                 fresh = np.zeros(len(n), bool)
                 for i, key in enumerate(keys.tolist()):
                     if key not in seen:
@@ -174,9 +179,9 @@ def _blocks(members: DataFrame, label: str) -> DataFrame:
     return members.groupBy("token", "n", "at", "balls").agg(F.min(label).alias("low"), F.max(label).alias("high"))
 
 
-def index_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, key, n, at): the index without the members that no other one of their list can link with."""
-    index = saved(prefixes(docs, k, percent, counts), "index")
+def index_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """(token, key, n, at): the entries without the members that no other one of their list can link with."""
+    index = saved(entries, "index")
     shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
     forget(index)
@@ -204,6 +209,10 @@ def bounded(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(run, "a long, b long, least double, can boolean")
 
 
+#: Makes (a, b, least, can) of (pairs, signatures, percent), as bounded() does.
+Bound = Callable[[DataFrame, DataFrame, int], DataFrame]
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int, near: int) -> DataFrame:
     """(a, b, distance, linked, n, apart) of the pairs, by exact intersection of their sets; n: the size of b's.
 
@@ -263,8 +272,8 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
         for batch in batches:
             want = batch.column("key").to_numpy(zero_copy_only=False)
             at = 0
-            for _, hashes, offsets in _sets(batch, k):
-                own = _keys(hashes, offsets).view(np.int64)
+            for _, hashes, offsets in set_hashes(batch, k):
+                own = set_keys_of(hashes, offsets).view(np.int64)
                 mine = [i for i, (x, y) in enumerate(zip(own.tolist(), want[at : at + len(own)].tolist(), strict=True)) if x == y and x not in seen and not seen.add(x)]
                 at += len(own)
                 if len(seen) > REMEMBERED:
@@ -274,9 +283,9 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
 
     def fetch_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, hashes, offsets in _sets(batch, k):
+            for _, hashes, offsets in set_hashes(batch, k):
                 bodies = pa.array([packed(hashes[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_keys(hashes, offsets).view(np.int64)), bodies], names=["key", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_keys_of(hashes, offsets).view(np.int64)), bodies], names=["key", "body"])
 
     wanted = saved(members.groupBy("key").agg(F.min("doc").alias("doc")).join(keys, "key", "left_semi"), "fetched")
     # A row is told from others of its doc_id by the key of its set.
@@ -289,9 +298,9 @@ def set_bodies(docs: DataFrame, members: DataFrame, keys: DataFrame, k: int) ->
     return out
 
 
-def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int, near: int = 0) -> DataFrame:
+def settled(pairs: DataFrame, docs: DataFrame, members: DataFrame, signatures: DataFrame, k: int, percent: int, near: int = 0, bound: Bound = bounded) -> DataFrame:
     """(a, b, least, most, linked, n, apart): bounds of the pairs' distances, and whether they link; the bounds are equal where the sets were compared, and then n and apart are as verified() tells them. near: the similarity from which pairs are compared; percent if 0."""
-    bounds = saved(bounded(pairs, signatures, near or percent), "bounds")
+    bounds = saved(bound(pairs, signatures, near or percent), "bounds")
     left = bounds.where("can").select("a", "b")
     bodies = set_bodies(docs, members, saved(left.select(F.col("a").alias("key")).union(left.select("b")).distinct(), "wanted"), k)
     exact = verified(left, bodies, percent, near).dropDuplicates(["a", "b"]).select("a", "b", F.col("distance").alias("least"), F.col("distance").alias("most"), "linked", "n", "apart")
@@ -372,10 +381,14 @@ def _answered(comp: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
 def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(members, component): (doc, n, key) of each document, and (key, top) of the sets that link with another one."""
+    members, counts = set_keys(docs, k)
+    return components_of_lists(docs, members, index_lists(prefixes(docs, k, percent, counts), percent), k, percent)
+
+
+def components_of_lists(docs: DataFrame, members: DataFrame, lists: DataFrame, k: int, percent: int, bound: Bound = bounded) -> tuple[DataFrame, DataFrame]:
+    """(members, component) as of components_of_sets(), from the members (doc, n, key, signature) and lists (token, key, n, at) in which sets that link stand together."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    members, counts = set_keys(docs, k)
-    lists = index_lists(docs, k, percent, counts)
     # A set with few shingles of its own is a good leader, and one for all of its lists.
     own = saved(lists.groupBy("key").agg(F.min("at").alias("own")), "own")
     comp = own.select("key", F.col("key").alias("top"))
@@ -400,7 +413,7 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
         heads = chosen.join(own, "key").groupBy("token").agg(F.min(F.struct("own", F.xxhash64("key").alias("draw"), "key", "n", "at")).alias("head"))
         heads = saved(heads.select("token", F.col("head.key").alias("leader"), F.col("head.n").alias("n2"), F.col("head.at").alias("at2")), "leaders")
         pairs = chosen.join(heads, "token").where((F.col("key") != F.col("leader")) & _can_link(F.col("n"), F.col("at"), F.col("n2"), F.col("at2"), near))
-        known = settled(pairs.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), docs, members, signatures, k, percent, near)
+        known = settled(pairs.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), docs, members, signatures, k, percent, near, bound)
         comp = _answered(comp, known, percent)
         told = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), F.col("least").alias("least_"), F.col("most").alias("most_"), "linked", F.col("apart").isNotNull().alias("in"))
         after = chosen.join(heads.select("token", "leader"), "token").where("key <> leader").join(told, ["key", "leader"], "left").where("not coalesce(linked, false)")
@@ -419,7 +432,7 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
     one_block = (F.col("n") == F.col("n2")) & (F.col("at") == F.col("at2")) & (F.col("balls") == F.col("balls2"))
     pairs = ways.join(left, ["token", "n", "at", "balls"]).join(right, ["token", "n2", "at2", "balls2"])
     pairs = pairs.where((F.col("p_top") != F.col("q_top")) & ~apart & (~one_block | (F.col("p") < F.col("q"))))
-    comp = _joined(comp, settled(pairs.select(*_pair(F.col("p"), F.col("q"))).distinct(), docs, members, signatures, k, percent))
+    comp = _joined(comp, settled(pairs.select(*_pair(F.col("p"), F.col("q"))).distinct(), docs, members, signatures, k, percent, bound=bound))
     forget(held, labelled, ways, signatures)
     if hasattr(comp, "_scratch_path"):  # else no set links, and comp is still read from own
         forget(own)
@@ -443,7 +456,11 @@ def _joined(comp: DataFrame, told: DataFrame) -> DataFrame:
 def linked_documents(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id): the size of each document's set and the smallest id reachable by links."""
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members, comp = components_of_sets(src, k, percent)
+    return by_document(*components_of_sets(src, k, percent), id_col)
+
+
+def by_document(members: DataFrame, comp: DataFrame, id_col: str) -> DataFrame:
+    """(id, n_shingles, component_id) of the members (doc, n, key) and the components (key, top) of sets."""
     rows = members.join(comp, "key", "left").withColumn("top", F.coalesce("top", "key"))
     least = rows.where("n > 0").groupBy("top").agg(F.min("doc").alias("least"))
     return rows.join(least, "top", "left").select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))

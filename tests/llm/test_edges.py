@@ -21,6 +21,8 @@ def awkward(spark, tmp_path_factory):
     page = "<body><article><p>" + "A sentence of a very long page, with words enough to count. " * 40_000 + "</p></article></body>"
     pages = [(1, "u", page, "x"), (None, None, None, "x"), (2, "u", "", "x"), (2, "u", "", "x"), (3, "u", "<p>Short", "x")]
     spark.createDataFrame(pages, "page_id long, url string, html string, text string").write.parquet(f"{out}/pages.parquet")
+    turns = [(1, 0, "user", "hi", "x"), (1, 0, "user", "hi", "x"), (1, None, None, None, "x"), (None, 1, "user", "lost", "x"), (100, None, "", "", "x"), (101, 3, "user", LONG, "x"), (102, 1, "user", "hi", "x")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, node string").repartition(3).write.parquet(f"{out}/conversations.parquet")
     return out
 
 
@@ -31,14 +33,14 @@ def ids(rows, name="doc_id"):
 ALL = [-1, -1, 1, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9]
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op4_html_blocks", "op7_minhash_contain", "pipeline")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op4_html_blocks", "op7_minhash_contain", "op11_turn_trie", "op12_phrase_tries", "pipeline")])
 def test_each_document_gives_a_row(spark, awkward, name):
     got = QUERIES[name](spark, awkward).collect()
     assert ids(got) == ALL
     if name.startswith("op10"):
         same = {r.fingerprint for r in got if r.doc_id in (8, 9)}
         assert len(same) == 1
-    if name.startswith("op6"):
+    if name.startswith(("op6", "op13")):
         of = {}
         for r in got:
             of.setdefault(r.doc_id, set()).add(r.component_id)
@@ -62,3 +64,17 @@ def test_op7(spark, awkward):
 def test_pipeline(spark, awkward):
     got = QUERIES["pipeline"](spark, awkward).collect()
     assert {r.doc_id for r in got} <= {1, 6, 7, None} and {c for c in CLASHING if c not in ("shard", "slot")} <= set(got[0].asDict())
+
+
+def test_op11(spark, awkward):
+    got = QUERIES["op11_turn_trie"](spark, awkward).collect()
+    root = [r for r in got if r.depth == 0]
+    assert [(r.conv_id, r.parent_conv_id, r.n_convs) for r in root] == [(1, None, 4)]
+    assert len({(r.conv_id, r.depth) for r in got}) == len(got) and all(r.n_leaves >= 1 and r.saved_tokens >= 0 for r in got)
+
+
+def test_op12(spark, awkward):
+    """The long text counts in both of its rows; phrases that end at a line end only."""
+    got = {(r.lang, r.phrase): r for r in QUERIES["op12_phrase_tries"](spark, awkward).collect()}
+    assert got["und", "of line"].a == sum(x.count("of line") for x in (LONG,)) and got["en", "of line"].a == LONG[: len(LONG) // 2].count("of line")
+    assert all(r.a >= 100 and r.l >= r.a and r.r >= r.a for r in got.values())
