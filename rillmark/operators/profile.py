@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 
+
 def segment_ends(points: DataFrame, street: str = "street", oid: str = "oid", at: str = "dist_along_m", e: str = "easting", n: str = "northing") -> DataFrame:
     """(street, oid, e0, n0, e1, n1, span of the segment): first and last point of each segment of a named street."""
     return points.where(F.col(street).isNotNull()).groupBy(street, oid).agg(
@@ -15,30 +22,54 @@ def segment_ends(points: DataFrame, street: str = "street", oid: str = "oid", at
     )
 
 
-def _in_order(ends: DataFrame) -> DataFrame:
-    """(street, ends): the two ends of each segment in order of oid, start before end; a few dozen a street."""
-    segment = F.array_sort(F.collect_list(F.struct("oid", "e0", "n0", "e1", "n1")))
-    end = lambda s, k: F.struct(s["oid"].alias("oid"), F.lit(k).alias("end"), s[f"e{k}"].alias("x"), s[f"n{k}"].alias("y"), s[f"e{1 - k}"].alias("far_x"), s[f"n{1 - k}"].alias("far_y"))
-    return ends.groupBy("street").agg(F.flatten(F.transform(segment, lambda s: F.array(end(s, 0), end(s, 1)))).alias("ends"))
+def _segments(ends: DataFrame) -> DataFrame:
+    """(street, segments): the segments of each street in order of oid."""
+    return ends.groupBy("street").agg(F.array_sort(F.collect_list(F.struct("oid", "e0", "n0", "e1", "n1"))).alias("segments"))
+
+
+def _ends_of(segments: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(oid, x, y) of a street's segment ends, start before end."""
+    s = segments.values
+    at = lambda a, b: np.column_stack([s.field(a).to_numpy(), s.field(b).to_numpy()]).ravel()
+    return s.field("oid").to_numpy(), at("e0", "e1"), at("n0", "n1")
+
+
+def _nodes_of(x: list[float], y: list[float], tol: float) -> list[tuple[float, float, int]]:
+    """(x, y, degree) of the nodes; an end looks for earlier nodes in the nine squares of side tol around it."""
+    cells: dict[tuple[int, int], list[int]] = {}
+    nodes: list[list] = []
+    for ex, ey in zip(x, y, strict=True):
+        cx, cy = math.floor(ex / tol), math.floor(ey / tol)
+        near = [k for i in (-1, 0, 1) for j in (-1, 0, 1) for k in cells.get((cx + i, cy + j), ()) if math.sqrt((nodes[k][0] - ex) * (nodes[k][0] - ex) + (nodes[k][1] - ey) * (nodes[k][1] - ey)) < tol]
+        if near:
+            node = nodes[min(near)]
+            node[2], node[3], node[4] = node[2] + ex, node[3] + ey, node[4] + 1
+        else:
+            cells.setdefault((cx, cy), []).append(len(nodes))
+            nodes.append([ex, ey, ex, ey, 1])
+    return [(sx / n, sy / n, n) for _, _, sx, sy, n in nodes]
+
+
+def _all_nodes(batches: Iterator[pa.RecordBatch], tol: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        street, node, rows = [], [], []
+        for name, segments in zip(batch.column("street").to_pylist(), batch.column("segments"), strict=True):
+            _, x, y = _ends_of(segments)
+            found = _nodes_of(x.tolist(), y.tolist(), tol)
+            street += [name] * len(found)
+            node += range(len(found))
+            rows += found
+        xs, ys, degrees = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(street, pa.string()), pa.array(node, pa.int32()), pa.array(xs, pa.float64()), pa.array(ys, pa.float64()), pa.array(degrees, pa.int64())], names=["street", "node", "x", "y", "degree"])
 
 
 def junctions(ends: DataFrame, tol: float = 2.0) -> DataFrame:
     """(street, node, x, y, degree): segment ends that meet, one row a node.
 
     An ordered fold over the ends of a street: each end joins the earliest node whose first end is within tol, so nodes
-    never grow along a chain of ends; a node lies at the mean of its ends.
+    never grow along a chain of ends; a node lies at the mean of its ends. Nodes are looked up in a grid.
     """
-    node = lambda x, y, sx, sy, k: F.struct(x.alias("x"), y.alias("y"), sx.alias("sx"), sy.alias("sy"), k.alias("degree"))
-
-    def meet(nodes: Column, e: Column) -> Column:
-        near = F.filter(F.sequence(F.lit(0), F.size(nodes) - 1), lambda i: geo.planar(F.get(nodes, i)["x"] - e["x"], F.get(nodes, i)["y"] - e["y"]) < tol)
-        first = F.when(F.size(nodes) > 0, F.get(near, F.lit(0)))
-        joined = F.transform(nodes, lambda m, i: F.when(i == first, node(m["x"], m["y"], m["sx"] + e["x"], m["sy"] + e["y"], m["degree"] + 1)).otherwise(m))
-        return F.when(first.isNull(), F.concat(nodes, F.array(node(e["x"], e["y"], e["x"], e["y"], F.lit(1).cast("long"))))).otherwise(joined)
-
-    none = F.transform(F.filter("ends", lambda e: F.lit(False)), lambda e: node(e["x"], e["y"], e["x"], e["y"], F.lit(1).cast("long")))
-    out = _in_order(ends).select("street", F.posexplode(F.aggregate("ends", none, meet)).alias("node", "m"))
-    return out.select("street", "node", (F.col("m.sx") / F.col("m.degree")).alias("x"), (F.col("m.sy") / F.col("m.degree")).alias("y"), "m.degree")
+    return _segments(ends).mapInArrow(partial(_all_nodes, tol=tol), "street string, node int, x double, y double, degree long")
 
 
 def origins(nodes: DataFrame, ends: DataFrame) -> DataFrame:
@@ -50,27 +81,79 @@ def origins(nodes: DataFrame, ends: DataFrame) -> DataFrame:
     return cand.groupBy("street").agg(F.min_by("x", key).alias("x"), F.min_by("y", key).alias("y"), F.when(F.first("wide"), "W").otherwise("N").alias("label"))
 
 
+class _Free:
+    """The free ends of a street in a grid; an end is 2 * segment, or 1 more for the segment's end."""
+
+    FEW, RINGS, CROWD = 48, 6, 6.0
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.xs, self.ys, self.alive, self.few = x, y, np.ones(len(x), bool), len(x) <= self.FEW
+        if self.few:
+            return
+        self.x, self.y, self.side = x.tolist(), y.tolist(), max(float(np.ptp(x)), float(np.ptp(y)), 1e-6)
+        while True:  # halved until an end shares its cell with few others, wherever ends crowd
+            cell = np.floor(np.column_stack([x, y]) / self.side).astype(np.int64)
+            _, of, count = np.unique(cell, axis=0, return_inverse=True, return_counts=True)
+            crowd = count[of.ravel()].mean()
+            if crowd <= self.CROWD or self.side < 1e-3:
+                break
+            self.side /= 2
+        self.cells: dict[tuple[int, int], list[int]] = {}
+        for i, at in enumerate(map(tuple, cell.tolist())):
+            self.cells.setdefault(at, []).append(i)
+
+    def nearest(self, px: float, py: float) -> tuple[float, int]:
+        """(gap, end): the nearest free end, of equally near ones the first; rings of cells around the place, and all ends where these are bare."""
+        if not self.few:
+            best, end, x, y, cells = math.inf, -1, self.x, self.y, self.cells
+            cx, cy = math.floor(px / self.side), math.floor(py / self.side)
+            for r in range(self.RINGS):
+                for i in range(cx - r, cx + r + 1):
+                    for j in range(cy - r, cy + r + 1) if abs(i - cx) == r else (cy - r, cy + r):
+                        for k in cells.get((i, j), ()):
+                            dx, dy = x[k] - px, y[k] - py
+                            gap = math.sqrt(dx * dx + dy * dy)
+                            if gap < best or gap == best and k < end:
+                                best, end = gap, k
+                if best < r * self.side * (1 - 1e-9):  # what lies further out is not as near
+                    return best, end
+        left = np.flatnonzero(self.alive)
+        dx, dy = self.xs[left] - px, self.ys[left] - py
+        gaps = np.sqrt(dx * dx + dy * dy)
+        at = int(np.argmin(gaps))
+        return float(gaps[at]), int(left[at])
+
+    def take(self, end: int) -> None:
+        for k in (end, end ^ 1):
+            self.alive[k] = False
+            if not self.few:
+                self.cells[math.floor(self.x[k] / self.side), math.floor(self.y[k] / self.side)].remove(k)
+
+
+def _all_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for street, segments, px, py, label in zip(batch.column("street").to_pylist(), batch.column("segments"), batch.column("x").to_pylist(), batch.column("y").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            oid, x, y = _ends_of(segments)
+            free = _Free(x, y)
+            for seq in range(len(oid)):
+                gap, end = free.nearest(px, py)
+                free.take(end)
+                rows.append((street, int(oid[end // 2]), seq, end % 2 == 1, gap if seq else 0.0, label))
+                px, py = float(x[end ^ 1]), float(y[end ^ 1])
+        columns = zip(*rows, strict=True) if rows else [()] * 6
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.float64(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["street", "oid", "seq", "flip", "gap_m", "origin"])
+
+
 def chain(ends: DataFrame, tol: float = 2.0) -> DataFrame:
     """(street, oid, seq, flip, gap_m, origin): the segments along each street, nearest free end next, from the origin on.
 
-    A fold over the segments of a street, which are few; points take the result by join. Of ends equally near the one of
-    the smaller oid wins, and of one segment's the start.
+    A fold over the segments of a street, not its points, which take the result by join; each step looks for the next end
+    in a grid. Of ends equally near the one of the smaller oid wins, and of one segment's the start.
     """
-    start = origins(junctions(ends, tol), ends)
-    held = _in_order(ends).join(start, "street")
-    state = lambda free, x, y, out: F.struct(free.alias("free"), x.alias("x"), y.alias("y"), out.alias("out"))
-    link = lambda oid, end, gap: F.struct(oid.alias("oid"), (end == 1).alias("flip"), gap.alias("gap_m"))
-
-    def step(s: Column, seq: Column) -> Column:
-        reach = F.transform(s["free"], lambda e: F.struct(geo.planar(e["x"] - s["x"], e["y"] - s["y"]).alias("gap"), e["oid"].alias("oid"), e["end"].alias("end"), e["far_x"].alias("x"), e["far_y"].alias("y")))
-        best = F.array_min(reach)
-        gap = F.when(seq == 0, F.lit(0.0)).otherwise(best["gap"])
-        return state(F.filter(s["free"], lambda e: e["oid"] != best["oid"]), best["x"], best["y"], F.concat(s["out"], F.array(link(best["oid"], best["end"], gap))))
-
-    none = F.transform(F.filter("ends", lambda e: F.lit(False)), lambda e: link(e["oid"], e["end"], e["x"]))
-    turns = F.sequence(F.lit(0), (F.size("ends") / 2).cast("int") - 1)
-    done = F.aggregate(turns, state(F.col("ends"), F.col("x"), F.col("y"), none), step, lambda s: s["out"])
-    return held.select("street", F.posexplode(done).alias("seq", "s"), "label").select("street", "s.oid", "seq", "s.flip", "s.gap_m", F.col("label").alias("origin"))
+    held = _segments(ends).join(origins(junctions(ends, tol), ends), "street")
+    return held.select("street", "segments", "x", "y", "label").mapInArrow(_all_chains, "street string, oid long, seq int, flip boolean, gap_m double, origin string")
 
 
 def with_runs(chained: DataFrame, gap_break: float = 40.0) -> DataFrame:

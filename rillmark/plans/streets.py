@@ -12,6 +12,7 @@ from ..operators import profile as C
 from ..operators import sags as D
 from ..operators import summary as S
 from ..sources.fixtures import ctes, table, view
+from ..sources.store import Kept
 from ._register import Register
 from .geometry import lonlat
 
@@ -82,60 +83,59 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "fx_points")
 
 
-_kept: dict[tuple, DataFrame] = {}
+_kept = Kept()
+release = _kept.release
 
 
-def keep(spark: SparkSession, name: tuple, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table that several parts of a query read, persisted once a session, whichever queries ask for it; release() lets all go.
+def keep(spark: SparkSession, sf: str, name: tuple, make: Callable[[], DataFrame], order: tuple[str, ...] = ()) -> DataFrame:
+    """A table derived from the tables of sf, by street, that is derived once a session; release() lets all go."""
+    return _kept.get(spark, (sf, *name), make, tuple(f"{sf}/{t}.parquet" for t in ("customer", "nation", "region", "part")), order=order)
 
-    A lost part is computed again from the tables.
-    """
-    key = (id(spark._jsparkSession), *name)
-    if key not in _kept or not _kept[key].is_cached:
-        _kept[key] = make().persist()
-    return _kept[key]
 
+def _path(spark: SparkSession, sf: str) -> DataFrame:
+    """Points in path order; segments are chained once, whatever windows smooth them."""
 
-def release() -> None:
-    for df in _kept.values():
-        df.unpersist()
-    _kept.clear()
+    def make() -> DataFrame:
+        p = _points(spark, sf)
+        return C.path(p, C.with_runs(C.chain(C.segment_ends(p))))
 
+    return keep(spark, sf, ("path",), make, ("path_idx",))
 
-def _path(spark: SparkSession, sf: str) -> DataFrame:
-    """Points in path order; segments are chained once, whatever windows smooth them."""
-    p = _points(spark, sf)
-    return keep(spark, (sf, "path"), lambda: C.path(p, C.with_runs(C.chain(C.segment_ends(p)))))
+
+def _profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
+    """The smoothed path; its windows need no shuffle, as the path lies in buckets by street."""
+    return C.smooth(_path(spark, sf), window)
+
+
+def _kept_profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
+    return keep(spark, sf, ("profile", window), lambda: _profile(spark, sf, window), ("path_idx",))
 
 
-def _profile(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
-    """The smoothed path; shared: other windows are read, too, so the path is kept."""
-    return C.smooth(_path(spark, sf), window) if shared else C.profiles(_points(spark, sf), window)
+def _pairs(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
+    return keep(spark, sf, ("pairs", window), lambda: I.number(I.snap(view(spark, sf, "fx_inlets"), _kept_profile(spark, sf, window))), ("num",))
 
 
-def _pairs(spark: SparkSession, sf: str, p: DataFrame) -> DataFrame:
-    return I.number(I.snap(view(spark, sf, "fx_inlets"), p))
+def _sags(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
+    return keep(spark, sf, ("sags", window), lambda: D.find_sags(_kept_profile(spark, sf, window)), ("sag_num",))
 
 
 def _typed_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(spark, sf, _profile(spark, sf)).join(I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", "grate_m", "invert_m", "type"), "inlet_id")
+    return _pairs(spark, sf).join(I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", "grate_m", "invert_m", "type"), "inlet_id")
 
 
-def _analysis(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> tuple[DataFrame, ...]:
-    """(profile, numbered pairs, sags, served sags); all four read the profile, so it is kept, and so are pairs and sags."""
-    p = keep(spark, (sf, "profile", window), lambda: _profile(spark, sf, window, shared))
-    pairs = keep(spark, (sf, "pairs", window), lambda: _pairs(spark, sf, p))
-    sags = keep(spark, (sf, "sags", window), lambda: D.find_sags(p))
-    return p, pairs, sags, I.served(I.candidates(sags, pairs))
+def _analysis(spark: SparkSession, sf: str, window: float = 25.0) -> tuple[DataFrame, ...]:
+    """(profile, numbered pairs, sags, served sags), all in the same buckets by street, so what joins and counts them shuffles nothing."""
+    pairs, sags = _pairs(spark, sf, window), _sags(spark, sf, window)
+    return _kept_profile(spark, sf, window), pairs, sags, I.served(I.candidates(sags, pairs))
 
 
-def _index(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
-    return S.street_index(*_analysis(spark, sf, window, shared))
+def _index(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
+    return S.street_index(*_analysis(spark, sf, window))
 
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     """The street index with 25 and 10 m of smoothing, in long form."""
-    return _index(spark, sf, 25.0, True).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0, True).withColumn("variant", F.lit("m10")))
+    return _index(spark, sf, 25.0).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0).withColumn("variant", F.lit("m10")))
 
 
 @query(f"with {PATH} select street, oid, min_by(easting, point_index) as e0, min_by(northing, point_index) as n0, max_by(easting, point_index) as e1, max_by(northing, point_index) as n1 from fx_points group by street, oid")
@@ -203,31 +203,28 @@ def _event_rows(spark, sf):
 
 @query(f"{SAGS} select street, path_idx, round_even(smooth,6) as smooth from low")
 def d2_minima(spark, sf):
-    return D.minima(_profile(spark, sf))[1].select("street", "path_idx", F.bround("smooth", 6).alias("smooth"))
+    return D.minima(_profile(spark, sf)).where("low").select("street", "path_idx", F.bround("smooth", 6).alias("smooth"))
 
 
 @query(f"{SAGS} select street, path_idx, round_even(prom,6) as prom from cand")
 def d4_prominence(spark, sf):
-    rows, low = D.minima(_profile(spark, sf))
-    return D.prominence(rows, low).select("street", "path_idx", F.bround("prom", 6).alias("prom"))
+    return D.prominence(D.minima(_profile(spark, sf))).select("street", "path_idx", F.bround("prom", 6).alias("prom"))
 
 
 @query(f"{EVENTS_PROM} select user_id, d, round_even(prom,6) as prom from cand")
 def d4_prominence_events(spark, sf):
-    rows, low = _event_rows(spark, sf)
-    return D.prominence(rows, low, group=("user_id",), z="value", least=20.0).select("user_id", "d", F.bround("prom", 6).alias("prom"))
+    return D.prominence(_event_rows(spark, sf), group=("user_id",), z="value", least=20.0).select("user_id", "d", F.bround("prom", 6).alias("prom"))
 
 
 @query(f"{SAGS} select street, sag_num, path_idx, round_even(d,6) as d, round_even(smooth,6) as elev, round_even(prom,6) as prom from sags")
 def d5_sags(spark, sf):
-    return D.find_sags(_profile(spark, sf)).select("street", "sag_num", "path_idx", F.bround("d", 6).alias("d"), F.bround("smooth", 6).alias("elev"), F.bround("prom", 6).alias("prom"))
+    return _sags(spark, sf).select("street", "sag_num", "path_idx", F.bround("d", 6).alias("d"), F.bround("smooth", 6).alias("elev"), F.bround("prom", 6).alias("prom"))
 
 
 @query(f"""{EVENTS_PROM}, f as (select user_id, list_reduce(list([{{'d': d, 'prom': prom}}] order by -prom, pos), lambda a, b: case when len(list_filter(a, lambda k: abs(k.d-b[1].d)<10))>0 then a else list_concat(a, b) end) as kept from cand group by user_id)
 select user_id, x.d as d, round_even(x.prom,6) as prom, cast(row_number() over (partition by user_id order by x.d) as int) as sag_num from (select user_id, unnest(kept) as x from f)""")
 def d5_suppress_events(spark, sf):
-    rows, low = _event_rows(spark, sf)
-    cands = D.prominence(rows, low, group=("user_id",), z="value", least=20.0)
+    cands = D.prominence(_event_rows(spark, sf), group=("user_id",), z="value", least=20.0)
     return D.suppress(cands, group="user_id", order="pos", keep=("value",)).select("user_id", "d", F.bround("prom", 6).alias("prom"), "sag_num")
 
 
@@ -244,12 +241,12 @@ def i3_type_style(spark, sf):
 
 @query(f"{PAIRS} select street, inlet_id, path_idx, round_even(chainage,6) as chainage, round_even(offset_m,6) as offset_m from pairs")
 def i4_snap(spark, sf):
-    return I.snap(view(spark, sf, "fx_inlets"), _profile(spark, sf)).select("street", "inlet_id", "path_idx", F.bround("chainage", 6).alias("chainage"), F.bround("offset_m", 6).alias("offset_m"))
+    return I.snap(view(spark, sf, "fx_inlets"), _kept_profile(spark, sf)).select("street", "inlet_id", "path_idx", F.bround("chainage", 6).alias("chainage"), F.bround("offset_m", 6).alias("offset_m"))
 
 
 @query(f"{PAIRS} select street, inlet_id, num, dem_m from pairs")
 def i5_number(spark, sf):
-    return _pairs(spark, sf, _profile(spark, sf)).select("street", "inlet_id", "num", "dem_m")
+    return _pairs(spark, sf).select("street", "inlet_id", "num", "dem_m")
 
 
 @query(f"""{PAIRS}, {CLEAN} select street, type, count(*) as n, count(grate_m) as n_grate, count(*) filter (grate_m is null) as n_unsurveyed, count(invert_m) as n_invert, count(*) filter (grate_m is not null and invert_m is not null) as n_stem,
@@ -272,8 +269,7 @@ _BEARING = "atan2(sin(radians(b.lon2-b.lon))*cos(radians(b.lat2)), cos(radians(b
 h as (select *, case when degrees({_BEARING})<0 then degrees({_BEARING})+360e0 else degrees({_BEARING}) end as h from b)
 select street, inlet_id, round_even(h,3) as heading, printf('https://www.google.com/maps/@?api=1&map_action=pano&viewpoint=%.6f,%.6f&heading=%.0f', lat, lon, h) as url from h""")
 def i9_view_link(spark, sf):
-    p = keep(spark, (sf, "profile", 25.0), lambda: _profile(spark, sf))
-    return I.view_links(_pairs(spark, sf, p), p, view(spark, sf, "fx_inlets")).select("street", "inlet_id", F.bround("heading", 3).alias("heading"), "url")
+    return I.view_links(_pairs(spark, sf), _kept_profile(spark, sf), view(spark, sf, "fx_inlets")).select("street", "inlet_id", F.bround("heading", 3).alias("heading"), "url")
 
 
 @query(f"{SERVE} select street, sag_num, pick from picks")
@@ -366,4 +362,4 @@ TWO = f"""with {PATH},\n{smoothed(12, 12, 8, "sm")},\n{smoothed(5, 4, 3, "smb")}
 @query(f"""{TWO} select cast(sum(a.n_sags) as bigint) as sags_a, cast(sum(b.n_sags) as bigint) as sags_b, cast(sum(a.n_unserved) as bigint) as unserved_a, cast(sum(b.n_unserved) as bigint) as unserved_b,
  count(*) filter (a.n_sags is distinct from b.n_sags or a.n_unserved is distinct from b.n_unserved) as streets_differ from idx a full join idxb b on a.street=b.street""")
 def s8_variant_diff(spark, sf):
-    return S.variant_diff(_index(spark, sf, 25.0, True), _index(spark, sf, 10.0, True))
+    return S.variant_diff(_index(spark, sf, 25.0), _index(spark, sf, 10.0))

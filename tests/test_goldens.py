@@ -74,15 +74,14 @@ def test_smooth(spark):
 
 @pytest.mark.parametrize("zs,want", [((3, 1, 1, 3), {2: 2}), ((5, 1, 3, 0, 6), {1: 2, 3: 5}), ((5, 1, 4, 1, 6), {1: 4, 3: 4})])
 def test_minima_and_prominence(spark, zs, want):
-    r, low = D.minima(rows(spark, zs), edge=0.0)
-    assert {x.path_idx: x.prom for x in D.prominence(r, low, least=0.0).collect()} == want
+    assert {x.path_idx: x.prom for x in D.prominence(D.minima(rows(spark, zs), edge=0.0), least=0.0).collect()} == want
 
 
 def test_prominence_and_suppression_against_brute_force(spark):
     rng = random.Random(4)
     zs = [rng.randint(0, 12) + rng.random() for _ in range(400)]
-    r, low = D.minima(rows(spark, zs), edge=10.0)
-    got = {x.path_idx: round(x.prom, 9) for x in D.suppress(D.prominence(r, low, least=2.0), separation=10.0).collect()}
+    low = D.prominence(D.minima(rows(spark, zs), edge=10.0), least=2.0)
+    got = {x.path_idx: round(x.prom, 9) for x in D.suppress(low, separation=10.0).collect()}
     cands = []
     for i in range(10, 390):
         if zs[i] <= zs[i - 1] and zs[i] < zs[i + 1]:
@@ -101,6 +100,47 @@ def test_prominence_and_suppression_against_brute_force(spark):
     assert got == kept and len(kept) > 5
 
 
+@pytest.mark.parametrize("shape", ["random", "few values", "falling", "rising"])
+def test_prominence_of_many_groups_over_many_batches(spark, shape):
+    """The stack is carried from batch to batch and starts anew with each group; equal values and long slopes included."""
+    rng, data = random.Random(shape), []
+    for run in range(5):
+        n = rng.randrange(3, 700)
+        slope = {"falling": -0.7, "rising": 0.7}.get(shape, 0.0)
+        data += [("S", run, i, float(i), float(rng.randrange(4)) if shape == "few values" else round(i * slope + rng.uniform(0, 9), 3)) for i in range(n)]
+    df = spark.createDataFrame(data, "street string, run int, path_idx int, d double, smooth double").repartition(6)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.run, r.path_idx): r.prom for r in D.prominence(D.minima(df, edge=2.0), least=0.0).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {}
+    for run in range(5):
+        z = [x[4] for x in data if x[1] == run]
+        for i in range(2, len(z) - 2):
+            if z[i] <= z[i - 1] and z[i] < z[i + 1]:
+                left = next((j for j in range(i - 1, -1, -1) if z[j] < z[i]), -1)
+                right = next((j for j in range(i + 1, len(z)) if z[j] < z[i]), len(z))
+                want[run, i] = min(max(z[left + 1 : i]), max(z[i + 1 : right])) - z[i]
+    assert got == want and len(want) > 50
+
+
+def test_prominence_of_one_long_run(spark):
+    """A million rows and two hundred thousand minima in one run, of which many wait for lower ground at once."""
+    import time
+
+    n = 1_000_000
+    wave = F.pmod(F.col("id") * 7919, F.lit(5)) * 1.0 + F.abs(F.col("id") - n // 2) * 1e-4
+    df = spark.range(n).select(F.lit("S").alias("street"), F.lit(0).alias("run"), F.col("id").cast("int").alias("path_idx"), F.col("id").cast("double").alias("d"), wave.alias("smooth"))
+    began = time.time()
+    rows = D.minima(df)
+    found = D.prominence(rows, least=0.2)
+    kept = D.suppress(found, separation=10.0)
+    a, b = found.count(), kept.count()
+    assert a > 150_000 and 50_000 < b <= n / 10 and time.time() - began < 60
+
+
 def test_suppression_order(spark):
     c = lambda *x: spark.createDataFrame([("S", i, d, p, 0.0) for i, (d, p) in enumerate(x)], "street string, path_idx int, d double, prom double, smooth double")
     assert [r.d for r in D.suppress(c((100.0, 0.5), (105.0, 0.6), (115.0, 0.3), (120.0, 0.4))).orderBy("d").collect()] == [105, 120]
@@ -283,3 +323,30 @@ def test_chain_and_junctions_against_plain_loops(spark):
             here = s[1:3] if end else s[3:5]
             left.remove(s)
         assert chained[name] == out
+
+
+def test_a_street_of_many_segments(spark):
+    """Twenty thousand segments, in clusters with long ways between them, against the rule as a plain loop over all free ends."""
+    import time
+
+    import numpy as np
+
+    n, rng = 20_000, np.random.default_rng(4)
+    cluster = rng.integers(0, 12, n)
+    x, y = np.round(rng.uniform(0, 900, n) + cluster % 4 * 60_000, 1), np.round(rng.uniform(0, 900, n) + cluster // 4 * 90_000, 1)
+    u, v = x + rng.choice([-8.0, 0.0, 8.0], n), y + rng.choice([-8.0, 0.0, 8.0], n)
+    ends = spark.createDataFrame([("S", i, *map(float, (x[i], y[i], u[i], v[i], min(x[i], u[i]), max(x[i], u[i]), min(y[i], v[i]), max(y[i], v[i])))) for i in range(n)], "street string, oid long, e0 double, n0 double, e1 double, n1 double, w double, x double, s double, t double")
+    began = time.time()
+    got = C.chain(ends).orderBy("seq").collect()
+    took = time.time() - began
+    start = C.origins(C.junctions(ends), ends).first()
+    ex, ey = np.column_stack([x, u]).ravel(), np.column_stack([y, v]).ravel()
+    free, here, want = np.ones(2 * n, bool), (start.x, start.y), []
+    for seq in range(n):
+        dx, dy = ex - here[0], ey - here[1]
+        gap = np.where(free, np.sqrt(dx * dx + dy * dy), np.inf)
+        end = int(np.argmin(gap))
+        want.append((end // 2, end % 2 == 1, float(gap[end]) if seq else 0.0))
+        free[[end, end ^ 1]] = False
+        here = (ex[end ^ 1], ey[end ^ 1])
+    assert [(r.oid, r.flip, r.gap_m) for r in got] == want and took < 60
