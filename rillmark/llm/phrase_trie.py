@@ -35,8 +35,8 @@ from .vectors import LOWER, mix, text_slices, word_hashes
 
 #: Most words of a piece of the vocabulary (8 bytes each) and most states of a trie (about 16 bytes each).
 VOCABULARY, STATES = 1 << 24, 1 << 22
-#: Symbols of a run that is written as one row.
-RUN = 1 << 18
+#: Symbols of a run that is written as one row, and candidates that a task counts at once.
+RUN, GATHERED = 1 << 18, 1 << 22
 
 #: What each byte is: part of a word, blank, or the end of a piece.
 _KIND = np.zeros(256, np.uint8)
@@ -149,80 +149,98 @@ def symbol_runs(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
 
 
 class DoubleArray:
-    """A trie over symbols: the child of a state by a symbol stands at base[state] + symbol, if check there is the state.
+    """A trie over symbols as a double array: the child of a state by a digit stands at base[state] + digit, if check there is the state.
 
-    The root is state 0, and its children stand at their symbols. number: what the accepting states stand for, else -1.
+    A symbol is a few digits below 256, high ones first, each a transition of its own, so the children of a state span
+    256 places however many words there are. The root is state 0. number: what the accepting states stand for, else -1.
     """
 
-    def __init__(self, n_symbols: int):
-        self.base, self.check, self.number = np.zeros(n_symbols + 1, np.int64), np.full(n_symbols + 1, -1, np.int32), np.full(n_symbols + 1, -1, np.int64)
-
-    def add_root_children(self, symbols: np.ndarray) -> np.ndarray:
-        self.check[symbols] = 0
-        return symbols
+    SPAN = 257
 
-    def add_level(self, parents: np.ndarray, symbols: np.ndarray, seed: int = 7) -> np.ndarray:
-        """The states of new children, in the given order. No parent has children before; pairs are distinct."""
-        order = np.lexsort((symbols, parents))
-        par, sym = parents[order], symbols[order].astype(np.int64)
-        heads = np.flatnonzero(np.concatenate([[True], par[1:] != par[:-1]])) if len(par) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(heads, len(par)))
-        span = int(sym.max(initial=0))
-        room = len(self.check) + 2 * len(par)  # at least half of the slots stay free
-        grow = room + span + 1 - len(self.check)
-        self.base, self.check, self.number = np.pad(self.base, (0, grow)), np.pad(self.check, (0, grow), constant_values=-1), np.pad(self.number, (0, grow), constant_values=-1)
-        slot, rng = np.empty(len(par), np.int64), np.random.default_rng(seed)
+    def __init__(self, n_symbols: int):
+        self.digits = max(1, -(-int(n_symbols).bit_length() // 8))
+        self.base, self.check = np.zeros(self.SPAN, np.int64), np.full(self.SPAN, -1, np.int32)
+        self.number = np.zeros(0, np.int64)
+
+    def _codes(self, symbols: np.ndarray) -> list[np.ndarray]:
+        return [((symbols >> (8 * d)) & 255) + 1 for d in range(self.digits - 1, -1, -1)]
+
+    def _grow(self, slots: int) -> None:
+        more = slots - len(self.check)
+        if more > 0:
+            self.base, self.check = np.pad(self.base, (0, more)), np.pad(self.check, (0, more), constant_values=-1)
+
+    def _place(self, parents: np.ndarray, codes: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """The places of children (parent, code), which are distinct pairs in order; no parent has children before."""
+        heads = np.flatnonzero(np.concatenate([[True], parents[1:] != parents[:-1]]))
+        sizes = np.diff(np.append(heads, len(parents)))
+        room = int((self.check >= 0).sum()) * 2 + 2 * len(parents) + self.SPAN  # at least half of the places stay free
+        self._grow(room + self.SPAN)
+        slot = np.empty(len(parents), np.int64)
         self.check[0] = 0  # the root's own place is taken
-        for g in np.argsort(-sizes, kind="stable"):
-            if sizes[g] == 1:
+        for m in np.unique(sizes)[::-1]:
+            own = heads[sizes == m]
+            if m == 1:
+                slot[own] = np.flatnonzero(self.check < 0)[: len(own)]
+                self.base[parents[own]], self.check[slot[own]] = slot[own] - codes[own], parents[own]
                 break
-            own = slice(heads[g], heads[g] + sizes[g])
-            while True:  # displacements drawn at random; large groups come first, while nearly all is free
-                tries = rng.integers(0, room, 64)
-                free = np.flatnonzero((self.check[tries[:, None] + sym[own]] < 0).all(axis=1))
-                if len(free):
+            for turn in range(1 << 30):  # displacements drawn at random, for all groups of a size at once; large ones come first, while nearly all is free
+                if turn % 16 == 15:  # too full for these: new places behind all others
+                    at = len(self.check) + self.SPAN * np.arange(len(own))
+                    self._grow(len(self.check) + self.SPAN * (len(own) + 1))
+                else:
+                    at = rng.integers(0, len(self.check) - self.SPAN, len(own))
+                places = at[:, None] + codes[own[:, None] + np.arange(m)]
+                free = np.flatnonzero((self.check[places] < 0).all(axis=1))
+                claim = np.empty(len(self.check), np.int64)
+                claim[places[free]] = free[:, None]
+                free = free[(claim[places[free]] == free[:, None]).all(axis=1)]
+                self.base[parents[own[free]]] = at[free]
+                self.check[places[free]] = parents[own[free]][:, None]
+                slot[own[free][:, None] + np.arange(m)] = places[free]
+                own = np.delete(own, free)
+                if not len(own):
                     break
-            self.base[par[heads[g]]] = tries[free[0]]
-            slot[own] = tries[free[0]] + sym[own]
-            self.check[slot[own]] = par[heads[g]]
-        single = heads[sizes == 1]
-        slot[single] = np.flatnonzero(self.check[: room + span + 1] < 0)[: len(single)]
-        self.base[par[single]] = slot[single] - sym[single]
-        self.check[slot[single]] = par[single]
         self.check[0] = -1
-        out = np.empty(len(par), np.int64)
-        out[order] = slot
-        return out
-
-    def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """The states after one symbol each; -1 where there is none."""
-        live = (states > 0) & (symbols > 0)
-        to = np.where(live, self.base[np.where(live, states, 0)] + symbols, -1)
-        inside = (to >= 0) & (to < len(self.check))
-        to = np.where(inside, to, 0)
-        return np.where(live & inside & (self.check[to] == states), to, -1)
+        return slot
+
+    def add(self, parents: np.ndarray, symbols: np.ndarray, seed: int = 7) -> np.ndarray:
+        """The states of new children, in the given order. No parent has children before; pairs are distinct."""
+        rng, states = np.random.default_rng(seed), parents.astype(np.int64)
+        for codes in self._codes(symbols.astype(np.int64)):
+            pairs, of = np.unique(states * self.SPAN + codes, return_inverse=True)
+            states = self._place(pairs // self.SPAN, pairs % self.SPAN, rng)[of] if len(pairs) else states
+        return states
+
+    def accept(self, states: np.ndarray, numbers: np.ndarray) -> None:
+        self.number = np.full(len(self.check), -1, np.int64)
+        self.number[states] = numbers
 
     def walk(self, ids: np.ndarray, depth: int) -> np.ndarray:
         """The number that the state of each position accepts with after `depth` symbols, else -1; all positions advance at once."""
-        states = np.where((ids > 0) & (self.check[ids] == 0), ids, -1).astype(np.int64)
-        for d in range(1, depth):
-            states = self.step(states[: max(0, len(ids) - d)], ids[d:].astype(np.int64))
+        codes = self._codes(ids)
+        states = np.where(ids > 0, 0, -1)
+        for d in range(depth):
+            n = max(0, len(ids) - d)
+            states = states[:n]
+            for code in codes:
+                to = self.base[np.maximum(states, 0)] + code[d:]
+                live = (states >= 0) & (ids[d:] > 0) & (to >= 0) & (to < len(self.check))
+                to = np.where(live, to, 0)
+                states = np.where(live & (self.check[to] == states), to, -1)
         return np.where(states > 0, self.number[np.maximum(states, 0)], -1)
 
 
 def _trie(levels: list[DataFrame], n_symbols: int, piece: int, pieces: int) -> DoubleArray:
     """The trie of the phrases whose first symbol is in this piece; only those of the last level accept."""
-    trie, states = DoubleArray(n_symbols), {}
+    trie, states = DoubleArray(n_symbols), None
     for depth, level in enumerate(levels, 1):
         rows = level.where(F.col("head") % pieces == piece).select("num", "prefix", "symbol").toArrow()
         num, prefix, symbol = (rows.column(c).to_numpy() for c in ("num", "prefix", "symbol"))
-        if depth == 1:
-            at = trie.add_root_children(symbol)
-        else:
-            at = trie.add_level(states[1][np.searchsorted(states[0], prefix)], symbol)
+        at = trie.add(np.zeros(len(num), np.int64) if depth == 1 else states[1][np.searchsorted(states[0], prefix)], symbol)
         order = np.argsort(num, kind="stable")
         states = (num[order], at[order])
-    trie.number[states[1]] = states[0]
+    trie.accept(states[1], states[0])
     return trie
 
 
@@ -234,8 +252,12 @@ def extensions(runs: DataFrame, levels: list[DataFrame], n_symbols: int, n_state
     for piece in range(pieces):
         held = spark.sparkContext.broadcast(_trie(levels, n_symbols, piece, pieces))
 
-        def run(batches: Iterator[pa.RecordBatch], held=held, piece=piece) -> Iterator[pa.RecordBatch]:
-            trie = held.value
+        def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+            each, of = np.unique(np.concatenate(keys), return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(each >> 32), pa.array((each & 0xFFFFFFFF).astype(np.int32)), pa.array(np.bincount(of, minlength=len(each)))], names=["prefix", "symbol", "f"])
+
+        def run(batches: Iterator[pa.RecordBatch], held=held, piece=piece, counted=counted) -> Iterator[pa.RecordBatch]:
+            trie, keys, n = held.value, [], 0
             for batch in batches:
                 for x in batch.column("ids"):
                     ids = np.frombuffer(x.as_buffer(), np.int32)
@@ -244,9 +266,13 @@ def extensions(runs: DataFrame, levels: list[DataFrame], n_symbols: int, n_state
                         continue
                     after, nxt = ids[depth:], accepted[1:]
                     safe = (accepted[:-1] >= 0) & (after > 0) & ((nxt >= 0) | (ids[1 : len(nxt) + 1] % pieces != piece))
-                    each, of = np.unique((accepted[:-1][safe] << 32) | after[safe], return_inverse=True)
-                    count = np.bincount(of, minlength=len(each))
-                    yield pa.RecordBatch.from_arrays([pa.array(each >> 32), pa.array((each & 0xFFFFFFFF).astype(np.int32)), pa.array(count)], names=["prefix", "symbol", "f"])
+                    keys.append((accepted[:-1][safe] << 32) | after[safe])
+                    n += len(keys[-1])
+                    if n >= GATHERED:
+                        yield counted(keys)
+                        keys, n = [], 0
+            if n:
+                yield counted(keys)
 
         summed = runs.mapInArrow(run, "prefix long, symbol int, f long").groupBy("prefix", "symbol").agg(F.sum("f").alias("f"))
         tables.append(saved(summed.where(F.col("f") >= least), "grown"))

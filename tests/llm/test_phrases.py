@@ -68,20 +68,21 @@ def test_nothing_frequent_and_nothing_at_all(spark):
     assert phrase_trie.collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
 
 
-def test_double_array():
+@pytest.mark.parametrize("n", [40, 300, 70_000])
+def test_double_array(n):
+    """Symbols of one, two and three digits; states with hundreds of children beside many with one."""
     rng = np.random.default_rng(3)
-    trie, known = phrase_trie.DoubleArray(40), {}
-    roots = trie.add_root_children(np.arange(1, 41))
-    level = {(int(s),): int(x) for s, x in zip(range(1, 41), roots)}
+    trie, symbols = phrase_trie.DoubleArray(n), np.unique(np.append(rng.integers(1, n + 1, 900), n))
+    states = trie.add(np.zeros(len(symbols), np.int64), symbols)
+    level = {(int(s),): int(x) for s, x in zip(symbols, states)}
     for _ in range(3):
-        pairs = [(p, s) for p in level for s in rng.choice(np.arange(1, 41), rng.integers(0, 5), replace=False)]
-        pairs += [(next(iter(level)), s) for s in range(1, 41) if (next(iter(level)), s) not in set(pairs)]
-        states = trie.add_level(np.array([level[p] for p, _ in pairs]), np.array([s for _, s in pairs]))
-        known = level | known
-        level = {(*p, int(s)): int(x) for (p, s), x in zip(pairs, states)}
-    trie.number[list(level.values())] = np.arange(len(level))
-    assert len(set(level.values())) == len(level) > 500
+        wide = next(iter(level))
+        pairs = sorted({(p, int(s)) for p in list(level)[:900] for s in rng.choice(symbols, rng.integers(0, 4))} | {(wide, int(s)) for s in symbols})
+        states = trie.add(np.array([level[p] for p, _ in pairs]), np.array([s for _, s in pairs]))
+        level = {(*p, s): int(x) for (p, s), x in zip(pairs, states)}
+    trie.accept(np.array(list(level.values())), np.arange(len(level)))
+    assert len(set(level.values())) == len(level) > 200
     number = {p: i for i, p in enumerate(level)}
-    ids = np.concatenate([rng.integers(0, 41, 5000), *(np.array(p) for p in list(level)[:500])]).astype(np.int32)
+    ids = np.concatenate([rng.choice(np.append(symbols, 0), 5000), *(np.array(p) for p in list(level)[:500])]).astype(np.int32)
     got = trie.walk(ids, 4)
-    assert got.tolist() == [number.get(tuple(ids[i : i + 4].tolist()), -1) for i in range(len(ids) - 3)] and (got >= 0).sum() >= 500
+    assert got.tolist() == [number.get(tuple(ids[i : i + 4].tolist()), -1) for i in range(len(ids) - 3)] and (got >= 0).sum() >= min(500, len(level))
