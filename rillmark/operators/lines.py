@@ -33,12 +33,68 @@ def point_at(path: Column, target: Column) -> Column:
     return F.when(target <= 0, ends(path[0])).when(target >= last["d"], ends(last)).otherwise(inner)
 
 
+def _ends_and_steps(vertices: DataFrame, line: str, order: str) -> DataFrame:
+    """The vertices in order with d, the next one as b, and the ends and length of their line; windows only, one sort a line."""
+    w = Window.partitionBy(line).orderBy(order)
+    v = cumulative(vertices, line, order).withColumn("_v", F.struct("lon", "lat", F.col("dist_along_m").alias("d")))
+    v = v.withColumn("_b", F.lead("_v").over(w)).withColumn("_i", F.row_number().over(w))
+    whole = Window.partitionBy(line)
+    return v.withColumn("_first", F.min_by("_v", "_i").over(whole)).withColumn("_last", F.max_by("_v", "_i").over(whole))
+
+
+def _between(a: Column, b: Column, target: Column) -> Column:
+    """struct(lon, lat) at a distance between two vertices."""
+    span = b["d"] - a["d"]
+    t = F.when(span == 0, F.lit(0.0)).otherwise((target - a["d"]) / span)
+    return F.struct((a["lon"] + t * (b["lon"] - a["lon"])).alias("lon"), (a["lat"] + t * (b["lat"] - a["lat"])).alias("lat"))
+
+
+def _end(v: Column) -> Column:
+    return F.struct(v["lon"].alias("lon"), v["lat"].alias("lat"))
+
+
+def points_at(vertices: DataFrame, targets: DataFrame, at: str = "t", line: str = "oid", order: str = "vertex_index") -> DataFrame:
+    """targets (line, at, ...) with pt, struct(lon, lat) at that distance along their line: the ends beyond it, else linear before the first vertex at or past it.
+
+    An as-of merge: targets and vertices stand in one order by distance, from the far end, and each target takes the last
+    vertex that it has passed with the one before that. So a line costs its vertices and targets once, not their product.
+    Targets of lines without vertices are left out.
+    """
+    v = _ends_and_steps(vertices, line, order)
+    w = Window.partitionBy(line).orderBy(order)
+    known = v.select(line, F.col("dist_along_m").alias("_d"), F.lit(0).alias("_kind"), F.col("_i"), F.when(F.col("_i") > 1, F.struct(F.lag("_v").over(w).alias("a"), F.col("_v").alias("b"))).alias("_step"), F.lit(None).cast(targets.schema.simpleString()).alias("_row"))
+    wanted = targets.select(line, F.col(at).alias("_d"), F.lit(1).alias("_kind"), F.lit(None).cast("int").alias("_i"), F.lit(None).cast(known.schema["_step"].dataType).alias("_step"), F.struct(*targets.columns).alias("_row"))
+    # From the far end: vertices before targets at the same distance, and of those the first one last.
+    back = Window.partitionBy(line).orderBy(F.desc("_d"), "_kind", F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
+    met = known.unionByName(wanted).withColumn("_step", F.last("_step", True).over(back)).where("_kind = 1")
+    ends = v.where("_i = 1").select(line, "_first", "_last")
+    t = F.col("_d")
+    pt = F.when(t <= 0, _end(F.col("_first"))).when(t >= F.col("_last.d"), _end(F.col("_last"))).otherwise(_between(F.col("_step.a"), F.col("_step.b"), t))
+    return met.join(ends, line).select(*(F.col(f"_row.{c}").alias(c) for c in targets.columns), pt.alias("pt"))
+
+
 def resample(vertices: DataFrame, spacing: float, line: str = "oid", order: str = "vertex_index") -> DataFrame:
-    """Points about `spacing` apart, both ends among them, quantised to 7 and 2 decimals."""
-    p = as_lines(vertices, line, order).withColumn("length", F.element_at("path", -1)["d"])
-    p = p.withColumn("n", F.greatest(F.rint(F.col("length") / spacing), F.lit(1.0)).cast("int"))
-    p = p.withColumn("point_index", F.explode(F.sequence(F.lit(0), F.col("n"))))
-    p = p.withColumn("at", F.col("length") * F.col("point_index") / F.col("n")).withColumn("pt", point_at(F.col("path"), F.col("at")))
+    """Points about `spacing` apart, both ends among them, quantised to 7 and 2 decimals.
+
+    Each step between two vertices makes the points that lie on it, so nothing is joined and no path is searched: a point
+    k of n lies at length * k / n, which tells the first and the last k of a step.
+    """
+    length = F.col("_last.d")
+    n = F.greatest(F.rint(length / spacing), F.lit(1.0)).cast("int")
+    v = _ends_and_steps(vertices, line, order).withColumn("_n", n)
+    # One more on either side, for the rounding of the division; the exact test follows.
+    low = F.greatest(F.floor(F.col("_v.d") * F.col("_n") / length) - 1, F.lit(1)).cast("int")
+    high = F.least(F.ceil(F.col("_b.d") * F.col("_n") / length) + 1, F.col("_n")).cast("int")
+    none = F.array().cast("array<int>")
+    on_step = F.when(F.col("_b").isNotNull() & (length > 0) & (low <= high), F.sequence(low, high)).otherwise(none)
+    first = F.when((F.col("_i") == 1) & (length > 0), F.array(F.lit(0))).when(F.col("_i") == 1, F.sequence(F.lit(0), F.col("_n"))).otherwise(none)
+    last = F.when(F.col("_b").isNull() & (length > 0), F.array(F.col("_n"))).otherwise(none)
+    kind = lambda a, k: F.transform(a, lambda i: F.struct(i.alias("i"), F.lit(k).alias("kind")))
+    p = v.withColumn("_p", F.explode(F.concat(kind(first, 0), kind(on_step, 1), kind(last, 2)))).withColumn("_t", length * F.col("_p.i") / F.col("_n"))
+    t, k = F.col("_t"), F.col("_p.kind")
+    p = p.where((k == 0) | ((k == 1) & (t < length) & (t > F.col("_v.d")) & (t <= F.col("_b.d"))) | ((k == 2) & (t >= length)))
+    pt = F.when(k == 0, _end(F.col("_first"))).when(k == 2, _end(F.col("_last"))).otherwise(_between(F.col("_v"), F.col("_b"), t))
+    p = p.select(line, F.col("_p.i").alias("point_index"), pt.alias("pt"), t.alias("at"))
     return p.select(line, "point_index", F.bround("pt.lat", 7).alias("lat"), F.bround("pt.lon", 7).alias("lon"), F.bround("at", 2).alias("dist_along_m"))
 
 

@@ -79,9 +79,10 @@ def g2_cumulative(spark, sf):
 
 @query(f"{CUM}, t as (select oid, p, len, unnest([-5e0, 0e0, 33e0, 150e0, len/3, len, len+9]) as t from ln), q as (select oid, t, {at('t')} as x from t) select oid, round_even(t,4) as t, round_even(x.lon,7) as lon, round_even(x.lat,7) as lat from q")
 def g3_point_at(spark, sf):
-    p = G.as_lines(view(spark, sf, "fx_vertices")).withColumn("len", F.element_at("path", -1)["d"])
-    p = p.withColumn("t", F.explode(F.array(F.lit(-5.0), F.lit(0.0), F.lit(33.0), F.lit(150.0), F.col("len") / 3, F.col("len"), F.col("len") + 9)))
-    p = p.withColumn("x", G.point_at(F.col("path"), F.col("t")))
+    v = view(spark, sf, "fx_vertices")
+    length = G.cumulative(v).groupBy("oid").agg(F.max("dist_along_m").alias("len"))
+    t = length.select("oid", F.explode(F.array(F.lit(-5.0), F.lit(0.0), F.lit(33.0), F.lit(150.0), F.col("len") / 3, F.col("len"), F.col("len") + 9)).alias("t"))
+    p = G.points_at(v, t).withColumn("x", F.col("pt"))
     return p.select("oid", *_r(("t", F.col("t")), k=4), *_r(("lon", F.col("x.lon")), ("lat", F.col("x.lat")), k=7))
 
 

@@ -28,6 +28,40 @@ def test_resample(spark, metres, want):
     assert [r.dist_along_m for r in G.resample(line(spark, *metres), 1.0).orderBy("point_index").collect()] == want
 
 
+def test_points_along_odd_lines(spark):
+    """Repeated vertices, one vertex, no length: resampling and points at distances, against the rule written as a loop."""
+    rng = random.Random(8)
+    lines = {1: [0, 0, 3, 3, 3, 10], 2: [0], 3: [0, 0, 0], 4: [0, 0.2], 5: sorted(rng.uniform(0, 40) for _ in range(30)), 6: [0, 7, 7, 21]}
+    v = spark.createDataFrame([(o, i, 10.0, m * M) for o, ms in lines.items() for i, m in enumerate(ms)], "oid long, vertex_index int, lon double, lat double").repartition(5)
+    d = {o: [r.dist_along_m for r in G.cumulative(v).where(F.col("oid") == o).orderBy("vertex_index").collect()] for o in lines}
+
+    def at(o, t):
+        lat = [m * M for m in lines[o]]
+        if t <= 0 or t >= d[o][-1]:
+            return lat[0] if t <= 0 else lat[-1]
+        j = next(i for i in range(1, len(lat)) if d[o][i] >= t)
+        span = d[o][j] - d[o][j - 1]
+        return lat[j - 1] + ((t - d[o][j - 1]) / span if span else 0) * (lat[j] - lat[j - 1])
+
+    got = sorted((r.oid, r.point_index, r.lat, r.dist_along_m) for r in G.resample(v, 1.5).collect())
+    want = [(o, k, d[o][-1] * k / n) for o in lines for n in [max(1, round(d[o][-1] / 1.5))] for k in range(n + 1)]
+    assert [g[:2] for g in got] == sorted(w[:2] for w in want)
+    assert all(abs(g[2] - at(o, t)) < 6e-8 and abs(g[3] - t) < 6e-3 for g, (o, _, t) in zip(got, sorted(want)))
+    targets = [(o, t) for o in lines for t in (-1.0, 0.0, 0.1, *d[o], d[o][-1] / 3, d[o][-1] + 5)]
+    told = sorted((r.oid, r.t, r.pt.lat) for r in G.points_at(v, spark.createDataFrame(targets, "oid long, t double")).collect())
+    assert len(told) == len(targets) and all(z == pytest.approx(at(o, t), abs=1e-12) for o, t, z in told)
+
+
+def test_a_line_of_many_vertices(spark):
+    """A hundred thousand vertices resampled to about as many points, which an array search a point would not end."""
+    import time
+
+    v = spark.range(100_000).select(F.lit(1).alias("oid"), F.col("id").cast("int").alias("vertex_index"), F.lit(10.0).alias("lon"), (F.col("id") * M).alias("lat"))
+    began = time.time()
+    r = G.resample(v, 1.0).agg(F.count("*").alias("n"), F.max("dist_along_m").alias("d")).first()
+    assert r.n == 100_000 and abs(r.d - 99_999) < 1 and time.time() - began < 30
+
+
 def test_label(spark):
     got = spark.createDataFrame([(10.0,), (1.0,), (0.5,)], "s double").select(geo.spacing_label(F.col("s")).alias("x")).collect()
     assert [r.x for r in got] == ["10m", "1m", "0p5m"]
