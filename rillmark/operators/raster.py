@@ -24,10 +24,67 @@ def same_cell_as_before(points: DataFrame, line: str = "oid", order: str = "poin
 
 
 def window(cells: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
-    """The cells of a half-open box; the range filters reach the scan."""
+    """The cells of a half-open box that are there; the range filters reach the scan."""
     return cells.where((F.col("cell_e") >= west) & (F.col("cell_e") < east) & (F.col("cell_n") >= south) & (F.col("cell_n") < north))
 
 
+def boundless_window(cells: DataFrame, west: int, south: int, east: int, north: int, nodata: float | None = None) -> DataFrame:
+    """(cell_e, cell_n, elev): every cell of a half-open box of one raster, nodata where the raster has none or does not reach.
+
+    The lattice is generated by Spark and meets the cells on equal keys. A value that equals nodata reads as null first.
+    """
+    wide, high = max(0, east - west), max(0, north - south)
+    at = cells.sparkSession.range(wide * high)
+    lattice = at.select((F.lit(west) + F.col("id") % max(1, wide)).cast("int").alias("cell_e"), (F.lit(south) + F.floor(F.col("id") / max(1, wide))).cast("int").alias("cell_n"))
+    inside = window(cells, west, south, east, north).select("cell_e", "cell_n", "elev")
+    elev = F.col("elev") if nodata is None else F.coalesce(F.nullif(F.col("elev"), F.lit(nodata)), F.lit(nodata))
+    return lattice.join(inside, ["cell_e", "cell_n"], "left").select("cell_e", "cell_n", elev.alias("elev"))
+
+
+def blocks(cells: DataFrame, side: int = 64, by: tuple[str, ...] = ("dem_tile",)) -> DataFrame:
+    """(by..., be, bn, at, z): the raster in square blocks of side cells with a border of one cell from the blocks around.
+
+    z has the values in order of their place, (cell_e - be * side + 1) * (side + 2) + cell_n - bn * side + 1; at has the
+    places, and is null where a block is full and a value stands at its place. A cell goes to its block, and if it lies at
+    an edge, once to each neighbour: that is all that is ever sent between blocks.
+    """
+    own = lambda c: F.floor(F.col(c) / side).cast("int")
+    reach = lambda c: F.array_compact(F.array(own(c), F.when(F.pmod(c, F.lit(side)) == 0, own(c) - 1), F.when(F.pmod(c, F.lit(side)) == side - 1, own(c) + 1)))
+    placed = cells.select(*by, "cell_e", "cell_n", "elev", F.explode(reach("cell_e")).alias("be")).withColumn("bn", F.explode(reach("cell_n")))
+    grouped = placed.groupBy(*by, "be", "bn").agg(F.array_sort(F.collect_list(F.struct(_place(F.col("cell_e"), F.col("cell_n"), side).alias("at"), F.col("elev").alias("z")))).alias("of"))
+    return grouped.select(*by, "be", "bn", F.when(F.size("of") < (side + 2) ** 2, F.col("of.at")).alias("at"), F.col("of.z").alias("z"))
+
+
+def _place(e: Column, n: Column, side: int) -> Column:
+    return ((e - F.col("be") * side + 1) * (side + 2) + n - F.col("bn") * side + 1).cast("int")
+
+
+def _found(place: Column) -> Column:
+    """Where in z the value of a place stands, from 0; -1 or null if it is not there."""
+    return F.when(F.col("at").isNull(), place).otherwise(F.array_position("at", place) - 1).cast("int")
+
+
+def _value(place: Column) -> Column:
+    return F.get("z", _found(place))
+
+
+def on_blocks(points: DataFrame, held: DataFrame, side: int = 64) -> DataFrame:
+    """points (with dem_tile) beside the block that holds the four cells around them, or nulls: one join, whatever is read from it."""
+    key = lambda c: F.floor(F.floor(F.col(c) - 0.5) / side).cast("int")
+    return points.withColumn("be", key("easting")).withColumn("bn", key("northing")).join(held, ["dem_tile", "be", "bn"], "left")
+
+
+def sample(placed: DataFrame, held: DataFrame, side: int = 64) -> DataFrame:
+    """placed with elev_m, bilinear from the four cells around (null if one of them is missing or null), and elev_cell_m, the nearest cell; held has the blocks of the tiles."""
+    fx, fy = F.col("easting") - 0.5, F.col("northing") - 0.5
+    c0, r0 = F.floor(fx).cast("int"), F.floor(fy).cast("int")
+    u, v = fx - c0, fy - r0
+    cell = lambda i, j: _value(_place(c0 + i, r0 + j, side))
+    elev = (1 - u) * (1 - v) * cell(0, 0) + u * (1 - v) * cell(1, 0) + (1 - u) * v * cell(0, 1) + u * v * cell(1, 1)
+    near = _value(_place(F.rint(fx).cast("int"), F.rint(fy).cast("int"), side))
+    return on_blocks(placed, held, side).select(*placed.columns, elev.alias("elev_m"), near.alias("elev_cell_m"))
+
+
 def in_tiles(points: DataFrame, tiles: DataFrame, inset: float = 1.0, grid: float = 10_000.0) -> DataFrame:
     """points with each tile that they lie inside of by inset; both meet in squares of a coarse grid, so the join is on equal keys."""
     square = lambda c: F.floor(c / grid)
@@ -37,28 +94,14 @@ def in_tiles(points: DataFrame, tiles: DataFrame, inset: float = 1.0, grid: floa
     return met.where(inside).drop("_ge", "_gn", "left_e", "right_e", "bottom_n", "top_n")
 
 
-def bilinear(placed: DataFrame, cells: DataFrame, *key: str) -> DataFrame:
-    """placed with elev_m from the four cells around; null if one of them is missing or null.
+def bilinear(placed: DataFrame, cells: DataFrame, side: int = 64) -> DataFrame:
+    """placed with elev_m from the four cells around; null if one of them is missing or null."""
+    return sample(placed, blocks(cells, side), side).drop("elev_cell_m")
 
-    Each point becomes four rows that meet the cells on (tile, cell_e, cell_n); the first of them carries the point's
-    columns, so nothing is joined back.
-    """
-    fx, fy = F.col("easting") - 0.5, F.col("northing") - 0.5
-    p = placed.select(*key, "dem_tile", F.struct(*placed.columns).alias("row"), F.floor(fx).cast("int").alias("c0"), F.floor(fy).cast("int").alias("r0"), fx.alias("fx"), fy.alias("fy"))
-    u, v = F.col("fx") - F.col("c0"), F.col("fy") - F.col("r0")
-    none = F.when(F.lit(False), F.col("row"))
-    corner = lambda i, j, w: F.struct((F.col("c0") + i).alias("cell_e"), (F.col("r0") + j).alias("cell_n"), w.alias("wt"), (F.col("row") if i + j == 0 else none).alias("row"))
-    four = F.explode(F.array(corner(0, 0, (1 - u) * (1 - v)), corner(1, 0, u * (1 - v)), corner(0, 1, (1 - u) * v), corner(1, 1, u * v)))
-    want = p.select(*key, "dem_tile", four.alias("q")).select(*key, "dem_tile", "q.*")
-    got = want.join(cells.select("dem_tile", "cell_e", "cell_n", "elev"), ["dem_tile", "cell_e", "cell_n"], "left")
-    z = got.groupBy(*key, "dem_tile").agg(F.first("row", ignorenulls=True).alias("row"), F.when(F.count("elev") == 4, F.sum(F.col("wt") * F.col("elev"))).alias("elev_m"))
-    return z.select("row.*", "elev_m")
-
-
-def nearest(placed: DataFrame, cells: DataFrame) -> DataFrame:
+
+def nearest(placed: DataFrame, cells: DataFrame, side: int = 64) -> DataFrame:
     """placed with elev_cell_m, the cell at the rounded shifted index."""
-    p = placed.withColumn("cell_e", F.rint(F.col("easting") - 0.5).cast("int")).withColumn("cell_n", F.rint(F.col("northing") - 0.5).cast("int"))
-    return p.join(cells.select("dem_tile", "cell_e", "cell_n", F.col("elev").alias("elev_cell_m")), ["dem_tile", "cell_e", "cell_n"], "left").drop("cell_e", "cell_n")
+    return sample(placed, blocks(cells, side), side).drop("elev_m")
 
 
 def first_tile(sampled: DataFrame, *key: str) -> DataFrame:
@@ -76,12 +119,29 @@ def overlapping(tiles: DataFrame, west: float, south: float, east: float, north:
     return tiles.where((F.col("left_e") < east) & (F.col("right_e") > west) & (F.col("bottom_n") < north) & (F.col("top_n") > south))
 
 
-def mosaic(cells: DataFrame, tiles: DataFrame, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+def mosaic_blocks(held: DataFrame, tiles: DataFrame, side: int = 64) -> DataFrame:
+    """(cell_e, cell_n, elev) of blocks of tiles: the first tile with a value wins. Tiles meet by block, not by cell."""
+    ranked = held.join(tiles.select("dem_tile", "tile_rank"), "dem_tile")
+    met = ranked.groupBy("be", "bn").agg(F.array_sort(F.collect_list(F.struct("tile_rank", "at", "z"))).alias("of"))
+    alone = met.where(F.size("of") == 1).select("be", "bn", F.col("of")[0]["at"].alias("at"), F.col("of")[0]["z"].alias("z"))
+    several = met.where(F.size("of") > 1).select("be", "bn", F.posexplode("of").alias("turn", "t")).select("be", "bn", "turn", F.col("t.at").alias("at"), F.col("t.z").alias("z"))
+    first = _inner(several, side, "turn").where("elev is not null").groupBy("cell_e", "cell_n").agg(F.min_by("elev", "turn").alias("elev"))
+    return _inner(alone, side).where("elev is not null").unionByName(first)
+
+
+def _inner(held: DataFrame, side: int, *more: str) -> DataFrame:
+    """(more..., cell_e, cell_n, elev) of the cells of blocks, without the borders."""
+    rows = held.select(*more, "be", "bn", "at", F.posexplode("z").alias("i", "elev")).withColumn("p", F.coalesce(F.get("at", F.col("i")), F.col("i")))
+    e, n = F.floor(F.col("p") / (side + 2)).cast("int"), F.col("p") % (side + 2)
+    rows = rows.where((e > 0) & (e <= side) & (n > 0) & (n <= side))
+    return rows.select(*more, (F.col("be") * side + e - 1).alias("cell_e"), (F.col("bn") * side + n - 1).alias("cell_n"), "elev")
+
+
+def mosaic(cells: DataFrame, tiles: DataFrame, box: tuple[float, float, float, float] | None = None, side: int = 64) -> DataFrame:
     """(cell_e, cell_n, elev): the first tile with a value wins. box (west, south, east, north): only its cells, from the tiles that overlap it."""
     if box:
         cells, tiles = window(cells, *box), overlapping(tiles, *box)
-    ranked = cells.where("elev is not null").join(tiles.select("dem_tile", "tile_rank"), "dem_tile")
-    return ranked.groupBy("cell_e", "cell_n").agg(F.min_by("elev", "tile_rank").alias("elev"))
+    return mosaic_blocks(blocks(cells, side), tiles, side)
 
 
 def coarsen(cells: DataFrame, tiles: DataFrame, res: int = 10) -> DataFrame:
@@ -91,27 +151,35 @@ def coarsen(cells: DataFrame, tiles: DataFrame, res: int = 10) -> DataFrame:
     return mosaic(kept, tiles).withColumn("col", F.floor(F.col("cell_e") / res)).withColumn("row", F.floor(F.col("cell_n") / res)).select("col", "row", "elev")
 
 
-def hillshade(grid: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 3.0, dx: float = 1.0, by: tuple[str, ...] = ()) -> DataFrame:
+def hillshade(grid: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 3.0, dx: float = 1.0, by: tuple[str, ...] = (), side: int = 64) -> DataFrame:
     """(by..., cell_e, cell_n, shade): light from azimuth and altitude on the slope; gaps take the median, edges one-sided steps.
 
-    by: columns of grids that are shaded apart, each with its own median, such as the tile.
+    A stencil over blocks: the border of a block has the cells beside its own, so each cell reads its four neighbours in
+    its own row of the block table. by: columns of grids that are shaded apart, each with its own median, such as the tile.
     """
     mid = quantiles(grid, "elev", (0.5,), by).withColumnRenamed("q0", "_mid")
-    g = grid.join(mid, list(by), "left") if by else grid.crossJoin(mid)  # without by, mid is one row
-    g = g.withColumn("z", F.coalesce("elev", "_mid") * exaggeration)
+    held = blocks(grid.select(*by, "cell_e", "cell_n", "elev"), side, by)
+    g = held.join(mid, list(by), "left") if by else held.crossJoin(mid)  # without by, mid is one row
+    g = g.select(*by, "be", "bn", "at", "z", "_mid", F.posexplode("z").alias("i", "elev")).withColumn("p", F.coalesce(F.get("at", F.col("i")), F.col("i")))
+    e, n = F.floor(F.col("p") / (side + 2)).cast("int"), F.col("p") % (side + 2)
+    g = g.where((e > 0) & (e <= side) & (n > 0) & (n <= side))
+
+    def beside(step: int) -> Column:
+        """The neighbour's value, the median in a gap; null where there is no cell."""
+        at = _found(F.col("p") + step)
+        return F.when(at >= 0, F.coalesce(F.get("z", at), F.col("_mid")) * exaggeration)
+
+    z = F.coalesce("elev", "_mid") * exaggeration
+    g = g.withColumn("zz", z).withColumn("w", beside(-side - 2)).withColumn("o", beside(side + 2)).withColumn("s", beside(-1)).withColumn("t", beside(1))
 
-    def slope(line: str, along: str) -> Column:
-        w = Window.partitionBy(*by, line).orderBy(along)
-        prev = F.when(F.lag(along).over(w) == F.col(along) - 1, F.lag("z").over(w))
-        nxt = F.when(F.lead(along).over(w) == F.col(along) + 1, F.lead("z").over(w))
-        return F.when(prev.isNotNull() & nxt.isNotNull(), (nxt - prev) / 2).when(nxt.isNotNull(), nxt - F.col("z")).when(prev.isNotNull(), F.col("z") - prev).otherwise(0.0) / dx
+    def slope(prev: Column, nxt: Column) -> Column:
+        return F.when(prev.isNotNull() & nxt.isNotNull(), (nxt - prev) / 2).when(nxt.isNotNull(), nxt - F.col("zz")).when(prev.isNotNull(), F.col("zz") - prev).otherwise(0.0) / dx
 
-    gx, gy = slope("cell_n", "cell_e"), slope("cell_e", "cell_n")
     az, alt = math.radians(90 - azimuth), math.radians(altitude)
     light = (math.cos(az) * math.cos(alt), math.sin(az) * math.cos(alt), math.sin(alt))
-    s = g.withColumn("gx", gx).withColumn("gy", gy)
+    g = g.withColumn("gx", slope(F.col("w"), F.col("o"))).withColumn("gy", slope(F.col("s"), F.col("t")))
     dot = (-F.col("gx") * light[0] - F.col("gy") * light[1] + light[2]) / F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy") + 1)
-    return s.select(*by, "cell_e", "cell_n", F.bround(dot, 6).alias("shade"))
+    return g.select(*by, (F.col("be") * side + e - 1).alias("cell_e"), (F.col("bn") * side + n - 1).alias("cell_n"), F.bround(dot, 6).alias("shade"))
 
 
 def percentiles(cells: DataFrame, *shares: float) -> DataFrame:

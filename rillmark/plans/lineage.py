@@ -43,7 +43,7 @@ def terrain(p: DataFrame) -> tuple[DataFrame, DataFrame]:
 def lineage_street_index(spark, sf):
     p = keep(spark, sf, ("lineage points",), lambda: points(spark, sf))
     cells, tile = terrain(p)
-    z = keep(spark, sf, ("lineage elevation",), lambda: R.first_tile(R.bilinear(R.in_tiles(p, tile), cells, "oid", "point_index"), "oid", "point_index").drop("dem_tile", "tile_rank"))
+    z = keep(spark, sf, ("lineage elevation",), lambda: R.first_tile(R.bilinear(R.in_tiles(p, tile), cells), "oid", "point_index").drop("dem_tile", "tile_rank"))
     prof = keep(spark, sf, ("lineage profile",), lambda: C.profiles(z, 5.0), ("path_idx",))
     stops = z.where("point_index % 40 = 17").select((F.col("oid") * 1000 + F.col("point_index")).alias("inlet_id"), (F.col("easting") + 3).alias("x"), (F.col("northing") - 2).alias("y"))
     pairs, sags = I.number(I.snap(stops, prof)), D.find_sags(prof)

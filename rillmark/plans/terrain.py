@@ -27,12 +27,13 @@ def _views(spark, sf):
 
 def _bilinear(spark, sf):
     p, t, c = _views(spark, sf)
-    return R.bilinear(R.in_tiles(p, t), c, "oid", "point_index")
+    return R.bilinear(R.in_tiles(p, t), c)
 
 
-@query(f"{BASE} select dem_tile, cell_e, cell_n, elev from fx_cells where cell_e>=600100 and cell_e<600400 and cell_n>=4169000 and cell_n<4170500")
+@query(f"""{BASE}, box as (select cast(e as int) as cell_e, cast(n as int) as cell_n from (select unnest(range(600100, 600400)) as e), (select unnest(range(4169000, 4170500)) as n))
+select b.cell_e, b.cell_n, c.elev from box b left join (select * from fx_cells where dem_tile='tile_a') c on c.cell_e=b.cell_e and c.cell_n=b.cell_n""")
 def a6_dem_window(spark, sf):
-    return R.window(view(spark, sf, "fx_cells"), 600100, 4169000, 600400, 4170500)
+    return R.boundless_window(view(spark, sf, "fx_cells").where("dem_tile = 'tile_a'"), 600100, 4169000, 600400, 4170500)
 
 
 @query(f"with {ctes('fx_rpoints')}, c as (select *, floor(easting) as ce, floor(northing) as cn from fx_rpoints) select oid, point_index, cast(ce as int) as cell_e, cast(cn as int) as cell_n, round_even(sqrt((easting-ce-5e-1)*(easting-ce-5e-1)+(northing-cn-5e-1)*(northing-cn-5e-1)),4) as cell_center_dist_m from c")
@@ -61,18 +62,12 @@ def r5_nearest(spark, sf):
     return R.nearest(R.in_tiles(p, t), c).select("oid", "point_index", "dem_tile", "elev_cell_m")
 
 
-@query(f"""{BASE}, {PLACED}, cell as materialized (select dem_tile, cast(cell_e as bigint)*10000000+cell_n as id, elev from fx_cells),
-sh as (select oid, point_index, dem_tile, cast(floor(easting-5e-1) as bigint) as c0, cast(floor(northing-5e-1) as bigint) as r0, easting-5e-1-floor(easting-5e-1) as u, northing-5e-1-floor(northing-5e-1) as v,
- cast(round_even(easting-5e-1,0) as bigint)*10000000+cast(round_even(northing-5e-1,0) as bigint) as at from placed),
-four as materialized (select oid, point_index, dem_tile, c0*10000000+r0 as id, (1-u)*(1-v) as wt from sh union all select oid, point_index, dem_tile, (c0+1)*10000000+r0, u*(1-v) from sh
- union all select oid, point_index, dem_tile, c0*10000000+r0+1, (1-u)*v from sh union all select oid, point_index, dem_tile, (c0+1)*10000000+r0+1, u*v from sh),
-bil as (select oid, point_index, f.dem_tile, case when count(elev)=4 then sum(wt*elev) end as elev_m from four f left join cell c on c.dem_tile=f.dem_tile and c.id=f.id group by all),
-near as (select oid, point_index, s.dem_tile, elev as elev_cell_m from sh s left join cell c on c.dem_tile=s.dem_tile and c.id=s.at),
+@query(f"""{BASE}, {BIL.replace("bil as (", "bil as materialized (")}, {NEAR.removeprefix(PLACED + ", ").replace("near as (", "near as materialized (")},
 d as (select b.oid, b.point_index, b.dem_tile, round_even(abs(elev_m-elev_cell_m)*100,2) as elev_disc_cm from bil b join near n on b.oid=n.oid and b.point_index=n.point_index and b.dem_tile=n.dem_tile)
 select *, coalesce(elev_disc_cm>20,false) as flagged from d""")
 def r6_discontinuity(spark, sf):
     p, t, c = _views(spark, sf)
-    s = R.nearest(R.bilinear(R.in_tiles(p, t), c, "oid", "point_index"), c).withColumn("elev_disc_cm", R.discontinuity(F.col("elev_m"), F.col("elev_cell_m")))
+    s = R.sample(R.in_tiles(p, t), R.blocks(c)).withColumn("elev_disc_cm", R.discontinuity(F.col("elev_m"), F.col("elev_cell_m")))
     return s.select("oid", "point_index", "dem_tile", "elev_disc_cm", F.coalesce(F.col("elev_disc_cm") > 20, F.lit(False)).alias("flagged"))
 
 

@@ -217,7 +217,56 @@ def test_same_cell_and_bilinear(spark):
     at = spark.createDataFrame([(1, 0.75, 0.5, "t", 1)], "oid long, easting double, northing double, dem_tile string, tile_rank int")
     for c, want in ((cells, 11.0), ([*cells[:3], ("t", 1, 1, None)], None)):
         df = spark.createDataFrame(c, "dem_tile string, cell_e int, cell_n int, elev double")
-        assert R.bilinear(at, df, "oid").first().elev_m == want
+        assert R.bilinear(at, df).first().elev_m == want
+
+
+@pytest.mark.parametrize("side", [1, 3, 8, 64])
+def test_blocks_of_any_size_read_alike(spark, side):
+    """Full and ragged blocks, gaps, seams and corners: sampling, mosaic and shade as from the cells themselves."""
+    import numpy as np
+
+    rng = random.Random(side)
+    z = {("a", e, n): None if rng.random() < 0.05 else round(rng.uniform(90, 110), 2) for e in range(-9, 17) for n in range(-5, 12) if rng.random() < 0.97}
+    z |= {("b", e, n): round(rng.uniform(90, 110), 2) for e in range(12, 30) for n in range(-5, 12)}
+    cells = spark.createDataFrame([(*k, v) for k, v in z.items()], "dem_tile string, cell_e int, cell_n int, elev double")
+    where = [(i, rng.choice("ab"), rng.uniform(-11, 31), rng.uniform(-6, 13)) for i in range(300)]
+    points = spark.createDataFrame(where, "oid int, dem_tile string, easting double, northing double")
+    got = {r.oid: (r.elev_m, r.elev_cell_m) for r in R.sample(points, R.blocks(cells, side), side).collect()}
+    assert len(got) == 300
+    for i, t, e, n in where:
+        c, r = math.floor(e - 0.5), math.floor(n - 0.5)
+        u, v = e - 0.5 - c, n - 0.5 - r
+        four = [z.get((t, c + a, r + b)) for a, b in ((0, 0), (1, 0), (0, 1), (1, 1))]
+        want = None if None in four else sum(w * x for w, x in zip(((1 - u) * (1 - v), u * (1 - v), (1 - u) * v, u * v), four, strict=True))
+        assert got[i][0] == (None if want is None else pytest.approx(want, abs=1e-9)) and got[i][1] == z.get((t, round(e - 0.5), round(n - 0.5)))
+    tiles = spark.createDataFrame([("a", 1), ("b", 2)], "dem_tile string, tile_rank int")
+    one = {(r.cell_e, r.cell_n): r.elev for r in R.mosaic(cells, tiles, side=side).collect()}
+    first = {}
+    for (t, e, n), v in sorted(z.items()):
+        if v is not None:
+            first.setdefault((e, n), v)
+    assert one == first
+    shade = {(r.dem_tile, r.cell_e, r.cell_n): r.shade for r in R.hillshade(cells, by=("dem_tile",), side=side).collect()}
+    assert set(shade) == set(z)
+    mid = {t: float(np.median([v for k, v in z.items() if k[0] == t and v is not None])) for t in "ab"}
+    full = {k: 3 * (mid[k[0]] if v is None else v) for k, v in z.items()}
+    for (t, e, n), v in full.items():
+        step = lambda p, q: (q - p) / 2 if p is not None and q is not None else q - v if q is not None else v - p if p is not None else 0.0  # noqa: B023, E731
+        gx, gy = step(full.get((t, e - 1, n)), full.get((t, e + 1, n))), step(full.get((t, e, n - 1)), full.get((t, e, n + 1)))
+        az, alt = math.radians(-225), math.radians(45)
+        want = (-gx * math.cos(az) * math.cos(alt) - gy * math.sin(az) * math.cos(alt) + math.sin(alt)) / math.sqrt(gx * gx + gy * gy + 1)
+        assert shade[t, e, n] == pytest.approx(want, abs=2e-6)
+    plan = R.hillshade(cells, by=("dem_tile",), side=side)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" not in plan and "lead(" not in plan
+
+
+def test_boundless_window(spark):
+    cells = spark.createDataFrame([(0, 0, 1.0), (1, 0, -9.0), (1, 1, None), (5, 5, 7.0)], "cell_e int, cell_n int, elev double")
+    got = {(r.cell_e, r.cell_n): r.elev for r in R.boundless_window(cells, -1, 0, 2, 2, nodata=-9.0).collect()}
+    assert got == {(e, n): 1.0 if (e, n) == (0, 0) else -9.0 for e in (-1, 0, 1) for n in (0, 1)}
+    got = [r.elev for r in R.boundless_window(cells, -1, 0, 2, 2).collect()]
+    assert len(got) == 6 and sorted(x for x in got if x is not None) == [-9.0, 1.0]
+    assert R.boundless_window(cells, 3, 3, 3, 9).count() == 0
 
 
 def test_names_bins_islands_centres(spark):
