@@ -39,6 +39,9 @@ VALUE, MANTISSA, MOST_ZEROS = 40, 3, 31
 #: Sets with fewer shingles have few registers of their own; no estimate rules them out.
 SMALL = 64
 DEVIATIONS = 6
+#: Similarity in % to a leader from which members are compared by their differences from it: wide, as a band says nothing of
+#: the order of shingles that would rule pairs out.
+NEAR = 50
 #: In which order an empty bucket asks the others.
 _ORDER = np.argsort(np.random.default_rng(20250311).random((REGISTERS, REGISTERS)), axis=1).argsort(axis=1).astype(np.int16)
 
@@ -139,5 +142,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     """(id, n_shingles, component_id, kept): the size of each document's set, the smallest id reachable by links, and whether that is its own."""
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     members = saved(register_rows(src, k), "registers")
-    members, comp = components_of_lists(src, members, index_lists(bands(members, percent), percent), k, percent, estimated)
+    lists = index_lists(bands(members, percent), percent)
+    # Who shares most lists with others is in the middle of its group, and a leader for all of its lists.
+    crowd = lists.groupBy("token").agg(F.count("*").alias("rows"))
+    lead = lists.join(crowd, "token").groupBy("key").agg((-F.sum("rows")).alias("own"))
+    members, comp = components_of_lists(src, members, lists, k, percent, estimated, lead, NEAR)
     return by_document(members, comp, id_col).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -385,16 +385,20 @@ def components_of_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[
     return components_of_lists(docs, members, index_lists(prefixes(docs, k, percent, counts), percent), k, percent)
 
 
-def components_of_lists(docs: DataFrame, members: DataFrame, lists: DataFrame, k: int, percent: int, bound: Bound = bounded) -> tuple[DataFrame, DataFrame]:
-    """(members, component) as of components_of_sets(), from the members (doc, n, key, signature) and lists (token, key, n, at) in which sets that link stand together."""
+def components_of_lists(docs: DataFrame, members: DataFrame, lists: DataFrame, k: int, percent: int, bound: Bound = bounded, lead: DataFrame | None = None, near: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, component) as of components_of_sets(), from the members (doc, n, key, signature) and lists (token, key, n, at) in which sets that link stand together.
+
+    lead: (key, own), the members with the least own lead their lists; by default those with the fewest shingles of their
+    own. near: the similarity to a leader from which a member is in its ball, at most that of twice the distance of a link.
+    """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
     # A set with few shingles of its own is a good leader, and one for all of its lists.
-    own = saved(lists.groupBy("key").agg(F.min("at").alias("own")), "own")
+    own = saved(lead or lists.groupBy("key").agg(F.min("at").alias("own")), "own")
     comp = own.select("key", F.col("key").alias("top"))
     signatures = saved(members.join(comp, "key", "left_semi").select("key", "n", "signature").dropDuplicates(["key"]), "signatures")
     members = members.drop("signature")
-    near = max(1, 2 * percent - 100)  # twice the distance of a link
+    near = min(near or 100, max(1, 2 * percent - 100))  # twice the distance of a link, at least
 
     rest = lists.withColumns({"balls": F.lit(0), "least": F.lit(0.0), "most": F.lit(1.0)})
     held, before = lists, None
