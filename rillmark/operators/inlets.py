@@ -52,19 +52,37 @@ def view_links(pairs: DataFrame, p: DataFrame, inlets: DataFrame) -> DataFrame:
     return out.select("street", "inlet_id", "heading", F.format_string(VIEW_URL, "lat", "lon", "heading").alias("url"))
 
 
-def snap(inlets: DataFrame, p: DataFrame, reach: float = 30.0) -> DataFrame:
+def in_shares(left: DataFrame, right: DataFrame, cell: tuple[str, ...], id_left: str, id_right: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """left and right with columns _l and _r, so that a join on cell, _l and _r pairs the rows of a cell as a join on cell does, in parts of about `most` rows a side.
+
+    A cell with more rows is split on that side by a hash of its id, and the other side is repeated for each part; cells
+    are counted with one aggregate a side, and where none has more, nothing is repeated.
+    """
+    parts = lambda df, name: df.groupBy(*cell).agg(F.ceil(F.count("*") / most).cast("int").alias(name)).where(F.col(name) > 1)
+    split = parts(left, "_pl").join(parts(right, "_pr"), list(cell), "full").select(*cell, F.coalesce("_pl", F.lit(1)).alias("_pl"), F.coalesce("_pr", F.lit(1)).alias("_pr"))
+    one = lambda c: F.coalesce(c, F.lit(1))
+    own = lambda key, n: F.pmod(F.xxhash64(key), one(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), one(n) - 1))
+    a = left.join(split, list(cell), "left").withColumn("_l", own(id_left, "_pl")).withColumn("_r", each("_pr"))
+    b = right.join(split, list(cell), "left").withColumn("_r", own(id_right, "_pr")).withColumn("_l", each("_pl"))
+    return a.drop("_pl", "_pr"), b.drop("_pl", "_pr")
+
+
+def snap(inlets: DataFrame, p: DataFrame, reach: float = 30.0, most: int = 4096) -> DataFrame:
     """(street, inlet_id, path_idx, chainage, offset_m, dem_m, smooth_m): the nearest path point of each street within reach.
 
-    Both sides meet in grid cells of the reach's size, the inlet in the nine around it, so the join is on equal keys; of
-    equally near points the first on the path wins. An inlet can belong to several streets.
+    Both sides meet in grid cells of the reach's size, the inlet in the nine around it, so the join is on equal keys; a
+    cell with more than `most` inlets or points is split, so no task pairs all of a crowded place. Of equally near points
+    the first on the path wins. An inlet can belong to several streets.
     """
     cell = lambda c: F.floor(F.col(c) / reach)
     around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
     i = inlets.where("x is not null and y is not null").select("inlet_id", "x", "y").withColumn("dx", around)
-    i = i.withColumn("dy", around).withColumn("gx", cell("x") + F.col("dx")).withColumn("gy", cell("y") + F.col("dy"))
+    i = i.withColumn("dy", around).select("inlet_id", "x", "y", (cell("x") + F.col("dx")).alias("gx"), (cell("y") + F.col("dy")).alias("gy"))
     q = p.select("street", "path_idx", "d", "easting", "northing", "elev_m", "smooth").withColumn("gx", cell("easting")).withColumn("gy", cell("northing"))
     box = p.groupBy("street").agg(F.min("easting").alias("w"), F.max("easting").alias("e"), F.min("northing").alias("s"), F.max("northing").alias("n"))
-    near = i.join(q, ["gx", "gy"]).withColumn("d2", (F.col("x") - F.col("easting")) ** 2 + (F.col("y") - F.col("northing")) ** 2).where(F.col("d2") <= reach * reach)
+    i, q = in_shares(i, q, ("gx", "gy"), "inlet_id", "path_idx", most)
+    near = i.join(q, ["gx", "gy", "_l", "_r"]).withColumn("d2", (F.col("x") - F.col("easting")) ** 2 + (F.col("y") - F.col("northing")) ** 2).where(F.col("d2") <= reach * reach)
     best = near.groupBy("street", "inlet_id").agg(F.min(F.struct("d2", "path_idx", "d", "elev_m", "smooth", "x", "y")).alias("b"))
     inside = (F.col("b.x") > F.col("w") - reach) & (F.col("b.x") < F.col("e") + reach) & (F.col("b.y") > F.col("s") - reach) & (F.col("b.y") < F.col("n") + reach)
     return best.join(box, "street").where(inside).select("street", "inlet_id", "b.path_idx", F.col("b.d").alias("chainage"), F.sqrt("b.d2").alias("offset_m"), F.col("b.elev_m").alias("dem_m"), F.col("b.smooth").alias("smooth_m"))
@@ -102,7 +120,8 @@ def unserved(sags: DataFrame, served_sags: DataFrame, pairs: DataFrame) -> DataF
         least.select("street", F.col("chainage").alias("at"), F.lit(0).alias("kind"), F.struct(F.col("chainage").alias("at"), "i.*").alias("inlet")), allowMissingColumns=True
     )
     w = Window.partitionBy("street").orderBy("at", "kind")
-    both = both.withColumn("l", F.last("inlet", True).over(w)).withColumn("r", F.first("inlet", True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("kind = 1").select("street", "sag.*", "l", "r")
+    back = Window.partitionBy("street").orderBy(F.desc("at"), F.desc("kind"))  # running as well, so each row is met once
+    both = both.withColumn("l", F.last("inlet", True).over(w)).withColumn("r", F.last("inlet", True).over(back)).where("kind = 1").select("street", "sag.*", "l", "r")
     reach = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.at") - F.col("d")).alias("gap"), f"{c}.num", f"{c}.inlet_id", f"{c}.smooth_m"))
     near = both.withColumn("b", F.array_min(F.array_compact(F.array(reach("l"), reach("r")))))
     lon, lat = geo.from_utm(F.col("easting"), F.col("northing"))

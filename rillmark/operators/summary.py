@@ -65,8 +65,8 @@ def sample_candidates(points: DataFrame, inlets: DataFrame, reach: float = 30.0,
 
 
 def sample_streets(candidates: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n of the candidates, the same for the same seed."""
-    return candidates.orderBy(F.xxhash64(F.lit(seed), "street"), "street").limit(n)
+    """n of the candidates, the same for the same seed, in any engine: the first ones by the digest of seed and name."""
+    return candidates.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "street").cast("binary")), "street").limit(n)
 
 
 def safe_names(streets: DataFrame, name: str = "street") -> DataFrame:

@@ -208,6 +208,25 @@ def g7_full_attributes(spark, sf):
     return A.with_attributes(A.geojson_lines(_geojson(spark, sf)), A.FULL_ATTRIBUTES).select(*A.FULL_ATTRIBUTES)
 
 
+@query(f"{V}, k as (select distinct oid from fx_vertices) select oid, case when oid%10 in (1,2,3) then 'rejected' else 'accepted' end as status from k")
+def a1_rejects(spark, sf):
+    """One line in ten cut off, one in ten empty, one in ten with text in the place of numbers."""
+    cut = F.when(F.col("oid") % 10 == 1, F.expr("substring(json, 1, length(json) - 9)")).when(F.col("oid") % 10 == 2, F.lit("")).otherwise(F.regexp_replace("json", "\\[\\[-?[0-9.]+", '[["west"'))
+    planted = _geojson(spark, sf).withColumn("json", F.when(F.col("oid") % 10 <= 3, F.when(F.col("oid") % 10 > 0, cut).otherwise(F.col("json"))).otherwise(F.col("json")))
+    planted = planted.withColumn("json", F.when((F.col("oid") % 10 == 3) & ~F.col("json").contains("west"), "{").otherwise(F.col("json")))  # those without geometry
+    good, bad = A.checked_json(planted, A.LINE_FEATURE)
+    return good.select("oid", F.lit("accepted").alias("status")).unionByName(bad.select("oid", F.lit("rejected").alias("status")))
+
+
+@query("select p_partkey, case when p_partkey%10 in (3,4,5) then null else p_size end as size, p_partkey%10 in (3,4,5) as rejected from part")
+def a4_csv_rejects(spark, sf):
+    """Lines of CSV, one in ten with a word for a number, one in ten a field short, one in ten with one too many."""
+    size = F.when(F.col("p_partkey") % 10 == 3, "x1").otherwise(F.col("p_size").cast("string"))
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 10 != 4, size), F.concat(F.lit('"'), "p_name", F.lit(', "')), F.when(F.col("p_partkey") % 10 == 5, "more"))
+    good, bad = A.checked_csv(table(spark, sf, "part").select("p_partkey", line.alias("value")), "part long, size long, name string")
+    return good.select("p_partkey", "f.size", F.lit(False).alias("rejected")).unionByName(bad.select("p_partkey", F.lit(None).cast("long").alias("size"), F.lit(True).alias("rejected")))
+
+
 def _esri(spark, sf):
     i = view(spark, sf, "fx_inlets")
     geometry = F.when(F.col("inlet_id") % 9 != 4, F.struct("x", "y"))

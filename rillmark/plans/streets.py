@@ -342,7 +342,7 @@ def s6_candidates(spark, sf):
     return S.sample_candidates(_points(spark, sf), view(spark, sf, "fx_inlets"))
 
 
-@query()
+@query(f"select * from ({CAND}) c order by md5(concat('7:', street)), street limit 8")
 def s6_sample(spark, sf):
     return S.sample_streets(S.sample_candidates(_points(spark, sf), view(spark, sf, "fx_inlets")), 8, seed=7)
 

@@ -14,6 +14,38 @@ def _clean(json: Column) -> Column:
     return F.regexp_replace(json, "^﻿", "")
 
 
+_BAD = "_corrupt_record"
+
+
+def _split(rows: DataFrame, parsed: Column) -> tuple[DataFrame, DataFrame]:
+    f = rows.withColumn("f", parsed)
+    bad = F.col("f").isNull() | F.col("f")[_BAD].isNotNull()
+    return f.where(~bad).withColumn("f", F.col("f").dropFields(_BAD)), f.where(bad).drop("f")
+
+
+def checked_json(rows: DataFrame, schema: str, json: str = "json") -> tuple[DataFrame, DataFrame]:
+    """(rows with f, the record read with the schema; rows as they came whose text is null, empty, no JSON or not of the schema).
+
+    The readers below give nulls for such rows; a load that has to account for each record takes both tables.
+    """
+    return _split(rows, F.from_json(_clean(F.col(json)), f"{schema}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD}))
+
+
+def checked_csv(lines: DataFrame, schema: str, line: str = "value", header: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same for lines of CSV, one record a line: too few or too many fields and values that are not of their type are rejected.
+
+    header: a line that is left out of both.
+    """
+    rows = lines if header is None else lines.where(~F.col(line).eqNullSafe(header))
+    full, blank = F.from_csv(line, f"{schema}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD}), F.trim(line) == ""
+    return _split(rows, F.when(~blank, full))
+
+
+def write_rejects(rejects: DataFrame, path: str, stage: str) -> None:
+    """Rejected rows as they came, with the stage that rejected them, beside those of other stages."""
+    rejects.withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").json(path)
+
+
 def geometry_types(rows: DataFrame, json: str = "json", wanted: str = "LineString") -> DataFrame:
     """(kind, n, n_stray): features by type of geometry, null where they have none, and how many are not of the wanted type."""
     kinds = features_of(rows, json).select(F.from_json("json", LINE_FEATURE)["geometry"]["type"].alias("kind"))

@@ -203,6 +203,33 @@ def test_snap_border_is_strict(spark, y, inside):
     assert got == ({1: 5, 3: 0} if inside else {3: 0})
 
 
+@pytest.mark.parametrize("most", [3, 4096])
+def test_snap_in_crowded_cells(spark, most):
+    """Cells that are split by count on either side give the pairs that a plain search gives."""
+    rng = random.Random(9)
+    points = [(f"S{k % 3}", k, float(k), round(rng.uniform(0, 70), 2), round(rng.uniform(0, 70), 2), 1.0, 1.0) for k in range(150)]
+    inlets = [(k, round(rng.uniform(20, 40), 2), round(rng.uniform(20, 40), 2)) for k in range(200)]
+    p = spark.createDataFrame(points, "street string, path_idx int, d double, easting double, northing double, elev_m double, smooth double")
+    got = {(r.street, r.inlet_id): r.path_idx for r in I.snap(spark.createDataFrame(inlets, "inlet_id long, x double, y double"), p, most=most).collect()}
+    want = {}
+    for i, x, y in inlets:
+        for s in ("S0", "S1", "S2"):
+            near = [((x - e) ** 2 + (y - n) ** 2, k) for t, k, _, e, n, *_ in points if t == s]
+            if min(near)[0] <= 900:
+                want[s, i] = min(near)[1]
+    assert got == want
+
+
+def test_a_crowded_cell_is_dealt_out(spark):
+    """Two hundred thousand inlets and a thousand points in one cell: no part of it has more than 4096 of either."""
+    i = spark.range(200_000).select(F.col("id").alias("inlet_id"), F.lit(1).alias("gx"), F.lit(1).alias("gy"))
+    q = spark.range(10_000).select(F.col("id").alias("path_idx"), F.lit(1).alias("gx"), F.lit(1).alias("gy"))
+    a, b = I.in_shares(i, q, ("gx", "gy"), "inlet_id", "path_idx", 4096)
+    for df, n in ((a, 200_000 * 3), (b, 10_000 * 49)):
+        parts = [r["count"] for r in df.groupBy("_l", "_r").count().collect()]
+        assert sum(parts) == n and len(parts) == 49 * 3 and max(parts) < 1.15 * 4096
+
+
 def test_clean(spark):
     i = spark.createDataFrame([(1, 299.9, 249.9, None), (2, 300.0, 250.0, "x"), (3, 900.0, None, "x")], "inlet_id long, top_of_grate_ft double, invert_ft double, type_description string")
     got = I.clean(i).orderBy("inlet_id").collect()
@@ -304,6 +331,59 @@ def test_sinks_and_pages(spark, tmp_path):
     assert [tuple(r) for r in pts] == [(1, 1.0, 2.0), (2, None, None)]
 
 
+def test_rejects(spark, tmp_path):
+    rows = spark.createDataFrame([(1, '{"type":"Feature","properties":{"OBJECTID":"1"}}'), (2, "{"), (3, ""), (4, None), (5, '{"type":"Feature","geometry":{"type":"LineString","coordinates":"x"}}'), (6, '\ufeff{"type":"Feature"}')], "k int, json string")
+    good, bad = landed.checked_json(rows, landed.LINE_FEATURE)
+    assert sorted(r.k for r in good.collect()) == [1, 6] and sorted(r.k for r in bad.collect()) == [2, 3, 4, 5] and "_corrupt_record" not in good.schema["f"].dataType.names
+    lines = spark.createDataFrame([("a,b",), ("1,2.5",), ("x,2",), ("3",), ("4,5,6",), (None,), ("",), ("7,",)], "value string")
+    good, bad = landed.checked_csv(lines, "a int, b double", header="a,b")
+    assert sorted((r.f.a, r.f.b) for r in good.collect()) == [(1, 2.5), (7, None)] or sorted((r.f.a, r.f.b or 0) for r in good.collect()) == [(1, 2.5), (7, 0)]
+    assert sorted(r.value or "" for r in bad.collect()) == ["", "", "3", "4,5,6", "x,2"]
+    for stage in ("csv", "json"):
+        landed.write_rejects(bad if stage == "csv" else landed.checked_json(rows, landed.LINE_FEATURE)[1].select(F.col("json").alias("value")), f"{tmp_path}/rejects", stage)
+    back = {r.stage: r["count"] for r in spark.read.json(f"{tmp_path}/rejects").groupBy("stage").count().collect()}
+    assert back == {"csv": 5, "json": 4}
+
+
+def test_bucketed_store(spark, tmp_path):
+    """Written and opened again by keys alone: groups, windows and joins on the key read it without an exchange."""
+    from rillmark.sources import store
+
+    df = spark.range(1000).select((F.col("id") % 37).cast("string").alias("street"), F.col("id").alias("path_idx"), (F.col("id") * 1.5).alias("d"))
+    a = store.write_buckets(df, f"file://{tmp_path}/a", ("street",), ("path_idx",), 5)
+    b = store.open_buckets(spark.newSession(), f"file://{tmp_path}/a", "street string, path_idx long, d double", ("street",), ("path_idx",), 5)
+    assert sorted(b.collect()) == sorted(df.collect())
+    joined = a.groupBy("street").agg(F.max("d").alias("m")).join(C.smooth(a.withColumn("run", F.lit(0)), 3, z="d"), "street")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and joined.count() == 1000
+    store.drop(a)
+    assert not (tmp_path / "a").exists()
+
+
+def test_kept_tables_outlive_the_cache_and_follow_their_sources(spark, tmp_path):
+    from rillmark.sources.store import Kept
+
+    kept, made = Kept(), []
+    source = f"file://{tmp_path}/s"
+
+    def make():
+        made.append(1)
+        return spark.read.parquet(source)
+
+    def get():
+        return kept.get(spark, ("x",), make, (source,))
+
+    spark.createDataFrame([("a", 1)], "street string, v int").write.parquet(source)
+    assert get().count() == 1
+    spark.catalog.clearCache()
+    assert get().count() == 1 and len(made) == 1 and "store_" in get()._store[0]
+    spark.createDataFrame([("b", 2)], "street string, v int").write.mode("append").parquet(source)
+    assert get().count() == 2 and len(made) == 2
+    kept.release()
+    assert get().count() == 2 and len(made) == 3
+    kept.release()
+
+
 def test_path_modes(spark, tiny):
     from rillmark.sources.fixtures import view
 
