@@ -6,11 +6,14 @@ article, and how the class, id and role words around it are spread over the labe
 the blocks of a small table of labelled pages, keeps or drops each block.
 
 Words mark an element, but never the page's frame: not html, body, main or article; not an element that encloses the
-article or main with the most words, nor, on a page without these, one that holds two thirds of the words. An article
-among comments is not the page's. What a word says is learned from the labelled pages, apart for elements inside and
-outside an article; words that they do not have say nothing.
+article or main with the most words, or that holds half of its words; nor, on a page without these, one that holds two
+thirds of the words that no comments hold. An article among comments is not the page's. What a word says is learned from
+the labelled pages, as log odds that add up over the elements around a block, apart for elements inside and outside an
+article; what it says elsewhere counts half, a word that they do not have says what the longest of theirs within it says,
+or nothing. Which words lists of readers' comments have is learned likewise.
 
-Reading takes time in proportion to the page: no part of it is searched again, whatever is left open.
+Reading takes time and memory in proportion to the page: no part of it is searched again, whatever is left open, and a
+block knows the innermost marked element around it, an element the next one around itself.
 
 Defined results: null and empty pages give an empty text; a page cut off anywhere is read as far as it goes, and an
 attribute's value that is never closed ends the page; unknown references stay as written; elements with the attribute
@@ -51,9 +54,6 @@ IMPLIED = {k: tuple(x.split() for x in v) for k, v in IMPLIED.items()}
 #: Elements whose end tags outside, and paragraphs outside, nothing inside closes.
 SCOPES = frozenset("td th caption table button object template".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
-#: Class words of lists of readers' comments; an article in one is not the page's.
-COMMENT_WORDS = frozenset("comment reply replie disqus response".split())
-
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"[\s/]*([^\s/>=]?[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)|([\"'])))?")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW_TAGS}
@@ -142,28 +142,63 @@ class _Open:
         return top
 
 
-def blocks(page: str) -> list[tuple]:
-    """(text, words, words in links, in a boilerplate element, place, class words) of each flat block, in page order.
+class Page(list):
+    """The flat blocks of a page, (text, words, words in links, in a boilerplate element, place, mark), in page order.
 
-    place is 1 in an article or main, -1 outside those of a page that has one, else 0. The class words are those of the
-    elements around the block that are not the page's frame, each with whether it is inside an article.
+    place is 1 in the article or main with the most words, -1 outside of it on a page that has one, else 0. A mark is the
+    number of the innermost element around the block that has class words, -1 without one; said has the words of each mark,
+    with whether it is inside an article, above the mark around it, and frame the marks that are the page's frame.
     """
+
+    said: list[tuple]
+    above: list[int]
+    frame: set[int]
+
+    def around(self, mark: int, frame: bool = False) -> Iterator[tuple]:
+        """The words of a mark and of those around it; those of the frame only if asked for."""
+        while mark >= 0:
+            if frame or mark not in self.frame:
+                yield from self.said[mark]
+            mark = self.above[mark]
+
+
+class Odds:
+    """What class words say: log odds by (word, whether inside an article)."""
+
+    def __init__(self, log_odds: dict[tuple[str, bool], float]):
+        self.log_odds, self.told = log_odds, {}
+        self.words = sorted({w for w, _ in log_odds if len(w) >= 4}, key=lambda w: (-len(w), w))
+
+    def __call__(self, word: str, inside: bool) -> float:
+        if (word, inside) not in self.told:
+            known = next((w for w in (word, *(x for x in self.words if x in word)) if (w, inside) in self.log_odds or (w, not inside) in self.log_odds), None)
+            say = self.log_odds.get((known, inside))
+            if len(self.told) > 100_000:
+                self.told.clear()
+            self.told[word, inside] = self.log_odds.get((known, not inside), 0.0) / 2 if say is None else say
+        return self.told[word, inside]
+
+
+def blocks(page: str, comments: Odds | None = None) -> Page:
+    """The flat blocks of a page. comments: which words mark lists of readers' comments; as the labelled pages tell by default."""
+    comments = comments or _comment_odds()
     out: list[tuple] = []
     text: list[str] = []
     linked: list[str] = []
     open_ = _Open()
     asides = hidden = links = 0
-    marks: list[int] = []  # open elements with class words, by number
-    said: list[tuple] = []  # of each of them, the words
-    articles: list[int] = []
-    around: list[tuple] = []  # of each article or main, the marks around it
+    mark = article = -1  # the innermost marked element and article or main
+    said: list[tuple] = []  # of each marked element, the words
+    above: list[int] = []
+    outer: list[int] = []  # of each article or main, the one around it
+    around: list[int] = []  # and the mark around it
 
     def flush() -> None:
         if text:
             t = " ".join(_html.unescape("".join(text)).split())
             if t:
                 inside = len(_html.unescape("".join(linked)).split())
-                out.append((t, t.count(" ") + 1, inside, asides > 0, tuple(marks), tuple(articles)))
+                out.append((t, t.count(" ") + 1, inside, asides > 0, mark, article))
         text.clear()
         linked.clear()
 
@@ -174,7 +209,7 @@ def blocks(page: str) -> list[tuple]:
                 linked.append(piece)
 
     def close(upto: int) -> None:
-        nonlocal asides, hidden, links
+        nonlocal asides, hidden, links, mark, article
         while len(open_.stack) > upto:
             name, aside, marked, covered = open_.pop()
             if name in BLOCK_TAGS:
@@ -183,9 +218,9 @@ def blocks(page: str) -> list[tuple]:
             hidden -= covered
             links -= name == "a"
             if marked:
-                marks.pop()
+                mark = above[mark]
             if name in ("article", "main"):
-                articles.pop()
+                article = outer[article]
 
     at = 0
     for start, end, tag, closing, found in _tags(page):
@@ -227,45 +262,80 @@ def blocks(page: str) -> list[tuple]:
             continue
         words = tuple(w for k in ("class", "id", "role") if k in found for w in class_words(found[k]))
         marked = bool(words) and tag not in FRAME_TAGS
-        aside = tag in ASIDE_TAGS or (tag == "header" and not articles)
+        aside = tag in ASIDE_TAGS or (tag == "header" and article < 0)
         covered = tag in HIDDEN_TAGS or "hidden" in found
         open_.push(tag, aside, marked, covered)
         asides += aside
         hidden += covered
         links += tag == "a"
         if marked:
-            marks.append(len(said))
-            said.append(tuple((w, bool(articles)) for w in words))
+            said.append(tuple((w, article >= 0) for w in words))
+            above.append(mark)
+            mark = len(said) - 1
         if tag in ("article", "main"):
-            articles.append(len(around))
-            around.append(tuple(marks))
+            around.append(mark)
+            outer.append(article)
+            article = len(around) - 1
     if at < len(page) and not (open_.stack and open_.stack[-1][0] in RAW_TAGS):
         take(page[at:-1] if page.endswith("<") else page[at:])
     flush()
-    frame, main = _frame(out, [any(w in COMMENT_WORDS for w, _ in words) for words in said], around)
-    return [(t, n, inside, aside, (1 if main in within else -1) if main >= 0 else 0, [w for k in of if k not in frame for w in said[k]]) for t, n, inside, aside, of, within in out]
-
-
-def _frame(found: list[tuple], comments: list[bool], around: list[tuple]) -> tuple[set[int], int]:
-    """(the marks that are the page's frame, and so say nothing; the article or main with the most words, or -1)."""
-    held, read = [0] * len(comments), [0] * len(around)
-    for _, n, _, _, of, within in found:
-        for k in of:
-            held[k] += n
-        for k in within:
-            read[k] += n
-    texts = [k for k, of in enumerate(around) if read[k] and not any(comments[x] for x in of)]
-    if texts:
-        main = max(texts, key=read.__getitem__)
-        return set(around[main]), main
-    return {k for k, n in enumerate(held) if not comments[k] and 3 * n >= 2 * sum(b[1] for b in found)}, -1
-
-
-# Small labelled pages. Blocks that begin with + are main text, those with - are not.
+    return _placed(out, said, above, outer, around, comments)
+
+
+def _placed(found: list[tuple], said: list[tuple], above: list[int], outer: list[int], around: list[int], comments: Odds) -> Page:
+    """The page of blocks (text, words, words in links, in a boilerplate element, mark, article); each list is gone through once."""
+    remark = [False] * len(said)  # whether a mark is in readers' comments
+    for k, words in enumerate(said):
+        remark[k] = above[k] >= 0 and remark[above[k]] or sum(comments(*w) for w in words) > 0
+    read, held = [0] * len(around), [0] * len(said)
+    total = 0
+    for _, n, _, _, mark, article in found:
+        if article >= 0:
+            read[article] += n
+        if mark < 0 or not remark[mark]:
+            total += n
+            if mark >= 0:
+                held[mark] += n
+    for k in range(len(around) - 1, -1, -1):
+        if outer[k] >= 0:
+            read[outer[k]] += read[k]
+    for k in range(len(said) - 1, -1, -1):
+        if above[k] >= 0:
+            held[above[k]] += held[k]
+    texts = [k for k, mark in enumerate(around) if read[k] and not (mark >= 0 and remark[mark])]
+    out = Page()
+    out.said, out.above, out.frame = said, above, set()
+    if not texts:
+        out.frame = {k for k, n in enumerate(held) if not remark[k] and 3 * n >= 2 * total}
+        out.extend((t, n, inside, aside, 0, mark) for t, n, inside, aside, mark, _ in found)
+        return out
+    main = max(texts, key=read.__getitem__)
+    within = [False] * len(around)
+    for k in range(len(around)):
+        within[k] = k == main or outer[k] >= 0 and within[outer[k]]
+    own = [0] * len(said)
+    for _, n, _, _, mark, article in found:
+        if mark >= 0 and article >= 0 and within[article]:
+            own[mark] += n
+    for k in range(len(said) - 1, -1, -1):
+        if above[k] >= 0:
+            own[above[k]] += own[k]
+    # Words are around the article in an element around it, and in the article in one that holds half of it.
+    out.frame = {k for k, n in enumerate(own) if n and 2 * n >= read[main] and not remark[k]}
+    mark = around[main]
+    while mark >= 0:
+        out.frame.add(mark)
+        mark = above[mark]
+    out.extend((t, n, inside, aside, 1 if article >= 0 and within[article] else -1, mark) for t, n, inside, aside, mark, article in found)
+    return out
+
+
+# Small labelled pages. Blocks that begin with + are main text, those with - are not, and those with ~ are
+# readers' comments.
 LABELLED_PAGES = (
     "<body><nav><ul><li><a>-Home</a></li><li><a>-World news</a></li><li><a>-Sports</a></li></ul></nav><div class='ad'>-Buy now and save a lot on all new things today.</div><article><h1>+A report from the coast</h1><p>+The storm came in the night and took the old pier with it, and nobody saw it go.</p><p>+No one was hurt.</p><p>+Work on a new pier, which the <a>town council</a> had planned for years, will begin in spring, said the mayor.</p></article><footer>-Copyright 2020 by the paper. All rights are reserved everywhere.</footer></body>",
     "<body><header>-The Daily Paper</header><main><h1>+Soup</h1><p>+Cut the leeks.</p><p>+Boil.</p><p>+Serve with bread and a little of the oil that is left over from the pan.</p></main><aside>-More recipes that our readers have liked a lot this week</aside><form>-Leave your address here to get our letter</form><footer><p>-Imprint</p></footer></body>",
-    "<body><div id='menu'><a>-Start</a> <a>-Shop</a></div><div><p>+All cats of the city are fed by a small group of people who walk its streets at night, in rain and in snow, and ask for nothing.</p><p>+They have done so for more than thirty years, and want to go on for as long as they can walk.</p></div><div class='comments'><p>-I like cats very much and have fed three of them for years, so thanks to all of you.</p><p>-Me too.</p></div><div><a>-About us</a> <a>-Contact us</a> <a>-Imprint</a></div></body>",
+    "<body><div id='menu'><a>-Start</a> <a>-Shop</a></div><div><p>+All cats of the city are fed by a small group of people who walk its streets at night, in rain and in snow, and ask for nothing.</p><p>+They have done so for more than thirty years, and want to go on for as long as they can walk.</p></div><div class='comments'><p>~I like cats very much and have fed three of them for years, so thanks to all of you.</p><p>~Me too.</p></div><div><a>-About us</a> <a>-Contact us</a> <a>-Imprint</a></div></body>",
     "<body><div class='cookie'>-We use files on your device to know you again. Please agree to that now.</div><div><a>-News</a></div><div><a>-Weather and roads</a></div><h2>+How rivers freeze</h2><p>+Water is heaviest at four degrees, so a river cools as a whole before any ice forms upon its face, and then the ice grows downward from there.</p><p>+In <a>cold years</a> it bears a cart by the end of January in most of the towns that lie along its upper course.</p><div><a>-Read more about ice</a></div><div><a>-Read more about rivers</a></div></body>",
     "<body><article><h1>+Results</h1><p>+None.</p><p>+See below for what the others have found, and for the list of all that was seen.</p><div class='share'>-Share this</div><p>+Two.</p></article><section class='related'><h2>-You may also like</h2><p>-Ten things that nobody had told you about the sea and its many ships</p></section></body>",
     "<body class='has-sidebar home'><div id='page' class='with-header'><div id='header'>-The Evening News</div><article class='post widget'><div class='entry-header'><h1>+Old bridge reopens</h1></div><p>+The bridge over the mill stream carries carts again after two years of work that cost far more than anyone had thought.</p><p>+It rained.</p><p><a>+The full report of the builders, with all its tables</a></p><p>+Carts pay nothing until the end of the year.</p></article><div class='sidebar'><p>-Most read this week by all those who live near the mill stream</p></div></div></body>",
@@ -286,29 +356,28 @@ LABELLED_PAGES = (
     "<body><article><p><a>+What he wrote</a></p><p>+True.</p></article></body>",
     "<body><header>-News of the harbour and of all who live by it</header><p>+Three boats came in last night with more cod than the cold house can hold, so it is sold from the deck today.</p><p>+Bring a bag.</p><p>+The fourth boat is still out, but has been heard by wireless and is well.</p><aside>-Those who sell from the deck must show their paper to the master of the harbour at any time.</aside><form>-Tell us what you have seen on the water and we shall print it here in the next week.</form><footer>-The harbour news is made by the people of the harbour. Nothing in it may be copied.</footer></body>",
     # What stands around an article on most pages, by the words that makers of pages use.
-    "<body><div class='cookie-consent notice'>-This site keeps small files on your device so that it can tell you from others. You can refuse that at any time.</div><div class='top-banner advert'>-Your bank for all of life and for all that comes after it, since the days of your grandfather.</div><div class='breadcrumbs'><a>-Home</a> <a>-Science</a></div><div id='masthead'>-The journal of the river and its people</div><div class='content main-text'><p>+Eels cross the whole ocean to spawn, and nobody has ever seen them do it or found an egg.</p><p>+They come back as glass.</p></div><div class='newsletter subscribe'>-Get the best of the week in one letter, each Friday, at no cost, and leave it whenever you like.</div><div class='promo sponsored sponsor'>-A ring for life, from the house that has made rings for a hundred years and more.</div><div class='social sharing toolbar'>-Pass it on</div><div class='related-posts recommended'><p>-Why the salmon leaps, and what the old fishers of the upper valley knew of it</p></div><div id='disqus' class='replies reply'><p>-I have seen eels in our well, and my father says that they came through the rock from the sea.</p></div><div class='footer copyright legal'>-All of this belongs to the journal. Nothing may be taken.</div></body>",
-    "<body><div class='popup modal overlay'>-Do you want to hear from us first? Say yes and you will never miss a thing.</div><div class='navbar navigation'><a>-Home</a></div><div class='widget search'>-Find what you look for</div><main><div class='post-content entry body text story'><h1>+Glass from sand</h1><p>+Sand melts at a heat that no common fire reaches, so the makers of old added ash to it.</p><div class='inline ad ads advertisement'>-The best windows of the whole land, now at half the price until the end of the month.</div><p>+The ash of beech was thought the best.</p></div><div class='author-bio tags meta'>-Written by a friend of the house</div><div class='share-buttons'>-Send</div></main><div class='comments-area'><article class='comment'><p>-My uncle made glass for all his life and would have told you quite another story about the ash of beech and of oak.</p></article></div><div class='sidebar secondary complementary'>-What others read at this hour</div><div class='skip-link hidden login account'>-Sign in</div></body>",
+    "<body><div class='cookie-consent notice'>-This site keeps small files on your device so that it can tell you from others. You can refuse that at any time.</div><div class='top-banner advert'>-Your bank for all of life and for all that comes after it, since the days of your grandfather.</div><div class='breadcrumbs'><a>-Home</a> <a>-Science</a></div><div id='masthead'>-The journal of the river and its people</div><div class='content main-text'><p>+Eels cross the whole ocean to spawn, and nobody has ever seen them do it or found an egg.</p><p>+They come back as glass.</p></div><div class='newsletter subscribe'>-Get the best of the week in one letter, each Friday, at no cost, and leave it whenever you like.</div><div class='promo sponsored sponsor'>-A ring for life, from the house that has made rings for a hundred years and more.</div><div class='social sharing toolbar'>-Pass it on</div><div class='related-posts recommended'><p>-Why the salmon leaps, and what the old fishers of the upper valley knew of it</p></div><div id='disqus' class='replies reply responses'><p>~I have seen eels in our well, and my father says that they came through the rock from the sea.</p></div><div class='footer copyright legal'>-All of this belongs to the journal. Nothing may be taken.</div></body>",
+    "<body><div class='popup modal overlay'>-Do you want to hear from us first? Say yes and you will never miss a thing.</div><div class='navbar navigation'><a>-Home</a></div><div class='widget search'>-Find what you look for</div><main><div class='post-content entry body text story'><h1>+Glass from sand</h1><p>+Sand melts at a heat that no common fire reaches, so the makers of old added ash to it.</p><div class='inline ad ads advertisement'>-The best windows of the whole land, now at half the price until the end of the month.</div><p>+The ash of beech was thought the best.</p></div><div class='author-bio tags meta'>-Written by a friend of the house</div><div class='share-buttons'>-Send</div></main><div class='comments-area'><article class='comment'><p>~My uncle made glass for all his life and would have told you quite another story about the ash of beech and of oak.</p></article></div><div class='sidebar secondary complementary'>-What others read at this hour</div><div class='skip-link hidden login account'>-Sign in</div></body>",
+    "<body><div class='gdpr privacy wall'>-We and our partners would like to know where you go from here and what you buy there.</div><article><h1>+The salt road</h1><div class='top'><p>+Salt came up from the sea on mules, nine days from the pans to the market of the upper town.</p><p>+It paid for the walls.</p></div><section class='news menu card'><p>+The mules went home with cheese, wool and the letters of all who had children at the coast.</p></section><div class='sponsor ad'>-Mules for hire</div><p>+The railway ended it within one summer.</p></article><section class='comments responses'><p>~My great-grandfather led the last train of mules, and we still have the bell of the first of them.</p></section></body>",
+    "<body><div class='page'><div class='post content'><h1>+Wells of the plain</h1><p>+Nobody dug deeper than twelve metres, since below that the water is as salt as the sea.</p><p>+So they dug wide.</p></div><div class='comments'><p>~There is one on our farm that is fourteen metres deep, and its water is sweet all the year, so this cannot be quite true.</p><p>~Ours is salt.</p></div></div></body>",
 )
 
 
-def _said(block: tuple, odds: dict) -> float:
-    """The strongest sign of boilerplate among the block's class words; below 0 where they only tell of main text."""
-    told = [odds.get(w, odds.get((w[0], not w[1]), 0.0)) for w in block[5]]
-    return max(told, default=0.0)
-
-
-def features(found: list[tuple], odds: dict) -> np.ndarray:
+def features(found: Page, odds: Odds) -> np.ndarray:
     """One row of FEATURES for each block of one page."""
     n = np.array([b[1] for b in found], float)
     d = np.array([b[2] / b[1] for b in found])
     shift = lambda x, k: np.concatenate([[0.0], x[:-1]] if k else [x[1:], [0.0]])
-    return np.stack([n, d, shift(n, 1), shift(d, 1), shift(n, 0), shift(d, 0), np.array([b[3] for b in found], float), np.array([b[4] for b in found], float), np.array([_said(b, odds) for b in found])], 1)
+    said = [0.0] * (len(found.said) + 1)  # of each mark, with those around it; the last is none
+    for k, words in enumerate(found.said):
+        said[k] = said[found.above[k]] + (0.0 if k in found.frame else sum(odds(*w) for w in words))
+    return np.stack([n, d, shift(n, 1), shift(d, 1), shift(n, 0), shift(d, 0), np.array([b[3] for b in found], float), np.array([b[4] for b in found], float), np.array([said[b[5]] for b in found])], 1)
 
 
 class Tree:
     """A small decision tree: nodes (feature, threshold, left, right) or a leaf's label; odds: what class words say."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, odds: dict, depth: int = 8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, odds: Odds, depth: int = 8):
         self.nodes: list[tuple] = []
         self.odds = odds
         self._grow(x, y, depth)
@@ -357,15 +426,31 @@ def alone(pages: tuple[str, ...]) -> Iterator[str]:
             yield from (f"<body><article>{text}</article></body>", f"<body>{text}</body>")
 
 
+def _log_odds(for_: Counter, against: Counter) -> Odds:
+    return Odds({w: math.log((for_[w] + 0.5) / (against[w] + 0.5)) for w in for_ | against})
+
+
+@cache
+def _comment_odds(pages: tuple[str, ...] = LABELLED_PAGES) -> Odds:
+    """What class words say of readers' comments: their log odds among the blocks that they are around, wherever they stand."""
+    comments, others = Counter(), Counter()
+    for page in pages:
+        found = blocks(page, Odds({}))
+        for b in found:
+            (comments if b[0].startswith("~") else others).update({(w, inside) for w, _ in found.around(b[5], frame=True) for inside in (False, True)})
+    return _log_odds(comments, others)
+
+
 def train(pages: tuple[str, ...] = LABELLED_PAGES) -> Tree:
     """The tree for labelled pages, and for each class word the log odds of boilerplate among the blocks that it is around."""
-    read = [blocks(page) for page in (*pages, *alone(pages))]
+    comments = _comment_odds(pages)
+    read = [blocks(page, comments) for page in (*pages, *alone(pages))]
     labels = [np.array([b[0].startswith("+") for b in found], float) for found in read]
     main, other = Counter(), Counter()
     for found, y in zip(read, labels, strict=True):
         for b, good in zip(found, y, strict=True):
-            (main if good else other).update(set(b[5]))
-    odds = {w: math.log((other[w] + 0.5) / (main[w] + 0.5)) for w in main | other}
+            (main if good else other).update(set(found.around(b[5])))
+    odds = _log_odds(other, main)
     return Tree(np.concatenate([features(f, odds) for f in read]), np.concatenate(labels), odds)
 
 

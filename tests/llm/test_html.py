@@ -53,6 +53,11 @@ TEXT = "The storm came in the night and took the old pier with it, and nobody in
         (f"<body><article><b><p>The one half of the pier went first</b>, the other an hour later.</p>{STORY}</article>", f"The one half of the pier went first, the other an hour later.\n\n{TEXT}"),
         (f"<body><p hidden>Not shown to anyone who reads this page in the usual way</p><article>{STORY}</article>", TEXT),
         (f"<body><article>{STORY}</article><p>Cut <b", TEXT),
+        (f"<body><div class='wrap'><div class='post-content'>{STORY}</div><div class='comments'><p>I was there and saw all of it, whatever they say in the town, for we had gone out to look after our boat, and then it was far too late to go home again.</p><p>Me too.</p></div></div></body>", TEXT),
+        (f"<body><article><div class='top'>{STORY}</div>{STORY}</article></body>", f"{TEXT}\n\n{TEXT}"),
+        (f"<body><article>{STORY}<section class='news menu-card'>{STORY}</section></article></body>", f"{TEXT}\n\n{TEXT}"),
+        (f"<body><article>{STORY}<div class='gdpr-wall'>We would like to keep some files on your device from now on.</div>{STORY}<div class='sponsorblock'>All of this comes to you from the bank of the valley, since 1880.</div>{STORY}</article></body>", f"{TEXT}\n\n{TEXT}\n\n{TEXT}"),
+        (f"<body><main>{STORY}</main><section class='respond commentlist'><article><p>{'I saw it go and told them so. ' * 20}</p></article></section></body>", TEXT),
     ],
 )
 def test_pages_as_people_write_them(page, want):
@@ -73,7 +78,7 @@ def test_the_tree_uses_word_counts_and_link_densities_of_neighbours():
     assert main_text(page, tree) == f"The pier\n\n{TEXT}\n\nIt rained.\n\n{TEXT}"
 
 
-@pytest.mark.parametrize("piece", ["<a ", "<li>", "<div><p>", "</b>", "<!--", "<a x=\"", "<a x='y' z=\"", "<", "</", "<script>", "<td><table>", "<a>", "<p class=ad>", "&", "<head><div>", "<button></p>"])
+@pytest.mark.parametrize("piece", ["<a ", "<li>", "<div><p>", "</b>", "<!--", "<a x=\"", "<a x='y' z=\"", "<", "</", "<script>", "<td><table>", "<a>", "<p class=ad>", "&", "<head><div>", "<button></p>", "<div class=a>x", "<article>x", "<article class=top><p>x", "<main><div id=a><article>x y"])
 def test_reading_takes_time_in_proportion_to_the_page(piece):
     tree = train()
     seconds = []
@@ -83,3 +88,19 @@ def test_reading_takes_time_in_proportion_to_the_page(piece):
         main_text(page, tree)
         seconds.append(time.process_time() - began)
     assert seconds[1] < 1 if piece == "<a " else seconds[1] < 24 * max(seconds[0], 0.02)
+
+
+def test_deep_pages_take_memory_in_proportion():
+    import tracemalloc
+
+    tree, held = train(), []
+    for n in (7_000, 70_000):
+        page = "<div class=a>x" * n
+        began = time.process_time()
+        main_text(page, tree)
+        assert time.process_time() - began < 15
+        tracemalloc.start()
+        assert main_text(page, tree).count("x") in (0, n)
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert held[1] < 14 * held[0] and held[1] < 300e6
