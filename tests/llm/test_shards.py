@@ -82,3 +82,36 @@ def test_odd_tables(spark):
     assert got.columns == ["doc_id", "text", "lang", "source", "rank", "curve", "row", "_at", "shard", "slot"]
     assert sorted((r.shard, r.slot) for r in got.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
     assert {(r["rank"], r.curve, r.row, r._at) for r in got.collect()} == {(1, 2, "r", 4)}
+
+
+def test_small_sources_come_near_their_targets(spark):
+    """Sources of fifty documents, one with a third of its words in one document: each within 1 % of its target."""
+    import random
+
+    from rillmark.llm import cube_mix
+
+    rng = random.Random(3)
+    rows = [(s * 1000 + i, f"s{s:02}", "w " * (4000 if i == 0 else rng.randrange(20, 400))) for s in range(12) for i in range(50)]
+    got = cube_mix.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for s in range(12):
+        of = [r for r in got if r.source == f"s{s:02}"]
+        assert abs(sum(r.copies * r["size"] for r in of) - of[0].target) <= 0.01 * of[0].target and len(of) == 50
+
+
+def test_rows_that_are_alike_are_spread_over_blocks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from rillmark.llm import cube_mix
+
+    seen = []
+    real = cube_mix._fly
+    monkeypatch.setattr(cube_mix, "_fly", lambda land: seen.append(land) or real(land))
+    df = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("a b c").alias("text")).union(spark.range(2000).select(F.col("id"), F.lit("t"), F.lit("d " * 5)))
+    got = cube_mix.mix_sources(df)
+    rows = got.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
+    assert sorted(r.n for r in rows) == [2000, 100_000] and all(abs(r.taken - r.target) <= 5 and r.most <= 2 for r in rows) and seen == [False, True]
+    units = df.select("doc_id", F.xxhash64("doc_id", "text").alias("twin"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("number_"))
+    turns = cube_mix._ranked(units).where("doc_id = 7").groupBy(F.pmod(F.xxhash64("twin", "turn", F.lit(17)), F.lit(13)).alias("b")).count().collect()
+    assert len(turns) == 13 and max(r["count"] for r in turns) < 8_500
+    ranks = cube_mix._ranked(units).where("doc_id = 7").agg(F.count_distinct("turn").alias("n"), F.max("turn").alias("m")).first()
+    assert (ranks.n, ranks.m) == (100_000, 99_999)
