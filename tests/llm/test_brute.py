@@ -349,4 +349,31 @@ def test_empty_tables(spark, cases, tiny, name, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("empty"))
     for t in ("documents", "benchmark", "pages"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{out}/{t}.parquet")
+    spark.read.parquet(f"{tiny}/conversations.parquet").limit(0).write.parquet(f"{out}/conversations.parquet")
     assert QUERIES[name](spark, out).collect() == []
+
+
+def test_a_store_of_line_runs_opens_again(spark, tmp_path):
+    """Three sessions add their documents one after the other; what each drops counts all before, runs are compacted, and merges shuffle nothing."""
+    from rillmark.llm import line_runs
+    from rillmark.llm.line_runs import LineRuns, drop_frequent_lines
+
+    store, seen = f"file://{tmp_path}/store", {}
+    for k in range(3):
+        rows = [(k * 100 + i, f"all\nmod {i % 7}\nown {k} {i}\nof session {k}") for i in range(20)]
+        for _, t in rows:
+            for x in set(t.split("\n")):
+                seen[x] = seen.get(x, 0) + 1
+        session = spark.newSession()
+        got = drop_frequent_lines(session.createDataFrame(rows, "doc_id long, text string"), min_docs=8, store_path=store, batches=4).collect()
+        assert {r.doc_id: r.text for r in got} == {d: "\n".join(x for x in t.split("\n") if seen[x] < 8) for d, t in rows}
+    held = LineRuns(spark.newSession(), store, 8)
+    assert held.version == 12 and sorted(level for level, _ in held.runs) == [-1, 2, 3]
+    a, b = [r for level, r in held.runs if level > 0]
+    with line_runs._in_order(held.spark):
+        for plan in (line_runs.merge(a, b), a.hint("merge").join(held.level(-1)[0].hint("merge"), ["h1", "h2"], "left_anti")):
+            plan = plan._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    assert held.frequent().count() == sum(n >= 8 for n in seen.values()) == held.frequent().distinct().count()
+    for _, r in held.runs:
+        assert r.count() == r.select("h1", "h2").distinct().count()
