@@ -356,6 +356,8 @@ def test_bucketed_store(spark, tmp_path):
     joined = a.groupBy("street").agg(F.max("d").alias("m")).join(C.smooth(a.withColumn("run", F.lit(0)), 3, z="d"), "street")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and joined.count() == 1000
+    twice = a.unionByName(store.write_buckets(df, f"file://{tmp_path}/b", ("street",), ("path_idx",), 5)).groupBy("street").count()
+    assert twice.count() == 37 and {r.street for r in twice.collect()} == {str(i) for i in range(37)}  # a union of bucketed tables is grouped as a whole
     store.drop(a)
     assert not (tmp_path / "a").exists()
 
