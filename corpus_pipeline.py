@@ -13,15 +13,22 @@ to either row, as these are alike. Texts count as a whole, however long; an empt
 the columns of documents, whatever they are and however they are named; the last adds shard and slot, in the place of
 columns of these names. A table without labels loses only rows without letters in the first stage. Each stage is written
 as Parquet and read again before the next, and deleted when that one is written.
+
+Near duplicates and the mix decide on narrow rows. The rows with their texts are written once, in buckets by the part that
+they were read in; what is decided comes back as one array a part, with a value for each row at its place, so no text is
+shuffled for it. A part has as many rows as one task reads.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm import cube_mix, hilbert, jaccard_skip, kn_langid, minhash_contain
-from rillmark.llm.common import forget, free_name, saved
+from rillmark.llm.common import forget, free_name, saved, scratch_dir
+from rillmark.sources.store import write_buckets
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,24 +36,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kn_langid.keep_accepted(docs, model)
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs, written with a number of each row, so that every later read sees the same ones, and the name of its column."""
-    number = free_name(docs, "number")
-    return saved(docs.withColumn(number, F.monotonically_increasing_id()), "rows"), number
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """docs, written with the part that a row was read in and its number, so that every later read sees the same ones, and the names of these columns."""
+    part, number = free_name(docs, "part"), free_name(docs, "number")
+    rows = docs.withColumn(part, F.spark_partition_id()).withColumn(number, F.monotonically_increasing_id())
+    return write_buckets(rows, f"{scratch_dir(docs.sparkSession)}/rows-{uuid.uuid4().hex}", (part,), deal=False), part, number
+
+
+def _decided(rows: DataFrame, part: str, number: str, values: DataFrame, name: str) -> DataFrame:
+    """rows with the value (number, value) of each as the column name; values has each row of each part once."""
+    place = F.col("number").bitwiseAND(F.lit((1 << 33) - 1))
+    held = values.groupBy(F.shiftright("number", 33).cast("int").alias(part)).agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), "value"))).alias("of"))
+    array = free_name(rows, "values")
+    held = held.select(part, F.transform("of", lambda x: x["value"]).alias(array))
+    own = F.col(number).bitwiseAND(F.lit((1 << 33) - 1)).cast("int")
+    return rows.hint("merge").join(held.hint("merge"), part).withColumn(name, F.get(array, own)).drop(array)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, n = _numbered(docs)
+    rows, part, n = _numbered(docs)
     number = F.col(n).alias("number")
     groups = jaccard_skip.linked_documents(rows.select(number, "text"), k=5, percent=80, id_col="number")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), number)
     named = groups.join(rows.select(number, order.alias("first")), "number")
     first = named.groupBy("component_id").agg(F.min("first").alias("least")).select("component_id", F.col("least.number").alias("stays"))
-    gone = saved(named.join(first, "component_id").where("number <> stays").select(F.col("number").alias(n)), "gone")
-    # Rows that are surely not among those that go need no shuffle.
-    mark = free_name(rows, "likely")
-    looked = jaccard_skip.marked(rows, gone, n, mark)
-    return looked.where(~F.col(mark)).select(*docs.columns).unionAll(looked.where(mark).join(gone, n, "left_anti").select(*docs.columns))
+    stays = named.select("number", "component_id").join(first, "component_id").select("number", (F.col("number") == F.col("stays")).cast("tinyint").alias("value"))
+    stay = free_name(rows, "stay")
+    return _decided(rows, part, n, stays, stay).where(F.col(stay) == 1).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +71,12 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, n = _numbered(docs)
+    rows, part, n = _numbered(docs)
     units = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "source", "text", F.col(n).alias("number"))
-    times = free_name(docs, "copies")
-    copies = cube_mix.mix_sources(units, carried=("number",)).where("copies > 0").select(F.col("number").alias(n), F.col("copies").cast("int").alias(times))
-    return rows.join(copies, n).withColumn(free_name(docs, "copy"), F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    copies = cube_mix.mix_sources(units, carried=("number",)).select("number", F.col("copies").cast("tinyint").alias("value"))
+    times = free_name(rows, "copies")
+    taken = _decided(rows, part, n, copies, times).where(F.col(times) > 0)
+    return taken.withColumn(free_name(taken, "copy"), F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
