@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .order import quantiles
 
 UNCLASSIFIED = "(unclassified)"
 #: Classes in draw order with line widths; sag bins by least count with label, colour, least width.
@@ -47,6 +48,13 @@ def in_all(index: DataFrame, street: str = "street", variant: str = "variant") -
     return index.groupBy(street).agg(F.count_distinct(variant).alias("_n")).join(F.broadcast(n), F.col("_n") == F.col("_all")).select(street)  # one row
 
 
+def not_in_all(index: DataFrame, street: str = "street", variant: str = "variant") -> DataFrame:
+    """(street, variants): streets that some variant lacks, with those that have it, in order of name."""
+    n = index.agg(F.count_distinct(variant).alias("_all"))
+    held = index.groupBy(street).agg(F.array_sort(F.collect_set(variant)).alias("variants"))  # variants are few
+    return held.join(F.broadcast(n), F.size("variants") < F.col("_all")).select(street, F.array_join("variants", ",").alias("variants")).orderBy(street)
+
+
 def polylines(vertices: DataFrame, line: str = "oid") -> DataFrame:
     """(line, path): the ordered Mercator vertices of each segment."""
     mx, my = geo.to_mercator(F.col("lon"), F.col("lat"))
@@ -90,7 +98,8 @@ def islands(flagged: DataFrame, gap: float = 5.0) -> DataFrame:
 def with_fallback(centres: DataFrame, points: DataFrame) -> DataFrame:
     """centres (street, x, y, n), and the median point with n 0 of each street without one."""
     rest = points.join(centres.select("street").distinct(), "street", "left_anti")
-    return centres.select("street", "x", "y", "n").unionByName(rest.groupBy("street").agg(F.median("easting").alias("x"), F.median("northing").alias("y"), F.lit(0).cast("long").alias("n")))
+    middle = lambda c, name: quantiles(rest, c, (0.5,), ("street",)).withColumnRenamed("q0", name)
+    return centres.select("street", "x", "y", "n").unionByName(middle("easting", "x").join(middle("northing", "y"), "street").withColumn("n", F.lit(0).cast("long")))
 
 
 def merge_centres(centres: DataFrame, window: float = 40.0, keep: int = 3) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import quantiles
+
 
 def profile_index(p: DataFrame, flag_cm: float = 20.0) -> DataFrame:
     """Length, gaps, elevations, grade and flagged points of each street, longest first."""
@@ -23,7 +25,8 @@ def profile_index(p: DataFrame, flag_cm: float = 20.0) -> DataFrame:
 
 def drain_index(p: DataFrame, pairs: DataFrame) -> DataFrame:
     """Points and inlets of each street, most inlets first."""
-    near = pairs.groupBy("street").agg(F.count("*").alias("n_inlets"), F.count("grate_m").alias("n_grate_elev"), F.count("invert_m").alias("n_invert_elev"), F.bround(F.median("offset_m"), 1).alias("median_offset_m"))
+    near = pairs.groupBy("street").agg(F.count("*").alias("n_inlets"), F.count("grate_m").alias("n_grate_elev"), F.count("invert_m").alias("n_invert_elev"))
+    near = near.join(quantiles(pairs, "offset_m", (0.5,), ("street",)), "street", "left").withColumn("median_offset_m", F.bround("q0", 1)).drop("q0")
     out = p.groupBy("street").agg(F.count("*").alias("n_points")).join(near, "street", "left")
     return out.fillna(0, ["n_inlets", "n_grate_elev", "n_invert_elev"]).orderBy(F.desc("n_inlets"), "street")
 
@@ -87,10 +90,12 @@ def variant_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def type_breakdown(pairs: DataFrame) -> DataFrame:
     """Inlets of each street and type: with grate, without, with invert, with both; offsets."""
-    return pairs.groupBy("street", "type").agg(
+    middle = quantiles(pairs, "offset_m", (0.5,), ("street", "type"))
+    out = pairs.groupBy("street", "type").agg(
         F.count("*").alias("n"), F.count("grate_m").alias("n_grate"), F.count_if(F.col("grate_m").isNull()).alias("n_unsurveyed"), F.count("invert_m").alias("n_invert"),
-        F.count_if(F.col("grate_m").isNotNull() & F.col("invert_m").isNotNull()).alias("n_stem"), F.bround(F.median("offset_m"), 6).alias("median_offset"), F.bround(F.max("offset_m"), 6).alias("max_offset"),
+        F.count_if(F.col("grate_m").isNotNull() & F.col("invert_m").isNotNull()).alias("n_stem"), F.bround(F.max("offset_m"), 6).alias("max_offset"),
     )
+    return out.join(middle, ["street", "type"], "left").withColumn("median_offset", F.bround("q0", 6)).drop("q0")
 
 
 def frequency(df: DataFrame, *cols: str) -> DataFrame:

@@ -64,6 +64,11 @@ def j4_all_variants(spark, sf):
     return O.in_all(_long(spark, sf))
 
 
+@query(f"{LONG} select street, string_agg(distinct variant, ',' order by variant) as variants from lng group by street having count(distinct variant)<2")
+def j4_dropped(spark, sf):
+    return O.not_in_all(_long(spark, sf))
+
+
 @query(f"{SEG} select oid, {BUCKET} as cls from fx_segments")
 def o1_class_bucket(spark, sf):
     return _named(view(spark, sf, "fx_segments")).select("oid", O.class_bucket(F.col("class_name")).alias("cls"))

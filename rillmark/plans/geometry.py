@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..operators import lines as G
 from ..operators import summary as S
 from ..sources import landed as A
 from ..sources.fixtures import ctes, table, view
+from ..sources.store import scratch
 from ._register import Register
 
 query = Register()
@@ -287,6 +290,38 @@ def k4_run_meta(spark, sf):
     return m.select("rows", "crs", F.array_join("tiles", ",").alias("tiles"), F.array_join("notes", ";").alias("notes"), F.col("columns")["elev"].alias("elev"))
 
 
+def _new_path(spark, name):
+    """A new folder for files that a query writes and reads back."""
+    return f"{scratch(spark) or spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"with {ctes('fx_inlets')} select inlet_id, x, top_of_grate_ft, type_description from fx_inlets")
+def k1_csv_round_trip(spark, sf):
+    path = _new_path(spark, "csv")
+    A.write_csv(view(spark, sf, "fx_inlets"), path)
+    schema = "inlet_id long, s int, x double, y double, top_of_grate_ft double, invert_ft double, type_description string"
+    return A.read_csv(spark, path, schema, ("inlet_id", "x", "top_of_grate_ft", "type_description"))
+
+
+@query(f"with {ctes('fx_points')} select oid, point_index, street, elev_m from fx_points")
+def k2_parquet_round_trip(spark, sf):
+    path, p = _new_path(spark, "parquet"), view(spark, sf, "fx_points")
+    A.write_parquet(p, path)
+    return A.read_parquet(spark, path, ("oid", "point_index", "street", "elev_m"), p.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+
+
+@query(f"""with {ctes('fx_points')}, i as (select street, count(*) as n_points from fx_points group by street)
+select (select count(*) from fx_points) as points, (select count(*) from i) as streets, (select cast(sum(n_points) as bigint) from i) as points_of_streets, (select count(*) from fx_points) as told, 'ground, in metres' as elev""")
+def k_run_bundle(spark, sf):
+    """Points, index and sidecar of a run, written together and read back."""
+    path, p = _new_path(spark, "run"), view(spark, sf, "fx_points")
+    A.write_run(p, p.groupBy("street").agg(F.count("*").alias("n_points")), A.run_metadata(p.withColumn("dem_tile", F.lit("t")), "EPSG:26910", columns={"elev_m": "ground, in metres"}), path)
+    points = A.read_parquet(spark, f"{path}/points", ("oid",)).agg(F.count("*").alias("points"))
+    index = A.read_csv(spark, f"{path}/index", "street string, n_points long").agg(F.count("*").alias("streets"), F.sum("n_points").alias("points_of_streets"))
+    told = spark.read.schema("rows long, columns map<string,string>").json(f"{path}/metadata").select(F.col("rows").alias("told"), F.col("columns")["elev_m"].alias("elev"))
+    return points.crossJoin(index).crossJoin(told)  # one row each
+
+
 @query(f"{V}, k as (select distinct oid, {KIND} as kind from fx_vertices) select kind, count(*) as n, count(*) filter (kind is distinct from 'LineString') as n_stray from k group by kind")
 def q1_geom_types(spark, sf):
     return A.geometry_types(_geojson(spark, sf))

@@ -186,6 +186,12 @@ def c9_smooth_10(spark, sf):
     return _profile(spark, sf, 10).select("street", "path_idx", F.bround("smooth", 6).alias("smooth"))
 
 
+@query(f"""with {PATH.replace("from fx_points p join", "from (select * from fx_points where elev_m is not null) p join")} select street, oid, point_index, path_idx, round_even(d,6) as d from path""")
+def c10_known_elevations(spark, sf):
+    p = _points(spark, sf)
+    return C.path(p, C.with_runs(C.chain(C.segment_ends(p))), drop_null_z=True).select("street", "oid", "point_index", "path_idx", F.bround("d", 6).alias("d"))
+
+
 EVENTS = """with ev as (select user_id, cast(row_number() over (partition by user_id order by ts, event_id) as double) as d, row_number() over (partition by user_id order by ts, event_id) as pos, value from events),
 ok as (select *, lag(value) over w as pv, lead(value) over w as nx, count(*) over (partition by user_id) as cnt from ev window w as (partition by user_id order by pos)),
 low as (select * from ok where cnt>=3 and value<=pv and value<nx and d-1>=5 and cnt-d>=5)"""

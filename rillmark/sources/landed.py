@@ -166,3 +166,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_parquet(df: DataFrame, path: str) -> None:
     """A new path each time: a path that is being read cannot be overwritten."""
     df.write.option("compression", "zstd").parquet(path)
+
+
+def write_run(points: DataFrame, index: DataFrame, metadata: DataFrame, path: str) -> None:
+    """A whole run under a new path: the points, the street index and the sidecar that describes the points."""
+    write_parquet(points, f"{path}/points")
+    write_csv(index, f"{path}/index")
+    write_metadata(metadata, f"{path}/metadata")
