@@ -14,7 +14,8 @@ from ..operators import sags as D
 from ..operators import summary as S
 from ..sources.fixtures import view
 from ._register import Register
-from .streets import keep
+from .geometry import CUM, at, utm
+from .streets import index_sql, keep, sag_sql, serve_sql, smoothed, snap_sql
 
 query = Register()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -39,7 +40,27 @@ def terrain(p: DataFrame) -> tuple[DataFrame, DataFrame]:
     return c.select(F.lit("t").alias("dem_tile"), "cell_e", "cell_n", (F.lit(100.0) + wave("cell_e", 400) + wave("cell_n", 300)).alias("elev")), tile
 
 
-@query()
+#: The same steps in SQL. Twenty lines make a street and lie from west to east in order of oid with gaps above 40 m between
+#: them, so the chain is that order and each line a run.
+WAVE = "100+abs({e}%400-200)/32e0+abs({n}%300-150)/32e0"
+SQL = f"""{CUM}, n as (select *, cast(greatest(1, round_even(len/10,0)) as int) as n from ln), q as (select oid, p, len, n, unnest(range(0, n+1)) as i from n), z as (select oid, cast(i as int) as point_index, len*i/n as t, p, len from q),
+x as (select oid, point_index, {at('t')} as x from z), ll as (select oid, point_index, round_even(x.lon,7) as lon, round_even(x.lat,7) as lat from x),
+p0 as (select oid, point_index, concat('STREET ', cast(floor(oid/20e0) as int)) as street, round_even({utm('lon', 'lat')[0]},3) as easting, round_even({utm('lon', 'lat')[1]},3) as northing from ll),
+sh as (select *, cast(floor(easting-5e-1) as bigint) as c, cast(floor(northing-5e-1) as bigint) as r, easting-5e-1-floor(easting-5e-1) as u, northing-5e-1-floor(northing-5e-1) as v from p0),
+el as (select oid, point_index, street, easting, northing, (1-u)*(1-v)*({WAVE.format(e="c", n="r")})+u*(1-v)*({WAVE.format(e="(c+1)", n="r")})+(1-u)*v*({WAVE.format(e="c", n="(r+1)")})+u*v*({WAVE.format(e="(c+1)", n="(r+1)")}) as elev_m from sh),
+fx_inlets as (select oid*1000+point_index as inlet_id, easting+3 as x, northing-2 as y from el where point_index%40=17),
+path0 as (select *, cast(row_number() over (partition by street order by oid, point_index)-1 as int) as path_idx, cast(dense_rank() over (partition by street order by oid)-1 as int) as run from el),
+path1 as (select *, coalesce(sqrt((easting-lag(easting) over o)*(easting-lag(easting) over o)+(northing-lag(northing) over o)*(northing-lag(northing) over o)),0e0) as step from path0 window o as (partition by street order by path_idx)),
+path as (select *, sum(step) over (partition by street order by path_idx) as d from path1),
+{smoothed(2, 2, 3)},
+{sag_sql()},
+{snap_sql()},
+{serve_sql()},
+{index_sql()}
+select * from idx"""
+
+
+@query(SQL)
 def lineage_street_index(spark, sf):
     p = keep(spark, sf, ("lineage points",), lambda: points(spark, sf))
     cells, tile = terrain(p)
