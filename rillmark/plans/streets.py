@@ -93,7 +93,7 @@ def keep(spark: SparkSession, sf: str, name: tuple, make: Callable[[], DataFrame
 
 
 def _path(spark: SparkSession, sf: str) -> DataFrame:
-    """Points in path order; segments are chained once, whatever windows smooth them."""
+    """Points in path order, kept: segments are chained once, whatever windows smooth them."""
 
     def make() -> DataFrame:
         p = _points(spark, sf)
@@ -102,40 +102,44 @@ def _path(spark: SparkSession, sf: str) -> DataFrame:
     return keep(spark, sf, ("path",), make, ("path_idx",))
 
 
-def _profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    """The smoothed path; its windows need no shuffle, as the path lies in buckets by street."""
-    return C.smooth(_path(spark, sf), window)
+def _profile(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    """The smoothed path, read once; shared: other windows are read, too, so the path is kept, and as it lies in buckets by street smoothing shuffles nothing."""
+    return C.smooth(_path(spark, sf), window) if shared else C.profiles(_points(spark, sf), window)
 
 
-def _kept_profile(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return keep(spark, sf, ("profile", window), lambda: _profile(spark, sf, window), ("path_idx",))
+#: What inlets, low points and the index read of a profile.
+_READ = ("street", "run", "path_idx", "d", "smooth", "elev_m", "easting", "northing")
 
 
-def _pairs(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return keep(spark, sf, ("pairs", window), lambda: I.number(I.snap(view(spark, sf, "fx_inlets"), _kept_profile(spark, sf, window))), ("num",))
+def _kept_profile(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    return keep(spark, sf, ("profile", window), lambda: _profile(spark, sf, window, shared).select(*_READ), ("path_idx",))
 
 
-def _sags(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return keep(spark, sf, ("sags", window), lambda: D.find_sags(_kept_profile(spark, sf, window)), ("sag_num",))
+def _pairs(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    return keep(spark, sf, ("pairs", window), lambda: I.number(I.snap(view(spark, sf, "fx_inlets"), _kept_profile(spark, sf, window, shared))), ("num",))
+
+
+def _sags(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    return keep(spark, sf, ("sags", window), lambda: D.find_sags(_kept_profile(spark, sf, window, shared)), ("sag_num",))
 
 
 def _typed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf).join(I.clean(view(spark, sf, "fx_inlets")).select("inlet_id", "grate_m", "invert_m", "type"), "inlet_id")
 
 
-def _analysis(spark: SparkSession, sf: str, window: float = 25.0) -> tuple[DataFrame, ...]:
+def _analysis(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> tuple[DataFrame, ...]:
     """(profile, numbered pairs, sags, served sags), all in the same buckets by street, so what joins and counts them shuffles nothing."""
-    pairs, sags = _pairs(spark, sf, window), _sags(spark, sf, window)
-    return _kept_profile(spark, sf, window), pairs, sags, I.served(I.candidates(sags, pairs))
+    pairs, sags = _pairs(spark, sf, window, shared), _sags(spark, sf, window, shared)
+    return _kept_profile(spark, sf, window, shared), pairs, sags, I.served(I.candidates(sags, pairs))
 
 
-def _index(spark: SparkSession, sf: str, window: float = 25.0) -> DataFrame:
-    return S.street_index(*_analysis(spark, sf, window))
+def _index(spark: SparkSession, sf: str, window: float = 25.0, shared: bool = False) -> DataFrame:
+    return S.street_index(*_analysis(spark, sf, window, shared))
 
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     """The street index with 25 and 10 m of smoothing, in long form."""
-    return _index(spark, sf, 25.0).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0).withColumn("variant", F.lit("m10")))
+    return _index(spark, sf, 25.0, True).withColumn("variant", F.lit("m25")).unionByName(_index(spark, sf, 10.0, True).withColumn("variant", F.lit("m10")))
 
 
 @query(f"with {PATH} select street, oid, min_by(easting, point_index) as e0, min_by(northing, point_index) as n0, max_by(easting, point_index) as e1, max_by(northing, point_index) as n1 from fx_points group by street, oid")
@@ -224,7 +228,7 @@ def d4_prominence_events(spark, sf):
 
 @query(f"{SAGS} select street, sag_num, path_idx, round_even(d,6) as d, round_even(smooth,6) as elev, round_even(prom,6) as prom from sags")
 def d5_sags(spark, sf):
-    return _sags(spark, sf).select("street", "sag_num", "path_idx", F.bround("d", 6).alias("d"), F.bround("smooth", 6).alias("elev"), F.bround("prom", 6).alias("prom"))
+    return D.find_sags(_profile(spark, sf)).select("street", "sag_num", "path_idx", F.bround("d", 6).alias("d"), F.bround("smooth", 6).alias("elev"), F.bround("prom", 6).alias("prom"))
 
 
 @query(f"""{EVENTS_PROM}, f as (select user_id, list_reduce(list([{{'d': d, 'prom': prom}}] order by -prom, pos), lambda a, b: case when len(list_filter(a, lambda k: abs(k.d-b[1].d)<10))>0 then a else list_concat(a, b) end) as kept from cand group by user_id)
@@ -368,4 +372,4 @@ TWO = f"""with {PATH},\n{smoothed(12, 12, 8, "sm")},\n{smoothed(5, 4, 3, "smb")}
 @query(f"""{TWO} select cast(sum(a.n_sags) as bigint) as sags_a, cast(sum(b.n_sags) as bigint) as sags_b, cast(sum(a.n_unserved) as bigint) as unserved_a, cast(sum(b.n_unserved) as bigint) as unserved_b,
  count(*) filter (a.n_sags is distinct from b.n_sags or a.n_unserved is distinct from b.n_unserved) as streets_differ from idx a full join idxb b on a.street=b.street""")
 def s8_variant_diff(spark, sf):
-    return S.variant_diff(_index(spark, sf, 25.0), _index(spark, sf, 10.0))
+    return S.variant_diff(_index(spark, sf, 25.0, True), _index(spark, sf, 10.0, True))
