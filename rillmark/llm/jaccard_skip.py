@@ -31,6 +31,7 @@ table gives an empty result; only the id and text columns are read, so others ma
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, forget, free_name, saved
+from ..sources.store import drop, write_buckets
+from .common import components, forget, free_name, saved, scratch_dir
 from .vectors import LOWER, SET_BITS, mix, shingle_sets, text_slices, word_hashes, words
 
 CELLS, CELL_BLOCK = 1 << 18, 1 << 14
@@ -181,10 +183,11 @@ def _blocks(members: DataFrame, label: str) -> DataFrame:
 
 def index_lists(entries: DataFrame, percent: int) -> DataFrame:
     """(token, key, n, at): the entries without the members that no other one of their list can link with."""
-    index = saved(entries, "index")
+    # Dealt out by token once, into buckets: counts, the join with them and the distinct rows need no other shuffle.
+    index = write_buckets(entries, f"{scratch_dir(entries.sparkSession)}/index-{uuid.uuid4().hex}", ("token",))
     shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
-    lists = saved(index.join(shared, "token", "left_semi").distinct(), "lists")
-    forget(index)
+    lists = saved(index.hint("merge").join(shared.hint("merge"), "token", "left_semi").distinct(), "lists")
+    drop(index)
     ways = block_pairs(_blocks(lists.withColumn("balls", F.lit(0)), "key"), percent)
     # Both ends come from one join; a union of two would run it twice.
     able = ways.select("token", F.explode(F.array(F.struct("n", "at"), F.struct(F.col("n2").alias("n"), F.col("at2").alias("at")))).alias("end")).select("token", "end.n", "end.at").distinct()
