@@ -111,20 +111,23 @@ def set_keys(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([ids.slice(a, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(set_keys_of(hashes, offsets).view(np.int64)), _signatures(hashes, offsets), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if cells.any():
             n = CELLS // CELL_BLOCK
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].tobytes() for i in range(n)], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([cells[i * CELL_BLOCK : (i + 1) * CELL_BLOCK].astype(np.uint32).tobytes() for i in range(n)], pa.binary())], names=names)
 
     table = saved(docs.select("doc", "text").mapInArrow(run, "doc long, n int, key long, signature binary, block int, cells binary"), "sets")
 
-    def add(pdf):
-        import pandas as pd
+    def add(kind):
+        def sums(pdf):
+            import pandas as pd
 
-        total = sum(np.frombuffer(x, np.int64) for x in pdf["cells"])
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "cells": [total.tobytes()]})
+            total = sum(np.frombuffer(x, kind).astype(np.int64) for x in pdf["cells"])
+            return pd.DataFrame({"block": pdf["block"].iloc[:1], "cells": [total.tobytes()]})
 
-    # In two steps, so that no group has a row of every task.
+        return sums
+
+    # In two steps, so that no group has a row of every task; a task's own counts are half as wide.
     rows = table.where("block is not null").select("block", "cells")
-    part = rows.groupBy("block", F.spark_partition_id() % SUM_PARTS).applyInPandas(add, "block int, cells binary")
-    summed = part.groupBy("block").applyInPandas(add, "block int, cells binary")
+    part = rows.groupBy("block", F.spark_partition_id() % SUM_PARTS).applyInPandas(add(np.uint32), "block int, cells binary")
+    summed = part.groupBy("block").applyInPandas(add(np.int64), "block int, cells binary")
     counts = np.zeros(CELLS, np.int64)
     for r in summed.collect():  # CELLS numbers, whatever the input
         counts[r.block * CELL_BLOCK : (r.block + 1) * CELL_BLOCK] = np.frombuffer(r.cells, np.int64)
