@@ -33,3 +33,12 @@ def test_streets_of_five_digits_are_not_mixed_up(spark, high, name):
     b = sorted(repr([r[want.columns.index(c)] for c in cols]) for r in want.fetchall())
     assert a == b and a
     assert got.select("street").distinct().where(F.length("street") > len("STREET 0000")).count() > 0
+
+
+def test_scales_beyond_the_ladder_take_its_last_step(spark):
+    from rillmark.operators import charts
+
+    r = spark.createDataFrame([("A", 300.0, 1.0, 2.0), ("B", 1e6, 1.0, 2.0)], "street string, length double, lo double, hi double")
+    assert {x.street: (x.h_mpp, x.width_px) for x in charts.profile_scale(r).collect()} == {"A": (0.5, 600.0), "B": (200.0, 1400.0)}
+    b = spark.createDataFrame([("A", 0.0, 100.0, 0.0, 100.0, 1.0), ("B", 0.0, 1e6, 0.0, 10.0, 1.0)], "street string, x0 double, x1 double, y0 double, y1 double, scale double")
+    assert {x.street: x.m_mpp for x in charts.map_scale(b).collect()} == {"A": 0.25, "B": 100.0}
