@@ -42,3 +42,16 @@ def test_scales_beyond_the_ladder_take_its_last_step(spark):
     assert {x.street: (x.h_mpp, x.width_px) for x in charts.profile_scale(r).collect()} == {"A": (0.5, 600.0), "B": (200.0, 1400.0)}
     b = spark.createDataFrame([("A", 0.0, 100.0, 0.0, 100.0, 1.0), ("B", 0.0, 1e6, 0.0, 10.0, 1.0)], "street string, x0 double, x1 double, y0 double, y1 double, scale double")
     assert {x.street: x.m_mpp for x in charts.map_scale(b).collect()} == {"A": 0.25, "B": 100.0}
+
+
+def test_a_street_across_the_country_meets_few_cells(spark):
+    from rillmark.operators import summary
+
+    # A box of 1e8 by 1e8 m has 4e10 squares of 500 m.
+    ends = {"A": (0.0, 0.0, 1e8, 1e8), "B": (1e3, 1e3, 1.2e3, 1e3), "C": (-64.0, -64.0, 64.0, 64.0), "D": (0.0, 2e4, 4.1e3, 2e4)}
+    p = spark.createDataFrame([(s, x, y) for s, (a, b, c, d) in ends.items() for x, y in ((a, b), (c, d))], "street string, easting double, northing double")
+    at = [(-30.0, -30.0), (94.0, 94.0), (1e3, 1.03e3), (1e3, 1030.5), (1.23e3, 970.0), (1.1e3, 1e3), (1e8 + 30, 5e7), (1e8 + 31, 5e7), (4.13e3, 2e4), (0.0, 2e4), (2e3, 19971.0), (-94.0, 0.0)]
+    i = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(at)], "inlet_id int, x double, y double")
+    want = {s: sum(a - 30 <= x <= c + 30 and b - 30 <= y <= d + 30 for x, y in at) for s, (a, b, c, d) in ends.items()}
+    got = {r.street: r.n_near for r in summary.sample_candidates(p, i, least=1).collect()}
+    assert got == {s: n for s, n in want.items() if n}
