@@ -55,3 +55,41 @@ def test_a_street_across_the_country_meets_few_cells(spark):
     want = {s: sum(a - 30 <= x <= c + 30 and b - 30 <= y <= d + 30 for x, y in at) for s, (a, b, c, d) in ends.items()}
     got = {r.street: r.n_near for r in summary.sample_candidates(p, i, least=1).collect()}
     assert got == {s: n for s, n in want.items() if n}
+
+
+def test_rows_are_dealt_out_before_they_multiply(spark, tiny):
+    from rillmark.sources.fixtures import view
+
+    for name in ("fx_points", "fx_vertices"):
+        assert view(spark, tiny.replace("sf0.001", "sf0.1"), name).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_a_raster_is_not_broadcast(spark):
+    from rillmark.operators import raster as R
+
+    p = spark.createDataFrame([(1, 5.2, 5.7, "t", 1)], "oid int, easting double, northing double, dem_tile string, tile_rank int")
+    cells = spark.range(100).selectExpr("'t' as dem_tile", "cast(id / 10 as int) as cell_e", "cast(id % 10 as int) as cell_n", "cast(id as double) as elev")
+    plan = R.bilinear(p, cells)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_cells_that_no_point_of_their_tile_can_meet_are_left_out(spark):
+    from rillmark.operators import raster as R
+
+    tile = spark.createDataFrame([("t", 1, 2.0, 8.5, 3.0, 7.0)], "dem_tile string, tile_rank int, left_e double, right_e double, bottom_n double, top_n double")
+    cells = spark.range(100).selectExpr("'t' as dem_tile", "cast(id / 10 as int) as cell_e", "cast(id % 10 as int) as cell_n", "cast(id as double) as elev")
+    kept = {(r.cell_e, r.cell_n) for r in R.in_bounds(cells, tile).collect()}
+    assert kept == {(e, n) for e in range(2, 9) for n in range(3, 7)}
+    p = spark.range(4000).selectExpr("id as oid", "id % 63 / 6.3 as easting", "id / 400 as northing")
+    placed = R.in_tiles(p, tile)
+    read = lambda c: sorted(map(tuple, R.sample(placed, R.blocks(c)).select("oid", "elev_m", "elev_cell_m").collect()))
+    assert read(R.in_bounds(cells, tile)) == read(cells) and placed.count() > 100
+
+
+def test_quantiles_of_few_groups_are_spread(spark):
+    from rillmark.operators.order import SPREAD, quantiles
+
+    df = spark.range(9000).selectExpr("id % 2 as g", "cast(id as double) as v")
+    assert {r.g: r.q0 for r in quantiles(df, "v", (0.5,), ("g",)).collect()} == {0: 4499.0, 1: 4500.0}
+    plan = quantiles(df, "v", (0.5,), ("g",))._jdf.queryExecution().optimizedPlan().toString()
+    assert SPREAD > 1 and "_part" in plan
