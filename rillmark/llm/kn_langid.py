@@ -39,6 +39,8 @@ ORDER = 4
 FALSE, USUAL, MARGINS = 0.002, 0.9, (4.0, 12.0)
 #: Classes of length by powers of four letters; one with fewer calibration texts takes those of its neighbours, too.
 CLASSES, ENOUGH = 9, 200
+#: Characters that keep_accepted() scores at once, as its workers hold two models beside.
+CHUNK = 100_000
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -372,12 +374,12 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams, np.bincount(inverse.ravel(), np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
-def _chunks(batch: pa.RecordBatch) -> tuple[list, list]:
+def _chunks(batch: pa.RecordBatch, most: int = 400_000) -> tuple[list, list]:
     firsts, texts = batch.column(0).to_pylist(), batch.column("text").to_pylist()
     a, size, cut = 0, 0, []
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size > 400_000 or i + 1 == len(texts):
+        if size > most or i + 1 == len(texts):
             cut.append((a, i + 1))
             a, size = i + 1, 0
     return [firsts[x:y] for x, y in cut], [texts[x:y] for x, y in cut]
@@ -411,7 +413,7 @@ def keep_accepted(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
             keep = np.zeros(batch.num_rows, bool)
             at, half = 0, batch.column(half_col).to_numpy()
             texts = batch.column(text_col)
-            for part in _chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"]))[1]:
+            for part in _chunks(pa.RecordBatch.from_arrays([texts, texts], names=["first", "text"]), CHUNK)[1]:
                 for h in (0, 1):
                     mine = np.flatnonzero(half[at : at + len(part)] == h)
                     if len(mine):

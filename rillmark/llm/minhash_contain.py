@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import LOWER, gram_hashes, mix, text_slices, word_hashes, words
+from .vectors import LOWER, SLICE, gram_hashes, mix, text_slices, word_hashes, words
 
 BLOCK_BYTES = 4 << 20
 PERMS = 48
@@ -129,7 +129,7 @@ def candidates(items: Items, grams: np.ndarray, bounds: np.ndarray, size: int) -
 
 def _matches(it: Items, ids: list, batch: pa.RecordBatch, least: float) -> Iterator[tuple]:
     """(row of the batch, item id, shingles of the item, shared ones) of each verified match."""
-    for a, _, data, offsets in text_slices(batch, "text"):
+    for a, _, data, offsets in text_slices(batch, "text", SLICE):
         low = LOWER[data]
         starts, ends, at = words(low, offsets)
         hashes = word_hashes(low, starts, ends)

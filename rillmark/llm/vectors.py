@@ -16,6 +16,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Bytes of text whose words are hashed at once where a task holds little else: each costs some 50 bytes meanwhile.
+SLICE = 1 << 18
 SET_BITS, MOST_ROWS = 52, 4000
 POS_BITS = 24
 POS_MASK = np.uint64((1 << POS_BITS) - 1)

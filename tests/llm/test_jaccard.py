@@ -109,3 +109,35 @@ def test_packed_sets():
         x = np.unique(rng.integers(0, 1 << 52, n).astype(np.uint64))
         b = jaccard_skip.packed(x)
         assert (jaccard_skip.unpacked(np.frombuffer(b, np.uint8)) == x).all() and (n < 300 or len(b) <= 6 * len(x) + 1)
+
+
+def test_lists_and_sets_are_dealt_out_once(spark, monkeypatch):
+    """Index lists are read where they lie, and a set's body is sent to its bucket and with one side of a pair only."""
+    plans, saved = {}, jaccard_skip.saved
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return saved(df, name)
+
+    monkeypatch.setattr(jaccard_skip, "saved", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, " ".join(f"w{j}" if j != i + 20 else "x" for j in range(60))) for i in range(8)]
+        assert components(spark, rows, k=2, percent=85) == {(i, 0) for i in range(8)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plans["able"]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    keys = [x.split("hashpartitioning(")[1].split("#")[0] for x in plans["settled"].splitlines() if "Exchange hashpartitioning" in x]
+    assert keys.count("key") == 0, plans["settled"]
+
+
+def test_workers_hash_little_text_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    sizes, words = [], jaccard_skip.words
+    monkeypatch.setattr(jaccard_skip, "words", lambda low, offsets: sizes.append(len(low)) or words(low, offsets))
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three four " * 50] * 2000)], names=["text"])
+    got = [len(offsets) - 1 for _, _, offsets in jaccard_skip.set_hashes(batch, 3)]
+    assert sum(got) == 2000 and max(sizes) <= 1 << 18
