@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 
 
-def cumulative(vertices: DataFrame, line: str = "oid", order: str = "vertex_index", lon: str = "lon", lat: str = "lat", out: str = "dist_along_m") -> DataFrame:
+def cumulative(vertices: DataFrame, line: str | list[str] = "oid", order: str = "vertex_index", lon: str = "lon", lat: str = "lat", out: str = "dist_along_m") -> DataFrame:
     """vertices with the distance along their line, from 0."""
     w = Window.partitionBy(line).orderBy(order)
     step = geo.ground_distance(F.lag(lon).over(w), F.lag(lat).over(w), F.col(lon), F.col(lat))
@@ -33,7 +33,7 @@ def point_at(path: Column, target: Column) -> Column:
     return F.when(target <= 0, ends(path[0])).when(target >= last["d"], ends(last)).otherwise(inner)
 
 
-def _ends_and_steps(vertices: DataFrame, line: str, order: str) -> DataFrame:
+def _ends_and_steps(vertices: DataFrame, line: str | list[str], order: str) -> DataFrame:
     """The vertices in order with d, the next one as b, and the ends and length of their line; windows only, one sort a line."""
     w = Window.partitionBy(line).orderBy(order)
     v = cumulative(vertices, line, order).withColumn("_v", F.struct("lon", "lat", F.col("dist_along_m").alias("d")))
@@ -73,12 +73,14 @@ def points_at(vertices: DataFrame, targets: DataFrame, at: str = "t", line: str
     return met.join(ends, line).select(*(F.col(f"_row.{c}").alias(c) for c in targets.columns), pt.alias("pt"))
 
 
-def resample(vertices: DataFrame, spacing: float, line: str = "oid", order: str = "vertex_index") -> DataFrame:
+def resample(vertices: DataFrame, spacing: float, line: str | list[str] = "oid", order: str = "vertex_index") -> DataFrame:
     """Points about `spacing` apart, both ends among them, quantised to 7 and 2 decimals.
 
     Each step between two vertices makes the points that lie on it, so nothing is joined and no path is searched: a point
-    k of n lies at length * k / n, which tells the first and the last k of a step.
+    k of n lies at length * k / n, which tells the first and the last k of a step. line: also several columns; vertices
+    that are dealt out by one of them are sent nowhere.
     """
+    keys = [line] if isinstance(line, str) else line
     length = F.col("_last.d")
     n = F.greatest(F.rint(length / spacing), F.lit(1.0)).cast("int")
     v = _ends_and_steps(vertices, line, order).withColumn("_n", n)
@@ -94,8 +96,8 @@ def resample(vertices: DataFrame, spacing: float, line: str = "oid", order: str
     t, k = F.col("_t"), F.col("_p.kind")
     p = p.where((k == 0) | ((k == 1) & (t < length) & (t > F.col("_v.d")) & (t <= F.col("_b.d"))) | ((k == 2) & (t >= length)))
     pt = F.when(k == 0, _end(F.col("_first"))).when(k == 2, _end(F.col("_last"))).otherwise(_between(F.col("_v"), F.col("_b"), t))
-    p = p.select(line, F.col("_p.i").alias("point_index"), pt.alias("pt"), t.alias("at"))
-    return p.select(line, "point_index", F.bround("pt.lat", 7).alias("lat"), F.bround("pt.lon", 7).alias("lon"), F.bround("at", 2).alias("dist_along_m"))
+    p = p.select(*keys, F.col("_p.i").alias("point_index"), pt.alias("pt"), t.alias("at"))
+    return p.select(*keys, "point_index", F.bround("pt.lat", 7).alias("lat"), F.bround("pt.lon", 7).alias("lon"), F.bround("at", 2).alias("dist_along_m"))
 
 
 def endpoints(vertices: DataFrame, line: str = "oid", order: str = "vertex_index") -> DataFrame:
